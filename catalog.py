@@ -26,6 +26,7 @@ from pelagia.plans.training import TrainingConfig, build_training_set, filter_si
 from pelagia.schemas import DEFAULT_FEATURES, LABEL, TRAINING_FEATURES, WEATHER_PARAMETERS
 from pelagia.sources.readers import clean_grid, head_rows
 from pelagia.sources.requests import accepted, parse_requests
+from pelagia.sources.writers import checkpointed
 
 QUERIES: dict = {}
 TREES = 10
@@ -876,34 +877,36 @@ def training_set(t):
     return training_rows(t)
 
 
-_MODELS: dict[tuple[str, str], PipelineModel] = {}
+_TRAINED: dict[tuple[str, str], tuple[PipelineModel, DataFrame]] = {}
 
 
-def fitted(t: Tables) -> PipelineModel:
-    """A small model of the folder, fitted once per application."""
+def trained(t: Tables) -> tuple[PipelineModel, DataFrame]:
+    """A small model of the folder and its stored training set, made once per application."""
     key = (t.spark.sparkContext.applicationId, t.folder)
-    if key not in _MODELS:
-        train, _ = model.temporal_split(training_rows(t), TEST_FROM)
-        _MODELS[key] = model.train(train, TRAINING_FEATURES, maxIter=TREES)
-    return _MODELS[key]
+    if key not in _TRAINED:
+        rows = checkpointed(training_rows(t))
+        train, _ = model.temporal_split(rows, TEST_FROM)
+        _TRAINED[key] = model.train(train, TRAINING_FEATURES, maxIter=TREES), rows
+    return _TRAINED[key]
 
 
 @query("train_score")
 def train_score(t):
-    _, test = model.temporal_split(training_rows(t), TEST_FROM)
-    return model.score(test, fitted(t)).select("position", LABEL, "prediction", "probability")
+    fitted, rows = trained(t)
+    _, test = model.temporal_split(rows, TEST_FROM)
+    return model.score(test, fitted).select("position", LABEL, "prediction", "probability")
 
 
 @query("importance")
 def importance(t):
-    return model.importance(fitted(t), t.spark)
+    return model.importance(trained(t)[0], t.spark)
 
 
 @query("surface")
 def surfaces(t):
-    return surface.surfaces(fitted(t), training_rows(t))
+    return surface.surfaces(*trained(t))
 
 
 @query("classify")
 def classified(t):
-    return classify(t.requests, t.weather, fitted(t), order=WEATHER_ORDER)
+    return classify(t.requests, t.weather, trained(t)[0], order=WEATHER_ORDER)

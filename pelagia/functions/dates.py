@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_WEEKDAY = r"(?i)^\s*(mon|tue|wed|thu|fri|sat|sun),\s*"
+# Weekday names in front of a date.
+_WEEKDAYS = ["mon", "tue", "wed", "thu", "fri", "sat", "sun"]
 _REST = "d MMM yyyy H:m:s 'GMT'"
 _OFFSET = r"(Z|[+-]\d{2}:?\d{2})$"
 
@@ -23,9 +26,9 @@ def parse_rfc1123(raw: Column) -> Column:
     Null and empty texts give null; any other text that does not parse raises.
     The weekday is checked to be one, and then ignored.
     """
-    rest = F.regexp_replace(raw, _WEEKDAY, "")
-    # without a weekday in front the text is malformed: keep it unparsable
-    text = F.when(raw.rlike(_WEEKDAY), rest).otherwise(F.concat(F.lit("?"), raw))
+    named = F.lower(F.substring(raw, 1, 3)).isin(_WEEKDAYS) & (F.substring(raw, 4, 2) == ", ")
+    # without a weekday in front the text is malformed: it stays whole and does not parse
+    text = F.when(named, F.ltrim(F.substring(raw, 6, 64))).otherwise(raw)
     return F.when(has_date(raw), F.to_timestamp_ntz(text, F.lit(_REST)))
 
 
@@ -39,12 +42,10 @@ def parse_iso(raw: Column) -> Column:
 
 def in_window(date: Column, lo: datetime | None, hi: datetime | None) -> Column:
     """``lo < date < hi``, both ends excluded; ``None`` leaves an end open."""
-    inside = date.isNotNull()
-    if lo is not None:
-        inside = inside & (date > _ntz(lo))
+    ends = [date > _ntz(lo)] if lo is not None else []
     if hi is not None:
-        inside = inside & (date < _ntz(hi))
-    return inside
+        ends.append(date < _ntz(hi))
+    return reduce(and_, ends) if ends else date.isNotNull()
 
 
 def day(date: Column) -> Column:

@@ -115,6 +115,12 @@ def group_slice(df: DataFrame, lo: int, hi: int, date: str = "date") -> DataFram
     """Rows of the day groups number ``lo`` to ``hi - 1``, counted from 0 by date."""
     day = F.date_trunc("day", F.col(date)).cast("timestamp_ntz")
     days = df.select(day.alias("d")).filter("d is not null").distinct().orderBy("d")
-    start = days.offset(lo).limit(1).scalar()
-    end = days.offset(hi).limit(1).scalar()
-    return df.filter((day >= start) & (end.isNull() | (day < end)))
+    # the wanted days and one more, which is the end if there is one
+    some = days.offset(lo).limit(hi - lo + 1)
+    ends = some.agg(
+        F.struct(
+            F.min("d").alias("start"),
+            F.when(F.count("d") > hi - lo, F.max("d")).alias("end"),
+        )
+    ).scalar()
+    return df.filter((day >= ends["start"]) & (ends["end"].isNull() | (day < ends["end"])))

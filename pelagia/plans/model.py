@@ -16,8 +16,8 @@ from pelagia.functions.features import feature_columns
 from pelagia.operators.report import accuracy, classification_report
 from pelagia.schemas import LABEL, TEST_FROM
 
-# Settings of the classifier.
-DEFAULTS = {"maxIter": 200, "seed": 42, "lossType": "logistic"}
+# Settings of the classifier (trees, depth, learning rate, seed, loss).
+DEFAULTS = {"maxIter": 200, "maxDepth": 6, "stepSize": 0.3, "seed": 42, "lossType": "logistic"}
 
 
 def temporal_split(

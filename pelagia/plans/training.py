@@ -68,10 +68,15 @@ def build_training_set(
     # used for the count, the date range and the rows themselves
     seen = checkpointed(attach_weather(seen, weather, cfg.weather_order, ["id"]))
 
-    wanted = seen.agg(F.floor(F.count(F.lit(1)) / cfg.share)).scalar()
-    first, last = (seen.agg(f("date")).scalar() for f in (F.min, F.max))
-    points = uniform_points(spark, wanted, cfg.box, cfg.seed)
-    drawn = draw_days(points, first, last, cfg.rounds, cfg.batch, cfg.seed)
+    known = seen.agg(
+        F.struct(
+            F.floor(F.count(F.lit(1)) / cfg.share).alias("wanted"),
+            F.min("date").alias("first"),
+            F.max("date").alias("last"),
+        )
+    ).scalar()
+    points = uniform_points(spark, known["wanted"], cfg.box, cfg.seed)
+    drawn = draw_days(points, known["first"], known["last"], cfg.rounds, cfg.batch, cfg.seed)
     drawn = drawn.withColumn("date", day(F.col("date")))
     around = background_weather(drawn) if callable(background_weather) else background_weather
     empty = attach_weather(

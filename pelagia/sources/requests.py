@@ -77,7 +77,7 @@ def parse_requests(df: DataFrame, body: str = "value", request_id: str = "req_id
         "d_clouds",
         "d_ocean",
         request_reason.alias("request_reason"),
-        F.transform("points", _point).alias("points"),
+        _points(F.col("points")).alias("points"),
     ).withColumn(
         "whole",
         F.col("request_reason").isNull()
@@ -110,24 +110,37 @@ def rejected(parsed: DataFrame) -> DataFrame:
     return parsed.filter(F.col("reason").isNotNull()).select("req_id", "pos", "reason")
 
 
-def _point(item: Column) -> Column:
-    is_list = F.schema_of_variant(item).startswith("ARRAY")
-    is_object = F.schema_of_variant(item).startswith("OBJECT")
-    lon_text = F.when(is_list, F.try_variant_get(item, "$[0]", "string")).when(
-        is_object, first_alias(item, LON_NAMES)
-    )
-    lat_text = F.when(is_list, F.try_variant_get(item, "$[1]", "string")).when(
-        is_object, first_alias(item, LAT_NAMES)
-    )
-    lon, lat = to_number(lon_text), to_number(lat_text)
-    absent = lon_text.isNull() | lat_text.isNull()
-    bad = lon.isNull() | lat.isNull()
-    reason = (
-        F.when(is_object & absent, NO_LON_LAT)
-        .when(is_object & bad, NOT_NUMERIC)
-        .when(absent | bad, BAD_PAIR)
-    )
-    return F.struct(lon.alias("longitude"), lat.alias("latitude"), reason.alias("reason"))
+def _points(items: Column) -> Column:
+    """Coordinates of list or object items, and why one cannot be used.
+
+    In steps, so that no value is looked up twice for an item.
+    """
+
+    def look_up(item: Column) -> Column:
+        # a list has no names and an object no positions: at most one of them is there
+        lon = F.coalesce(F.try_variant_get(item, "$[0]", "string"), first_alias(item, LON_NAMES))
+        lat = F.coalesce(F.try_variant_get(item, "$[1]", "string"), first_alias(item, LAT_NAMES))
+        return F.struct(item.alias("item"), lon.alias("lon"), lat.alias("lat"))
+
+    def convert(p: Column) -> Column:
+        return F.struct(
+            to_number(p["lon"]).alias("longitude"),
+            to_number(p["lat"]).alias("latitude"),
+            (p["lon"].isNull() | p["lat"].isNull()).alias("absent"),
+            p["item"].alias("item"),
+        )
+
+    def judge(p: Column) -> Column:
+        is_object = F.schema_of_variant(p["item"]).startswith("OBJECT")
+        why = (
+            F.when(~F.coalesce(is_object, F.lit(False)), BAD_PAIR)
+            .when(p["absent"], NO_LON_LAT)
+            .otherwise(NOT_NUMERIC)
+        )
+        bad = p["longitude"].isNull() | p["latitude"].isNull()
+        return F.struct(p["longitude"], p["latitude"], F.when(bad, why).alias("reason"))
+
+    return F.transform(F.transform(F.transform(items, look_up), convert), judge)
 
 
 def _get(fields: Column, name: str) -> Column:

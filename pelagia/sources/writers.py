@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -26,13 +27,16 @@ def write_table(
 def checkpointed(df: DataFrame) -> DataFrame:
     """Store a frame that is used several times in the session's checkpoint folder.
 
-    The folder is the one named by ``spark.checkpoint.dir``; a session without one
-    gets the frame back as it is, and computes it again for each use.
+    The folder is the shared one that ``spark.checkpoint.dir`` names. Without it a
+    local session takes a temporary folder, and on a cluster the frame comes back
+    as it is and is computed again for each use.
     """
     spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and context.master.startswith("local"):
+            folder = tempfile.mkdtemp(prefix="pelagia-")
         if not folder:
             return df
         context.setCheckpointDir(folder)
