@@ -27,8 +27,8 @@ def parse_rfc1123(raw: Column) -> Column:
     The weekday is checked to be one, and then ignored.
     """
     named = F.lower(F.substring(raw, 1, 3)).isin(_WEEKDAYS) & (F.substring(raw, 4, 2) == ", ")
-    # without a weekday in front the text is malformed: it stays whole and does not parse
-    text = F.when(named, F.ltrim(F.substring(raw, 6, 64))).otherwise(raw)
+    # without a weekday in front the text is malformed, and marked so that it does not parse
+    text = F.when(named, F.ltrim(F.substring(raw, 6, 64))).otherwise(F.concat(F.lit("? "), raw))
     return F.when(has_date(raw), F.to_timestamp_ntz(text, F.lit(_REST)))
 
 

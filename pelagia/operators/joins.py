@@ -8,6 +8,7 @@ are spread over several partitions; their right rows are repeated as often.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
 from math import ceil
 
@@ -17,6 +18,9 @@ from pyspark.sql import functions as F
 # No shuffle partition should get more than about 1/PIECES of the left rows.
 PIECES = 256
 
+# Groups of tasks whose sketches are merged, so that no single task merges all of them.
+GROUPS = 64
+
 # Right sides up to this many rows are broadcast (a few dozen bytes per row).
 BROADCAST_ROWS = 200_000
 
@@ -31,18 +35,29 @@ def has_at_most(df: DataFrame, rows: int) -> bool:
 def frequent_keys(df: DataFrame, keys: Sequence[str], pieces: int = PIECES) -> dict[int, int]:
     """Hash of every frequent key, and the number of pieces to cut it into.
 
-    One narrow pass with a sketch of fixed size, so at most ``pieces`` entries. The
-    sketch only decides where rows go. A key it misses or counts wrongly costs
-    time and never changes a result. It is read once, since a second run of it may
-    differ and the two sides of a join must agree.
+    One narrow pass with sketches of fixed size: one per task, merged in ``GROUPS``
+    groups. A key with more than 1/pieces of all rows has as much of some group, so
+    it is on that group's list. The lists only decide where rows go. A key
+    that is counted wrongly costs time and never changes a result. They are read
+    once, since a second run may differ and the two sides of a join must agree.
     """
-    hashed = f"xxhash64({', '.join(f'`{k}`' for k in keys)})"
-    found = df.agg(
-        F.expr(f"approx_top_k({hashed}, {pieces}, {64 * pieces})").alias("top"),
-        F.count(F.lit(1)).alias("n"),
-    ).head()
-    shares = {t["item"]: t["count"] * pieces / found["n"] for t in found["top"]}
-    return {key: ceil(share) for key, share in shares.items() if share > 1}
+    hashed = df.select(
+        F.pmod(F.spark_partition_id(), F.lit(GROUPS)).alias("g"), F.xxhash64(*keys).alias("h")
+    )
+    lists = (
+        hashed.groupBy("g")
+        .agg(
+            F.expr(f"approx_top_k(h, {pieces}, {8 * pieces})").alias("top"),
+            F.count(F.lit(1)).alias("n"),
+        )
+        .collect()
+    )
+    total = sum(group["n"] for group in lists)
+    counts: Counter[int] = Counter()
+    for group in lists:
+        for entry in group["top"]:
+            counts[entry["item"]] += entry["count"]
+    return {key: ceil(n * pieces / total) for key, n in counts.items() if n * pieces > total}
 
 
 def lookup(

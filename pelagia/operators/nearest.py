@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from pelagia.operators import joins
 from pelagia.operators.keyed import first_per_key
+from pelagia.sources.writers import checkpointed
 
 MONTH = ("year", "month")
 LON_LIMITS = (-180.0, 180.0)
@@ -43,13 +44,11 @@ def month_match(points: DataFrame, grid: DataFrame, keys: Sequence[str] = MONTH)
 def one_row_per_cell(
     grid: DataFrame,
     keys: Sequence[str] = MONTH,
-    lon: str = "lon",
-    lat: str = "lat",
     value: str = "chlor_a",
     order: Sequence[str] = (),
 ) -> DataFrame:
     """First row of every cell by ``order``; without an order the least value."""
-    cell = [*keys, lon, lat]
+    cell = [*keys, "lon", "lat"]
     if order:
         return first_per_key(grid, cell, [*order, value]).select(*cell, value)
     return grid.groupBy(*cell).agg(F.min(value).alias(value))
@@ -72,15 +71,17 @@ def nearest_grid_value(
     """Add ``c_lon``, ``c_lat`` and the value of the nearest cell to every point.
 
     Every point is kept; without a grid in its month, or without a coordinate, it
-    gets nulls. ``spread`` names the columns that identify a point. ``unique``
+    gets nulls. ``spread`` names the columns that identify a point, ``lon`` and
+    ``lat`` its coordinates; the grid's are called ``lon`` and ``lat``. ``unique``
     says that the grid has one row per cell already. ``lon_bin`` is the bin width
     in degrees of the first step; the second takes the mean spacing of the cells.
     """
-    cells = grid.select(*keys, lon, lat, value)
-    if not unique:
-        cells = one_row_per_cell(grid, keys, lon, lat, value, order)
+    cells = grid if unique else one_row_per_cell(grid, keys, value, order)
     cells = cells.select(
-        *keys, F.col(lon).alias("g_lon"), F.col(lat).alias("g_lat"), F.col(value).alias("g_value")
+        *keys,
+        F.col("lon").alias("g_lon"),
+        F.col("lat").alias("g_lat"),
+        F.col(value).alias("g_value"),
     )
 
     # names of the point's own columns never clash with the working columns
@@ -90,7 +91,7 @@ def nearest_grid_value(
     work = work.withColumn("__bin", _lon_bin(F.col("__lon"), lon_bin))
     work = joins.lookup(
         work,
-        lon_intervals(cells, keys, lon_bin),
+        checkpointed(lon_intervals(cells, keys, lon_bin)),  # to be counted, then joined
         [*keys, "__bin"],
         spread,
         condition=_holds("__lon"),

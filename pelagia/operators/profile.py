@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pelagia.functions.coords import given
+from pelagia.operators.joins import GROUPS
 from pelagia.schemas import LABEL
 
 
@@ -101,27 +102,43 @@ def feature_ranges(df: DataFrame, columns: Sequence[str], padding: float = 0.1)
 
 
 def feature_medians(
-    df: DataFrame, columns: Sequence[str], accuracy: int = 10_000, bins: int = 4096
+    df: DataFrame, columns: Sequence[str], accuracy: int = 1000, bins: int = 4096
 ) -> DataFrame:
     """Exact medians of many columns, the mean of the two middle values.
 
-    Spark's own exact median keeps every distinct value in one task. Here a
-    quantile sketch of fixed size first brackets the middle, then the rows in the
-    bracket are counted by bin, and only values of the middle bins are ranked. The
-    brackets (two numbers per column) are read once, as another run may differ.
+    Spark's own exact median keeps every distinct value in one task. Here quantile
+    sketches of fixed size first bracket the middle, then the rows in the
+    bracket are counted by bin, and only values of the middle bins are ranked.
+
+    The sketches are merged in groups of tasks. The middle of all rows lies between
+    the least and the greatest middle of the groups. These brackets (two numbers
+    per column and group) are read once, as another run may differ.
     """
     margin = 10.0 / accuracy
     at = F.array(F.lit(max(0.0, 0.5 - margin)), F.lit(min(1.0, 0.5 + margin)))
-    sketch = df.agg(
+    numbers = df.select(
+        F.pmod(F.spark_partition_id(), F.lit(GROUPS)).alias("__group"),
+        *[_value(c).alias(c) for c in columns],
+    )
+    grouped = numbers.groupBy("__group").agg(
         *[
             F.struct(
-                F.count(_value(c)).alias("n"),
-                F.percentile_approx(_value(c), at, accuracy).alias("ends"),
+                F.count(c).alias("n"),
+                F.percentile_approx(c, at, accuracy).alias("ends"),
             ).alias(c)
             for c in columns
         ]
     )
-    found = {c: row for c, row in sketch.head().asDict().items() if row["n"] > 0}
+    groups = grouped.collect()
+    found = {}
+    for c in columns:
+        filled = [g[c] for g in groups if g[c]["n"] > 0]
+        if filled:
+            found[c] = (
+                sum(g["n"] for g in filled),
+                min(g["ends"][0] for g in filled),
+                max(g["ends"][1] for g in filled),
+            )
     if not found:
         return df.sparkSession.createDataFrame([], "feature string, median double")
     values = df.select(
@@ -131,11 +148,11 @@ def feature_medians(
                     F.struct(
                         F.lit(c).alias("feature"),
                         _value(c).alias("value"),
-                        F.lit(row["n"]).cast("long").alias("n"),
-                        F.lit(row["ends"][0]).alias("lo"),
-                        F.lit(row["ends"][1]).alias("hi"),
+                        F.lit(n).cast("long").alias("n"),
+                        F.lit(lo).alias("lo"),
+                        F.lit(hi).alias("hi"),
                     )
-                    for c, row in found.items()
+                    for c, (n, lo, hi) in found.items()
                 ]
             )
         )

@@ -26,7 +26,14 @@ def observations(df: DataFrame, names: dict[str, str] | None = None) -> DataFram
 
 
 def weather_by_key(weather: DataFrame, order: Sequence) -> DataFrame:
-    """First observation of every coordinate and day, by ``order``."""
+    """First observation of every coordinate and day, by ``order``.
+
+    The result can be stored and passed wherever observations are asked for. It is
+    then used as it is, which spares sorting out the observations again; a
+    stream should be given such a table, as it reads it for every micro-batch.
+    """
+    if set(KEY) <= set(weather.columns):
+        return weather.select(*KEY, *WEATHER_PARAMETERS)
     depth = F.col("ocean_depth")
     if "depth" in weather.columns:
         depth = F.coalesce(depth, F.col("depth"))

@@ -79,22 +79,25 @@ def build_training_set(
     drawn = draw_days(points, known["first"], known["last"], cfg.rounds, cfg.batch, cfg.seed)
     drawn = drawn.withColumn("date", day(F.col("date")))
     around = background_weather(drawn) if callable(background_weather) else background_weather
-    empty = attach_weather(
-        drawn.select("id", "round", "lat", "lon", "date"),
-        around,
-        cfg.weather_order,
-        ["id", "round"],
+    empty = checkpointed(
+        attach_weather(
+            drawn.select("id", "round", "lat", "lon", "date"),
+            around,
+            cfg.weather_order,
+            ["id", "round"],
+        )
     )
 
     positive = with_label(seen.withColumn("round", F.lit(0)), 1)
     both = with_month(stack(positive, with_label(empty, 0)))
+    # rows are numbered first: the lookup keeps each once, and is then run once
     row_key = [LABEL, "round", "id"]
+    shuffled = shuffle_rows(both, f"{cfg.seed}:shuffle", row_key)
     enriched = nearest_grid_value(
-        both, grid, row_key, order=cfg.grid_order, unique=cfg.grid_unique
-    ).drop("year", "month", "c_lon", "c_lat")
+        shuffled, grid, row_key, order=cfg.grid_order, unique=cfg.grid_unique
+    )
     cleaned = clean_features(enriched, TRAINING_FEATURES)
-    shuffled = shuffle_rows(cleaned, f"{cfg.seed}:shuffle", row_key)
-    return shuffled.select("position", "lat", "lon", "date", *TRAINING_FEATURES[2:], LABEL)
+    return cleaned.select("position", "lat", "lon", "date", *TRAINING_FEATURES[2:], LABEL)
 
 
 @dataclass(frozen=True)
