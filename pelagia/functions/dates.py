@@ -50,7 +50,7 @@ def in_window(date: Column, lo: datetime | None, hi: datetime | None) -> Column:
 
 def day(date: Column) -> Column:
     """Midnight of the day, still a timestamp."""
-    return F.date_trunc("day", date).cast("timestamp_ntz")
+    return F.to_date(date).cast("timestamp_ntz")
 
 
 def _ntz(value: datetime) -> Column:

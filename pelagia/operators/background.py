@@ -66,4 +66,4 @@ def draw_days(
 
 
 def _whole_days(first: Column, last: Column) -> Column:
-    return F.floor(F.timestamp_diff("SECOND", first, last) / 86400)
+    return F.extract(F.lit("DAY"), last - first)

@@ -96,7 +96,9 @@ def lookup(
     hot = frequent_keys(left, keys, pieces)
     if not hot:
         return _join(left, right, keys, condition, how)
-    table = F.map_from_arrays(F.lit(list(hot)), F.lit(list(hot.values())))
+    table = F.map_from_arrays(
+        F.lit(list(hot)).cast("array<bigint>"), F.lit(list(hot.values())).cast("array<int>")
+    )
     copies = F.coalesce(F.try_element_at(table, F.xxhash64(*keys)), F.lit(1))
     left = left.withColumn(_SALT, F.pmod(F.xxhash64(*spread), copies.cast("long")).cast("int"))
     right = right.withColumn(

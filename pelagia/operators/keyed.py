@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pelagia.functions.dates import day as midnight
 from pelagia.functions.draws import draw
 
 # Number of pieces a group is cut into for numbering its rows.
@@ -96,7 +97,7 @@ def daily_batches(
     Batches of one day are numbered from 0; which point is in which is drawn.
     """
     dated = df.select(
-        F.date_trunc("day", F.col(date)).cast("timestamp_ntz").alias("day"), lat, lon, *row_key
+        midnight(F.col(date)).alias("day"), lat, lon, *row_key
     ).filter(F.col("day").isNotNull())
     lot = draw(seed, *[F.col(c) for c in row_key])
     numbered = number_rows(dated, lot, row_key, by=["day"])
@@ -113,7 +114,7 @@ def daily_batches(
 
 def group_slice(df: DataFrame, lo: int, hi: int, date: str = "date") -> DataFrame:
     """Rows of the day groups number ``lo`` to ``hi - 1``, counted from 0 by date."""
-    day = F.date_trunc("day", F.col(date)).cast("timestamp_ntz")
+    day = midnight(F.col(date))
     days = df.select(day.alias("d")).filter("d is not null").distinct().orderBy("d")
     # the wanted days and one more, which is the end if there is one
     some = days.offset(lo).limit(hi - lo + 1)

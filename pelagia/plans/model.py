@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pelagia.functions.features import feature_columns
+from pelagia.functions.scoring import minmax_scores
 from pelagia.operators.report import accuracy, classification_report
 from pelagia.schemas import LABEL, TEST_FROM
 
@@ -25,7 +26,7 @@ def temporal_split(
 ) -> tuple[DataFrame, DataFrame]:
     """Rows before the cutoff for training, from it on for testing."""
     if date not in df.columns:
-        raise ValueError(f"No '{date}' column found in the dataset")
+        raise ValueError(f"cannot split rows without a column '{date}'")
     limit = F.lit(cutoff.isoformat(sep=" ")).cast("timestamp_ntz")
     return df.filter(F.col(date) < limit), df.filter(F.col(date) >= limit)
 
@@ -54,16 +55,21 @@ def feature_names(model: PipelineModel) -> list[str]:
 
 
 def score(df: DataFrame, model: PipelineModel | None) -> DataFrame:
-    """Add ``prediction`` (0/1) and ``probability`` of the positive class."""
+    """Add ``prediction`` (0/1) and ``probability`` of the positive class.
+
+    For a model that only gives raw scores these are scaled to [0, 1] over all rows;
+    with neither the probability is null.
+    """
     if model is None:
-        raise RuntimeError("Model is not available. Train or load one first.")
-    scored = model.transform(df).drop("features", "rawPrediction")
-    return scored.withColumns(
-        {
-            "prediction": F.col("prediction").cast("int"),
-            "probability": vector_to_array("probability")[1],
-        }
-    )
+        raise RuntimeError("there is no model to score with")
+    scored = model.transform(df).withColumn("prediction", F.col("prediction").cast("int"))
+    if "probability" in scored.columns:
+        scored = scored.withColumn("probability", vector_to_array("probability")[1])
+    elif "rawPrediction" in scored.columns:
+        scored = minmax_scores(scored.withColumn("__raw", vector_to_array("rawPrediction")[1]), "__raw")
+    else:
+        scored = scored.withColumn("probability", F.lit(None).cast("double"))
+    return scored.drop("features", "rawPrediction", "__raw")
 
 
 def evaluate(
@@ -71,7 +77,7 @@ def evaluate(
 ) -> tuple[DataFrame, DataFrame]:
     """Report on the test rows, and accuracy on test and training rows."""
     if model is None:
-        raise ValueError("Model not trained yet. Call train() first.")
+        raise ValueError("there is no trained model")
     tested = score(test, model)
     both = accuracy(tested, label).withColumn("part", F.lit("test")).unionByName(
         accuracy(score(train_set, model), label).withColumn("part", F.lit("train"))
@@ -91,7 +97,7 @@ def importance(model: PipelineModel, spark: SparkSession) -> DataFrame:
 
 def save(model: PipelineModel | None, path: str) -> None:
     if model is None:
-        raise ValueError("Model not trained yet. Call train() first.")
+        raise ValueError("there is no trained model")
     model.write().overwrite().save(path)
 
 

@@ -12,13 +12,13 @@ from pelagia.functions.dates import parse_iso
 LON_NAMES = ["longitude", "lon", "x"]
 LAT_NAMES = ["latitude", "lat", "y"]
 
-NO_COORDINATES = "No coordinates provided"
-BAD_PAIR = "Each coordinate must be [longitude, latitude] or dict with lon/lat"
-NO_LON_LAT = "Each coordinate dict must include longitude and latitude"
-NOT_NUMERIC = "Longitude and latitude must be numeric"
-BAD_DATE = "date must be an ISO date and time"
-BAD_DEPTH = "depth must be an integer"
-BAD_DELTAS = "deltas must give deltaTemp, deltaClouds and deltaOceanDepth"
+NO_COORDINATES = "the request has no points"
+BAD_PAIR = "a point is a list of two numbers or an object"
+NO_LON_LAT = "the object lacks a coordinate"
+NOT_NUMERIC = "a coordinate is no number"
+BAD_DATE = "the date is missing or not in ISO form"
+BAD_DEPTH = "the depth is no whole number"
+BAD_DELTAS = "one of the three deltas is missing or no number"
 
 
 def parse_requests(df: DataFrame, body: str = "value", request_id: str = "req_id") -> DataFrame:

@@ -89,6 +89,17 @@ def test_run_training(rows, tmp_path):
     assert run.report.count() == 5
 
 
+def test_raw_scores_stand_in_for_probabilities(rows):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import LinearSVC
+    from pyspark.ml.feature import VectorAssembler
+
+    stages = [VectorAssembler(inputCols=FEATURES, outputCol="features"), LinearSVC(maxIter=5)]
+    scored = model.score(rows, Pipeline(stages=stages).fit(rows))
+    ends = scored.agg(F.min("probability"), F.max("probability")).head()
+    assert tuple(ends) == (0.0, 1.0)
+
+
 def test_surface(rows, fitted):
     df = surface.surface(fitted, rows, "temperature", "ocean_depth", 7)
     got = {(r["i"], r["j"]): r["probability"] for r in df.collect()}

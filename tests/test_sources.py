@@ -49,8 +49,8 @@ def test_weather_parts_with_different_headers(spark, tmp_path):
 
 
 def test_raster_names():
-    assert readers.raster_month("AQUA.20200131_20200229.L3m.csv") == (2020, 1)
-    for name in ("notes.csv", "AQUA.2020x131_2.csv", "AQUA.20200101_20200131.nc", "csv"):
+    assert readers.raster_month("S.20200131_20200229.L3m.csv") == (2020, 1)
+    for name in ("notes.csv", "S.2020x131_2.csv", "S.20200101_20200131.nc", "csv"):
         assert readers.raster_month(name) is None
     files = ["f/S.20200101_2.b.csv", "f/S.20200101_2.a.csv", "f/S.20200201_2.a.csv", "f/bad.csv"]
     assert readers.month_files(files) == ["f/S.20200101_2.a.csv", "f/S.20200201_2.a.csv"]
