@@ -30,6 +30,12 @@ def sample_per_key(
 ) -> DataFrame:
     """``n`` random rows of every key without replacement, or all if there are fewer."""
     lot = draw(seed, *[F.col(c) for c in row_key])
+    limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    if n > limit:
+        # beyond what Spark limits before its shuffle: limit within pieces of a key first
+        piece = F.pmod(F.xxhash64(*row_key), F.lit(BUCKETS))
+        cut = df.withColumn("__part", piece)
+        df = _first_n(cut, [*keys, "__part"], [lot, *row_key], n).drop("__part")
     return _first_n(df, keys, [lot, *row_key], n)
 
 

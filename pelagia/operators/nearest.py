@@ -24,6 +24,9 @@ from pelagia.operators.keyed import first_per_key
 from pelagia.sources.writers import checkpointed
 
 MONTH = ("year", "month")
+
+# Up to so many distinct months of points narrow the grid down before it is read.
+MONTHS = 10_000
 LON_LIMITS = (-180.0, 180.0)
 
 
@@ -76,6 +79,7 @@ def nearest_grid_value(
     says that the grid has one row per cell already. ``lon_bin`` is the bin width
     in degrees of the first step; the second takes the mean spacing of the cells.
     """
+    grid = wanted_months(points, grid, keys)
     cells = grid if unique else one_row_per_cell(grid, keys, value, order)
     cells = cells.select(
         *keys,
@@ -122,6 +126,22 @@ def nearest_grid_value(
     )
 
 
+def wanted_months(points: DataFrame, grid: DataFrame, keys: Sequence[str] = MONTH) -> DataFrame:
+    """Grid without the years and months that no point has.
+
+    The filter is made of constants, so that it prunes the folders of a grid stored
+    by year and month. A stream of points gets the whole grid.
+    """
+    if points.isStreaming:
+        return grid
+    found = points.select(*keys).distinct().limit(MONTHS + 1).collect()
+    if len(found) > MONTHS:
+        return grid
+    for key in keys:
+        grid = grid.filter(F.col(key).isin(sorted({r[key] for r in found} - {None})))
+    return grid
+
+
 def lon_intervals(cells: DataFrame, keys: Sequence[str], lon_bin: float) -> DataFrame:
     """Intervals between a month's longitudes, listed by bin.
 

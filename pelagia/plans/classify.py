@@ -32,15 +32,15 @@ def request_features(
     marker and NaN to 0 as in training. A feature that requests do not have, such
     as the grid value, is 0 unless ``grid`` is given.
     """
-    matched = weather_match(requests, weather, order, spread)
-    if clean:
-        matched = clean_features(matched, WEATHER_PARAMETERS)
-    rows = with_month(apply_scenario(matched))
+    rows = with_month(requests)
     if grid is not None:
         rows = nearest_grid_value(rows, grid, spread, lon="longitude", lat="latitude").drop(
             "c_lon", "c_lat"
         )
-    return model_rows(rows, list(names), depth_delta=depth_delta)
+    matched = weather_match(rows, weather, order, spread)
+    if clean:
+        matched = clean_features(matched, WEATHER_PARAMETERS)
+    return model_rows(apply_scenario(matched), list(names), depth_delta=depth_delta)
 
 
 def classify(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
-from datetime import datetime
+from datetime import datetime, time, timedelta
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
@@ -49,6 +49,20 @@ def filter_sightings(
     return parsed.filter(in_window(F.col("date"), *window))
 
 
+def days_of_window(
+    weather: DataFrame, window: tuple[datetime | None, datetime | None]
+) -> DataFrame:
+    """Observations on the days that the window touches; constants reach the scan."""
+    lo, hi = window
+    if lo is not None:
+        first = datetime.combine(lo.date(), time.min)
+        weather = weather.filter(F.col("date") >= F.lit(str(first)).cast("timestamp_ntz"))
+    if hi is not None:
+        after = datetime.combine(hi.date() + timedelta(days=1), time.min)
+        weather = weather.filter(F.col("date") < F.lit(str(after)).cast("timestamp_ntz"))
+    return weather
+
+
 def build_training_set(
     sightings: DataFrame,
     weather: DataFrame,
@@ -65,6 +79,7 @@ def build_training_set(
     spark = sightings.sparkSession
     seen = filter_sightings(sightings, cfg.window, cfg.box)
     seen = seen.select("id", "lat", "lon", day(F.col("date")).alias("date"))
+    weather = days_of_window(weather, cfg.window)
     # used for the count, the date range and the rows themselves
     seen = checkpointed(attach_weather(seen, weather, cfg.weather_order, ["id"]))
 

@@ -10,7 +10,12 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from pelagia.operators import joins
-from pelagia.operators.nearest import month_match, nearest_grid_value, one_row_per_cell
+from pelagia.operators.nearest import (
+    month_match,
+    nearest_grid_value,
+    one_row_per_cell,
+    wanted_months,
+)
 
 POINT = "id long, year int, month int, lon double, lat double"
 CELL = "year int, month int, lon double, lat double, chlor_a double"
@@ -168,6 +173,19 @@ def test_never_farther_than_another_longitude(spark):
             assert abs(got[id][0] - lon) <= min(abs(x - lon) for x in axis)
 
 
+def test_grid_is_narrowed_to_the_months_of_the_points(spark, tmp_path):
+    points, cells = random_case(8)
+    path = str(tmp_path / "grid")
+    spark.createDataFrame(cells, CELL).write.partitionBy("year", "month").parquet(path)
+    some = spark.createDataFrame([p for p in points if p[2] == 2], POINT)
+    narrow = wanted_months(some, spark.read.parquet(path))
+    assert {(r["year"], r["month"]) for r in narrow.select("year", "month").distinct().collect()} == {(2020, 2)}
+    scan = narrow._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(" in scan and "(month#" in scan
+    got = found(nearest_grid_value(some, spark.read.parquet(path), ["id"]))
+    assert got == expected([p for p in points if p[2] == 2], cells)
+
+
 def test_month_match_keeps_every_point(spark):
     points, cells = random_case(7)
     rows = month_match(

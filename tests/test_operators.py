@@ -24,6 +24,14 @@ def test_sample_per_key(spark):
     assert {r["k"]: r["count"] for r in got} == {**{k: 3 for k in range(6)}, 6: 1}
 
 
+def test_sample_beyond_the_limit_of_the_optimizer(spark):
+    df = spark.range(3000).select((F.col("id") % 2).alias("k"), "id")
+    got = keyed.sample_per_key(df, ["k"], 1200, 1, ["id"])
+    assert {r["k"]: r["count"] for r in got.groupBy("k").count().collect()} == {0: 1200, 1: 1200}
+    plain = keyed._first_n(df, ["k"], [keyed.draw(1, F.col("id")), "id"], 1200)
+    assert sorted(got.collect()) == sorted(plain.collect())
+
+
 def test_numbers_are_complete_and_do_not_depend_on_partitions(spark):
     def numbered(parts, buckets):
         df = spark.range(0, 700, 1, parts)
