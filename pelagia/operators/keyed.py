@@ -57,7 +57,8 @@ def number_rows(
     Draws are even, so equal ranges of them cut any group, and also the whole
     frame, into even pieces. Rows are numbered within a piece, and the sizes of
     the pieces before it are added. No task ever sorts a whole group. Grouping
-    columns must not be null.
+    columns must not be null. The draw must come from a key that identifies a row:
+    rows that share a draw stay together.
     """
     cut = df.withColumn("__lot", lot).withColumn(
         "__piece", F.floor(F.col("__lot") * buckets).cast("int")
@@ -80,7 +81,10 @@ def number_rows(
 
 
 def shuffle_rows(df: DataFrame, seed: int | str, row_key: Sequence[str]) -> DataFrame:
-    """Random order of all rows, given as a ``position`` from 0."""
+    """Random order of all rows, given as a ``position`` from 0.
+
+    ``row_key`` identifies a row.
+    """
     return number_rows(df, draw(seed, *[F.col(c) for c in row_key]), row_key)
 
 

@@ -94,20 +94,18 @@ def build_training_set(
     drawn = draw_days(points, known["first"], known["last"], cfg.rounds, cfg.batch, cfg.seed)
     drawn = drawn.withColumn("date", day(F.col("date")))
     around = background_weather(drawn) if callable(background_weather) else background_weather
-    empty = checkpointed(
-        attach_weather(
-            drawn.select("id", "round", "lat", "lon", "date"),
-            around,
-            cfg.weather_order,
-            ["id", "round"],
-        )
+    empty = attach_weather(
+        drawn.select("id", "round", "lat", "lon", "date"),
+        around,
+        cfg.weather_order,
+        ["id", "round"],
     )
 
     positive = with_label(seen.withColumn("round", F.lit(0)), 1)
     both = with_month(stack(positive, with_label(empty, 0)))
-    # rows are numbered first: the lookup keeps each once, and is then run once
+    # numbered before the lookup, which keeps every row once, so that it runs once
     row_key = [LABEL, "round", "id"]
-    shuffled = shuffle_rows(both, f"{cfg.seed}:shuffle", row_key)
+    shuffled = checkpointed(shuffle_rows(both, f"{cfg.seed}:shuffle", row_key))
     enriched = nearest_grid_value(
         shuffled, grid, row_key, order=cfg.grid_order, unique=cfg.grid_unique
     )

@@ -156,4 +156,7 @@ def _csv_by_header(spark: SparkSession, files: list[str], marker: str) -> list[D
     groups: dict[str, list[str]] = {}
     for row in found:
         groups.setdefault(row["value"], []).append(row["file_path"])
+    named = {row["file_path"] for row in found}
+    if len(named) < len(files):
+        raise ValueError(f"{len(files) - len(named)} of {len(files)} files have no column {marker}")
     return [spark.read.option("header", True).csv(sorted(group)) for group in groups.values()]

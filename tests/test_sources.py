@@ -48,6 +48,13 @@ def test_weather_parts_with_different_headers(spark, tmp_path):
         readers.read_observation_parts(spark, str(tmp_path / "nothing*.csv"))
 
 
+def test_part_without_the_column_raises(spark, tmp_path):
+    (tmp_path / "weather_data_1.csv").write_text(",lat,lon\n0,1,2\n")
+    (tmp_path / "weather_data_2.csv").write_text(",x,y\n0,1,2\n")
+    with pytest.raises(ValueError, match="1 of 2 files"):
+        readers.read_observation_parts(spark, str(tmp_path / "weather_data*.csv"))
+
+
 def test_raster_names():
     assert readers.raster_month("S.20200131_20200229.L3m.csv") == (2020, 1)
     for name in ("notes.csv", "S.2020x131_2.csv", "S.20200101_20200131.nc", "csv"):
