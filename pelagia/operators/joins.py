@@ -14,6 +14,7 @@ from math import ceil
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # No shuffle partition should get more than about 1/PIECES of the left rows.
 PIECES = 256
@@ -29,7 +30,7 @@ _SALT = "__salt"
 
 def has_at_most(df: DataFrame, rows: int) -> bool:
     """Whether a frame is small, found by taking rows until there are too many."""
-    return not df.select(F.lit(1).alias("one")).offset(rows).head(1)
+    return rows > 0 and not df.select(F.lit(1).alias("one")).offset(rows).head(1)
 
 
 def frequent_keys(df: DataFrame, keys: Sequence[str], pieces: int = PIECES) -> dict[int, int]:
@@ -67,7 +68,7 @@ def lookup(
     spread: Sequence[str],
     how: str = "left",
     condition: Column | None = None,
-    bounded_by: DataFrame | None = None,
+    small: bool | None = None,
     broadcast_rows: int = BROADCAST_ROWS,
     pieces: int = PIECES,
 ) -> DataFrame:
@@ -76,18 +77,19 @@ def lookup(
     ``spread`` names left columns that identify a row (or nearly so): they decide
     where the rows of a frequent key go. Apart from the keys, the two sides must
     not share column names, so that the condition can use plain names.
-    ``bounded_by`` is a frame with at least as many rows as the right side that is
-    cheaper to count, such as the table it is made from.
+    The right side is broadcast if it has at most ``broadcast_rows`` rows. Where that
+    is known from a frame that is cheaper to count, such as the table the side is
+    made from, ``small`` gives the answer.
     """
     if how not in ("left", "inner"):
         raise ValueError("a lookup is a left or an inner join")
     shared = (set(left.columns) & set(right.columns)) - set(keys)
     if shared:
         raise ValueError(f"columns on both sides: {sorted(shared)}")
+    right = _with_types_of(left, right, keys)
 
-    small = broadcast_rows > 0 and has_at_most(
-        right if bounded_by is None else bounded_by, broadcast_rows
-    )
+    if small is None:
+        small = has_at_most(right, broadcast_rows)
     if small:
         return _join(left, F.broadcast(right), keys, condition, how)
     if left.isStreaming:  # a micro-batch is bounded, and has no totals to take
@@ -107,6 +109,19 @@ def lookup(
     return _join(left, right, [*keys, _SALT], condition, how).drop(_SALT)
 
 
+def _with_types_of(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Right side with the left's key types, since equal numbers of two types hash apart."""
+    for k in keys:
+        want, have = left.schema[k].dataType, right.schema[k].dataType
+        if want == have:
+            continue
+        if not (isinstance(want, T.IntegralType) and isinstance(have, T.IntegralType)):
+            raise ValueError(f"key {k} is {want.simpleString()} and {have.simpleString()}")
+        # a number that does not fit becomes null, and would not have matched
+        right = right.withColumn(k, F.col(k).try_cast(want))
+    return right
+
+
 def _join(
     left: DataFrame, right: DataFrame, keys: Sequence[str], condition: Column | None, how: str
 ) -> DataFrame:

@@ -79,7 +79,10 @@ def nearest_grid_value(
     says that the grid has one row per cell already. ``lon_bin`` is the bin width
     in degrees of the first step; the second takes the mean spacing of the cells.
     """
-    grid = wanted_months(points, grid, keys)
+    # n cells of a longitude are listed at most 2n times in the second step
+    small = joins.has_at_most(grid, broadcast_rows // 4)
+    if not small:
+        grid = wanted_months(points, grid, keys)
     cells = grid if unique else one_row_per_cell(grid, keys, value, order)
     cells = cells.select(
         *keys,
@@ -116,9 +119,7 @@ def nearest_grid_value(
         [*keys, "c_lon", "__lat_bin"],
         spread,
         condition=_holds("__lat"),
-        # n cells of a longitude make at most 2n entries
-        bounded_by=grid,
-        broadcast_rows=broadcast_rows // 4,
+        small=small,
     )
     near = _nearer("__lat")
     return work.withColumns({"c_lat": near["at"], out: near["value"]}).drop(

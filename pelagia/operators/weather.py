@@ -58,7 +58,7 @@ def weather_match(
     found = weather_by_key(weather, order).withColumn("found", F.lit(True))
     return (
         joins.lookup(
-            with_coord_key(requests, lat, lon, date), found, KEY, spread, bounded_by=weather
+            with_coord_key(requests, lat, lon, date), found, KEY, spread, small=_is_small(weather)
         )
         .withColumn("found", F.coalesce("found", F.lit(False)))
         .drop(*KEY)
@@ -71,10 +71,15 @@ def attach_weather(
     """Weather of points on their day; points without any are left out."""
     found = weather_by_key(weather, order)
     return joins.lookup(
-        with_coord_key(points), found, KEY, spread, how="inner", bounded_by=weather
+        with_coord_key(points), found, KEY, spread, how="inner", small=_is_small(weather)
     ).drop(*KEY)
 
 
+def _is_small(weather: DataFrame) -> bool:
+    """There are at most as many keys as observations, which are there to be counted."""
+    return joins.has_at_most(weather, joins.BROADCAST_ROWS)
+
+
 def missing_keys(
     requests: DataFrame,
     store: DataFrame,

@@ -56,6 +56,14 @@ def test_condition_in_a_left_lookup(shuffled, crowded):
         assert got.filter("limit is null and id < 20000 and k < 400").count() == 0
 
 
+def test_keys_of_two_integer_types(shuffled, crowded):
+    right = shuffled.range(0, 400).select(F.col("id").cast("int").alias("k"), F.lit(1).alias("v"))
+    got = joins.lookup(crowded, right, ["k"], ["id"], "inner", broadcast_rows=0, pieces=32)
+    assert got.count() == crowded.join(right, "k").count()
+    with pytest.raises(ValueError, match="key k is bigint and string"):
+        joins.lookup(crowded, right.withColumn("k", F.col("k").cast("string")), ["k"], ["id"])
+
+
 def test_size_check(spark):
     assert joins.has_at_most(spark.range(10), 10)
     assert not joins.has_at_most(spark.range(11), 10)
