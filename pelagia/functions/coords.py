@@ -11,8 +11,11 @@ KEY = ["key_lat", "key_lon", "key_day"]
 
 
 def to_number(raw: Column) -> Column:
-    """Double value of a column; what is not a number becomes null."""
-    return raw.try_cast("double")
+    """Double value of a text; what is not a number becomes null.
+
+    The cast alone would also take a number with a type letter, as in ``1d``.
+    """
+    return F.when(~raw.rlike(r"[0-9.][dDfF]\s*$"), raw.try_cast("double"))
 
 
 def in_bbox(lat: Column, lon: Column, box: Box = Box()) -> Column:
@@ -55,6 +58,7 @@ def first_alias(point: Column, names: list[str]) -> Column:
 
 def point_label(date: Column, lat: Column, lon: Column) -> Column:
     """Text shown at a point of the map."""
+    # fixed values: the wording
     return F.concat(
         F.lit("Date: "),
         date.cast("string"),

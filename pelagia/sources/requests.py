@@ -12,6 +12,9 @@ from pelagia.functions.dates import parse_iso
 LON_NAMES = ["longitude", "lon", "x"]
 LAT_NAMES = ["latitude", "lat", "y"]
 
+# Names of the scenario's deltas.
+DELTA_NAMES = {"d_temp": "deltaTemp", "d_clouds": "deltaClouds", "d_ocean": "deltaOceanDepth"}
+
 NO_COORDINATES = "the request has no points"
 BAD_PAIR = "a point is a list of two numbers or an object"
 NO_LON_LAT = "the object lacks a coordinate"
@@ -55,13 +58,12 @@ def parse_requests(df: DataFrame, body: str = "value", request_id: str = "req_id
         to_number(F.col("depth_text")).alias("depth_number"),
         points.alias("points"),
         F.col("d").alias("deltas_text"),
-        to_number(_get(deltas, "deltaTemp")).alias("d_temp"),
-        to_number(_get(deltas, "deltaClouds")).alias("d_clouds"),
-        to_number(_get(deltas, "deltaOceanDepth")).alias("d_ocean"),
+        *[to_number(_get(deltas, name)).alias(c) for c, name in DELTA_NAMES.items()],
     )
     depth, no_deltas = F.col("depth_number"), F.col("deltas_text").isNull()
-    partial = F.col("d_temp").isNull() | F.col("d_clouds").isNull() | F.col("d_ocean").isNull()
-    bad_depth = F.col("depth_text").isNotNull() & (depth.isNull() | (depth != F.floor(depth)))
+    partial = F.greatest(*[F.col(c).isNull() for c in DELTA_NAMES])
+    whole_depth = depth.try_cast("int")
+    bad_depth = F.col("depth_text").isNotNull() & (whole_depth.isNull() | (depth != whole_depth))
     request_reason = (
         F.when(F.size("points") == 0, NO_COORDINATES)
         .when(F.col("date").isNull(), BAD_DATE)
@@ -72,7 +74,7 @@ def parse_requests(df: DataFrame, body: str = "value", request_id: str = "req_id
         "req_id",
         "date",
         "view",
-        F.when(~bad_depth, depth.cast("int")).alias("depth"),
+        F.when(~bad_depth, whole_depth).alias("depth"),
         "d_temp",
         "d_clouds",
         "d_ocean",

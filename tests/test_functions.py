@@ -73,9 +73,12 @@ def test_box_includes_its_edges(spark):
 
 
 def test_coordinates(spark):
-    df = spark.createDataFrame([("1.5", 0.0), ("x", 2.0), ("", None)], "t string, v double")
-    assert one(df.select(to_number(F.col("t")))) == [1.5, None, None]
-    assert one(df.select(F.coalesce(given(F.col("v")), F.lit(False)))) == [False, True, False]
+    df = spark.createDataFrame(
+        [("1.5", 0.0), ("x", 2.0), ("", None), ("1d", 1.0), (None, 1.0), ("-2e3", 1.0)],
+        "t string, v double",
+    )
+    assert one(df.select(to_number(F.col("t")))) == [1.5, None, None, None, None, -2000.0]
+    assert one(df.select(F.coalesce(given(F.col("v")), F.lit(False))))[:3] == [False, True, False]
     keyed = spark.sql("select 1.0000049d lat, -2.000004d lon, timestamp_ntz'2020-05-06 07:08:09' date")
     row = with_coord_key(keyed).head()
     assert (row["key_lat"], row["key_lon"], str(row["key_day"])) == (1.0, -2.0, "2020-05-06")

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import random
-from bisect import bisect_left
 
 import pytest
 from pyspark.sql import Window
@@ -21,14 +20,9 @@ POINT = "id long, year int, month int, lon double, lat double"
 CELL = "year int, month int, lon double, lat double, chlor_a double"
 
 
-def closest(axis: list[float], target: float) -> float:
-    at = bisect_left(axis, target)
-    if at == 0:
-        return axis[0]
-    if at == len(axis):
-        return axis[-1]
-    below, above = axis[at - 1], axis[at]
-    return below if abs(target - below) < abs(target - above) else above
+def closest(axis, target: float) -> float:
+    """By trying every value; of two at the same distance the larger."""
+    return min(axis, key=lambda v: (abs(target - v), -v))
 
 
 def expected(points, cells):
@@ -38,12 +32,12 @@ def expected(points, cells):
         if not own or lon is None:
             out[id] = (None, None, None)
             continue
-        c_lon = closest(sorted({c[2] for c in own}), lon)
+        c_lon = closest({c[2] for c in own}, lon)
         column = [c for c in own if c[2] == c_lon]
         if lat is None:
             out[id] = (c_lon, None, None)
             continue
-        c_lat = closest(sorted({c[3] for c in column}), lat)
+        c_lat = closest({c[3] for c in column}, lat)
         out[id] = (c_lon, c_lat, min(c[4] for c in column if c[3] == c_lat))
     return out
 

@@ -162,6 +162,7 @@ def test_refused_rows(spark):
         '{"coords": [[1, 2]], "depth": 1.5' + DATE,
         '{"coords": [[1, 2]], "deltas": {"deltaTemp": 1}' + DATE,
         "not json",
+        '{"coords": [[1, 2]], "depth": 1e12' + DATE,
     ]
     parsed = parse(spark, *bodies)
     bad = requests.rejected(parsed).orderBy("req_id", "pos").collect()
@@ -175,6 +176,7 @@ def test_refused_rows(spark):
         (5, requests.BAD_DEPTH),
         (6, requests.BAD_DELTAS),
         (7, requests.NO_COORDINATES),
+        (8, requests.BAD_DEPTH),
     ]
     assert points(requests.accepted(parsed)) == [(1.0, 2.0)]
     assert points(requests.accepted(parsed, strict=True)) == []
