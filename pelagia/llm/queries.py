@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pelagia.llm.chunk_dedup import dedup_chunks
 from pelagia.llm.jaccard_join import jaccard_components
 
 
@@ -17,8 +18,13 @@ def op5_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_chunk_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return dedup_chunks(_table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op5_jaccard_join": op5_jaccard_join,
+    "op8_chunk_dedup": op8_chunk_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {}
