@@ -6,7 +6,9 @@ among the first n - ceil(t n) + 1 of each, the prefix. Texts with equal prefix a
 a group, so that the copies of a text are one entry. Groups that share a shingle of
 their prefixes and whose sizes allow the overlap are candidates; they are expanded to their
 distinct sets, bounded by the bit maps of the sets, and verified with the sets
-themselves, built anew from the whole texts.
+themselves, built anew from the whole texts. Candidates that hang together are brought to one
+task for that, in blocks of bounded size, so that a text is sent there once and not for
+each of its pairs.
 
 Frequent shingles are those that some tasks see twice or more, counted over all texts. They
 come last in the order, which keeps lists short; which shingles are taken for frequent
@@ -14,8 +16,7 @@ has no influence on the result.
 
 Lists of one shingle are kept small by that order, but groups of very many near copies have
 long ones. Of a list longer than ``LIST`` only neighbours by size are candidates at
-first. When the links among them are known, the members that are still apart are compared
-in blocks of bounded size.
+first. The members that are then still apart are compared by their bit maps, in blocks.
 """
 
 from __future__ import annotations
@@ -46,8 +47,8 @@ LIST = 256
 BLOCK = 512
 
 
-def _row(text: str = "text"):
-    return F.xxhash64(F.lit(5), F.col("doc_id"), F.col(text))
+def _row():
+    return F.xxhash64(F.lit(5), F.col("doc_id"), F.col("text"))
 
 
 def frequent_shingles(texts: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -237,58 +238,137 @@ def _pair_rows(pairs: np.ndarray) -> pa.RecordBatch:
     )
 
 
-def _bounded(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs of sets whose sizes and bit maps allow the overlap."""
-    left = sets.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("bits").alias("ba"))
-    right = sets.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("bb"))
+def _fits(na: np.ndarray, nb: np.ndarray, ba: np.ndarray, bb: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sizes and bit maps (rows of 64-bit words) allow the overlap.
+
+    Two sets differ in at least as many shingles as their maps in bits.
+    """
+    apart = np.bitwise_count(ba ^ bb).sum(axis=-1, dtype=np.int64)
+    most = np.minimum((na + nb - apart) // 2, np.minimum(na, nb))
+    return 100 * most >= percent * (na + nb - most)
+
+
+def _maps(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint64).reshape(-1, MAP_BITS // 64)
+
+
+def _bounded(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """Pairs of sets from the pairs of their groups, as far as their bit maps allow the overlap."""
+    left = members.select(*(F.col(c).alias(c + "a") for c in ("grp", "node", "n", "bits")))
+    right = members.select(*(F.col(c).alias(c + "b") for c in ("grp", "node", "n", "bits")))
 
     def check(batches):
-        table = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).sum(axis=1).astype(np.uint8)
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            maps = [np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.uint8) for c in ("ba", "bb")]
-            apart = table[maps[0] ^ maps[1]].reshape(batch.num_rows, -1).sum(axis=1, dtype=np.int64)
-            total = batch.column("na").to_numpy() + batch.column("nb").to_numpy()
-            # The sets differ in at least as many shingles as the maps in bits.
-            most = np.minimum((total - apart) // 2, np.minimum(batch.column("na"), batch.column("nb")))
-            yield batch.select(["a", "b"]).filter(pa.array(100 * most >= percent * (total - most)))
+            if batch.num_rows:
+                na, nb = (batch.column(c).to_numpy() for c in ("na", "nb"))
+                keep = _fits(na, nb, _maps(batch.column("bitsa")), _maps(batch.column("bitsb")), percent)
+                out = batch.select(["nodea", "nodeb"]).filter(pa.array(keep))
+                yield pa.RecordBatch.from_arrays(out.columns, ["a", "b"])
 
-    return pairs.join(left, "a").join(right, "b").mapInArrow(check, "a long, b long")
+    joined = pairs.join(left, pairs["a"] == left["grpa"]).drop("grpa", "a")
+    joined = joined.join(right, joined["b"] == right["grpb"]).drop("grpb", "b")
+    return joined.mapInArrow(check, "a long, b long")
 
 
-def _verified(pairs: DataFrame, needed: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """Pairs whose sets overlap enough; ``needed`` names the text row of every set."""
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    rows = nodes.join(needed, "node")
-    whole = texts.select(_row().alias("row"), "text").join(rows, "row").dropDuplicates(["node"])
+def _forest_in_blocks(rows: DataFrame, key: str, percent: int) -> DataFrame:
+    """Edges that connect the sets of each key as all pairs that fit would; in blocks.
 
-    def check(batches):
+    ``rows`` has the key, ``node``, ``n``, ``bits`` and ``part``; sets of one part are not compared.
+    """
+    cut = block_pairs(rows, [key], "node", BLOCK)
+    place = [key, "left", "right"]
+
+    def connect(batches):
+        for table in grouped(batches, place):
+            node, n, part, block = (table[c].to_numpy() for c in ("node", "n", "part", "block"))
+            maps = _maps(table["bits"])
+            i = np.flatnonzero(block == table["left"][0].as_py())
+            j = np.flatnonzero(block == table["right"][0].as_py())
+            fits = (part[i][:, None] != part[j]) & (
+                100 * np.minimum(n[i][:, None], n[j]) >= percent * np.maximum(n[i][:, None], n[j])
+            )
+            x, y = np.nonzero(fits)
+            x, y = i[x], j[y]
+            fits = np.zeros(len(x), dtype=bool)
+            for at in range(0, len(x), 1 << 16):
+                u, v = x[at : at + (1 << 16)], y[at : at + (1 << 16)]
+                fits[at : at + (1 << 16)] = _fits(n[u], n[v], maps[u], maps[v], percent)
+            u, v = forest(len(node), x[fits], y[fits])
+            yield pa.RecordBatch.from_arrays([pa.array(node[u]), pa.array(node[v])], ["a", "b"])
+
+    return in_groups(cut, place).mapInArrow(connect, "a long, b long")
+
+
+# Bits of the filter that keeps texts nobody needs out of a shuffle: 2 MB at most.
+FILTER_BITS = 1 << 24
+
+
+def _needed(texts: DataFrame, rows: DataFrame) -> DataFrame:
+    """The texts that may be among ``rows``, by a filter of fixed size."""
+    place = F.pmod("row", F.lit(FILTER_BITS))
+    words = rows.select(F.shiftright(place, 6).alias("word"), F.pmod(place, F.lit(64)).cast("int").alias("bit"))
+    found = words.groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits")).toPandas()
+    table = np.zeros(FILTER_BITS // 64, dtype=np.int64)
+    table[found["word"].to_numpy(dtype=np.int64)] = found["bits"].to_numpy(dtype=np.int64)
+    sent = texts.sparkSession.sparkContext.broadcast(np.unpackbits(table.view(np.uint8), bitorder="little").astype(bool))
+
+    def keep(batches):
         for batch in batches:
-            keep = np.zeros(batch.num_rows, dtype=bool)
-            at = 0
-            # Both texts of a pair follow each other.
-            for a, b in zip(batch.column("ta"), batch.column("tb"), strict=True):
-                data = pa.array([a.as_py(), b.as_py()], pa.string())
-                found = [s for _, _, d, e in pieces(data) for s in shingle_sets(d, e, width)]
-                both = len(np.intersect1d(found[0], found[1], assume_unique=True))
-                keep[at] = 100 * both >= percent * (len(found[0]) + len(found[1]) - both)
-                at += 1
-            yield batch.select(["a", "b"]).filter(pa.array(keep))
-
-    left = whole.select(F.col("node").alias("a"), F.col("text").alias("ta"))
-    right = whole.select(F.col("node").alias("b"), F.col("text").alias("tb"))
-    return pairs.join(left, "a").join(right, "b").mapInArrow(check, "a long, b long")
-
-
-def _apart(pairs: DataFrame, known: DataFrame | None) -> DataFrame:
-    """Pairs that are not yet in one component."""
-    if known is None:
-        return pairs
-    left = known.select(F.col("node").alias("a"), F.col("component").alias("ca"))
-    right = known.select(F.col("node").alias("b"), F.col("component").alias("cb"))
-    joined = pairs.join(left, "a", "left").join(right, "b", "left")
-    return joined.filter("coalesce(ca, a) <> coalesce(cb, b)").select("a", "b")
+            place = batch.column("row").to_numpy() & (FILTER_BITS - 1)
+            yield batch.filter(pa.array(sent.value[place]))
+
+    return texts.select(_row().alias("row"), "text").mapInArrow(keep, "row long, text string")
+
+
+def _verified(members: DataFrame, known: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links between the sets of each component of the candidates, enough to connect what is linked.
+
+    The sets of a component meet in blocks. Pairs that fit by size and bit map are compared
+    by their shingles unless the block's links connect them already.
+    """
+    placed = members.drop("grp").join(known, "node")
+    cut = block_pairs(placed, ["component"], "node", BLOCK)
+    rows = _needed(texts, placed.select("row")).join(cut, "row")
+    place = ["component", "left", "right"]
+    # Rows repeated in id and text give the same set more than once.
+    rows = in_groups(rows.dropDuplicates(["component", "left", "right", "node"]), place)
+
+    def link(batches):
+        for table in grouped(batches, place):
+            node, n, block = (table[c].to_numpy() for c in ("node", "n", "block"))
+            maps = _maps(table["bits"])
+            i = np.flatnonzero(block == table["left"][0].as_py())
+            j = np.flatnonzero(block == table["right"][0].as_py())
+            text = table["text"].combine_chunks()
+            held: dict[int, np.ndarray] = {}
+            top = list(range(len(node)))
+
+            def root(x, top=top):
+                while top[x] != x:
+                    top[x] = top[top[x]]
+                    x = top[x]
+                return x
+
+            def shingles(x, text=text, held=held):
+                if x not in held:
+                    held[x] = next(s for _, _, d, e in pieces(text.slice(x, 1)) for s in shingle_sets(d, e, width))
+                return held[x]
+
+            a, b = [], []
+            for x in i.tolist():
+                others = j[_fits(n[x], n[j], maps[x], maps[j], percent)]
+                for y in others.tolist():
+                    if root(x) == root(y):
+                        continue
+                    s, t = shingles(x), shingles(y)
+                    both = len(np.intersect1d(s, t, assume_unique=True))
+                    if 100 * both >= percent * (len(s) + len(t) - both):
+                        top[root(x)] = root(y)
+                        a.append(node[x])
+                        b.append(node[y])
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    return rows.mapInArrow(link, "a long, b long")
 
 
 def similar_sets(texts: DataFrame, width: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame]:
@@ -298,85 +378,23 @@ def similar_sets(texts: DataFrame, width: int = 5, percent: int = 80) -> tuple[D
     total = full.agg(F.sum(F.length("prefix")) / 8).first()[0] or 0
     groups = full.groupBy("grp", "n").agg(F.any_value("prefix").alias("prefix"))
     found = stored(_lists(_packed(groups, max(1, round(total / BUCKET))), percent))
-
     members = stored(
         full.groupBy("node", "grp", "n").agg(F.min("row").alias("row"), F.any_value("bits").alias("bits"))
     )
-    in_group = members.select("grp", "node")
-    of_groups = found.filter("b is not null").select("a", "b").distinct()
-    left = in_group.select(F.col("grp").alias("a"), F.col("node").alias("x"))
-    right = in_group.select(F.col("grp").alias("b"), F.col("node").alias("y"))
-    expanded = of_groups.join(left, "a").join(right, "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
-    inside = _inside(members)
-    candidates = stored(_bounded(expanded.unionByName(inside), members, percent))
-
-    needed = members.select("node", "row")
-    # One link to the least candidate of each set connects most of what belongs together.
-    first = candidates.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-    links = stored(_verified(first, needed, texts, width, percent))
-    known = stored(components(links))
-    rest = _verified(_apart(candidates, known).distinct(), needed, texts, width, percent)
-    links = stored(links.unionByName(rest))
-    known = stored(components(links))
-
-    lists = found.filter("b is null").select("token", F.col("a").alias("grp"), "n")
-    if not lists.isEmpty():
-        spread = _across(lists, members, known, percent)
-        more = _bounded(_apart(spread, known).distinct(), members, percent)
-        links = links.unionByName(_verified(stored(more), needed, texts, width, percent))
-        known = stored(components(links))
-    return sets, known
-
-
-def _inside(members: DataFrame) -> DataFrame:
-    """Pairs of different sets of one group, in blocks."""
-    cut = block_pairs(members.select("grp", "node"), ["grp"], "node", BLOCK)
-
-    def pair(batches):
-        for table in grouped(batches, ["grp", "left", "right"]):
-            node, block = (table[c].to_numpy() for c in ("node", "block"))
-            left, right = table["left"][0].as_py(), table["right"][0].as_py()
-            i, j = np.flatnonzero(block == left), np.flatnonzero(block == right)
-            i, j = (x.ravel() for x in np.meshgrid(i, j, indexing="ij"))
-            keep = (node[i] < node[j]) if left == right else (i != j)
-            a, b = node[i[keep]], node[j[keep]]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"]
-            )
-
-    return in_groups(cut, ["grp", "left", "right"]).mapInArrow(pair, "a long, b long")
 
-
-def _across(lists: DataFrame, members: DataFrame, known: DataFrame, percent: int) -> DataFrame:
-    """Pairs of sets on one long list that are in different components, in blocks.
-
-    A list that lies in one component is left out before it is cut.
-    """
-    placed = (
-        lists.join(members.select("grp", "node"), "grp")
-        .join(known, "node", "left")
-        .select("token", "node", "n", F.coalesce("component", "node").alias("component"))
-    )
-    mixed = placed.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-    placed = placed.join(mixed.filter("x <> y").select("token"), "token")
-    cut = block_pairs(placed, ["token"], "node", BLOCK)
-
-    def pair(batches):
-        for table in grouped(batches, ["token", "left", "right"]):
-            node, n, part, block = (table[c].to_numpy() for c in ("node", "n", "component", "block"))
-            left, right = table["left"][0].as_py(), table["right"][0].as_py()
-            i, j = np.flatnonzero(block == left), np.flatnonzero(block == right)
-            fits = 100 * np.minimum(n[i][:, None], n[j]) >= percent * np.maximum(n[i][:, None], n[j])
-            fits &= part[i][:, None] != part[j]
-            if left == right:
-                fits &= node[i][:, None] < node[j]
-            x, y = np.nonzero(fits)
-            a, b = node[i[x]], node[j[y]]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"]
-            )
-
-    return in_groups(cut, ["token", "left", "right"]).mapInArrow(pair, "a long, b long")
+    candidates = _bounded(found.filter("b is not null").select("a", "b").distinct(), members, percent)
+    in_group = _forest_in_blocks(members.withColumn("part", F.col("node")), "grp", percent)
+    known = stored(components(candidates.unionByName(in_group)))
+    lists = found.filter("b is null").select("token", F.col("a").alias("grp"))
+    if not lists.isEmpty():
+        placed = lists.join(members, "grp").join(known, "node", "left")
+        placed = placed.select("token", "node", "n", "bits", F.coalesce("component", "node").alias("part"))
+        # A list that lies in one component needs no comparison.
+        mixed = placed.groupBy("token").agg(F.min("part").alias("x"), F.max("part").alias("y")).filter("x <> y")
+        across = _forest_in_blocks(placed.join(mixed.select("token"), "token"), "token", percent)
+        joined = known.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(across)
+        known = stored(components(joined))
+    return sets, components(_verified(members, known, texts, width, percent))
 
 
 def jaccard_components(documents: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:

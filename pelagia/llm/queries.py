@@ -6,12 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pelagia.llm.chunk_dedup import dedup_chunks
 from pelagia.llm.jaccard_join import jaccard_components
+from pelagia.llm import toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.scored(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 def op5_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_components(_table(spark, folder, "documents")).select(
         "doc_id", "n_shingles", "component_id", "kept"
@@ -23,6 +28,7 @@ def op8_chunk_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_toxicity": op2_toxicity,
     "op5_jaccard_join": op5_jaccard_join,
     "op8_chunk_dedup": op8_chunk_dedup,
 }
