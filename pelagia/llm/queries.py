@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pelagia.llm.chunk_dedup import dedup_chunks
 from pelagia.llm.jaccard_join import jaccard_components
-from pelagia.llm import toxicity
+from pelagia.llm import bin_packing, source_mix, toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -23,14 +24,35 @@ def op5_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_bin_packing(spark: SparkSession, folder: str) -> DataFrame:
+    out = bin_packing.sharded(_table(spark, folder, "documents"))
+    return out.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op8_chunk_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return dedup_chunks(_table(spark, folder, "documents"))
 
 
+def op10_source_mix(spark: SparkSession, folder: str) -> DataFrame:
+    return source_mix.sampled(_table(spark, folder, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken", "source"
+    )
+
+
 QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op5_jaccard_join": op5_jaccard_join,
+    "op6_bin_packing": op6_bin_packing,
     "op8_chunk_dedup": op8_chunk_dedup,
+    "op10_source_mix": op10_source_mix,
 }
 
 ORACLE_SQL: dict[str, str] = {}
