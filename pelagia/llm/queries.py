@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pelagia.llm.chunk_dedup import dedup_chunks
 from pelagia.llm.jaccard_join import jaccard_components
-from pelagia.llm import bin_packing, source_mix, toxicity
+from pelagia.llm import bin_packing, source_mix, toxicity, warc
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -37,6 +37,12 @@ def op6_bin_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.round_trip(_table(spark, folder, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op8_chunk_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return dedup_chunks(_table(spark, folder, "documents"))
 
@@ -51,8 +57,19 @@ QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op5_jaccard_join": op5_jaccard_join,
     "op6_bin_packing": op6_bin_packing,
+    "op7_warc": op7_warc,
     "op8_chunk_dedup": op8_chunk_dedup,
     "op10_source_mix": op10_source_mix,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op7_warc": """
+        with p as (
+            select page_id, coalesce(html, '') html,
+                   min(page_id) over (partition by coalesce(html, '')) first_id
+            from pages)
+        select page_id, cast(strlen(html) as bigint) payload_bytes, sha256(html) payload_digest,
+               case when strlen(html) >= 100 and page_id > first_id then 'revisit' else 'response' end record_type,
+               case when strlen(html) >= 100 and page_id > first_id then first_id end refers_to
+        from p""",
+}
