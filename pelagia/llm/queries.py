@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pelagia.llm.chunk_dedup import dedup_chunks
 from pelagia.llm.jaccard_join import jaccard_components
-from pelagia.llm import bin_packing, source_mix, toxicity, warc
+from pelagia.llm import bin_packing, order_packing, source_mix, toxicity, warc
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -47,6 +47,12 @@ def op8_chunk_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return dedup_chunks(_table(spark, folder, "documents"))
 
 
+def op9_order_packing(spark: SparkSession, folder: str) -> DataFrame:
+    from public_tokenizers import path
+
+    return order_packing.packed(_table(spark, folder, "documents"), path("word_bpe_49k.json"))
+
+
 def op10_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return source_mix.sampled(_table(spark, folder, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken", "source"
@@ -59,6 +65,7 @@ QUERIES = {
     "op6_bin_packing": op6_bin_packing,
     "op7_warc": op7_warc,
     "op8_chunk_dedup": op8_chunk_dedup,
+    "op9_order_packing": op9_order_packing,
     "op10_source_mix": op10_source_mix,
 }
 
