@@ -35,7 +35,7 @@ from pelagia.llm.components import components
 from pelagia.llm.storage import stored
 from pelagia.llm.textbytes import mix, pieces, shingle_sets
 
-# Bits of the map of a set, for an upper bound of overlaps.
+# Least bits of the map of a set, for an upper bound of overlaps; larger sets have larger maps.
 MAP_BITS = 1024
 # A shingle that is counted more often comes late in the order.
 FREQUENT = 64
@@ -87,11 +87,60 @@ def frequent_shingles(texts: DataFrame, width: int) -> tuple[np.ndarray, np.ndar
 
 
 def _bit_map(s: np.ndarray) -> bytes:
-    """Parity of the shingles that fall on each bit."""
-    bits = np.bincount((mix(s) >> np.uint64(40)).astype(np.int64) % MAP_BITS, minlength=MAP_BITS) & 1
+    """Parity of the shingles that fall on each bit; at least as many bits as shingles."""
+    size = max(MAP_BITS, 1 << (len(s) - 1).bit_length())
+    bits = np.bincount((mix(s) >> np.uint64(24)).astype(np.int64) & (size - 1), minlength=size) & 1
     return np.packbits(bits.astype(np.uint8)).tobytes()
 
 
+class BitMaps:
+    """The maps of some sets. Half a map on the other half, bit by bit, is the map of half the size."""
+
+    def __init__(self, blobs: pa.ChunkedArray | pa.Array):
+        blobs = blobs.to_pylist()
+        size = np.array([len(b) for b in blobs], dtype=np.int64)
+        self.level = np.log2(np.maximum(size, 1)).astype(np.int64)
+        self.place = np.zeros(len(blobs), dtype=np.int64)
+        self.rows: dict[int, np.ndarray] = {}
+        for level in np.unique(self.level).tolist():
+            own = np.flatnonzero(self.level == level)
+            self.place[own] = np.arange(len(own))
+            self.rows[level] = np.frombuffer(b"".join([blobs[k] for k in own]), dtype=np.uint64).reshape(len(own), -1)
+
+    def at(self, level: int, sets: np.ndarray) -> np.ndarray:
+        """Maps of sets, folded to the size of a level not above theirs."""
+        out = np.empty((len(sets), (1 << level) // 8), dtype=np.uint64)
+        for own in np.unique(self.level[sets]).tolist():
+            which = self.level[sets] == own
+            rows = self.rows[own][self.place[sets[which]]]
+            while own > level:
+                half = rows.shape[1] // 2
+                rows, own = rows[:, :half] ^ rows[:, half:], own - 1
+            out[which] = rows
+        return out
+
+
+def _fit(n: np.ndarray, maps: BitMaps, x: np.ndarray, y: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sizes and maps of the sets x and y, pair by pair, allow the overlap.
+
+    Two sets differ in at least as many shingles as their maps in bits.
+    """
+    small, large = np.minimum(n[x], n[y]), np.maximum(n[x], n[y])
+    out = 100 * small >= percent * large
+    left = np.flatnonzero(out)
+    level = np.minimum(maps.level[x[left]], maps.level[y[left]])
+    for k in np.unique(level).tolist():
+        own = left[level == k]
+        step = max(1, (1 << 22) >> k)
+        for at in range(0, len(own), step):
+            some = own[at : at + step]
+            apart = np.bitwise_count(maps.at(k, x[some]) ^ maps.at(k, y[some])).sum(axis=1, dtype=np.int64)
+            total = n[x[some]] + n[y[some]]
+            most = np.minimum((total - apart) // 2, small[some])
+            out[some] = 100 * most >= percent * (total - most)
+    return out
+
+
 def shingled(texts: DataFrame, width: int, percent: int) -> DataFrame:
     """Of each text its row key, set size, set key, prefix and bit map."""
     tokens, levels = frequent_shingles(texts, width)
@@ -238,20 +287,6 @@ def _pair_rows(pairs: np.ndarray) -> pa.RecordBatch:
     )
 
 
-def _fits(na: np.ndarray, nb: np.ndarray, ba: np.ndarray, bb: np.ndarray, percent: int) -> np.ndarray:
-    """Whether sizes and bit maps (rows of 64-bit words) allow the overlap.
-
-    Two sets differ in at least as many shingles as their maps in bits.
-    """
-    apart = np.bitwise_count(ba ^ bb).sum(axis=-1, dtype=np.int64)
-    most = np.minimum((na + nb - apart) // 2, np.minimum(na, nb))
-    return 100 * most >= percent * (na + nb - most)
-
-
-def _maps(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint64).reshape(-1, MAP_BITS // 64)
-
-
 def _bounded(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     """Pairs of sets from the pairs of their groups, as far as their bit maps allow the overlap."""
     left = members.select(*(F.col(c).alias(c + "a") for c in ("grp", "node", "n", "bits")))
@@ -260,8 +295,10 @@ def _bounded(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     def check(batches):
         for batch in batches:
             if batch.num_rows:
-                na, nb = (batch.column(c).to_numpy() for c in ("na", "nb"))
-                keep = _fits(na, nb, _maps(batch.column("bitsa")), _maps(batch.column("bitsb")), percent)
+                rows = batch.num_rows
+                n = np.r_[batch.column("na").to_numpy(), batch.column("nb").to_numpy()]
+                maps = BitMaps(pa.chunked_array([batch.column("bitsa"), batch.column("bitsb")]))
+                keep = _fit(n, maps, np.arange(rows), np.arange(rows, 2 * rows), percent)
                 out = batch.select(["nodea", "nodeb"]).filter(pa.array(keep))
                 yield pa.RecordBatch.from_arrays(out.columns, ["a", "b"])
 
@@ -281,18 +318,12 @@ def _forest_in_blocks(rows: DataFrame, key: str, percent: int) -> DataFrame:
     def connect(batches):
         for table in grouped(batches, place):
             node, n, part, block = (table[c].to_numpy() for c in ("node", "n", "part", "block"))
-            maps = _maps(table["bits"])
+            maps = BitMaps(table["bits"])
             i = np.flatnonzero(block == table["left"][0].as_py())
             j = np.flatnonzero(block == table["right"][0].as_py())
-            fits = (part[i][:, None] != part[j]) & (
-                100 * np.minimum(n[i][:, None], n[j]) >= percent * np.maximum(n[i][:, None], n[j])
-            )
-            x, y = np.nonzero(fits)
+            x, y = np.nonzero(part[i][:, None] != part[j])
             x, y = i[x], j[y]
-            fits = np.zeros(len(x), dtype=bool)
-            for at in range(0, len(x), 1 << 16):
-                u, v = x[at : at + (1 << 16)], y[at : at + (1 << 16)]
-                fits[at : at + (1 << 16)] = _fits(n[u], n[v], maps[u], maps[v], percent)
+            fits = _fit(n, maps, x, y, percent)
             u, v = forest(len(node), x[fits], y[fits])
             yield pa.RecordBatch.from_arrays([pa.array(node[u]), pa.array(node[v])], ["a", "b"])
 
@@ -330,13 +361,15 @@ def _verified(members: DataFrame, known: DataFrame, texts: DataFrame, width: int
     cut = block_pairs(placed, ["component"], "node", BLOCK)
     rows = _needed(texts, placed.select("row")).join(cut, "row")
     place = ["component", "left", "right"]
-    # Rows repeated in id and text give the same set more than once.
-    rows = in_groups(rows.dropDuplicates(["component", "left", "right", "node"]), place)
+    rows = in_groups(rows, place)
 
     def link(batches):
         for table in grouped(batches, place):
+            # Rows repeated in id and text give the same set more than once.
+            _, once = np.unique(table["node"].to_numpy(), return_index=True)
+            table = table.take(pa.array(once))
             node, n, block = (table[c].to_numpy() for c in ("node", "n", "block"))
-            maps = _maps(table["bits"])
+            maps = BitMaps(table["bits"])
             i = np.flatnonzero(block == table["left"][0].as_py())
             j = np.flatnonzero(block == table["right"][0].as_py())
             text = table["text"].combine_chunks()
@@ -356,8 +389,7 @@ def _verified(members: DataFrame, known: DataFrame, texts: DataFrame, width: int
 
             a, b = [], []
             for x in i.tolist():
-                others = j[_fits(n[x], n[j], maps[x], maps[j], percent)]
-                for y in others.tolist():
+                for y in j[_fit(n, maps, np.full(len(j), x), j, percent)].tolist():
                     if root(x) == root(y):
                         continue
                     s, t = shingles(x), shingles(y)

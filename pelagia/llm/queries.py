@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pelagia.llm.chunk_dedup import dedup_chunks
 from pelagia.llm.jaccard_join import jaccard_components
-from pelagia.llm import bin_packing, order_packing, source_mix, toxicity, warc
+from pelagia.llm import bin_packing, context_mixing, order_packing, source_mix, toxicity, warc
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -18,6 +18,10 @@ def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.scored(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
 
+def op3_context_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return context_mixing.lm_scores(_table(spark, folder, "documents"))
+
+
 def op5_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_components(_table(spark, folder, "documents")).select(
         "doc_id", "n_shingles", "component_id", "kept"
@@ -61,6 +65,7 @@ def op10_source_mix(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op2_toxicity": op2_toxicity,
+    "op3_context_mixing": op3_context_mixing,
     "op5_jaccard_join": op5_jaccard_join,
     "op6_bin_packing": op6_bin_packing,
     "op7_warc": op7_warc,
