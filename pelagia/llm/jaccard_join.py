@@ -38,12 +38,12 @@ from pelagia.llm.textbytes import mix, pieces, shingle_sets
 # Least bits of the map of a set, for an upper bound of overlaps; larger sets have larger maps.
 MAP_BITS = 1024
 # A shingle that is counted more often comes late in the order.
-FREQUENT = 64
+FREQUENT = 16
 # At most so many frequent shingles are sent to the tasks (12 bytes each).
 FREQUENT_KEPT = 1 << 18
 # Postings in one bucket on the average, 20 bytes each.
-BUCKET = 1 << 20
-LIST = 256
+BUCKET = 1 << 18
+LIST = 64
 BLOCK = 512
 
 
@@ -244,10 +244,10 @@ def _lists(packed: DataFrame, percent: int) -> DataFrame:
                 i, j = _pairs_of(part["n"].astype(np.int64), percent, None if size <= LIST else 8)
                 found.append(np.stack([part["grp"][i], part["grp"][j]], axis=1))
                 held += len(i)
-                if held > 1 << 21:
+                if held > 1 << 19:
                     found = [_distinct(np.concatenate(found))]
                     held = len(found[0])
-                    if held > 1 << 20:
+                    if held > 1 << 18:
                         yield _pair_rows(found[0])
                         found, held = found[:0], 0
                 if size > LIST:

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 # Texts are handled in pieces of about so many bytes; a longer text is a piece of its own.
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 20
 
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
