@@ -1,18 +1,18 @@
 """Scores of texts under a model that mixes bit predictors, trained on the corpus.
 
 A text is coded byte by byte and each byte bit by bit, highest first, A to Z lower-cased, with
-an end mark. For each of several context lengths the bytes before and the bits known so
-far are hashed to a cell with the counts of zeros and ones that followed in the training
-texts. Every cell votes with the logit of its ratio; a vote's weight is gated by context length,
-bit, and how much the cell has seen. The weights are learned online, by logistic
+an end mark. The contexts are the one to five bytes before, and the bytes of the word so far. Each
+context and the bits known so far are hashed to a cell with the counts of zeros and ones that
+followed in the training texts. Every cell votes with the logit of its ratio; a vote's
+weight is gated by kind of context, bit, and how much the cell has seen. The weights are learned online, by logistic
 regression on one group of occurrences after the other, in each of many tasks, and averaged. A
 last table, addressed by the known bits and the mixed logit, corrects the result to what
 was seen in training. While learning, an occurrence is taken out of the counts it is
 predicted from, so that rare contexts are not trusted too much.
 
 The model is fixed when texts are scored: a text has one score, whatever stands beside it.
-Then the probability of a byte depends on the five bytes before it only, and is worked out once
-for each different run of six bytes in a piece of text.
+Then the probability of a byte depends on its contexts only, and is worked out once for each
+different state in a piece of text.
 
 Counts of byte runs and words come from all training texts and are added up in buckets by hash;
 the cells, of fixed number, are the only part that is sent to every task.
@@ -32,16 +32,20 @@ from pyspark.sql import functions as F
 
 from pelagia.llm.blocks import grouped, in_groups
 from pelagia.llm.storage import stored
-from pelagia.llm.textbytes import LOWER, mix, pieces, word_bounds, range_hashes
+from pelagia.llm.textbytes import LOWER, SPACE, mix, pieces, range_hashes, word_bounds
 
-# Context lengths in bytes, and the logarithm of the number of cells of each.
-ORDERS = (1, 2, 3, 4, 5)
-CELLS = (20, 20, 22, 23, 23)
+# Context lengths in bytes, 0 for the word, and the logarithm of the number of cells of each.
+ORDERS = (1, 2, 3, 4, 5, 0)
+CELLS = (20, 20, 22, 23, 23, 24)
 REACH = 5
-# Groups of byte runs between two steps, and rounds of averaging.
-STEP, ROUNDS, RATE = 2048, 2, 0.03
+# The weights and corrections are learned on about so many training texts, taken by a hash of
+# their ids; all counts come from all training texts.
+TAUGHT = 2500
+# States between two steps, and rounds of averaging.
+STEP, ROUNDS, RATE = 2048, 2, 0.005
 LEVELS = 12
 SLOTS = 33
+GRID = 2048
 # A text's end is a zero byte and a flag; a zero byte of the text has the other flag.
 FLAG = 2.0**-12
 # Words whose counts are sent to all tasks: the most frequent ones, at most so many.
@@ -65,18 +69,37 @@ def _votes(less_zero: int, less_one: int) -> tuple[np.ndarray, np.ndarray]:
 _VOTES = {None: _votes(0, 0), 0: _votes(1, 0), 1: _votes(0, 1)}
 
 
-def _cells(order: int, context: np.ndarray, known: np.ndarray) -> np.ndarray:
-    """Cell of a context (a number of ``order`` bytes) and the bits known, under a leading one."""
-    k = ORDERS.index(order)
-    h = context * np.uint64(0x9E3779B97F4A7C15) + known * np.uint64(0xC2B2AE3D27D4EB4F)
+def _hashed(k: int, context: np.ndarray, high: np.ndarray | None = None) -> np.ndarray:
+    """First of the 16 cells for one half of a byte in a context of the kind k.
+
+    For the lower half the upper one is known.
+    """
+    h = context * np.uint64(0x9E3779B97F4A7C15)
+    if high is not None:
+        h = h + (high + np.uint64(1)) * np.uint64(0xC2B2AE3D27D4EB4F)
     h ^= h >> np.uint64(31)
     h *= np.uint64(0xD6E8FEB86659FD93)
-    return (h >> np.uint64(64 - CELLS[k])).astype(np.int64)
+    return (h >> np.uint64(68 - CELLS[k])).astype(np.int64) << 4
+
 
+def _cells(contexts: list[np.ndarray], byte: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, list[np.ndarray]]]:
+    """For each bit: the bits known under a leading one, the bit, and the cell of each context."""
+    byte = byte.astype(np.int64)
+    for half in (0, 1):
+        upper = byte >> 4
+        first = [_hashed(k, c, upper.astype(np.uint64) if half else None) for k, c in enumerate(contexts)]
+        nibble = byte & 15 if half else upper
+        for b in range(4):
+            bit = 4 * half + b
+            inside = (1 << b) | (nibble >> (4 - b))
+            known = (1 << bit) | (byte >> (8 - bit))
+            yield bit, known, (byte >> (7 - bit)) & 1, [f + inside for f in first]
 
-def _bits(byte: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    for bit in range(8):
-        yield bit, (np.uint64(1) << np.uint64(bit)) | (byte >> np.uint64(8 - bit)), (byte >> np.uint64(7 - bit)) & np.uint64(1)
+
+def _contexts(runs: np.ndarray, words: np.ndarray) -> list[np.ndarray]:
+    """The contexts of some states, by kind."""
+    before = runs >> np.uint64(8)
+    return [before & np.uint64((1 << 8 * order) - 1) if order else words for order in ORDERS]
 
 
 class Model:
@@ -89,60 +112,50 @@ class Model:
         self.bias = np.zeros(256)
         self.final: np.ndarray | None = None
 
-    def votes(self, runs: np.ndarray, known: np.ndarray, seen: np.ndarray | None) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Logit and gate for each order; ``seen`` is the bit to take out, if any."""
-        out = []
-        for k, order in enumerate(ORDERS):
-            context = (runs >> np.uint64(8)) & np.uint64((1 << 8 * order) - 1)
-            kept = self.cells[k][_cells(order, context, known)]
-            if seen is None:
-                logit, gate = (t[kept] for t in _VOTES[None])
-            else:
-                one = seen.astype(bool)
-                logit, gate = (np.where(one, b[kept], a[kept]) for a, b in zip(_VOTES[0], _VOTES[1], strict=True))
-            out.append((logit, gate))
-        return out
-
-    def logit(self, bit: int, known: np.ndarray, votes: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-        z = self.bias[known.astype(np.int64)]
-        for k, (logit, gate) in enumerate(votes):
+    def _learned(self, bit: int, known: np.ndarray, y: np.ndarray, cells: list[np.ndarray]):
+        """Mixed logit without the occurrence itself, and the logit and gate of each context."""
+        one = y == 1
+        z, votes = self.bias[known], []
+        for k, cell in enumerate(cells):
+            kept = self.cells[k][cell]
+            logit, gate = (np.where(one, b[kept], a[kept]) for a, b in zip(_VOTES[0], _VOTES[1], strict=True))
+            votes.append((logit, gate))
             z = z + self.weights[bit, k][gate] * logit
-        return np.clip(z, -15, 15)
+        return np.clip(z, -15, 15), votes
 
-    def learn(self, runs: np.ndarray, counts: np.ndarray) -> None:
-        """One pass over runs of bytes with how often each comes, in small steps."""
+    def learn(self, runs: np.ndarray, words: np.ndarray, counts: np.ndarray) -> None:
+        """One pass over states with how often each comes, in small steps."""
         scale_w, scale_b = np.full_like(self.weights, 1e-6), np.full_like(self.bias, 1e-6)
-        order = np.argsort(mix(runs))
+        order = np.argsort(mix(runs ^ words))
         for at in range(0, len(runs), STEP):
             some = order[at : at + STEP]
-            r, c = runs[some], counts[some].astype(np.float64)
-            c /= c.sum()
-            for bit, known, y in _bits(r & np.uint64(255)):
-                votes = self.votes(r, known, y)
-                error = c * (y.astype(np.float64) - 1 / (1 + np.exp(-self.logit(bit, known, votes))))
+            share = counts[some] / counts[some].sum()
+            for bit, known, y, cells in _cells(_contexts(runs[some], words[some]), runs[some] & np.uint64(255)):
+                z, votes = self._learned(bit, known, y, cells)
+                error = share * (y - 1 / (1 + np.exp(-z)))
                 for k, (logit, gate) in enumerate(votes):
                     g = np.bincount(gate, weights=error * logit, minlength=LEVELS)
                     scale_w[bit, k] += g * g
                     self.weights[bit, k] += RATE * g / np.sqrt(scale_w[bit, k])
-                g = np.bincount(known.astype(np.int64), weights=error, minlength=256)
+                g = np.bincount(known, weights=error, minlength=256)
                 scale_b += g * g
                 self.bias += RATE * g / np.sqrt(scale_b)
 
-    def slots(self, z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        place = (z + 8) * ((SLOTS - 1) / 16)
-        place = np.clip(place, 0, SLOTS - 1.001)
+    @staticmethod
+    def _slots(z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        place = np.clip((z + 8) * ((SLOTS - 1) / 16), 0, SLOTS - 1.001)
         low = place.astype(np.int64)
         return low, place - low
 
-    def seen(self, runs: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    def seen(self, runs: np.ndarray, words: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """For each known bits and slot, what came: weight of ones, weight of all."""
         out = np.zeros((2, 256 * SLOTS))
-        for at in range(0, len(runs), 1 << 16):
-            r, c = runs[at : at + (1 << 16)], counts[at : at + (1 << 16)].astype(np.float64)
-            for bit, known, y in _bits(r & np.uint64(255)):
-                low, part = self.slots(self.logit(bit, known, self.votes(r, known, y)))
-                cell = known.astype(np.int64) * SLOTS + low
-                for place, share in ((cell, 1 - part), (cell + 1, part)):
+        for at in range(0, len(runs), 1 << 15):
+            some = slice(at, at + (1 << 15))
+            c = counts[some]
+            for bit, known, y, cells in _cells(_contexts(runs[some], words[some]), runs[some] & np.uint64(255)):
+                low, part = self._slots(self._learned(bit, known, y, cells)[0])
+                for place, share in ((known * SLOTS + low, 1 - part), (known * SLOTS + low + 1, part)):
                     out[0] += np.bincount(place, weights=c * share * y, minlength=out.shape[1])
                     out[1] += np.bincount(place, weights=c * share, minlength=out.shape[1])
         return out
@@ -152,42 +165,92 @@ class Model:
         z = np.tile(np.linspace(-8, 8, SLOTS), 256)
         self.final = (seen[0] + 8 / (1 + np.exp(-z))) / (seen[1] + 8)
 
-    def log2(self, runs: np.ndarray) -> np.ndarray:
-        """Logarithm of the probability of the last byte of each run, given the others."""
+    def fixed(self) -> None:
+        """Work out the weighted vote of every pair of counts, and the logarithm of every result."""
+        logit, gate = _VOTES[None]
+        self.table = (self.weights[:, :, gate] * logit).astype(np.float32)
+        z = (np.arange(GRID) + 0.5) * (30 / GRID) - 15
+        known = np.repeat(np.arange(256), GRID)
+        low, part = self._slots(np.tile(z, 256))
+        p = np.tile(1 / (1 + np.exp(-z)), 256)
+        if self.final is not None:
+            at = known * SLOTS + low
+            p = 0.5 * p + 0.5 * (self.final[at] * (1 - part) + self.final[at + 1] * part)
+        p = np.clip(p, 1e-6, 1 - 1e-6)
+        self.logs = np.log2(np.stack([1 - p, p])).astype(np.float32).ravel()
+
+    def log2(self, runs: np.ndarray, words: np.ndarray) -> np.ndarray:
+        """Logarithm of the probability of the last byte of each state, given its contexts.
+
+        The mixed logit is taken in ``GRID`` steps.
+        """
         out = np.zeros(len(runs))
-        for at in range(0, len(runs), 1 << 15):
-            r = runs[at : at + (1 << 15)]
-            total = np.zeros(len(r))
-            for bit, known, y in _bits(r & np.uint64(255)):
-                z = self.logit(bit, known, self.votes(r, known, None))
-                p = 1 / (1 + np.exp(-z))
-                if self.final is not None:
-                    low, part = self.slots(z)
-                    cell = known.astype(np.int64) * SLOTS + low
-                    p = 0.5 * p + 0.5 * (self.final[cell] * (1 - part) + self.final[cell + 1] * part)
-                p = np.clip(p, 1e-6, 1 - 1e-6)
-                total += np.log2(np.where(y == 1, p, 1 - p))
-            out[at : at + (1 << 15)] = total
+        for at in range(0, len(runs), 1 << 14):
+            some = slice(at, at + (1 << 14))
+            total = out[some]
+            for bit, known, y, cells in _cells(_contexts(runs[some], words[some]), runs[some] & np.uint64(255)):
+                z = self.bias[known]
+                for k, cell in enumerate(cells):
+                    z = z + self.table[bit, k][self.cells[k][cell]]
+                step = np.clip((z + 15) * (GRID / 30), 0, GRID - 1).astype(np.int64)
+                total += self.logs[(y << 8 | known) * GRID + step]
         return out
 
 
-def byte_runs(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For every byte and end mark the run of six bytes up to it, and where each text begins.
+def states(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For every byte and end mark the run of six bytes up to it and the hash of its word so far.
 
-    Before a text stand zeros.
+    Also where each text begins. Before a text stand zeros. The last byte of a word's hash is 0.
     """
-    texts = len(ends) - 1
-    out = np.zeros(len(data) + (REACH + 1) * texts, dtype=np.uint64)
+    texts, n = len(ends) - 1, len(data)
+    low = LOWER[data]
     text = np.repeat(np.arange(texts), np.diff(ends))
-    out[np.arange(len(data)) + (REACH + 1) * text + REACH] = LOWER[data]
+    out = np.zeros(n + (REACH + 1) * texts, dtype=np.uint64)
+    out[np.arange(n) + (REACH + 1) * text + REACH] = low
     own = np.ones(len(out), dtype=bool)
     first = ends[:-1] + (REACH + 1) * np.arange(texts)
     for k in range(REACH):
         own[first + k] = False
-    run = out.copy()
-    for k in range(1, REACH + 1):
-        run[k:] |= out[:-k] << np.uint64(8 * k)
-    return run[own], ends[:-1] + np.arange(texts)
+    two = out.copy()
+    two[1:] |= out[:-1] << np.uint64(8)
+    run = two.copy()
+    run[2:] |= two[:-2] << np.uint64(16)
+    run[4:] |= two[:-4] << np.uint64(32)
+
+    # Where the word of each byte begins; white space begins the next one.
+    begins = np.zeros(n + 1, dtype=bool)
+    begins[1:] = SPACE[low]
+    begins[ends] = True
+    begin = np.maximum.accumulate(np.where(begins, np.arange(n + 1), 0))
+    at, since = np.empty(n + texts, dtype=np.int64), np.empty(n + texts, dtype=np.int64)
+    place = np.arange(n) + text
+    at[place], since[place] = np.arange(n), begin[:n]
+    last = ends[1:]
+    filled = last > ends[:-1]
+    open_word = last.copy()
+    open_word[filled] = np.where(SPACE[low[last[filled] - 1]], last[filled], begin[last[filled] - 1])
+    place = last + np.arange(texts)
+    at[place], since[place] = last, open_word
+    word = range_hashes(low, since, at) & ~np.uint64(255)
+    return run[own], word, ends[:-1] + np.arange(texts)
+
+
+def states_in_parts(data: np.ndarray, ends: np.ndarray, size: int = 1 << 18) -> tuple[np.ndarray, ...]:
+    """As ``states``, worked out for some texts at a time, which the caches hold."""
+    found, at = [], 0
+    while at < len(ends) - 1:
+        to = max(at + 1, int(np.searchsorted(ends, ends[at] + size, side="right")) - 1)
+        found.append(states(data[ends[at] : ends[to]], ends[at : to + 1] - ends[at]))
+        at = to
+    return (*(np.concatenate([f[k] for f in found]) for k in (0, 1)), ends[:-1] + np.arange(len(ends) - 1))
+
+
+def _different(runs: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Number of the state at each place, and a place of each state."""
+    codes, found = pd.factorize(mix(words ^ runs * np.uint64(0x9E3779B97F4A7C15)))
+    place = np.empty(len(found), dtype=np.int64)
+    place[codes] = np.arange(len(codes))
+    return codes, place
 
 
 def _word_hashes(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -197,7 +260,9 @@ def _word_hashes(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.nda
     return range_hashes(data, starts, stops), np.searchsorted(starts, ends)
 
 
-_COUNTED = np.dtype([("key", "<u8"), ("n", "<i8")])
+_COUNTED = np.dtype([("key", "<u8"), ("n", "<u4")])
+# A larger count is kept as the largest one that fits.
+_MOST = (1 << 32) - 1
 
 
 def _added(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -207,7 +272,7 @@ def _added(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 def _blobs(kind: int, keys: np.ndarray, counts: np.ndarray, buckets: int) -> pa.RecordBatch:
     rows = np.empty(len(keys), dtype=_COUNTED)
-    rows["key"], rows["n"] = keys, counts
+    rows["key"], rows["n"] = keys, np.minimum(counts, _MOST)
     place = ((mix(keys) >> np.uint64(16)) % np.uint64(buckets)).astype(np.int32)
     order = np.argsort(place, kind="stable")
     rows, place = rows[order], place[order]
@@ -223,14 +288,17 @@ def _blobs(kind: int, keys: np.ndarray, counts: np.ndarray, buckets: int) -> pa.
     )
 
 
-RUNS, WORDS = 0, 1
+RUNS, WORDS, STARTS = 0, 1, 2
 
 
 def corpus_counts(texts: DataFrame, buckets: int) -> DataFrame:
-    """Counts of all byte runs and words, by bucket, as blobs of sorted (key, n)."""
+    """Counts of byte runs, words, and word beginnings with the next byte, by bucket.
+
+    Each bucket of a kind is a blob of sorted (key, n).
+    """
 
     def count(batches):
-        held: dict[int, list] = {RUNS: [], WORDS: []}
+        held: dict[int, list] = {RUNS: [], WORDS: [], STARTS: []}
 
         def flush():
             for kind, parts in held.items():
@@ -242,8 +310,10 @@ def corpus_counts(texts: DataFrame, buckets: int) -> DataFrame:
         size = 0
         for batch in batches:
             for _, _, data, ends in pieces(batch.column(0), 4 << 20):
-                runs, _ = byte_runs(data, ends)
+                runs, begun, _ = states_in_parts(data, ends)
                 held[RUNS].append(_added(runs, np.ones(len(runs))))
+                begun |= runs & np.uint64(255)
+                held[STARTS].append(_added(begun, np.ones(len(begun))))
                 words, _ = _word_hashes(data, ends)
                 if len(words):
                     held[WORDS].append(_added(words, np.ones(len(words))))
@@ -259,7 +329,7 @@ def corpus_counts(texts: DataFrame, buckets: int) -> DataFrame:
             keys, counts = _added(rows["key"], rows["n"])
             order = np.argsort(keys)
             out = np.empty(len(keys), dtype=_COUNTED)
-            out["key"], out["n"] = keys[order], counts[order]
+            out["key"], out["n"] = keys[order], np.minimum(counts[order], _MOST)
             # How many keys have counts of so many bits.
             sizes = np.bincount(np.log2(out["n"]).astype(np.int64), minlength=48)
             yield pa.RecordBatch.from_arrays(
@@ -279,21 +349,40 @@ def corpus_counts(texts: DataFrame, buckets: int) -> DataFrame:
     return in_groups(counted, ["kind", "bucket"]).mapInArrow(add, schema)
 
 
+def _cells_of(k: int, context: np.ndarray, byte: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The cells that the eight bits of some bytes fall on in contexts of one kind, and the bits."""
+    byte = byte.astype(np.int64)
+    cells, bits = [], []
+    for half in (0, 1):
+        nibble = byte & 15 if half else byte >> 4
+        first = _hashed(k, context, (byte >> 4).astype(np.uint64) if half else None)
+        for b in range(4):
+            cells.append(first + ((1 << b) | (nibble >> (4 - b))))
+            bits.append((nibble >> (3 - b)) & 1 == 1)
+    return np.concatenate(cells), np.concatenate(bits)
+
+
 def _cell_tables(runs: DataFrame, slices: int = 64) -> list[np.ndarray]:
-    """The kept counts of all cells, two bytes each: 40 MB whatever the corpus is."""
+    """The kept counts of all cells, two bytes each: 75 MB whatever the corpus is.
+
+    A word beginning that came once is left out: without that occurrence it has no count.
+    """
     entry = np.dtype([("cell", "<u4"), ("n0", "<i8"), ("n1", "<i8")])
 
     def spread(batches):
         for batch in batches:
-            for blob in batch.column("rows").to_pylist():
+            for kind, blob in zip(batch.column("kind").to_pylist(), batch.column("rows").to_pylist(), strict=True):
                 rows = np.frombuffer(blob, dtype=_COUNTED)
                 for k, order in enumerate(ORDERS):
-                    part = rows["key"] & np.uint64((1 << 8 * (order + 1)) - 1)
-                    keys, counts = _added(part, rows["n"])
-                    context, byte = keys >> np.uint64(8), keys & np.uint64(255)
-                    found = [(_cells(order, context, known), y) for _, known, y in _bits(byte)]
-                    cell = np.concatenate([c for c, _ in found])
-                    one = np.concatenate([y for _, y in found]) == 1
+                    if (order == 0) != (kind == STARTS):
+                        continue
+                    if order:
+                        keys, counts = _added(rows["key"] & np.uint64((1 << 8 * (order + 1)) - 1), rows["n"])
+                        context = keys >> np.uint64(8)
+                    else:
+                        keys, counts = rows["key"][rows["n"] > 1], rows["n"][rows["n"] > 1].astype(np.int64)
+                        context = keys & ~np.uint64(255)
+                    cell, one = _cells_of(k, context, keys & np.uint64(255))
                     codes, distinct = pd.factorize(cell)
                     n = np.tile(counts, 8)
                     out = np.empty(len(distinct), dtype=entry)
@@ -338,7 +427,7 @@ def _cell_tables(runs: DataFrame, slices: int = 64) -> list[np.ndarray]:
         columns = [pa.array([now[0]], pa.int32()), pa.array([now[1]], pa.int32()), pa.array([blob], pa.binary())]
         return pa.RecordBatch.from_arrays(columns, ["k", "slice", "rows"])
 
-    parts = runs.select("rows").mapInArrow(spread, "k int, slice int, rows binary")
+    parts = runs.select("kind", "rows").mapInArrow(spread, "k int, slice int, rows binary")
     found = in_groups(parts, ["k", "slice"]).mapInArrow(add, "k int, slice int, rows binary")
     cells = [np.zeros(1 << c, dtype=np.uint16) for c in CELLS]
     for row in found.toArrow().to_pylist():
@@ -347,31 +436,33 @@ def _cell_tables(runs: DataFrame, slices: int = 64) -> list[np.ndarray]:
     return cells
 
 
-def _fit(runs: DataFrame) -> Model:
-    """Cells, then weights and corrections, from the counts of byte runs."""
-    context = runs.sparkSession.sparkContext
-    model = Model(_cell_tables(runs))
+def _fit(counts: DataFrame, taught: DataFrame) -> Model:
+    """Cells from the counts, then weights and corrections from some training texts."""
+    context = counts.sparkSession.sparkContext
+    model = Model(_cell_tables(counts))
     sent = context.broadcast(model.cells)
 
-    def started(weights, bias):
-        out = Model(sent.value)
-        out.weights, out.bias = weights, bias
-        return out
+    def some_states(batches, start):
+        own = Model(sent.value)
+        own.weights, own.bias = start[0].copy(), start[1].copy()
+        for batch in batches:
+            for _, _, data, ends in pieces(batch.column(0)):
+                runs, words, _ = states_in_parts(data, ends)
+                codes, place = _different(runs, words)
+                yield own, runs[place], words[place], np.bincount(codes).astype(np.float64)
 
     for _ in range(ROUNDS):
         start = (model.weights, model.bias)
 
         def learn(batches, start=start):
-            for batch in batches:
-                for blob in batch.column("rows").to_pylist():
-                    rows = np.frombuffer(blob, dtype=_COUNTED)
-                    own = started(start[0].copy(), start[1].copy())
-                    own.learn(rows["key"], rows["n"])
-                    total = float(rows["n"].sum())
-                    values = np.r_[own.weights.ravel(), own.bias] * total
-                    yield _vector(np.r_[values, total])
-
-        sums = _sum(runs.select("rows").mapInArrow(learn, "at int, v double"))
+            total, own = 0.0, None
+            for own, runs, words, n in some_states(batches, start):
+                own.learn(runs, words, n)
+                total += n.sum()
+            if own is not None:
+                yield _vector(np.r_[np.r_[own.weights.ravel(), own.bias] * total, total])
+
+        sums = _sum(taught.mapInArrow(learn, "at int, v double"))
         if len(sums):
             values = sums[:-1] / sums[-1]
             model.weights = values[: model.weights.size].reshape(model.weights.shape)
@@ -379,13 +470,14 @@ def _fit(runs: DataFrame) -> Model:
     last = (model.weights, model.bias)
 
     def look(batches):
-        own = started(*last)
-        for batch in batches:
-            for blob in batch.column("rows").to_pylist():
-                rows = np.frombuffer(blob, dtype=_COUNTED)
-                yield _vector(own.seen(rows["key"], rows["n"]).ravel())
-
-    sums = _sum(runs.select("rows").mapInArrow(look, "at int, v double"))
+        total = None
+        for own, runs, words, n in some_states(batches, last):
+            seen = own.seen(runs, words, n)
+            total = seen if total is None else total + seen
+        if total is not None:
+            yield _vector(total.ravel())
+
+    sums = _sum(taught.mapInArrow(look, "at int, v double"))
     if len(sums):
         model.correct(sums.reshape(2, -1))
     return model
@@ -448,23 +540,26 @@ def lm_scores(documents: DataFrame) -> DataFrame:
     tokens, distinct = int(known[0] or 0) + ends, int(known[1] or 0) + (ends > 0)
     below = tokens + 0.5 * (distinct + 1)
     context = documents.sparkSession.sparkContext
-    model = context.broadcast(_fit(counts.filter(F.col("kind") == RUNS)))
+    every = max(1, ends // TAUGHT)
+    taught = train.filter(F.pmod(F.xxhash64(F.lit(23), "doc_id"), F.lit(every)) == 0).select("text")
+    model = context.broadcast(_fit(counts.filter(F.col("kind") != WORDS), taught))
     frequent = context.broadcast(_frequent(words))
     end_score = math.log10((ends + 0.5) / below)
 
     def rate(batches):
         part, at = TaskContext.get().partitionId() << 33, 0
+        model.value.fixed()
         top, top_n = frequent.value
         top_score = np.log10((top_n + 0.5) / below)
         for batch in batches:
             for a, b, data, borders in pieces(batch.column("text"), 8 << 20):
                 rows = part + at + np.arange(b - a)
                 at += b - a
-                runs, first = byte_runs(data, borders)
-                codes, different = pd.factorize(runs)
-                bits = model.value.log2(np.asarray(different, dtype=np.uint64))
+                runs, begun, first = states_in_parts(data, borders)
+                codes, place = _different(runs, begun)
+                bits = model.value.log2(runs[place], begun[place])
                 # A zero byte is an end or, with a flag of its own, part of the text.
-                bits[(np.asarray(different) & np.uint64(255)) == 0] += math.log2(FLAG)
+                bits[(runs[place] & np.uint64(255)) == 0] += math.log2(FLAG)
                 each = np.add.reduceat(bits[codes], first) - math.log2(FLAG) + math.log2(1 - FLAG)
                 h, bounds = _word_hashes(data, borders)
                 place = np.minimum(np.searchsorted(top, h), max(0, len(top) - 1))
