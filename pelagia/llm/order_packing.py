@@ -6,8 +6,8 @@ at the end of a document is free, one at the end of a sentence costs a little, a
 inside a sentence (offered only where a sentence is long) costs more. With positions t and
 least costs f, f(i) = penalty(i) + width - t(i) + min(f(j) + t(j)) over the places j within the width
 before i. The minimum slides, and a queue whose values rise keeps it, so that each place is
-handled in constant time. A sequence whose length is a power of two needs no padding; such
-places j are looked up besides.
+handled in constant time. A sequence whose length is a power of two needs no padding; places j
+at a half and a quarter of the width are looked up besides.
 
 The stream is packed in bounded stretches: the last sequences of a stretch are taken back and
 packed again with what follows. Nothing is shuffled; what a task packs depends on its rows
@@ -21,93 +21,159 @@ import os
 import zlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pelagia.llm.textbytes import pieces, range_hashes, word_bounds
+from pelagia.llm.textbytes import LOWER, pieces, range_hashes, word_bounds
 
 WIDTH = 2048
-SENTENCE, INSIDE = 8, 64
+SENTENCE, INSIDE = 4, 64
 # A stretch without the end of a sentence is offered a cut after so many tokens.
 LONG = 256
 END = 1
-# Words whose ids a task remembers.
-REMEMBERED = 600_000
+# Words whose ids a task remembers, and places for them.
+REMEMBERED = 1 << 21
+PLACES = 1 << 22
 # Texts are taken in pieces of so many bytes.
 STRETCH_BYTES = 4 << 20
 
 
+class Places:
+    """Numbers by 64-bit key, looked up and entered for whole arrays at once."""
+
+    def __init__(self, size: int):
+        self.keys, self.numbers = np.zeros(size, dtype=np.uint64), np.zeros(size, dtype=np.int32)
+        self.mask = np.uint64(size - 1)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The number of each key, or -1."""
+        out = np.full(len(keys), -1, dtype=np.int64)
+        left, at = np.arange(len(keys)), (keys & self.mask).astype(np.int64)
+        while len(left):
+            there = self.keys[at]
+            hit = there == keys[left]
+            out[left[hit]] = self.numbers[at[hit]]
+            on = ~hit & (there != 0)
+            left, at = left[on], (at[on] + 1) & int(self.mask)
+        return out
+
+    def enter(self, keys: np.ndarray, numbers: np.ndarray) -> None:
+        """Enter different keys that are not there; the places must be at most half full."""
+        left, at = np.arange(len(keys)), (keys & self.mask).astype(np.int64)
+        while len(left):
+            free = self.keys[at] == 0
+            self.keys[at[free]] = keys[left[free]]
+            won = free & (self.keys[at] == keys[left])
+            self.numbers[at[won]] = numbers[left[won]]
+            left, at = left[~won], (at[~won] + 1) & int(self.mask)
+
+
+_LETTER = np.zeros(256, dtype=bool)
+_LETTER[97:123] = True
+_SIGN = np.zeros(256, dtype=bool)
+_SIGN[33:127] = True
+_SIGN[48:58] = _SIGN[65:91] = _SIGN[97:123] = _SIGN[ord("'")] = False
+
+
 class WordTokens:
-    """Ids of texts, by words between ASCII white space, which this kind of tokenizer never joins."""
+    """Ids of texts, by parts that this kind of tokenizer never joins.
+
+    It lower-cases, drops white space, and has no token of both a letter and a sign unless an
+    apostrophe stands between. Texts are cut at ASCII white space and between ASCII letters and signs
+    (not where a special token may be written out), and each different part is encoded once.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        ends = [i for w, i in self.tokenizer.get_vocab().items() if w.endswith("</w>") and set(w[:-4]) <= set(".!?") and w != "</w>"]
-        self.sentence = np.zeros(1 << 16, dtype=bool)
+        found = self.tokenizer.get_vocab()
+        ends = [i for w, i in found.items() if w.endswith("</w>") and w != "</w>" and set(w[:-4]) <= set(".!?")]
+        self.sentence = np.zeros(max(found.values()) + 1, dtype=bool)
         self.sentence[ends] = True
+        # A special token stands between parts that are encoded together.
+        special = sorted((i, t.content) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special)
+        self.between = special[0] if special else None
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[int, int] = {}
+        self.known = Places(PLACES)
         self.store = np.zeros(1 << 20, dtype=np.uint32)
-        self.start = np.zeros(REMEMBERED * 2, dtype=np.int64)
-        self.used = 0
-
-    def _learn(self, hashes: list[int], words: list[str]) -> None:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        self.start = np.zeros(REMEMBERED + 1, dtype=np.int64)
+        self.count = self.used = 0
+
+    def _encode(self, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all parts, and how many each has."""
+        if self.between and not any(b"<" in p for p in parts):
+            number, mark = self.between
+            rows = [mark.encode().join(parts[k : k + 512]).decode() for k in range(0, len(parts), 512)]
+            every = [e.ids + [number] for e in self.tokenizer.encode_batch_fast(rows, add_special_tokens=False)]
+            flat = np.fromiter((i for ids in every for i in ids), dtype=np.uint32, count=sum(map(len, every)))
+            stops = np.flatnonzero(flat == number)
+            return flat[flat != number], np.diff(np.r_[-1, stops]) - 1
+        found = [e.ids for e in self.tokenizer.encode_batch_fast([p.decode() for p in parts], add_special_tokens=False)]
         lengths = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
-        flat = np.fromiter((i for ids in found for i in ids), dtype=np.uint32, count=int(lengths.sum()))
+        return np.fromiter((i for ids in found for i in ids), dtype=np.uint32, count=int(lengths.sum())), lengths
+
+    def _learn(self, keys: np.ndarray, parts: list[bytes]) -> np.ndarray:
+        flat, lengths = self._encode(parts)
         while self.used + len(flat) > len(self.store):
             self.store = np.concatenate([self.store, np.zeros_like(self.store)])
         self.store[self.used : self.used + len(flat)] = flat
-        first = len(self.known)
-        if first + len(found) + 1 > len(self.start):
-            self.start = np.concatenate([self.start, np.zeros(max(len(self.start), len(found) + 1), dtype=np.int64)])
-        self.start[first] = self.used
-        self.start[first + 1 : first + 1 + len(found)] = self.used + np.cumsum(lengths)
-        self.used += len(flat)
-        self.known.update(zip(hashes, range(first, first + len(found)), strict=True))
+        numbers = np.arange(self.count, self.count + len(parts))
+        self.start[numbers + 1] = self.used + np.cumsum(lengths)
+        self.used, self.count = self.used + len(flat), self.count + len(parts)
+        self.known.enter(keys, numbers.astype(np.int32))
+        return numbers
 
     def ids(self, data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each with the end id after it, and the number of each text."""
-        starts, stops = word_bounds(data, ends)
-        hashes = range_hashes(data, starts, stops)
-        distinct, first, place = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.known) > REMEMBERED:
+        raw = data.tobytes()
+        cut = b"<|" not in raw
+        # A special token counts as one only in its own case.
+        low = LOWER[data] if cut else data
+        starts, stops = word_bounds(low, ends)
+        if cut and len(low) > 1:
+            letter, sign = _LETTER[low], _SIGN[low]
+            change = np.flatnonzero((letter[1:] & sign[:-1]) | (letter[:-1] & sign[1:])) + 1
+            change = change[~np.isin(change, ends)] if len(ends) < len(change) else np.setdiff1d(change, ends)
+            starts, stops = np.sort(np.r_[starts, change]), np.sort(np.r_[stops, change])
+        hashes = range_hashes(low, starts, stops)
+        hashes[hashes == 0] = 1
+        codes, different = pd.factorize(hashes)
+        if self.count + len(different) > REMEMBERED:
             self._forget()
-        keys = distinct.tolist()
-        at = [self.known.get(h, -1) for h in keys]
-        new = [k for k, v in enumerate(at) if v < 0]
-        if new:
-            raw = data.tobytes()
-            a, b = starts[first].tolist(), stops[first].tolist()
-            self._learn([keys[k] for k in new], [raw[a[k] : b[k]].decode() for k in new])
-            for k in new:
-                at[k] = self.known[keys[k]]
-        word = np.array(at, dtype=np.int64)[place] if keys else np.zeros(0, dtype=np.int64)
+        at = self.known.find(np.asarray(different, dtype=np.uint64))
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            place = np.empty(len(different), dtype=np.int64)
+            place[codes] = np.arange(len(codes))
+            text = low.tobytes()
+            bounds = zip(starts[place[new]].tolist(), stops[place[new]].tolist(), strict=True)
+            at[new] = self._learn(different[new], [text[a:b] for a, b in bounds])
+        word = at[codes]
         length = self.start[word + 1] - self.start[word]
         total = np.r_[0, np.cumsum(length)]
         bounds = np.searchsorted(starts, ends)
         counts = total[bounds[1:]] - total[bounds[:-1]] + 1
         # Room for one end id after the words of each text.
-        text = np.searchsorted(ends, starts, side="right") - 1
         out = np.full(int(total[-1]) + len(counts), END, dtype=np.uint32)
-        source = np.repeat(self.start[word] - total[:-1], length) + np.arange(int(total[-1]))
-        out[np.arange(int(total[-1])) + np.repeat(text, length)] = self.store[source]
+        own = np.ones(len(out), dtype=bool)
+        own[np.cumsum(counts) - 1] = False
+        out[own] = self.store[np.repeat(self.start[word] - total[:-1], length) + np.arange(int(total[-1]))]
         return out, counts
 
 
 def best_cuts(t: np.ndarray, penalty: np.ndarray, width: int) -> list[int]:
     """Indices of the places where sequences end; ``t`` rises from 0, no step above the width."""
     n = len(t)
-    # Pairs of places whose distance is a power of two below the width.
+    # Pairs of places whose distance needs no padding.
     extra: dict[int, list[int]] = {}
-    step = 1
+    step = width // 4
     while step < width:
         j = np.searchsorted(t, t - step)
         hit = np.flatnonzero((t >= step) & (t[j] == t - step))
