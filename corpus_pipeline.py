@@ -1,8 +1,75 @@
-"""Placeholder of the corpus pipeline; its stages follow with their operators."""
+"""A corpus pipeline of five stages, each by one operator of the subpackage ``llm``.
 
-STAGES = []
+Every stage reads what the one before has written as Parquet and works on all of it. All but the
+last return the columns of ``documents``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from pelagia.llm.chunk_dedup import dedup_chunks
+from pelagia.llm.jaccard_join import one_of_each
+from pelagia.llm.order_packing import packed
+from pelagia.llm.source_mix import mixed
+from pelagia.llm.storage import shared_folder
+from pelagia.llm.toxicity import without_toxic
+
+TOKENIZER = "word_bpe_49k.json"
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the model fitted on these rows does not take for toxic."""
+    return without_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group linked by five-word shingles, the one of least id."""
+    return one_of_each(docs)
+
+
+def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without passages that came before; documents of which nothing is left go.
+
+    ``n_chars`` is counted anew where a text has changed.
+    """
+    cut = dedup_chunks(docs)
+    kept = cut.filter("removed_bytes = 0 or text <> ''")
+    counted = F.when(F.col("removed_bytes") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    return kept.withColumn("n_chars", counted).select(*docs.columns)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of their sources takes them."""
+    return mixed(docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents in training sequences."""
+    from public_tokenizers import path
+
+    return packed(docs, path(TOKENIZER))
+
+
+STAGES = [
+    ("toxicity", toxicity),
+    ("jaccard", jaccard),
+    ("passages", passages),
+    ("mix", mix),
+    ("packing", packing),
+]
+
+# The fitted model, the components and the packing are no SQL.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Apply the stages to ``documents``, each to the rows that the one before has written."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    folder = shared_folder(spark)
+    for number, (name, stage) in enumerate(STAGES):
+        path = f"{folder}/{number}-{name}"
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return docs
