@@ -7,13 +7,17 @@ from pyspark.sql import functions as F
 
 from pelagia.llm.chunk_dedup import dedup_chunks
 from pelagia.llm.jaccard_join import jaccard_components
-from pelagia.llm import bin_packing, context_mixing, order_packing, source_mix, toxicity, warc
+from pelagia.llm import bin_packing, context_mixing, itq_dedup, order_packing, source_mix, toxicity, warc
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_itq_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return itq_dedup.near_duplicates(_table(spark, folder, "embeddings"))
+
+
 def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.scored(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
@@ -64,6 +68,7 @@ def op10_source_mix(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_itq_dedup": op1_itq_dedup,
     "op2_toxicity": op2_toxicity,
     "op3_context_mixing": op3_context_mixing,
     "op5_jaccard_join": op5_jaccard_join,
