@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pelagia.llm.chunk_dedup import dedup_chunks
 from pelagia.llm.jaccard_join import jaccard_components
-from pelagia.llm import bin_packing, context_mixing, itq_dedup, order_packing, source_mix, toxicity, warc
+from pelagia.llm import bin_packing, context_mixing, itq_dedup, multiprobe, order_packing, source_mix, toxicity, warc
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -26,6 +26,10 @@ def op3_context_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return context_mixing.lm_scores(_table(spark, folder, "documents"))
 
 
+def op4_multiprobe(spark: SparkSession, folder: str) -> DataFrame:
+    return multiprobe.nearest(_table(spark, folder, "embeddings"))
+
+
 def op5_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_components(_table(spark, folder, "documents")).select(
         "doc_id", "n_shingles", "component_id", "kept"
@@ -71,6 +75,7 @@ QUERIES = {
     "op1_itq_dedup": op1_itq_dedup,
     "op2_toxicity": op2_toxicity,
     "op3_context_mixing": op3_context_mixing,
+    "op4_multiprobe": op4_multiprobe,
     "op5_jaccard_join": op5_jaccard_join,
     "op6_bin_packing": op6_bin_packing,
     "op7_warc": op7_warc,
