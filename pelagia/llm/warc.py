@@ -207,7 +207,9 @@ def read_archives(files: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame
     """
     starts = F.explode(F.sequence(F.lit(0), F.greatest(F.col("bytes") - 1, F.lit(0)), F.lit(range_bytes)))
     ranges = files.select("path", "bytes", starts.alias("start"))
-    ranges = ranges.repartition(F.col("path"), F.col("start"))
+    # A task for each range: so many on purpose, as a range is a few bytes here and much to read.
+    total = files.agg(F.sum(F.ceil(F.col("bytes") / range_bytes))).first()[0]
+    ranges = ranges.repartition(max(1, int(total or 0)), F.col("path"), F.col("start"))
     schema = pa.schema(
         [
             ("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("payload", pa.binary()),
