@@ -26,7 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,7 +36,7 @@ from pelagia.llm.textbytes import LOWER, SPACE, mix, pieces, range_hashes, word_
 
 # Context lengths in bytes, 0 for the word, and the logarithm of the number of cells of each.
 ORDERS = (1, 2, 3, 4, 5, 0)
-CELLS = (20, 20, 22, 23, 23, 24)
+CELLS = (18, 19, 21, 22, 23, 23)
 REACH = 5
 # The weights and corrections are learned on about so many training texts, taken by a hash of
 # their ids; all counts come from all training texts.
@@ -363,7 +363,7 @@ def _cells_of(k: int, context: np.ndarray, byte: np.ndarray) -> tuple[np.ndarray
 
 
 def _cell_tables(runs: DataFrame, slices: int = 64) -> list[np.ndarray]:
-    """The kept counts of all cells, two bytes each: 75 MB whatever the corpus is.
+    """The kept counts of all cells, two bytes each: 46 MB whatever the corpus is.
 
     A word beginning that came once is left out: without that occurrence it has no count.
     """
@@ -436,11 +436,13 @@ def _cell_tables(runs: DataFrame, slices: int = 64) -> list[np.ndarray]:
     return cells
 
 
-def _fit(counts: DataFrame, taught: DataFrame) -> Model:
-    """Cells from the counts, then weights and corrections from some training texts."""
-    context = counts.sparkSession.sparkContext
-    model = Model(_cell_tables(counts))
-    sent = context.broadcast(model.cells)
+def _fit(counts: DataFrame, taught: DataFrame) -> tuple[Model, Broadcast]:
+    """Cells from the counts, then weights and corrections from some training texts.
+
+    The model that comes back has no cells; they are broadcast, once.
+    """
+    sent = counts.sparkSession.sparkContext.broadcast(_cell_tables(counts))
+    model = Model([])
 
     def some_states(batches, start):
         own = Model(sent.value)
@@ -480,7 +482,7 @@ def _fit(counts: DataFrame, taught: DataFrame) -> Model:
     sums = _sum(taught.mapInArrow(look, "at int, v double"))
     if len(sums):
         model.correct(sums.reshape(2, -1))
-    return model
+    return model, sent
 
 
 def _vector(values: np.ndarray) -> pa.RecordBatch:
@@ -542,13 +544,14 @@ def lm_scores(documents: DataFrame) -> DataFrame:
     context = documents.sparkSession.sparkContext
     every = max(1, ends // TAUGHT)
     taught = train.filter(F.pmod(F.xxhash64(F.lit(23), "doc_id"), F.lit(every)) == 0).select("text")
-    model = context.broadcast(_fit(counts.filter(F.col("kind") != WORDS), taught))
+    model, cells = _fit(counts.filter(F.col("kind") != WORDS), taught)
     frequent = context.broadcast(_frequent(words))
     end_score = math.log10((ends + 0.5) / below)
 
     def rate(batches):
         part, at = TaskContext.get().partitionId() << 33, 0
-        model.value.fixed()
+        model.cells = cells.value
+        model.fixed()
         top, top_n = frequent.value
         top_score = np.log10((top_n + 0.5) / below)
         for batch in batches:
@@ -557,7 +560,7 @@ def lm_scores(documents: DataFrame) -> DataFrame:
                 at += b - a
                 runs, begun, first = states_in_parts(data, borders)
                 codes, place = _different(runs, begun)
-                bits = model.value.log2(runs[place], begun[place])
+                bits = model.log2(runs[place], begun[place])
                 # A zero byte is an end or, with a flag of its own, part of the text.
                 bits[(runs[place] & np.uint64(255)) == 0] += math.log2(FLAG)
                 each = np.add.reduceat(bits[codes], first) - math.log2(FLAG) + math.log2(1 - FLAG)
@@ -591,6 +594,7 @@ def lm_scores(documents: DataFrame) -> DataFrame:
                 )
 
     first = stored(texts.mapInArrow(rate, SCORED))
+    cells.destroy()
     return _finished(first, words, tokens, below)
 
 
