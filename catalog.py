@@ -6,10 +6,11 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fixtures import BOX, TEST_FROM, WEATHER_ORDER, WINDOW, Tables, with_tables
+from pelagia.functions.coords import KEY, to_number
 from pelagia.functions.dates import has_date, parse_rfc1123
 from pelagia.functions.draws import draw
 from pelagia.functions.features import (
@@ -24,15 +25,15 @@ from pelagia.plans import map_summary, model
 from pelagia.plans.classify import classify, request_features
 from pelagia.plans.training import TrainingConfig, build_training_set, filter_sightings
 from pelagia.schemas import DEFAULT_FEATURES, LABEL, TRAINING_FEATURES, WEATHER_PARAMETERS
-from pelagia.sources.readers import clean_grid, head_rows
+from pelagia.sources.readers import clean_grid, head_rows, rejected_sightings
 from pelagia.sources.requests import accepted, parse_requests
 from pelagia.sources.writers import checkpointed
 
 QUERIES: dict = {}
-TREES = 10
 PARAMS = ", ".join(WEATHER_PARAMETERS)
 ORDER = ", ".join(WEATHER_ORDER)
 MONTH = ("y", "m")
+SQL_YEAR = "case when year(l_shipdate)<2001 then year(l_shipdate) else year(l_shipdate)+100 end"
 
 
 def query(name: str, oracle: str | None = None):
@@ -120,6 +121,30 @@ def sighting_filter(t):
     return seen(t)
 
 
+O_TEXTS = """texts as (select id, raw_date, case when id % 31 = 0 then 'north' when id % 37 <> 0 then
+    cast(lat as varchar) end lat_text, case when id % 41 = 0 then '' else cast(lon as varchar) end lon_text
+    from sightings)"""
+
+
+@query(
+    "rejected_sightings",
+    with_tables(
+        f"""select id, lat_text, lon_text, case when try_cast(lat_text as double) is null
+        then 'latitude is no number' else 'longitude is no number' end reason from texts
+        where {O_DATED} and (try_cast(lat_text as double) is null or try_cast(lon_text as double) is null)""",
+        "sightings",
+        extra=O_TEXTS,
+    ),
+)
+def rejected_rows(t):
+    id = F.col("id")
+    lat = F.when(id % 31 == 0, "north").when(id % 37 != 0, F.col("lat").cast("string"))
+    lon = F.when(id % 41 == 0, "").otherwise(F.col("lon").cast("string"))
+    texts = t.sightings.select("id", "raw_date", lat.alias("lat_text"), lon.alias("lon_text"))
+    numbers = texts.withColumns({"lat": to_number(F.col("lat_text")), "lon": to_number(F.col("lon_text"))})
+    return rejected_sightings(numbers).select("id", "lat_text", "lon_text", "reason")
+
+
 @query(
     "daily_batches",
     with_tables(
@@ -250,6 +275,32 @@ def nearest(t):
     return near(t).select("id", "c_lon", "c_lat", "phyto")
 
 
+@query(
+    "duplicate_cells",
+    with_tables(
+        "select k id, c_lon, c_lat, chlor_a phyto from near",
+        "sightings",
+        extra=f"""raw_cells as (select {SQL_YEAR} y, month(l_shipdate) m, ((l_partkey*13)%73)*5e0-1.8e2 lon,
+          ((l_suppkey*17+l_partkey)%37)*5e0-9e1 lat, l_tax+l_discount chlor_a, l_orderkey, l_linenumber
+          from lineitem),
+          phyto_grid as (select y, m, lon, lat, chlor_a from (select *, row_number() over (partition by
+          y, m, lon, lat order by l_orderkey, l_linenumber, chlor_a) rn from raw_cells) where rn = 1), {O_NEAR}""",
+    ),
+)
+def duplicate_cells(t):
+    cells = t.lineitem.select(
+        F.expr(SQL_YEAR).alias("y"),
+        F.month("l_shipdate").alias("m"),
+        F.expr("((l_partkey*13)%73)*5e0-1.8e2").alias("lon"),
+        F.expr("((l_suppkey*17+l_partkey)%37)*5e0-9e1").alias("lat"),
+        (F.col("l_tax") + F.col("l_discount")).alias("chlor_a"),
+        F.col("l_orderkey").alias("file_block"),
+        F.col("l_linenumber").alias("file_row"),
+    )
+    points = t.sightings.select("id", "y", "m", "lat", "lon")
+    return nearest_grid_value(points, cells, ["id"], MONTH).select("id", "c_lon", "c_lat", "phyto")
+
+
 @query(
     "month_match",
     with_tables(
@@ -395,6 +446,40 @@ def missing(t):
 LATEST = WEATHER_ORDER
 
 
+@query(
+    "missing_keys_keyed",
+    with_tables(
+        f"""select distinct {O_KEY.format('')} from (select latitude lat, longitude lon, date
+        from requests) except select {O_KEY.format('')} from weather""",
+        "weather",
+        "requests",
+    ),
+)
+def missing_keyed(t):
+    return weather.missing_keys(t.requests, checkpointed(weather.weather_by_key(t.weather, WEATHER_ORDER)))
+
+
+@query(
+    "upsert_keyed",
+    with_tables(
+        f"""select key_lat, key_lon, key_day, {PARAMS} from (select *, row_number() over (partition by
+        key_lat, key_lon, key_day order by fresh desc, {', '.join(c + ' desc' for c in WEATHER_PARAMETERS)}) rn
+        from (select 0 fresh, key_lat, key_lon, key_day, {PARAMS} from first_weather union all
+              select 1 fresh, {O_KEY.format('')}, temperature + 1,
+              {', '.join(WEATHER_PARAMETERS[1:])} from weather where l_linenumber <= 2 and id % 3 = 0))
+        where rn = 1""",
+        "weather",
+        extra=O_WEATHER_KEY,
+    ),
+)
+def upserted_keyed(t):
+    store = checkpointed(weather.weather_by_key(t.weather, WEATHER_ORDER))
+    new = t.weather.filter("l_linenumber <= 2 and id % 3 = 0")
+    new = new.withColumn("temperature", F.col("temperature") + 1)
+    return weather.upsert(store, new, []).select(*KEY, *WEATHER_PARAMETERS)
+
+
+
 @query(
     "upsert",
     with_tables(
@@ -408,7 +493,10 @@ LATEST = WEATHER_ORDER
     ),
 )
 def upserted(t):
-    store = t.weather.filter("l_linenumber > 2")
+    # a store has one observation for each key: here the last
+    last = [F.col(c).desc() for c in LATEST]
+    raw = weather.keyed(t.weather.filter("l_linenumber > 2"))
+    store = keyed.first_per_key(raw, KEY, last).drop(*KEY)
     new = t.weather.filter("l_linenumber <= 2")
     new = new.withColumn("temperature", F.col("temperature") + 1)
     return weather.upsert(store, new, LATEST).select("lat", "lon", "date", *WEATHER_PARAMETERS)
@@ -722,38 +810,6 @@ def medians(t):
     return rounded(profile.feature_medians(featured(t), DEFAULT_FEATURES), "median")
 
 
-def known_pairs() -> list[tuple[str, str]]:
-    return [p for p in surface.DEFAULT_PAIRS if set(p) <= set(DEFAULT_FEATURES)]
-
-
-def o_grid(a: str, b: str) -> str:
-    def value(f: str) -> str:
-        return {a: "round(x, 6)", b: "round(y, 6)"}.get(f, f"round(m_{f}, 6)")
-
-    return f"""select '{a}' as feature1, '{b}' as feature2, cast(i as int) as i, cast(j as int) as j,
-        {', '.join(f'{value(f)} as {f}' for f in DEFAULT_FEATURES)}
-        from (select *, lo_{a} + j * (hi_{a} - lo_{a}) / 49 x, lo_{b} + i * (hi_{b} - lo_{b}) / 49 y
-        from stats, range(50) u(i), range(50) v(j))"""
-
-
-O_STATS = "stats as (select " + ", ".join(
-    f"""median({f}) m_{f}, min({f}) - 1e-1 * (max({f}) - min({f})) lo_{f},
-    max({f}) + 1e-1 * (max({f}) - min({f})) hi_{f}"""
-    for f in DEFAULT_FEATURES
-) + " from weather)"
-
-
-@query(
-    "feature_grid",
-    with_tables(
-        " union all ".join(o_grid(a, b) for a, b in known_pairs()), "weather", extra=O_STATS
-    ),
-)
-def grid(t):
-    rows = surface.feature_grid(featured(t), DEFAULT_FEATURES, known_pairs())
-    return rounded(rows.drop("x", "y"), *DEFAULT_FEATURES)
-
-
 def labelled(t: Tables) -> DataFrame:
     """Weather rows with a label, and some features missing."""
     return t.weather.select(
@@ -769,7 +825,7 @@ PLANES = ["temperature", "clouds", "ocean_depth"]
 O_PLANES = " union all ".join(
     f"""select '{a}' as feature1, '{b}' as feature2, {a} as x, {b} as y from labelled
     where label = 1 and {a} is not null and {b} is not null"""
-    for a, b in surface.feature_pairs(PLANES)
+    for a, b in [("temperature", "clouds"), ("temperature", "ocean_depth"), ("clouds", "ocean_depth")]
 )
 O_LABELLED = """labelled as (select id % 2 as label, case when clouds <> 3 then clouds end clouds,
     temperature, case when ocean_depth <> -666 then ocean_depth end ocean_depth from weather)"""
@@ -821,13 +877,21 @@ CONFIG = TrainingConfig(window=WINDOW, box=BOX, weather_order=WEATHER_ORDER, gri
 
 
 def training_rows(t: Tables) -> DataFrame:
-    """The training set; background points borrow the weather of a sighting."""
+    """The training set; background points borrow the weather of a sighting.
+
+    For every fourth one it is stored at another place, so that it is not found.
+    """
     by_id = keyed.first_per_key(t.weather, ["id"], WEATHER_ORDER).drop("lat", "lon", "date")
     by_id = by_id.withColumnRenamed("id", "source")
 
     def around(drawn: DataFrame) -> DataFrame:
         placed = drawn.select(
-            "lat", "lon", "date", (1 + 3 * F.col("id") + F.col("round")).alias("source")
+            F.when((F.col("id") + F.col("round")) % 4 == 0, F.col("lat") + 0.25)
+            .otherwise(F.col("lat"))
+            .alias("lat"),
+            "lon",
+            "date",
+            (1 + 3 * F.col("id") + F.col("round")).alias("source"),
         )
         return placed.join(by_id, "source").drop("source")
 
@@ -856,7 +920,8 @@ O_TRAINING = f"""{O_WEATHER_KEY},
     both0 as (select 1 as label, 0 as round, * from seen union all
       select 0, d.round, d.id, d.lat, d.lon, cast(date_trunc('day', d.date) as timestamp),
       {', '.join('w.' + p for p in WEATHER_PARAMETERS)}
-      from drawn d join by_id w on w.id = 1 + 3 * d.id + d.round),
+      from drawn d join by_id w on w.id = 1 + 3 * d.id + d.round
+      where (d.id + d.round) % 4 <> 0),
     both1 as (select *, year(date) y, month(date) m, label || ':' || round || ':' || id k from both0),
     {o_nearest('both1')}"""
 
@@ -877,36 +942,194 @@ def training_set(t):
     return training_rows(t)
 
 
-_TRAINED: dict[tuple[str, str], tuple[PipelineModel, DataFrame]] = {}
+O_TRAINING_TABLE = f"""{O_TRAINING}, training as (select row_number() over (order by
+    {o_draw('42:shuffle', 'label', 'round', 'id')}, label, round, id) - 1 as position, lat, lon, date,
+    {', '.join(o_clean(p) for p in WEATHER_PARAMETERS)}, coalesce(chlor_a, 0) phyto, label
+    from both1 join near using (k))"""
 
+_STORED: dict[tuple[str, str], DataFrame] = {}
+_TRAINED: dict[tuple[str, str], PipelineModel] = {}
 
-def trained(t: Tables) -> tuple[PipelineModel, DataFrame]:
-    """A small model of the folder and its stored training set, made once per application."""
+
+def training_table(t: Tables) -> DataFrame:
+    """The training set, stored once per application."""
+    key = (t.spark.sparkContext.applicationId, t.folder)
+    if key not in _STORED:
+        _STORED[key] = checkpointed(training_rows(t))
+    return _STORED[key]
+
+
+def trained(t: Tables) -> PipelineModel:
+    """The model of the folder with the settings of the plan, made once per application."""
     key = (t.spark.sparkContext.applicationId, t.folder)
     if key not in _TRAINED:
-        rows = checkpointed(training_rows(t))
-        train, _ = model.temporal_split(rows, TEST_FROM)
-        _TRAINED[key] = model.train(train, TRAINING_FEATURES, maxIter=TREES), rows
+        train, _ = model.temporal_split(training_table(t), TEST_FROM)
+        _TRAINED[key] = model.train(train, TRAINING_FEATURES)
     return _TRAINED[key]
 
 
-@query("train_score")
+# The pairs that are looked at, written out for the oracle.
+O_PAIRS = [
+    ("temperature", "ocean_depth"),
+    ("phyto", "temperature"),
+    ("phyto", "ocean_depth"),
+    ("temperature", "max_individual_wave_height"),
+    ("ocean_depth", "max_individual_wave_height"),
+    ("phyto", "max_individual_wave_height"),
+    ("temperature", "clouds"),
+    ("phyto", "clouds"),
+    ("lon", "lat"),
+    ("mean_wave_direction", "mean_period_total_swell"),
+]
+
+
+def o_grid(a: str, b: str) -> str:
+    def value(f: str) -> str:
+        return {a: "round(x, 6)", b: "round(y, 6)"}.get(f, f"round(m_{f}, 6)")
+
+    return f"""select '{a}' as feature1, '{b}' as feature2, cast(i as int) as i, cast(j as int) as j,
+        round(x, 6) x, round(y, 6) y, {', '.join(f'{value(f)} as {f}' for f in TRAINING_FEATURES)}
+        from (select *, lo_{a} + j * (hi_{a} - lo_{a}) / 49 x, lo_{b} + i * (hi_{b} - lo_{b}) / 49 y
+        from stats, range(50) u(i), range(50) v(j))"""
+
+
+O_STATS = f"{O_TRAINING_TABLE}, stats as (select " + ", ".join(
+    f"""median({f}) m_{f}, min({f}) - 1e-1 * (max({f}) - min({f})) lo_{f},
+    max({f}) + 1e-1 * (max({f}) - min({f})) hi_{f}"""
+    for f in TRAINING_FEATURES
+) + " from training)"
+O_GRID = " union all ".join(o_grid(a, b) for a, b in O_PAIRS)
+
+
+@query("feature_grid", with_tables(O_GRID, "weather", "phyto_grid", extra=O_STATS))
+def grid(t):
+    rows = surface.feature_grid(training_table(t), TRAINING_FEATURES, surface.DEFAULT_PAIRS)
+    return rounded(rows, "x", "y", *TRAINING_FEATURES)
+
+
+def valid(name: str) -> Column:
+    return F.col(name).between(0, 1)
+
+
+@query(
+    "train_score",
+    with_tables(
+        """select position, label, true as valid from training where date >= timestamp '2000-01-01'""",
+        "weather",
+        "phyto_grid",
+        extra=O_TRAINING_TABLE,
+    ),
+)
 def train_score(t):
-    fitted, rows = trained(t)
-    _, test = model.temporal_split(rows, TEST_FROM)
-    return model.score(test, fitted).select("position", LABEL, "prediction", "probability")
+    _, test = model.temporal_split(training_table(t), TEST_FROM)
+    scored = model.score(test, trained(t))
+    agrees = F.col("prediction") == (F.col("probability") > 0.5).cast("int")
+    return scored.select("position", LABEL, (valid("probability") & agrees).alias("valid"))
 
 
-@query("importance")
+@query(
+    "importance",
+    " union all ".join(f"select '{f}' as feature, true as valid, 1e0 as total" for f in TRAINING_FEATURES),
+)
 def importance(t):
-    return model.importance(trained(t)[0], t.spark)
+    found = model.importance(trained(t), t.spark)
+    total = F.round(F.sum("importance").over(Window.partitionBy(F.lit(1))), 6)
+    return found.select("feature", valid("importance").alias("valid"), total.alias("total"))
 
 
-@query("surface")
+@query(
+    "surface",
+    with_tables(
+        f"select feature1, feature2, i, j, x, y, true as valid from ({O_GRID})",
+        "weather",
+        "phyto_grid",
+        extra=O_STATS,
+    ),
+)
 def surfaces(t):
-    return surface.surfaces(*trained(t))
+    found = surface.surfaces(trained(t), training_table(t))
+    return rounded(found.withColumn("valid", valid("probability")).drop("probability"), "x", "y")
 
 
-@query("classify")
+@query(
+    "classify",
+    with_tables("select req_id, longitude, latitude, true as valid from requests", "requests"),
+)
 def classified(t):
-    return classify(t.requests, t.weather, trained(t)[0], order=WEATHER_ORDER)
+    found = classify(t.requests, t.weather, trained(t), order=WEATHER_ORDER)
+    return found.withColumn("valid", F.col("count").between(0, 100)).drop("count")
+
+
+# One tree with one split on a feature of two values has a closed form: at a leaf with mean label m
+# the probability is 1 / (1 + exp(-2 (2 m - 1))).
+
+
+def stump_rows(t: Tables) -> DataFrame:
+    """Warm and cold rows; a third of the cold and a fifth of the warm ones are positive."""
+    cold = F.col("l_linenumber") % 2 == 0
+    return t.weather.select(
+        *ROW_KEY,
+        F.when(cold, 10.0).otherwise(20.0).alias("temperature"),
+        F.lit(1.0).alias("clouds"),
+        F.when(cold, F.col("id") % 3 == 0).otherwise(F.col("id") % 5 == 0).cast("int").alias(LABEL),
+    )
+
+
+def stump(t: Tables) -> PipelineModel:
+    return model.train(stump_rows(t), ["temperature", "clouds"], maxIter=1, maxDepth=1)
+
+
+O_STUMP = """leaves as (select cold, 1 / (1 + exp(-2 * (2 * avg(cast(case when cold then id % 3 = 0 else
+    id % 5 = 0 end as int)) - 1))) p from (select id, l_linenumber % 2 = 0 cold from weather) group by cold)"""
+
+
+@query(
+    "stump_score",
+    with_tables(
+        f"""select {', '.join(ROW_KEY)}, round(p, 9) as probability, cast(p > 5e-1 as int) as prediction
+        from weather join leaves on cold = (l_linenumber % 2 = 0)""",
+        "weather",
+        extra=O_STUMP,
+    ),
+)
+def stump_score(t):
+    scored = model.score(stump_rows(t), stump(t))
+    return rounded(scored.select(*ROW_KEY, "probability", "prediction"), "probability", places=9)
+
+
+@query(
+    "stump_importance",
+    "select 'temperature' as feature, 1e0 as importance union all select 'clouds', 0e0",
+)
+def stump_importance(t):
+    return model.importance(stump(t), t.spark)
+
+
+@query(
+    "stump_classify",
+    with_tables(
+        """select req_id, longitude, latitude, cast(round_even(p * 100, 0) as int) as "count"
+        from scenario join leaves on cold = (temperature <= 15)""",
+        "weather",
+        "requests",
+        extra=f"{O_SCENARIO}, {O_STUMP}",
+    ),
+)
+def stump_classify(t):
+    return classify(t.requests, t.weather, stump(t), order=WEATHER_ORDER)
+
+
+@query(
+    "stump_evaluate",
+    with_tables(
+        """select 'train' as part, round(avg(cast((p > 5e-1) = (case when cold then id % 3 = 0 else
+        id % 5 = 0 end) as int)), 9) as accuracy from (select id, l_linenumber % 2 = 0 cold from weather)
+        join leaves using (cold)""",
+        "weather",
+        extra=O_STUMP,
+    ),
+)
+def stump_evaluate(t):
+    rows = stump_rows(t)
+    _, both = model.evaluate(stump(t), rows, rows)
+    return rounded(both.filter("part = 'train'").select("part", "accuracy"), "accuracy", places=9)

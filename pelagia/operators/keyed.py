@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pelagia.functions.dates import day as midnight
 from pelagia.functions.draws import draw
+from pelagia.sources.writers import checkpointed
 
-# Number of pieces a group is cut into for numbering its rows.
+# Rows in a piece of a group that are numbered by one task, on the average.
+PIECE_ROWS = 100_000
+# Pieces of a key whose rows are limited in two steps.
 BUCKETS = 1024
 
 
@@ -50,31 +54,34 @@ def number_rows(
     tie: Sequence[str],
     by: Sequence[str] = (),
     out: str = "position",
-    buckets: int = BUCKETS,
+    piece_rows: int = PIECE_ROWS,
 ) -> DataFrame:
     """Number the rows of every group from 0 by a draw in [0, 1), then by ``tie``.
 
     Draws are even, so equal ranges of them cut any group, and also the whole
-    frame, into even pieces. Rows are numbered within a piece, and the sizes of
-    the pieces before it are added. No task ever sorts a whole group. Grouping
-    columns must not be null. The draw must come from a key that identifies a row:
-    rows that share a draw stay together.
+    frame, into even pieces of about ``piece_rows`` rows. Rows are numbered within a piece, and
+    the sizes of the pieces before it are added. No task ever sorts a whole group. The
+    input is stored and computed once. Grouping columns must not be null. The draw must come
+    from a key that identifies a row: rows that share a draw stay together.
     """
-    cut = df.withColumn("__lot", lot).withColumn(
-        "__piece", F.floor(F.col("__lot") * buckets).cast("int")
-    )
+    stored = checkpointed(df.withColumn("__lot", lot))
+    if by:
+        counts = stored.groupBy(*by).agg(F.ceil(F.count(F.lit(1)) / piece_rows).alias("__pieces"))
+        cut = stored.join(counts, list(by)).withColumn("__piece", F.floor(F.col("__lot") * F.col("__pieces")))
+        cut = cut.drop("__pieces")
+    else:
+        cut = stored.withColumn("__piece", F.floor(F.col("__lot") * max(1, ceil(stored.count() / piece_rows))))
     piece = [*by, "__piece"]
     sizes = cut.groupBy(*piece).agg(F.count(F.lit(1)).alias("__size"))
+    # one row for each piece: without groups these are the only rows of one task
     earlier = Window.partitionBy(*by).orderBy("__piece").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(
         *piece, F.coalesce(F.sum("__size").over(earlier), F.lit(0)).alias("__start")
     )
     within = Window.partitionBy(*piece).orderBy("__lot", *tie)
     numbered = cut.withColumn("__at", F.row_number().over(within) - 1)
-    # one group has at most ``buckets`` pieces; many groups join on the piece, by
-    # which the rows are partitioned for their numbers already
     return (
-        numbered.join(starts if by else F.broadcast(starts), piece)
+        numbered.join(starts, piece)
         .withColumn(out, F.col("__start") + F.col("__at"))
         .drop("__lot", "__piece", "__start", "__at")
     )

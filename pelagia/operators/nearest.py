@@ -21,13 +21,13 @@ from pyspark.sql import functions as F
 
 from pelagia.operators import joins
 from pelagia.operators.keyed import first_per_key
+from pelagia.schemas import FILE_ORDER
 from pelagia.sources.writers import checkpointed
 
 MONTH = ("year", "month")
 
 # Up to so many distinct months of points narrow the grid down before it is read.
 MONTHS = 10_000
-LON_LIMITS = (-180.0, 180.0)
 
 
 def with_month(df: DataFrame, date: str = "date") -> DataFrame:
@@ -66,9 +66,9 @@ def nearest_grid_value(
     lat: str = "lat",
     value: str = "chlor_a",
     out: str = "phyto",
-    order: Sequence[str] = (),
+    order: Sequence[str] | None = None,
     unique: bool = False,
-    lon_bin: float = 1.0,
+    lon_bin: float | None = None,
     broadcast_rows: int = 1_000_000,
 ) -> DataFrame:
     """Add ``c_lon``, ``c_lat`` and the value of the nearest cell to every point.
@@ -76,9 +76,13 @@ def nearest_grid_value(
     Every point is kept; without a grid in its month, or without a coordinate, it
     gets nulls. ``spread`` names the columns that identify a point, ``lon`` and
     ``lat`` its coordinates; the grid's are called ``lon`` and ``lat``. ``unique``
-    says that the grid has one row per cell already. ``lon_bin`` is the bin width
-    in degrees of the first step; the second takes the mean spacing of the cells.
+    says that the grid has one row per cell already. Of duplicate cells the first by
+    ``order`` counts; by default that is the order in the file where the grid has it, and
+    else the least value. ``lon_bin`` is the bin width in degrees of the first step; by default
+    it is the mean spacing of the grid's longitudes, as it is of the latitudes in the second.
     """
+    if order is None:
+        order = FILE_ORDER if set(FILE_ORDER) <= set(grid.columns) else ()
     # n cells of a longitude are listed at most 2n times in the second step
     small = joins.has_at_most(grid, broadcast_rows // 4)
     if not small:
@@ -94,11 +98,13 @@ def nearest_grid_value(
     # names of the point's own columns never clash with the working columns
     work = points.withColumns({"__lon": _number(F.col(lon)), "__lat": _number(F.col(lat))})
 
-    # step 1: longitude
-    work = work.withColumn("__bin", _lon_bin(F.col("__lon"), lon_bin))
+    # step 1: longitude; the axis is small, and is counted, measured and joined
+    axis = checkpointed(lon_axis(cells, keys))
+    start, width, last = _axis_bins(axis, lon_bin)
+    work = work.withColumn("__bin", _lon_bin(F.col("__lon"), start, width, last))
     work = joins.lookup(
         work,
-        checkpointed(lon_intervals(cells, keys, lon_bin)),  # to be counted, then joined
+        checkpointed(lon_intervals(axis, keys, start, width, last)),
         [*keys, "__bin"],
         spread,
         condition=_holds("__lon"),
@@ -143,23 +149,35 @@ def wanted_months(points: DataFrame, grid: DataFrame, keys: Sequence[str] = MONT
     return grid
 
 
-def lon_intervals(cells: DataFrame, keys: Sequence[str], lon_bin: float) -> DataFrame:
-    """Intervals between a month's longitudes, listed by bin.
+def lon_axis(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """A month's longitudes, each with what the second step needs to know of it.
 
-    Each end carries what the second step needs to know of that longitude: its
-    least latitude, the mean spacing and the index of the last bin.
+    That is its least latitude, the mean spacing and the index of the last bin.
     """
     spacing = (F.max("g_lat") - F.min("g_lat")) / (F.count("g_lat") - 1)
-    axis = cells.groupBy(*keys, "g_lon").agg(
+    return cells.groupBy(*keys, "g_lon").agg(
         F.min("g_lat").alias("lat0"),
         F.when(F.count("g_lat") > 1, spacing).otherwise(F.lit(1.0)).alias("step"),
         (F.count("g_lat") - 1).alias("last"),
     )
+
+
+def _axis_bins(axis: DataFrame, width: float | None) -> tuple[float, float, int]:
+    """Start, width and last number of the longitude bins, from the axis of all months."""
+    seen = axis.agg(F.min("g_lon"), F.max("g_lon"), F.count_distinct("g_lon")).first()
+    if seen[0] is None:
+        return 0.0, width or 1.0, 0
+    if width is None:
+        width = (seen[1] - seen[0]) / (seen[2] - 1) if seen[2] > 1 else 1.0
+    return seen[0], width, int((seen[1] - seen[0]) // width)
+
+
+def lon_intervals(axis: DataFrame, keys: Sequence[str], start: float, width: float, last: int) -> DataFrame:
+    """Intervals between a month's longitudes, listed by bin."""
     ends = F.struct(F.col("g_lon").alias("at"), "lat0", "step", "last")
     listed = _intervals(axis, keys, "g_lon", ends)
-    lo, hi = LON_LIMITS
-    first = F.coalesce(_lon_bin(F.col("__from"), lon_bin), F.floor(F.lit(lo / lon_bin)))
-    final = F.coalesce(_lon_bin(F.col("__until"), lon_bin), F.floor(F.lit(hi / lon_bin)))
+    first = F.coalesce(_lon_bin(F.col("__from"), start, width, last), F.lit(0).cast("long"))
+    final = F.coalesce(_lon_bin(F.col("__until"), start, width, last), F.lit(last).cast("long"))
     return listed.withColumn("__bin", F.explode(F.sequence(first, final)))
 
 
@@ -223,10 +241,9 @@ def _nearer(target: str) -> Column:
     return F.when(lower, below).otherwise(above)
 
 
-def _lon_bin(lon: Column, width: float) -> Column:
-    lo, hi = LON_LIMITS
-    inside = F.when(lon < lo, F.lit(lo)).when(lon > hi, F.lit(hi)).otherwise(lon)
-    return F.floor(inside / width)
+def _lon_bin(lon: Column, start: float, width: float, last: int) -> Column:
+    at = F.floor((lon - start) / width)
+    return F.when(at < 0, F.lit(0).cast("long")).when(at > last, F.lit(last).cast("long")).otherwise(at)
 
 
 def _lat_bin(lat: Column, lat0: Column, step: Column, last: Column) -> Column:

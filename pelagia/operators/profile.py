@@ -102,17 +102,18 @@ def feature_ranges(df: DataFrame, columns: Sequence[str], padding: float = 0.1)
 
 
 def feature_medians(
-    df: DataFrame, columns: Sequence[str], accuracy: int = 1000, bins: int = 4096
+    df: DataFrame, columns: Sequence[str], accuracy: int = 1000, bins: int = 512, most: int = 100_000
 ) -> DataFrame:
     """Exact medians of many columns, the mean of the two middle values.
 
     Spark's own exact median keeps every distinct value in one task. Here quantile
-    sketches of fixed size first bracket the middle, then the rows in the
-    bracket are counted by bin, and only values of the middle bins are ranked.
+    sketches of fixed size first bracket the middle. Then the rows are counted by bins
+    of the bracket, and the bins that hold the middle become the next bracket, until it has
+    at most ``most`` rows or one value. Only what is in the last bracket is ranked.
 
     The sketches are merged in groups of tasks. The middle of all rows lies between
-    the least and the greatest middle of the groups. These brackets (two numbers
-    per column and group) are read once, as another run may differ.
+    the least and the greatest middle of the groups. Of each column two numbers per group
+    and three per bin are read.
     """
     margin = 10.0 / accuracy
     at = F.array(F.lit(max(0.0, 0.5 - margin)), F.lit(min(1.0, 0.5 + margin)))
@@ -141,60 +142,85 @@ def feature_medians(
             )
     if not found:
         return df.sparkSession.createDataFrame([], "feature string, median double")
-    values = df.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(c).alias("feature"),
-                        _value(c).alias("value"),
-                        F.lit(n).cast("long").alias("n"),
-                        F.lit(lo).alias("lo"),
-                        F.lit(hi).alias("hi"),
-                    )
-                    for c, (n, lo, hi) in found.items()
-                ]
+    state = {c: (lo, hi, None) for c, (n, lo, hi) in found.items()}
+    middle: dict[str, tuple[float, float, int, int]] = {}
+    while state:
+        for c, rows in _bin_counts(df, state, bins).items():
+            n = sum(size for size, _, _ in rows)
+            before, kept, start = 0, [], 0
+            for size, lo, hi in rows:
+                # ranks (n - 1) / 2 rounded down and up
+                if before <= n // 2 and before + size > (n - 1) // 2:
+                    start = start if kept else before
+                    kept.append((size, lo, hi))
+                before += size
+            lo, hi = min(k[1] for k in kept), max(k[2] for k in kept)
+            size, last = sum(k[0] for k in kept), state[c][2]
+            if size <= most or lo == hi or size == last:
+                middle[c] = (lo, hi, start, n)
+                del state[c]
+            else:
+                state[c] = (lo, hi, size)
+
+    listed = F.array(
+        *[
+            F.struct(
+                F.lit(c).alias("feature"),
+                _value(c).alias("value"),
+                F.lit(lo).alias("lo"),
+                F.lit(hi).alias("hi"),
+                F.lit(start).cast("long").alias("before"),
+                F.lit(n).cast("long").alias("n"),
             )
-        )
-    )
-    width = F.col("hi") - F.col("lo")
-    inner = F.floor((F.col("value") - F.col("lo")) / width * bins)
-    binned = values.filter("value <= hi").select(
-        "feature",
-        "value",
-        "n",
-        F.when(F.col("value") < F.col("lo"), F.lit(-1).cast("long"))
-        .when(width > 0, inner)
-        .otherwise(F.lit(0).cast("long"))
-        .alias("bin"),
-    )
-
-    # at most ``bins`` + 2 counts per feature
-    counts = binned.groupBy("feature", "n", "bin").agg(F.count(F.lit(1)).alias("size"))
-    before = _sum_before("size", Window.partitionBy("feature").orderBy("bin"))
-    low, high = F.floor((F.col("n") - 1) / 2), F.ceil((F.col("n") - 1) / 2)
-    middle = counts.withColumn("before", before).filter(
-        (F.col("before") <= high) & (F.col("before") + F.col("size") > low)
+            for c, (lo, hi, start, n) in middle.items()
+        ]
     )
-
-    # the bins that hold the two middle ranks: one or two per feature
     ranked = (
-        binned.drop("n")
-        .join(F.broadcast(middle), ["feature", "bin"])
-        .groupBy("feature", "n", "bin", "before", "value")
+        df.select(F.inline(listed))
+        .filter(F.col("value").between(F.col("lo"), F.col("hi")))
+        .groupBy("feature", "n", "before", "value")
         .agg(F.count(F.lit(1)).alias("copies"))
     )
-    within = Window.partitionBy("feature", "bin").orderBy("value")
-    start = F.col("before") + _sum_before("copies", within)
-    placed = ranked.withColumn("start", start)
+    within = Window.partitionBy("feature").orderBy("value")
+    placed = ranked.withColumn("start", F.col("before") + _sum_before("copies", within))
+    low, high = F.floor((F.col("n") - 1) / 2), F.floor(F.col("n") / 2)
 
     def at_rank(rank: Column) -> Column:
         here = (F.col("start") <= rank) & (rank < F.col("start") + F.col("copies"))
         return F.max(F.when(here, F.col("value")))
 
-    return placed.groupBy("feature").agg(
-        ((at_rank(low) + at_rank(high)) / 2).alias("median")
+    return placed.groupBy("feature").agg(((at_rank(low) + at_rank(high)) / 2).alias("median"))
+
+
+def _bin_counts(
+    df: DataFrame, state: dict[str, tuple], bins: int
+) -> dict[str, list[tuple[int, float, float]]]:
+    """Number, least and greatest of the values in each bin of each bracket, and beside it, in order."""
+    listed = F.array(
+        *[
+            F.struct(F.lit(c).alias("feature"), _value(c).alias("value"), F.lit(lo).alias("lo"), F.lit(hi).alias("hi"))
+            for c, (lo, hi, _) in state.items()
+        ]
+    )
+    width = F.col("hi") - F.col("lo")
+    inner = F.least(F.floor((F.col("value") - F.col("lo")) / width * bins), F.lit(bins - 1))
+    place = (
+        F.when(F.col("value") < F.col("lo"), F.lit(-1))
+        .when(F.col("value") > F.col("hi"), F.lit(bins))
+        .when(width > 0, inner)
+        .otherwise(F.lit(0))
+    )
+    counted = (
+        df.select(F.inline(listed))
+        .filter("value is not null")
+        .groupBy("feature", place.cast("int").alias("bin"))
+        .agg(F.count(F.lit(1)).alias("size"), F.min("value").alias("lo"), F.max("value").alias("hi"))
+        .collect()
     )
+    out: dict[str, list] = {c: [] for c in state}
+    for row in sorted(counted, key=lambda r: r["bin"]):
+        out[row["feature"]].append((row["size"], row["lo"], row["hi"]))
+    return out
 
 
 def _sum_before(column: str, window) -> Column:

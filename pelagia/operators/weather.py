@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime, time, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,20 +26,57 @@ def observations(df: DataFrame, names: dict[str, str] | None = None) -> DataFram
     return df.select(cast["lat"], cast["lon"], date, *[cast[n] for n in WEATHER_PARAMETERS])
 
 
-def weather_by_key(weather: DataFrame, order: Sequence) -> DataFrame:
+def keyed(weather: DataFrame) -> DataFrame:
+    """Observations with their match key, which a stored table may have already."""
+    if set(KEY) <= set(weather.columns):
+        return weather
+    if {"lat", "lon", "date"} <= set(weather.columns):
+        return with_coord_key(weather)
+    raise ValueError(f"observations need the columns {KEY} or lat, lon and date")
+
+
+def weather_by_key(weather: DataFrame, order: Sequence, one_per_key: bool = False) -> DataFrame:
     """First observation of every coordinate and day, by ``order``.
 
-    The result can be stored and passed wherever observations are asked for. It is
-    then used as it is, which spares sorting out the observations again; a
-    stream should be given such a table, as it reads it for every micro-batch.
+    The result can be stored and passed wherever observations are asked for. Columns of
+    ``order`` that such a table no longer has are left out; the parameters decide last.
+    ``one_per_key`` says that there is one observation for each key, which spares
+    sorting them out again; a stream should be given such a table, as it reads it for
+    every micro-batch.
     """
-    if set(KEY) <= set(weather.columns):
-        return weather.select(*KEY, *WEATHER_PARAMETERS)
-    depth = F.col("ocean_depth")
-    if "depth" in weather.columns:
-        depth = F.coalesce(depth, F.col("depth"))
-    keyed = with_coord_key(weather.withColumn("ocean_depth", depth))
-    return first_per_key(keyed, KEY, order).select(*KEY, *WEATHER_PARAMETERS)
+    rows = keyed(weather)
+    if "depth" in rows.columns:
+        rows = rows.withColumn("ocean_depth", F.coalesce("ocean_depth", "depth"))
+    if one_per_key:
+        return rows.select(*KEY, *WEATHER_PARAMETERS)
+    known = [c for c in order if not isinstance(c, str) or c in rows.columns]
+    ties = [c for c in WEATHER_PARAMETERS if c not in known]
+    return first_per_key(rows, KEY, [*known, *ties]).select(*KEY, *WEATHER_PARAMETERS)
+
+
+def days_between(weather: DataFrame, first, last) -> DataFrame:
+    """Observations from one day (a date) to another; the constants reach the scan."""
+    if first is None or last is None:
+        return weather.limit(0)
+    if "date" in weather.columns:
+        start, after = datetime.combine(first, time.min), datetime.combine(last + timedelta(days=1), time.min)
+        at = F.col("date")
+        return weather.filter(
+            (at >= F.lit(str(start)).cast("timestamp_ntz")) & (at < F.lit(str(after)).cast("timestamp_ntz"))
+        )
+    return weather.filter(F.col("key_day").between(F.lit(first), F.lit(last)))
+
+
+def asked_only(weather: DataFrame, asked: DataFrame) -> DataFrame:
+    """Observations of the places and days that are asked for, before any are ranked.
+
+    The first and the last day asked for are constants for the scan. A stream gets them all.
+    """
+    if asked.isStreaming:
+        return weather
+    span = asked.agg(F.min(KEY[2]), F.max(KEY[2])).first()
+    near = keyed(days_between(weather, span[0], span[1]))
+    return near.join(asked.select(*KEY).distinct(), KEY, "left_semi")
 
 
 def weather_match(
@@ -49,27 +87,32 @@ def weather_match(
     lat: str = "latitude",
     lon: str = "longitude",
     date: str = "date",
+    one_per_key: bool = False,
 ) -> DataFrame:
     """Weather of every requested place and day; ``found`` is false without one.
 
     No request is lost or repeated. Where nothing is found the parameters are
     null here and become 0 in the scenario and model rows.
     """
-    found = weather_by_key(weather, order).withColumn("found", F.lit(True))
+    asked = with_coord_key(requests, lat, lon, date)
+    near = asked_only(weather, asked)
+    found = weather_by_key(near, order, one_per_key).withColumn("found", F.lit(True))
     return (
-        joins.lookup(
-            with_coord_key(requests, lat, lon, date), found, KEY, spread, small=_is_small(weather)
-        )
+        joins.lookup(asked, found, KEY, spread, small=_is_small(weather))
         .withColumn("found", F.coalesce("found", F.lit(False)))
         .drop(*KEY)
     )
 
 
 def attach_weather(
-    points: DataFrame, weather: DataFrame, order: Sequence, spread: Sequence[str]
+    points: DataFrame,
+    weather: DataFrame,
+    order: Sequence,
+    spread: Sequence[str],
+    one_per_key: bool = False,
 ) -> DataFrame:
     """Weather of points on their day; points without any are left out."""
-    found = weather_by_key(weather, order)
+    found = weather_by_key(weather, order, one_per_key)
     return joins.lookup(
         with_coord_key(points), found, KEY, spread, how="inner", small=_is_small(weather)
     ).drop(*KEY)
@@ -89,20 +132,23 @@ def missing_keys(
 ) -> DataFrame:
     """Places and days that are asked for and not stored yet, once each."""
     asked = with_coord_key(requests, lat, lon, date).select(*KEY).distinct()
-    stored = with_coord_key(store).select(*KEY).distinct()
+    stored = keyed(store).select(*KEY).distinct()
     return asked.join(stored, KEY, "left_anti")
 
 
 def upsert(store: DataFrame, new: DataFrame, latest: Sequence[str]) -> DataFrame:
     """Store with new observations added; new replaces stored for the same key.
 
-    Among observations of one side the last by ``latest`` wins.
+    Among several new observations of a key the last by ``latest`` wins. The store may be raw
+    or keyed and keeps its columns. Its rows are neither sorted nor compared among
+    themselves: those with a new key go, the others stay as they are.
     """
-    both = store.withColumn("__new", F.lit(0)).unionByName(
-        new.withColumn("__new", F.lit(1)), allowMissingColumns=True
-    )
-    order = [F.col(c).desc() for c in ("__new", *latest)]
-    return first_per_key(with_coord_key(both), KEY, order).drop("__new", *KEY)
+    fresh = keyed(new)
+    known = [F.col(c).desc() for c in latest if c in fresh.columns]
+    ties = [F.col(c).desc() for c in WEATHER_PARAMETERS if c in fresh.columns and c not in latest]
+    fresh = first_per_key(fresh, KEY, [*known, *ties])
+    kept = keyed(store).join(keyed(new).select(*KEY).distinct(), KEY, "left_anti")
+    return kept.unionByName(fresh, allowMissingColumns=True).select(*store.columns)
 
 
 def stack(*frames: DataFrame) -> DataFrame:

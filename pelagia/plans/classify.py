@@ -25,19 +25,25 @@ def request_features(
     clean: bool = False,
     depth_delta: str = "found",
     grid: DataFrame | None = None,
+    grid_order: Sequence[str] | None = None,
+    grid_unique: bool = False,
+    one_per_key: bool = False,
 ) -> DataFrame:
     """Model rows of requests ``longitude, latitude, date, depth, d_temp, d_clouds, d_ocean``.
 
     By default found weather is used as it is stored; ``clean`` turns its missing
     marker and NaN to 0 as in training. A feature that requests do not have, such
-    as the grid value, is 0 unless ``grid`` is given.
+    as the grid value, is 0 unless ``grid`` is given; ``grid_order`` and ``grid_unique`` are
+    those of the training set. ``one_per_key`` says that the weather is keyed and has no
+    duplicates.
     """
     rows = with_month(requests)
     if grid is not None:
-        rows = nearest_grid_value(rows, grid, spread, lon="longitude", lat="latitude").drop(
-            "c_lon", "c_lat"
+        near = nearest_grid_value(
+            rows, grid, spread, lon="longitude", lat="latitude", order=grid_order, unique=grid_unique
         )
-    matched = weather_match(rows, weather, order, spread)
+        rows = near.drop("c_lon", "c_lat")
+    matched = weather_match(rows, weather, order, spread, one_per_key=one_per_key)
     if clean:
         matched = clean_features(matched, WEATHER_PARAMETERS)
     return model_rows(apply_scenario(matched), list(names), depth_delta=depth_delta)

@@ -26,12 +26,14 @@ def map_points(
     lon: str = "lon",
     lat_given: Column | None = None,
     lon_given: Column | None = None,
+    lat_text: str | None = None,
+    lon_text: str | None = None,
 ) -> DataFrame:
-    """Label of every point that has both coordinates."""
+    """Label of every point that has both coordinates, as they were written where that is kept."""
     lat_given = given(F.col(lat)) if lat_given is None else lat_given
     lon_given = given(F.col(lon)) if lon_given is None else lon_given
     return points.filter(lat_given & lon_given).withColumn(
-        "label", point_label(F.col("date"), F.col(lat), F.col(lon))
+        "label", point_label(F.col("date"), F.col(lat_text or lat), F.col(lon_text or lon))
     )
 
 

@@ -27,7 +27,7 @@ class TrainingConfig:
     window: tuple[datetime | None, datetime | None] = WINDOW
     box: Box = Box()
     weather_order: Sequence[str] = field(default_factory=lambda: ["date", *WEATHER_PARAMETERS])
-    grid_order: Sequence[str] = ()
+    grid_order: Sequence[str] | None = None  # of duplicate cells: file order where it is known
     grid_unique: bool = False
     share: int = 3  # background points per round: one for so many positives
     rounds: int = 3
@@ -54,6 +54,12 @@ def days_of_window(
 ) -> DataFrame:
     """Observations on the days that the window touches; constants reach the scan."""
     lo, hi = window
+    if "date" not in weather.columns:  # a keyed table
+        if lo is not None:
+            weather = weather.filter(F.col("key_day") >= F.lit(lo.date()))
+        if hi is not None:
+            weather = weather.filter(F.col("key_day") <= F.lit(hi.date()))
+        return weather
     if lo is not None:
         first = datetime.combine(lo.date(), time.min)
         weather = weather.filter(F.col("date") >= F.lit(str(first)).cast("timestamp_ntz"))

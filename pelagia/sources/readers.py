@@ -2,42 +2,73 @@
 
 from __future__ import annotations
 
+import csv
 import os
-from collections.abc import Sequence
+import re
+from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pelagia.functions.coords import given_variant, to_number
+from pelagia.functions.dates import has_date
 from pelagia.operators.weather import stack
-from pelagia.schemas import SIGHTING
-
-# File position columns of a raster row, in reading order.
-FILE_ORDER = ["file_block", "file_row"]
+from pelagia.schemas import FILE_ORDER, SIGHTING
 
 
 def read_sightings(spark: SparkSession, path: str | list[str], lines: bool = False) -> DataFrame:
-    """Sightings from JSON arrays, or from JSON lines.
-
-    ``raw_date`` stays a text. Coordinates may be numbers or texts; the ``_given``
-    flags tell which count for the map centre. A file holding one array is read by
-    one task, so large collections should come as lines or as many files.
+    """Sightings from JSON arrays, or from JSON lines, as ``build_training_set`` takes them.
+
+    ``id`` numbers the rows; it is the same as long as the files and their splits are.
+    ``raw_date`` stays a text. Coordinates may be numbers or texts: ``lat`` and ``lon`` are their
+    values, ``lat_text`` and ``lon_text`` what is written, and the ``_given`` flags tell
+    which count for the map centre. ``rejected_sightings`` lists those that cannot be used.
+    A file holding one array is read by one task, so large collections should come as
+    lines or as many files.
     """
     raw = spark.read.schema(SIGHTING).option("multiLine", not lines).json(path)
 
+    def text(name: str) -> Column:
+        return F.try_variant_get(name, "$", "string").alias(f"{name[:3]}_text")
+
     def number(name: str) -> Column:
-        return F.try_variant_get(name, "$", "double")
+        return F.try_variant_get(name, "$", "double").alias(name[:3])
 
     return raw.select(
+        F.monotonically_increasing_id().alias("id"),
         F.col("date").alias("raw_date"),
-        number("latitude").alias("latitude"),
-        number("longitude").alias("longitude"),
-        given_variant(F.col("latitude")).alias("latitude_given"),
-        given_variant(F.col("longitude")).alias("longitude_given"),
+        number("latitude"),
+        number("longitude"),
+        text("latitude"),
+        text("longitude"),
+        given_variant(F.col("latitude")).alias("lat_given"),
+        given_variant(F.col("longitude")).alias("lon_given"),
     )
 
 
+# Why a sighting cannot be used.
+NO_LATITUDE = "latitude is no number"
+NO_LONGITUDE = "longitude is no number"
+
+
+def rejected_sightings(
+    sightings: DataFrame, lat: str = "lat", lon: str = "lon", raw_date: str = "raw_date"
+) -> DataFrame:
+    """Dated sightings with a coordinate that is missing or no number, and the ``reason``.
+
+    The filters of the training set leave these out; sightings without a date are left out
+    by rule and are not listed.
+    """
+    reason = F.when(_missing(lat), NO_LATITUDE).when(_missing(lon), NO_LONGITUDE)
+    return sightings.filter(has_date(F.col(raw_date))).withColumn("reason", reason).filter("reason is not null")
+
+
+def _missing(name: str) -> Column:
+    return F.col(name).isNull() | F.isnan(F.col(name).cast("double"))
+
+
 def read_observation_parts(spark: SparkSession, path: str) -> DataFrame:
     """Stack CSV parts by column name, without their first (index) column.
 
@@ -59,17 +90,14 @@ def read_observation_parts(spark: SparkSession, path: str) -> DataFrame:
     return stack(*parts)
 
 
-def raster_month(name: str) -> tuple[int, int] | None:
-    """Year and month in a raster's file name, or None if it has none.
+# Names of raster files: sensor, first and last day, anything, and the ending.
+RASTER_NAME = r"^[^.]*\.([0-9]{4})([0-9]{2})[^.]*\.(?:.*\.)?csv$"
 
-    Names look like ``SENSOR.YYYYMMDD_YYYYMMDD.rest.csv``.
-    """
-    pieces = name.split(".")
-    if len(pieces) < 2 or not name.endswith(".csv"):
-        return None
-    start = pieces[1].split("_")[0]
-    year, month = start[:4], start[4:6]
-    return (int(year), int(month)) if year.isdigit() and month.isdigit() else None
+
+def raster_month(name: str) -> tuple[int, int] | None:
+    """Year and month in a raster's file name, or None if it has none."""
+    found = re.match(RASTER_NAME, name)
+    return (int(found[1]), int(found[2])) if found else None
 
 
 def month_files(paths: Sequence[str]) -> list[str]:
@@ -82,13 +110,18 @@ def month_files(paths: Sequence[str]) -> list[str]:
     return list(chosen.values())
 
 
-def read_monthly_grid(spark: SparkSession, folder: str) -> DataFrame:
-    """Cells of all monthly rasters in a folder, with year and month.
+def read_monthly_grid(
+    spark: SparkSession, folder: str, months: Iterable[tuple[int, int]] | None = None
+) -> DataFrame:
+    """Cells of the monthly rasters in a folder, with year and month.
 
-    Cells that are no numbers, and rows with any empty column, are dropped. Files
+    With ``months`` only the files of these years and months are opened. Cells that are no numbers, and rows with any empty column, are dropped. Files
     with other names are skipped. ``FILE_ORDER`` gives the order within a file.
     """
     files = month_files(_files(spark, os.path.join(folder, "*.csv")))
+    if months is not None:
+        wanted = set(months)
+        files = [f for f in files if raster_month(os.path.basename(f)) in wanted]
     groups = _csv_by_header(spark, files, marker="lon")
     if not groups:
         raise FileNotFoundError(f"no raster files in {folder}")
@@ -97,11 +130,11 @@ def read_monthly_grid(spark: SparkSession, folder: str) -> DataFrame:
         absent = {"lon", "lat", "chlor_a"} - set(df.columns)
         if absent:
             raise ValueError(f"raster without columns {sorted(absent)}")
-        month = F.split(F.col("_metadata.file_name"), r"\.")[1]
+        name = F.col("_metadata.file_name")
         placed = df.select(
             "*",
-            F.substring(month, 1, 4).cast("int").alias("year"),
-            F.substring(month, 5, 2).cast("int").alias("month"),
+            F.regexp_extract(name, RASTER_NAME, 1).cast("int").alias("year"),
+            F.regexp_extract(name, RASTER_NAME, 2).cast("int").alias("month"),
             F.col("_metadata.file_block_start").alias(FILE_ORDER[0]),
             F.monotonically_increasing_id().alias(FILE_ORDER[1]),
         )
@@ -142,21 +175,32 @@ def _files(spark: SparkSession, path: str) -> list[str]:
         raise
 
 
+def _first_lines(spark: SparkSession, files: list[str]) -> list[str]:
+    """The first line of every file, and nothing else of it."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+
+    def first(file: str) -> str:
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
+        stream = path.getFileSystem(conf).open(path)
+        try:
+            return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine() or ""
+        finally:
+            stream.close()
+
+    with ThreadPoolExecutor(16) as pool:
+        return list(pool.map(first, files))
+
+
 def _csv_by_header(spark: SparkSession, files: list[str], marker: str) -> list[DataFrame]:
     """One frame for every distinct header, read with that header as its columns.
 
-    A single read of files with different headers would match columns by position.
-    Header lines are those that name the column ``marker``.
+    A single read of files with different headers would match columns by position. The
+    header is a file's first line; headers that differ in quotes only are the same.
     """
-    if not files:
-        return []
-    lines = spark.read.text(files)
-    header = F.col("value").rlike(rf'(^|,)"?{marker}"?(,|\r?$)')
-    found = lines.filter(header).select("_metadata.file_path", "value").distinct().collect()
-    groups: dict[str, list[str]] = {}
-    for row in found:
-        groups.setdefault(row["value"], []).append(row["file_path"])
-    named = {row["file_path"] for row in found}
-    if len(named) < len(files):
-        raise ValueError(f"{len(files) - len(named)} of {len(files)} files have no column {marker}")
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for file, line in zip(files, _first_lines(spark, files), strict=True):
+        groups.setdefault(tuple(next(csv.reader([line]), ())), []).append(file)
+    bad = sum(len(group) for names, group in groups.items() if marker not in names)
+    if bad:
+        raise ValueError(f"{bad} of {len(files)} files have no column {marker}")
     return [spark.read.option("header", True).csv(sorted(group)) for group in groups.values()]

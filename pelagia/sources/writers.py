@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
 def write_table(
@@ -24,20 +24,24 @@ def write_table(
     writer.save(path)
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Store a frame that is used several times in the session's checkpoint folder.
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder in the one that ``spark.checkpoint.dir`` names; raises without it.
 
-    The folder is the shared one that ``spark.checkpoint.dir`` names. Without it a
-    local session takes a temporary folder, and on a cluster the frame comes back
-    as it is and is computed again for each use.
+    Spark removes the folder when the application ends.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder and context.master.startswith("local"):
-            folder = tempfile.mkdtemp(prefix="pelagia-")
-        if not folder:
-            return df
-        context.setCheckpointDir(folder)
-    return df.checkpoint()
+    top = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not top:
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    path = f"{top.rstrip('/')}/pelagia-{uuid.uuid4().hex}"
+    jvm = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = jvm.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(jvm)
+    system.deleteOnExit(jvm)
+    return path
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Store a frame that is used several times in the shared folder, and read it from there."""
+    path = shared_folder(df.sparkSession) + "/table"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -14,7 +14,7 @@ def read_request_stream(spark: SparkSession, folder: str, files_per_batch: int =
     """JSON request lines from files as they arrive: ``req_id, value``.
 
     The id is the hash of the text and its file, so that a batch which runs
-    again gives the same ids.
+    again gives the same ids. Equal lines of one file share an id; each is scored.
     """
     lines = spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(folder)
     return lines.select(

@@ -127,7 +127,19 @@ def test_random_grids(spark, seed):
     assert run(spark, points, cells) == expected(points, cells)
 
 
-@pytest.mark.parametrize("lon_bin", [0.25, 7.5])
+def test_axis_from_0_to_360_has_few_intervals_in_a_bin(spark):
+    """By default a bin is as wide as the grid's longitudes lie apart, wherever they lie."""
+    from pelagia.operators import nearest
+
+    cells = spark.range(720).select(
+        F.lit(2020).alias("year"), F.lit(1).alias("month"), (F.col("id") / 2).alias("g_lon"), F.lit(0.0).alias("g_lat")
+    )
+    axis = nearest.lon_axis(cells, nearest.MONTH)
+    listed = nearest.lon_intervals(axis, nearest.MONTH, *nearest._axis_bins(axis, None))
+    assert listed.groupBy("__bin").count().agg(F.max("count")).head()[0] <= 3
+
+
+@pytest.mark.parametrize("lon_bin", [0.25, 7.5, None])
 def test_random_grids_by_shuffle_with_crowded_points(shuffled, lon_bin):
     points, cells = random_case(4)
     df = shuffled.createDataFrame(points, POINT)

@@ -33,14 +33,14 @@ def test_sample_beyond_the_limit_of_the_optimizer(spark):
 
 
 def test_numbers_are_complete_and_do_not_depend_on_partitions(spark):
-    def numbered(parts, buckets):
+    def numbered(parts, piece_rows):
         df = spark.range(0, 700, 1, parts)
-        rows = keyed.number_rows(df, keyed.draw(3, F.col("id")), ["id"], buckets=buckets).collect()
+        rows = keyed.number_rows(df, keyed.draw(3, F.col("id")), ["id"], piece_rows=piece_rows).collect()
         return [r["id"] for r in sorted(rows, key=lambda r: r["position"])], {r["position"] for r in rows}
 
-    order, places = numbered(1, 16)
+    order, places = numbered(1, 44)
     assert places == set(range(700)) and order != sorted(order)
-    assert numbered(4, 16)[0] == numbered(16, 1)[0] == numbered(16, 512)[0] == order
+    assert numbered(4, 44)[0] == numbered(16, 700)[0] == numbered(16, 1)[0] == order
 
 
 def test_daily_batches_of_a_crowded_day(spark):
@@ -112,6 +112,48 @@ def test_upsert(spark):
     assert sorted(r["temperature"] for r in got.collect()) == [11.0, 30.0, 40.0]
 
 
+def test_upsert_of_nothing_changes_nothing(spark):
+    raw = observed(spark, (9, 1.0, 2.0, "2020-01-01", 10), (1, 5.0, 5.0, "2020-01-01", 11))
+    for store in (raw, weather.weather_by_key(raw, ["n"])):
+        got = weather.upsert(store, raw.limit(0), ["n"])
+        assert got.columns == store.columns
+        assert sorted(map(str, got.collect())) == sorted(map(str, store.collect()))
+    with pytest.raises(ValueError, match="key_lat"):
+        weather.upsert(raw.drop("lat"), raw, ["n"])
+
+
+def test_keyed_store(spark, tmp_path):
+    raw = observed(spark, (9, 1.0, 2.0, "2020-01-01", 10), (1, 5.0, 5.0, "2020-01-03", 11))
+    weather.weather_by_key(raw, ["n"]).write.parquet(str(tmp_path / "store"))
+    store = spark.read.parquet(str(tmp_path / "store"))
+    new = observed(spark, (1, 1.0, 2.0, "2020-01-01", 20))
+    assert sorted(r["temperature"] for r in weather.upsert(store, new, ["n"]).collect()) == [11.0, 20.0]
+    plan = weather.upsert(store, new, ["n"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window") <= 2 and "LeftAnti" in plan
+    asked = spark.sql("select 1 req_id, 1d latitude, 2d longitude, timestamp_ntz'2020-01-01 09:00:00' date")
+    assert weather.missing_keys(asked, store).isEmpty()
+    # twice the same keys: one answer for each request
+    twice = store.unionByName(store)
+    assert weather.weather_match(asked, twice, ["date"], ["req_id"]).count() == 1
+
+
+def test_only_asked_days_are_read(spark, tmp_path):
+    raw = observed(spark, (9, 1.0, 2.0, "2020-01-01", 10), (1, 5.0, 5.0, "2020-01-03", 11))
+    asked = spark.sql("select 1 req_id, 1d latitude, 2d longitude, timestamp_ntz'2020-01-01 09:00:00' date")
+    for name, df, pushed in (
+        ("raw", raw, "GreaterThanOrEqual(date,2020-01-01T00:00)"),
+        ("keyed", weather.weather_by_key(raw, ["n"]), "(key_day,2020-01-01)"),
+    ):
+        df.write.parquet(str(tmp_path / name))
+        stored = spark.read.parquet(str(tmp_path / name))
+        got = weather.weather_match(asked, stored, ["date"], ["req_id"])
+        spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+        assert pushed in plan
+        assert got.head()["temperature"] == 10.0
+
+
 def test_stack_keeps_duplicates(spark):
     a, b = spark.sql("select 1 x, 2 y"), spark.sql("select 3 z, 1 x")
     rows = sorted(map(str, weather.stack(a, b, a).select("x", "y", "z").collect()))
@@ -155,8 +197,8 @@ def test_medians(spark, n):
         for i in range(n)
     ]
     df = spark.createDataFrame(rows, "a double, b double, c double, d double")
-    for accuracy, bins in ((10_000, 4096), (20, 3)):
-        got = profile.feature_medians(df, ["a", "b", "c", "d"], accuracy, bins)
+    for accuracy, bins, most in ((10_000, 4096, 1000), (20, 3, 1000), (20, 3, 1)):
+        got = profile.feature_medians(df, ["a", "b", "c", "d"], accuracy, bins, most)
         want = {
             "a": statistics.median(r[0] for r in rows),
             "b": statistics.median(r[1] for r in rows),
@@ -165,6 +207,24 @@ def test_medians(spark, n):
         assert {r["feature"]: r["median"] for r in got.collect()} == pytest.approx(want, abs=1e-12)
 
 
+def test_median_of_a_heavy_tail_in_sorted_parts(spark, monkeypatch):
+    """The last bracket is small, wherever the sketches put the first one."""
+    df = spark.range(0, 40_000, 1, 8).select(F.exp(F.col("id") / 2000).alias("a"))
+    seen = []
+    counted = profile._bin_counts
+
+    def spy(df, state, bins):
+        out = counted(df, state, bins)
+        seen.append(out["a"])
+        return out
+
+    monkeypatch.setattr(profile, "_bin_counts", spy)
+    got = profile.feature_medians(df, ["a"], most=100).head()["median"]
+    values = [r["a"] for r in df.collect()]
+    assert got == statistics.median(values)
+    assert len(seen) > 1 and max(size for size, lo, hi in seen[-1] if lo <= got <= hi) <= 100
+
+
 def test_profiles(spark):
     df = spark.createDataFrame([(0.0, 1.0), (4.0, None), (float("nan"), 3.0)], "x double, y double")
     assert [tuple(r) for r in profile.feature_ranges(df, ["x", "y"]).collect()] == [

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pelagia.operators.nearest import one_row_per_cell
+from pelagia.plans.map_summary import map_points
 from pelagia.schemas import OBSERVATION
 from pelagia.sources import readers, requests
 from pelagia.sources.writers import checkpointed, write_table
@@ -20,12 +21,41 @@ def test_sightings(spark, tmp_path):
     (tmp_path / "a.json").write_text(json.dumps(rows))
     (tmp_path / "b.jsonl").write_text("\n".join(map(json.dumps, rows)))
     for path, lines in ((tmp_path / "a.json", False), (tmp_path / "b.jsonl", True)):
-        got = [tuple(r) for r in readers.read_sightings(spark, str(path), lines).collect()]
-        assert got == [
-            ("Mon, 05 Jan 2021 10:00:00 GMT", 1.5, -20.25, True, True),
-            ("", 0.0, 0.0, False, True),
-            (None, None, None, True, False),
+        df = readers.read_sightings(spark, str(path), lines)
+        assert [tuple(r)[1:] for r in df.collect()] == [
+            ("Mon, 05 Jan 2021 10:00:00 GMT", 1.5, -20.25, "1.5", "-20.25", True, True),
+            ("", 0.0, 0.0, "0", "0", False, True),
+            (None, None, None, "x", None, True, False),
         ]
+        assert df.select("id").distinct().count() == 3
+
+
+def test_rejected_sightings(spark, tmp_path):
+    day = "Mon, 05 Jan 2021 10:00:00 GMT"
+    rows = [(day, 1, 2), (day, "north", 2), (day, 1, None), ("", None, None), (day, "x", "y")]
+    text = [json.dumps(dict(zip(("date", "latitude", "longitude"), r))) for r in rows]
+    (tmp_path / "a.jsonl").write_text("\n".join(text))
+    bad = readers.rejected_sightings(readers.read_sightings(spark, str(tmp_path / "a.jsonl"), True))
+    assert sorted((r["lat_text"] or "", r["reason"]) for r in bad.collect()) == [
+        ("1", readers.NO_LONGITUDE),
+        ("north", readers.NO_LATITUDE),
+        ("x", readers.NO_LATITUDE),
+    ]
+
+
+def test_label_shows_what_was_written(spark, tmp_path):
+    (tmp_path / "a.jsonl").write_text('{"date": "x", "latitude": 12, "longitude": "-20.50"}')
+    points = readers.read_sightings(spark, str(tmp_path / "a.jsonl"), True).withColumn("date", F.lit("d"))
+    shown = map_points(points, lat_text="lat_text", lon_text="lon_text").head()["label"]
+    assert shown.endswith("(12, -20.50)")
+
+
+def test_repeated_and_quoted_headers(spark, tmp_path):
+    (tmp_path / "S.20200101_20200131.a.csv").write_text('lon,lat,chlor_a\n1,2,0.5\n"lon","lat","chlor_a"\n3,4,0.25\n')
+    (tmp_path / "S.20200201_20200229.a.csv").write_text('"lon","lat","chlor_a"\n1,2,0.5\n')
+    assert readers.read_monthly_grid(spark, str(tmp_path)).count() == 3
+    some = readers.read_monthly_grid(spark, str(tmp_path), months=[(2020, 2), (1999, 1)])
+    assert [f.rsplit("/", 1)[1] for f in some.inputFiles()] == ["S.20200201_20200229.a.csv"]
 
 
 def test_weather_parts_with_different_headers(spark, tmp_path):
@@ -106,8 +136,7 @@ def test_write_and_read_tables(spark, tmp_path):
 def test_checkpoint_goes_to_the_session_folder(spark):
     kept = checkpointed(spark.range(5))
     assert kept.count() == 5
-    folder = spark.sparkContext.getCheckpointDir()
-    assert spark.conf.get("spark.checkpoint.dir") in folder
+    assert all(spark.conf.get("spark.checkpoint.dir") in f for f in kept.inputFiles())
 
 
 def parse(spark, *bodies):
@@ -119,22 +148,22 @@ def points(df):
     return [(r["longitude"], r["latitude"]) for r in df.orderBy("req_id", "pos").collect()]
 
 
-DATE = ', "date": "2023-01-05T00:00:00"}'
+DATE = ', "date": "2021-08-19T00:00:00"}'
 
 
 @pytest.mark.parametrize(
     "coords",
     [
-        '{"coords": [[-120.0, 34.0], [-130.0, 30.0]]',
-        '{"coordinates": [["-120", "34"], [-130, 30, 7]]',
-        '{"coords": [{"longitude": -120, "latitude": 34}, {"lon": "-130", "lat": 30}]',
-        '{"coords": [{"longitude": null, "x": -120, "y": 34}, {"x": -130, "lat": 30}]',
-        '{"coords": {"z": [-120, 34], "a": [-130, 30]}',
+        '{"coords": [[17.0, -8.0], [-63.5, 41.0]]',
+        '{"coordinates": [["17", "-8"], [-63.5, 41, 7]]',
+        '{"coords": [{"longitude": 17, "latitude": -8}, {"lon": "-63.5", "lat": 41}]',
+        '{"coords": [{"longitude": null, "x": 17, "y": -8}, {"x": -63.5, "lat": 41}]',
+        '{"coords": {"z": [17, -8], "a": [-63.5, 41]}',
     ],
 )
 def test_coordinate_shapes(spark, coords):
     got = requests.accepted(parse(spark, coords + DATE))
-    assert points(got) == [(-120.0, 34.0), (-130.0, 30.0)]
+    assert points(got) == [(17.0, -8.0), (-63.5, 41.0)]
 
 
 def test_request_fields(spark):
@@ -147,7 +176,7 @@ def test_request_fields(spark):
         2.0,
         0.5,
     )
-    assert str(row["date"]) == "2023-01-05 00:00:00"
+    assert str(row["date"]) == "2021-08-19 00:00:00"
     bare = requests.accepted(parse(spark, '{"coords": [[1, 2]]' + DATE)).head()
     assert (bare["depth"], bare["d_temp"], bare["view"]) == (None, None, None)
 
