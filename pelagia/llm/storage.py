@@ -1,31 +1,6 @@
 """Written tables in the shared folder, which survive lost executors and are computed once."""
 
-from __future__ import annotations
+from pelagia.sources.writers import checkpointed as stored
+from pelagia.sources.writers import shared_folder
 
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder in the one that ``spark.checkpoint.dir`` names; raises without it.
-
-    Spark removes the folder when the application ends.
-    """
-    top = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not top:
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    path = f"{top.rstrip('/')}/pelagia-{uuid.uuid4().hex}"
-    jvm = spark._jvm.org.apache.hadoop.fs.Path(path)
-    system = jvm.getFileSystem(spark._jsc.hadoopConfiguration())
-    system.mkdirs(jvm)
-    system.deleteOnExit(jvm)
-    return path
-
-
-def stored(df: DataFrame) -> DataFrame:
-    """Write a frame that is used several times as Parquet, and read it from there."""
-    spark = df.sparkSession
-    path = shared_folder(spark) + "/table"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+__all__ = ["shared_folder", "stored"]
