@@ -30,6 +30,8 @@ LABELLED = 40_000
 # Features of the model, and in how many of these rows one has to be.
 FEATURES = 2048
 LEAST_ROWS = 5
+# Features with less evidence (half the likelihood ratio) are left out.
+LEAST_GAIN = 3.0
 # Word beginnings of these lengths in bytes are features beside whole words.
 BEGINNINGS = (3, 4, 5, 6, 7, 8)
 
@@ -263,7 +265,7 @@ def _fit(rows: np.ndarray, found: np.ndarray, label: np.ndarray, width: int) ->
     for _ in range(800):
         z = b + np.bincount(rows, weights=w[found], minlength=len(label))
         error = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - label
-        dw = np.bincount(found, weights=error[rows], minlength=width) / n + 1e-5 * w
+        dw = np.bincount(found, weights=error[rows], minlength=width) / n + 1e-4 * w
         db = error.sum() / n
         gw += dw * dw
         gb += db * db
@@ -319,7 +321,8 @@ def fit(documents: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> To
     counted = rows.mapInArrow(count, "h long, n long, bad long").groupBy("h").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     p = (F.col("bad") + 0.5) / (F.col("n") + 1)
     gain = F.col("bad") * F.log(p / (share + 1e-9)) + (F.col("n") - F.col("bad")) * F.log((1 - p) / (1 - share + 1e-9))
-    best = counted.filter(F.col("n") >= LEAST_ROWS).orderBy(gain.desc(), "h").limit(FEATURES).select("h").toPandas()
+    clear = counted.filter((F.col("n") >= LEAST_ROWS) & (gain > LEAST_GAIN))
+    best = clear.orderBy(gain.desc(), "h").limit(FEATURES).select("h").toPandas()
     hashes = np.sort(best["h"].to_numpy(dtype=np.int64).view(np.uint64))
     model = ToxicityModel(chars, hashes, np.zeros(len(hashes)), 0.0)
     sent_model = documents.sparkSession.sparkContext.broadcast(model)
