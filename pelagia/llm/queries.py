@@ -84,7 +84,45 @@ QUERIES = {
     "op10_source_mix": op10_source_mix,
 }
 
+# Components of the graph with the columns a and b, both ways, of the table links.
+_REACH = """
+        reach as (select id, id other from nodes
+            union select r.id, l.b from reach r join links l on l.a = r.other),
+        least as (select id, min(other) component_id from reach group by id)"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op1_itq_dedup": f"""
+        with recursive fine as (
+            select vec_id, label, cast(embedding as double[]) v from embeddings
+            where label is not null and len(embedding) > 0
+              and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0
+              and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+        links as (
+            select p.vec_id a, q.vec_id b from fine p join fine q
+            on p.label = q.label and p.vec_id <> q.vec_id and len(p.v) = len(q.v)
+            and list_cosine_similarity(p.v, q.v) >= 98e-2),
+        nodes as (select vec_id id from embeddings),{_REACH}
+        select vec_id, cast(coalesce(n, 0) as bigint) n_links, component_id, vec_id = component_id kept
+        from embeddings join least on vec_id = id left join (select a, count(*) n from links group by a) on vec_id = a""",
+    "op5_jaccard_join": f"""
+        with recursive texts as (
+            select doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') w from documents),
+        shingles as (
+            select distinct doc_id, unnest(case when len(w) >= 5
+                then list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+                when len(w) > 0 then [array_to_string(w, ' ')] else [] end) s from texts),
+        sizes as (select doc_id, count(*) n from shingles group by doc_id),
+        common as (
+            select p.doc_id a, q.doc_id b, count(*) c from shingles p join shingles q
+            on p.s = q.s and p.doc_id <> q.doc_id group by all),
+        links as (
+            select a, b from common join sizes x on x.doc_id = a join sizes y on y.doc_id = b
+            where 100 * c >= 80 * (x.n + y.n - c)),
+        nodes as (select doc_id id from documents),{_REACH}
+        select d.doc_id, cast(coalesce(n, 0) as bigint) n_shingles, component_id,
+               d.doc_id = component_id kept
+        from documents d join least on d.doc_id = id left join sizes z on z.doc_id = d.doc_id""",
     "op7_warc": """
         with p as (
             select page_id, coalesce(html, '') html,
