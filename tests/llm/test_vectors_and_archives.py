@@ -11,6 +11,7 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -204,7 +205,7 @@ def test_oracle(spark, name):
 
     def plain(value):
         """Whole numbers alike, whether or not the column had nulls."""
-        return None if value is None or value != value else int(value) if isinstance(value, float) else value
+        return None if pd.isna(value) else int(value) if isinstance(value, float) else value
 
     rows = [sorted(str([plain(v) for v in r]) for r in df[names].itertuples(index=False)) for df in (got, want)]
     assert rows[0] == rows[1]
