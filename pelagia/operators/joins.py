@@ -16,8 +16,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# No shuffle partition should get more than about 1/PIECES of the left rows.
+# No shuffle partition should get more than about 1/PIECES of the left rows, or less where there
+# are more partitions, up to the second number.
 PIECES = 256
+MOST_PIECES = 10_000
 
 # Groups of tasks whose sketches are merged, so that no single task merges all of them.
 GROUPS = 64
@@ -70,7 +72,7 @@ def lookup(
     condition: Column | None = None,
     small: bool | None = None,
     broadcast_rows: int = BROADCAST_ROWS,
-    pieces: int = PIECES,
+    pieces: int | None = None,
 ) -> DataFrame:
     """Equi-join on ``keys``, optionally with a further condition.
 
@@ -95,6 +97,9 @@ def lookup(
     if left.isStreaming:  # a micro-batch is bounded, and has no totals to take
         return _join(left, right, keys, condition, how)
 
+    if pieces is None:
+        partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        pieces = min(max(PIECES, partitions), MOST_PIECES)
     hot = frequent_keys(left, keys, pieces)
     if not hot:
         return _join(left, right, keys, condition, how)
