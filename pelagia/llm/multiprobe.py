@@ -232,8 +232,11 @@ def nearest(vectors: DataFrame, every: int = 50, k: int = 5) -> DataFrame:
             F.size("embedding").alias("dim"),
         )
     )
-    buckets = max(1, round(rows.count() * TABLES / BUCKET))
-    queries = rows.filter(F.col("vec_id") % every == 0).dropDuplicates(["vec_id"])
+    total = rows.count()
+    buckets = max(1, round(total * TABLES / BUCKET))
+    # Few bytes, but much to do for each: so many tasks on purpose.
+    tasks = max(1, total // every // QUERIES)
+    queries = rows.filter(F.col("vec_id") % every == 0).dropDuplicates(["vec_id"]).repartition(tasks, "vec_id")
     index = stored(_indexed(rows, buckets))
     found = stored(_merged(_best(index, _probed(queries, buckets, _likely_cosine(rows, k)), k), k))
     counts = found.groupBy(F.col("query_id").alias("vec_id")).agg(F.count("*").alias("n"))
