@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from pelagia.llm.blocks import grouped, in_groups
 from pelagia.llm.storage import stored
-from pelagia.llm.textbytes import LOWER, SPACE, mix, pieces, range_hashes, word_bounds
+from pelagia.llm.textbytes import LOWER, SPACE, Places, mix, pieces, range_hashes, word_bounds
 
 # Context lengths in bytes, 0 for the word, and the logarithm of the number of cells of each.
 ORDERS = (1, 2, 3, 4, 5, 0)
@@ -51,7 +51,10 @@ FLAG = 2.0**-12
 # Words whose counts are sent to all tasks: the most frequent ones, at most so many.
 FREQUENT = 1 << 18
 # Entries in a bucket, on the average.
-BUCKET = 1 << 20
+BUCKET = 1 << 19
+# Bytes of text that are worked on at a time, and different states or words that a task holds.
+PIECE = 1 << 19
+HELD = 1 << 20
 
 # A count n is kept as 8 log2(1 + n), in a byte.
 _SEEN = 2.0 ** (np.arange(256) / 8) - 1
@@ -247,12 +250,73 @@ def states_in_parts(data: np.ndarray, ends: np.ndarray, size: int = 1 << 18) ->
 
 def _different(runs: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Number of the state at each place, and a place of each state."""
-    codes, found = pd.factorize(mix(words ^ runs * np.uint64(0x9E3779B97F4A7C15)))
+    codes, found = pd.factorize(_names(runs, words))
     place = np.empty(len(found), dtype=np.int64)
     place[codes] = np.arange(len(codes))
     return codes, place
 
 
+def _names(runs: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """A number for each state, not 0."""
+    return np.maximum(mix(words ^ runs * np.uint64(0x9E3779B97F4A7C15)), np.uint64(1))
+
+
+class Known:
+    """Logarithms of states that a task has worked out, forgotten when there are too many."""
+
+    def __init__(self, model: Model):
+        self.model = model
+        self._forget()
+
+    def _forget(self) -> None:
+        self.places, self.values, self.used = Places(4 * HELD), np.zeros(2 * HELD), 0
+
+    def log2(self, runs: np.ndarray, words: np.ndarray) -> np.ndarray:
+        """The logarithm at every place of a text."""
+        codes, place = _different(runs, words)
+        runs, words = runs[place], words[place]
+        if len(runs) > 2 * HELD:
+            return self._new(runs, words)[codes]
+        names = _names(runs, words)
+        if self.used + len(names) > 2 * HELD:
+            self._forget()
+        at = self.places.find(names)
+        new = np.flatnonzero(at < 0)
+        at[new] = np.arange(self.used, self.used + len(new))
+        self.values[at[new]] = self._new(runs[new], words[new])
+        self.places.enter(names[new], at[new].astype(np.int32))
+        self.used += len(new)
+        return self.values[at][codes]
+
+    def _new(self, runs: np.ndarray, words: np.ndarray) -> np.ndarray:
+        bits = self.model.log2(runs, words)
+        # A zero byte is an end or, with a flag of its own, part of the text.
+        bits[(runs & np.uint64(255)) == 0] += math.log2(FLAG)
+        return bits
+
+
+class Tally:
+    """Counts by key, up to ``HELD`` keys."""
+
+    def __init__(self):
+        self.places, self.used = Places(2 * HELD), 0
+        self.keys, self.counts = np.zeros(HELD, dtype=np.uint64), np.zeros(HELD, dtype=np.int64)
+
+    def room(self, keys: np.ndarray) -> bool:
+        return self.used + len(keys) <= HELD
+
+    def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
+        """Add counts of different keys, of which there is room for all."""
+        names = np.maximum(mix(keys), np.uint64(1))
+        at = self.places.find(names)
+        old, new = np.flatnonzero(at >= 0), np.flatnonzero(at < 0)
+        self.counts[at[old]] += counts[old]
+        own = np.arange(self.used, self.used + len(new))
+        self.keys[own], self.counts[own] = keys[new], counts[new]
+        self.places.enter(names[new], own.astype(np.int32))
+        self.used += len(new)
+
+
 def _word_hashes(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words and where each text's begin. The end of a text is no word here."""
     data = LOWER[data]
@@ -265,7 +329,8 @@ _COUNTED = np.dtype([("key", "<u8"), ("n", "<u4")])
 _MOST = (1 << 32) - 1
 
 
-def _added(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _added(keys: np.ndarray, counts: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """Different keys and the sums of their counts, or how often each comes."""
     codes, distinct = pd.factorize(keys)
     return np.asarray(distinct, dtype=np.uint64), np.bincount(codes, weights=counts, minlength=len(distinct)).astype(np.int64)
 
@@ -298,30 +363,23 @@ def corpus_counts(texts: DataFrame, buckets: int) -> DataFrame:
     """
 
     def count(batches):
-        held: dict[int, list] = {RUNS: [], WORDS: [], STARTS: []}
-
-        def flush():
-            for kind, parts in held.items():
-                if parts:
-                    keys, counts = _added(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]))
-                    yield _blobs(kind, keys, counts, buckets)
-                parts.clear()
-
-        size = 0
+        held = {kind: Tally() for kind in (RUNS, WORDS, STARTS)}
         for batch in batches:
-            for _, _, data, ends in pieces(batch.column(0), 4 << 20):
+            for _, _, data, ends in pieces(batch.column(0), PIECE):
                 runs, begun, _ = states_in_parts(data, ends)
-                held[RUNS].append(_added(runs, np.ones(len(runs))))
-                begun |= runs & np.uint64(255)
-                held[STARTS].append(_added(begun, np.ones(len(begun))))
                 words, _ = _word_hashes(data, ends)
-                if len(words):
-                    held[WORDS].append(_added(words, np.ones(len(words))))
-                size += len(data)
-                if size > 32 << 20:
-                    yield from flush()
-                    size = 0
-        yield from flush()
+                for kind, found in ((RUNS, runs), (WORDS, words), (STARTS, begun | runs & np.uint64(255))):
+                    keys, counts = _added(found, None)
+                    if not held[kind].room(keys) and held[kind].used:
+                        yield _blobs(kind, held[kind].keys[: held[kind].used], held[kind].counts[: held[kind].used], buckets)
+                        held[kind] = Tally()
+                    if held[kind].room(keys):
+                        held[kind].add(keys, counts)
+                    else:
+                        yield _blobs(kind, keys, counts, buckets)
+        for kind, tally in held.items():
+            if tally.used:
+                yield _blobs(kind, tally.keys[: tally.used], tally.counts[: tally.used], buckets)
 
     def add(batches):
         for table in grouped(batches, ["kind", "bucket"]):
@@ -552,18 +610,15 @@ def lm_scores(documents: DataFrame) -> DataFrame:
         part, at = TaskContext.get().partitionId() << 33, 0
         model.cells = cells.value
         model.fixed()
+        known = Known(model)
         top, top_n = frequent.value
         top_score = np.log10((top_n + 0.5) / below)
         for batch in batches:
-            for a, b, data, borders in pieces(batch.column("text"), 8 << 20):
+            for a, b, data, borders in pieces(batch.column("text"), PIECE):
                 rows = part + at + np.arange(b - a)
                 at += b - a
                 runs, begun, first = states_in_parts(data, borders)
-                codes, place = _different(runs, begun)
-                bits = model.log2(runs[place], begun[place])
-                # A zero byte is an end or, with a flag of its own, part of the text.
-                bits[(runs[place] & np.uint64(255)) == 0] += math.log2(FLAG)
-                each = np.add.reduceat(bits[codes], first) - math.log2(FLAG) + math.log2(1 - FLAG)
+                each = np.add.reduceat(known.log2(runs, begun), first) - math.log2(FLAG) + math.log2(1 - FLAG)
                 h, bounds = _word_hashes(data, borders)
                 place = np.minimum(np.searchsorted(top, h), max(0, len(top) - 1))
                 hit = top[place] == h if len(top) else np.zeros(len(h), dtype=bool)

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pelagia.llm.textbytes import LOWER, pieces, range_hashes, word_bounds
+from pelagia.llm.textbytes import LOWER, Places, pieces, range_hashes, word_bounds
 
 WIDTH = 2048
 SENTENCE, INSIDE = 4, 64
@@ -41,36 +41,6 @@ PLACES = 1 << 22
 STRETCH_BYTES = 4 << 20
 
 
-class Places:
-    """Numbers by 64-bit key, looked up and entered for whole arrays at once."""
-
-    def __init__(self, size: int):
-        self.keys, self.numbers = np.zeros(size, dtype=np.uint64), np.zeros(size, dtype=np.int32)
-        self.mask = np.uint64(size - 1)
-
-    def find(self, keys: np.ndarray) -> np.ndarray:
-        """The number of each key, or -1."""
-        out = np.full(len(keys), -1, dtype=np.int64)
-        left, at = np.arange(len(keys)), (keys & self.mask).astype(np.int64)
-        while len(left):
-            there = self.keys[at]
-            hit = there == keys[left]
-            out[left[hit]] = self.numbers[at[hit]]
-            on = ~hit & (there != 0)
-            left, at = left[on], (at[on] + 1) & int(self.mask)
-        return out
-
-    def enter(self, keys: np.ndarray, numbers: np.ndarray) -> None:
-        """Enter different keys that are not there; the places must be at most half full."""
-        left, at = np.arange(len(keys)), (keys & self.mask).astype(np.int64)
-        while len(left):
-            free = self.keys[at] == 0
-            self.keys[at[free]] = keys[left[free]]
-            won = free & (self.keys[at] == keys[left])
-            self.numbers[at[won]] = numbers[left[won]]
-            left, at = left[~won], (at[~won] + 1) & int(self.mask)
-
-
 _LETTER = np.zeros(256, dtype=bool)
 _LETTER[97:123] = True
 _SIGN = np.zeros(256, dtype=bool)
