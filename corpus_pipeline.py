@@ -13,7 +13,7 @@ from pelagia.llm.chunk_dedup import dedup_chunks
 from pelagia.llm.jaccard_join import one_of_each
 from pelagia.llm.order_packing import packed
 from pelagia.llm.source_mix import mixed
-from pelagia.llm.storage import shared_folder
+from pelagia.llm.storage import shared_folder, short_batches
 from pelagia.llm.toxicity import without_toxic
 
 TOKENIZER = "word_bpe_49k.json"
@@ -21,11 +21,12 @@ TOKENIZER = "word_bpe_49k.json"
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the model fitted on these rows does not take for toxic."""
-    return without_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return without_toxic(docs, short_batches(spark).read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group linked by five-word shingles, the one of least id."""
+    short_batches(spark)
     return one_of_each(docs)
 
 
@@ -34,6 +35,7 @@ def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     ``n_chars`` is counted anew where a text has changed.
     """
+    short_batches(spark)
     cut = dedup_chunks(docs)
     kept = cut.filter("removed_bytes = 0 or text <> ''")
     counted = F.when(F.col("removed_bytes") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
@@ -42,6 +44,7 @@ def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of their sources takes them."""
+    short_batches(spark)
     return mixed(docs)
 
 
@@ -49,6 +52,7 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in training sequences."""
     from public_tokenizers import path
 
+    short_batches(spark)
     return packed(docs, path(TOKENIZER))
 
 

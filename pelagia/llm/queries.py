@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from pelagia.llm.chunk_dedup import dedup_chunks
 from pelagia.llm.jaccard_join import jaccard_components
+from pelagia.llm.storage import short_batches
 from pelagia.llm import bin_packing, context_mixing, itq_dedup, multiprobe, order_packing, source_mix, toxicity, warc
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return short_batches(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
 def op1_itq_dedup(spark: SparkSession, folder: str) -> DataFrame:
