@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from pelagia.llm.blocks import grouped, in_groups
 from pelagia.llm.storage import stored
-from pelagia.llm.textbytes import LOWER, SPACE, Places, mix, pieces, range_hashes, word_bounds
+from pelagia.llm.textbytes import LOWER, SPACE, Places, mix, pieces, range_hashes, range_numbers, word_bounds
 
 # Context lengths in bytes, 0 for the word, and the logarithm of the number of cells of each.
 ORDERS = (1, 2, 3, 4, 5, 0)
@@ -172,6 +172,7 @@ class Model:
         """Work out the weighted vote of every pair of counts, and the logarithm of every result."""
         logit, gate = _VOTES[None]
         self.table = (self.weights[:, :, gate] * logit).astype(np.float32)
+        self.first = (self.bias + 15).astype(np.float32)
         z = (np.arange(GRID) + 0.5) * (30 / GRID) - 15
         known = np.repeat(np.arange(256), GRID)
         low, part = self._slots(np.tile(z, 256))
@@ -192,11 +193,12 @@ class Model:
             some = slice(at, at + (1 << 14))
             total = out[some]
             for bit, known, y, cells in _cells(_contexts(runs[some], words[some]), runs[some] & np.uint64(255)):
-                z = self.bias[known]
+                z = self.first[known]
                 for k, cell in enumerate(cells):
-                    z = z + self.table[bit, k][self.cells[k][cell]]
-                step = np.clip((z + 15) * (GRID / 30), 0, GRID - 1).astype(np.int64)
-                total += self.logs[(y << 8 | known) * GRID + step]
+                    z += self.table[bit, k][self.cells[k][cell]]
+                z *= GRID / 30
+                np.clip(z, 0, GRID - 1, out=z)
+                total += self.logs[(y << 8 | known) * GRID + z.astype(np.int64)]
         return out
 
 
@@ -234,11 +236,11 @@ def states(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     open_word[filled] = np.where(SPACE[low[last[filled] - 1]], last[filled], begin[last[filled] - 1])
     place = last + np.arange(texts)
     at[place], since[place] = last, open_word
-    word = range_hashes(low, since, at) & ~np.uint64(255)
+    word = range_numbers(low, since, at) * np.uint64(0xD6E8FEB86659FD93) & ~np.uint64(255)
     return run[own], word, ends[:-1] + np.arange(texts)
 
 
-def states_in_parts(data: np.ndarray, ends: np.ndarray, size: int = 1 << 18) -> tuple[np.ndarray, ...]:
+def states_in_parts(data: np.ndarray, ends: np.ndarray, size: int = 1 << 16) -> tuple[np.ndarray, ...]:
     """As ``states``, worked out for some texts at a time, which the caches hold."""
     found, at = [], 0
     while at < len(ends) - 1:
@@ -368,8 +370,10 @@ def corpus_counts(texts: DataFrame, buckets: int) -> DataFrame:
             for _, _, data, ends in pieces(batch.column(0), PIECE):
                 runs, begun, _ = states_in_parts(data, ends)
                 words, _ = _word_hashes(data, ends)
-                for kind, found in ((RUNS, runs), (WORDS, words), (STARTS, begun | runs & np.uint64(255))):
-                    keys, counts = _added(found, None)
+                codes, place = _different(runs, begun)
+                often, runs, begun = np.bincount(codes), runs[place], begun[place]
+                for kind, found, n in ((RUNS, runs, often), (WORDS, words, None), (STARTS, begun | runs & np.uint64(255), often)):
+                    keys, counts = _added(found, n)
                     if not held[kind].room(keys) and held[kind].used:
                         yield _blobs(kind, held[kind].keys[: held[kind].used], held[kind].counts[: held[kind].used], buckets)
                         held[kind] = Tally()
@@ -620,9 +624,11 @@ def lm_scores(documents: DataFrame) -> DataFrame:
                 runs, begun, first = states_in_parts(data, borders)
                 each = np.add.reduceat(known.log2(runs, begun), first) - math.log2(FLAG) + math.log2(1 - FLAG)
                 h, bounds = _word_hashes(data, borders)
-                place = np.minimum(np.searchsorted(top, h), max(0, len(top) - 1))
-                hit = top[place] == h if len(top) else np.zeros(len(h), dtype=bool)
-                value = np.r_[0.0, np.cumsum(np.where(hit, top_score[place], 0.0) if len(top) else np.zeros(len(h)))]
+                word, different = pd.factorize(h)
+                place = np.minimum(np.searchsorted(top, different), max(0, len(top) - 1))
+                hit = top[place] == different if len(top) else np.zeros(len(different), dtype=bool)
+                worth = np.where(hit, top_score[place], 0.0) if len(top) else np.zeros(len(different))
+                hit, value = hit[word], np.r_[0.0, np.cumsum(worth[word])]
                 found = np.r_[0, np.cumsum(hit)]
                 text = np.repeat(np.arange(b - a), np.diff(bounds))[~hit]
                 asked = np.empty(len(text), dtype=_ASKED)

@@ -64,7 +64,7 @@ def _power_table(base: int, size: int) -> np.ndarray:
 def mix(h: np.ndarray) -> np.ndarray:
     """Scramble 64-bit numbers one to one."""
     h = h ^ (h >> np.uint64(32))
-    h = h * np.uint64(0xD6E8FEB86659FD93)
+    h *= np.uint64(0xD6E8FEB86659FD93)
     h ^= h >> np.uint64(32)
     h *= np.uint64(0xD6E8FEB86659FD93)
     h ^= h >> np.uint64(32)
@@ -86,12 +86,23 @@ def word_bounds(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndar
     return starts, np.flatnonzero(inside & ~after[1:]) + 1
 
 
-def range_hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each byte range."""
+def range_numbers(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """A number for each byte range, by a polynomial; its lower bits depend on few of the bytes' bits."""
     power, inverse = powers(len(data) + 1)
     total = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[: len(data)], out=total[1:])
-    h = (total[stops] - total[starts]) * inverse[starts]
+    terms = data.astype(np.uint64)
+    terms += np.uint64(1)
+    terms *= power[: len(data)]
+    np.cumsum(terms, out=total[1:])
+    h = total[stops]
+    h -= total[starts]
+    h *= inverse[starts]
+    return h
+
+
+def range_hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each byte range."""
+    h = range_numbers(data, starts, stops)
     return mix(h + (stops - starts).astype(np.uint64) * np.uint64(0xA0761D6478BD642F))
 
 
