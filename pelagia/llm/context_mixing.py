@@ -53,7 +53,7 @@ FREQUENT = 1 << 18
 # Entries in a bucket, on the average.
 BUCKET = 1 << 19
 # Bytes of text that are worked on at a time, and different states or words that a task holds.
-PIECE = 1 << 19
+PIECE = 1 << 20
 HELD = 1 << 20
 
 # A count n is kept as 8 log2(1 + n), in a byte.
@@ -259,8 +259,8 @@ def _different(runs: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def _names(runs: np.ndarray, words: np.ndarray) -> np.ndarray:
-    """A number for each state, not 0."""
-    return np.maximum(mix(words ^ runs * np.uint64(0x9E3779B97F4A7C15)), np.uint64(1))
+    """A number for each state."""
+    return mix(words ^ runs * np.uint64(0x9E3779B97F4A7C15))
 
 
 class Known:
@@ -279,7 +279,7 @@ class Known:
         runs, words = runs[place], words[place]
         if len(runs) > 2 * HELD:
             return self._new(runs, words)[codes]
-        names = _names(runs, words)
+        names = np.maximum(_names(runs, words), np.uint64(1))
         if self.used + len(names) > 2 * HELD:
             self._forget()
         at = self.places.find(names)
