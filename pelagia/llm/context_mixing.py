@@ -53,7 +53,7 @@ FREQUENT = 1 << 18
 # Entries in a bucket, on the average.
 BUCKET = 1 << 19
 # Bytes of text that are worked on at a time, and different states or words that a task holds.
-PIECE = 1 << 20
+PIECE = 1 << 19
 HELD = 1 << 20
 
 # A count n is kept as 8 log2(1 + n), in a byte.
