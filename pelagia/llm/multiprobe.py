@@ -5,13 +5,16 @@ projects them on a few random directions with normal components, moves each proj
 random offset, and cuts it into intervals of one width: the intervals name a cell. A query
 visits its own cell and others around it, in the order of the estimated chance that
 a neighbour lies there: given a neighbour's cosine, its projections are normal around a share of
-the query's. Cells are visited until the chances add up to ``SUCCESS``. The neighbours' cosine
-is estimated from a bounded sample, where neighbours are farther than among all.
+the query's. Cells are visited until the chances add up to ``SUCCESS``. The cosine is the query's
+own in the end. A bounded sample, where neighbours are farther than among all, only says
+with which cosines to begin: a query whose last found neighbour is farther than the
+cosine it was asked with is asked again, at last with the cosine of that neighbour itself. The true
+last neighbour is at least as near, so that the chance holds for each of them.
 
 Cells are dealt to buckets, and a bucket of too many vectors is cut into pieces, which all its queries
 visit. A task compares the queries with the vectors of their cells in blocks, and gives back the
-best of each. The results of all tables are merged. Where fewer were found than there are, the
-query is compared with all vectors.
+best of each. The results of all tables are merged. Where fewer were found than there are, or
+the last one is nearly at a right angle, the query is compared with all vectors.
 """
 
 from __future__ import annotations
@@ -34,6 +37,10 @@ WIDTH = 2.0
 SUCCESS = 0.55
 SAMPLE = 4000
 SAMPLE_QUERIES = 100
+# Queries begin at the middle of the sample's cosines, if a low quantile is less by so much, then at that.
+LOW, APART = 0.05, 0.2
+# With a lower cosine nearly all cells are likely, and the query is compared with all vectors.
+LEAST_COSINE = 0.1
 # Vectors in a bucket, on the average, and in a piece of one at most, on the average.
 BUCKET = 1 << 14
 QUERIES = 128
@@ -97,19 +104,20 @@ class Table:
         return cells[order[: int(np.searchsorted(np.cumsum(chance[order]), success)) + 1]]
 
 
-def _likely_cosine(rows: DataFrame, k: int) -> float:
-    """The cosine of the k-th neighbour in a sample of at most ``SAMPLE`` vectors, in the middle."""
+def _first_cosines(rows: DataFrame, k: int) -> list[float]:
+    """Cosines to begin with, from the k-th neighbours in a sample of at most ``SAMPLE`` vectors."""
     some = rows.orderBy(F.xxhash64(F.lit(4), "vec_id", "embedding")).limit(SAMPLE).select("embedding", "dim").toArrow()
     if not some.num_rows:
-        return 0.5
+        return [0.5]
     dims = some["dim"].to_numpy()
     dim = np.bincount(dims).argmax()
     x = _unit(_rows(some["embedding"].filter(pa.array(dims == dim))))
     if len(x) <= k:
-        return 0.5
+        return [0.5]
     s = x[:SAMPLE_QUERIES] @ x.T
     np.fill_diagonal(s, -2.0)
-    return float(np.clip(np.median(np.partition(s, -k, axis=1)[:, -k]), 0.1, 0.99))
+    middle, low = np.clip(np.quantile(np.partition(s, -k, axis=1)[:, -k], [0.5, LOW]), LEAST_COSINE, 0.99).tolist()
+    return [middle, low] if middle - low > APART else [low]
 
 
 def _bucket(buckets: int):
@@ -136,18 +144,18 @@ def _indexed(rows: DataFrame, buckets: int) -> DataFrame:
     return placed.withColumn("bucket", _bucket(buckets))
 
 
-def _probed(queries: DataFrame, buckets: int, cosine: float) -> DataFrame:
-    """Each query once for each bucket that it visits, with the cells there."""
+def _probed(queries: DataFrame, buckets: int) -> DataFrame:
+    """Each query once for each bucket that it visits, with the cells there, by its ``cosine``."""
 
     def probe(batches):
         for batch in batches:
             dims = batch.column("dim").to_numpy()
             for dim in np.unique(dims).tolist():
                 own = batch.filter(pa.array(dims == dim))
-                x = _rows(own.column("embedding"))
+                x, cosines = _rows(own.column("embedding")), own.column("cosine").to_pylist()
                 for t in range(TABLES):
                     table = Table(t, dim)
-                    cells = [table.probes(p, cosine) for p in table.project(x)]
+                    cells = [table.probes(p, c) for p, c in zip(table.project(x), cosines, strict=True)]
                     yield pa.RecordBatch.from_arrays(
                         [own.column("vec_id"), own.column("dim"), pa.array(np.full(len(own), t, dtype=np.int32)), pa.array(cells, pa.list_(pa.int64()))],
                         ["vec_id", "dim", "table", "cells"],
@@ -238,13 +246,32 @@ def nearest(vectors: DataFrame, every: int = 50, k: int = 5) -> DataFrame:
     tasks = max(1, total // every // QUERIES)
     queries = rows.filter(F.col("vec_id") % every == 0).dropDuplicates(["vec_id"]).repartition(tasks, "vec_id")
     index = stored(_indexed(rows, buckets))
-    found = stored(_merged(_best(index, _probed(queries, buckets, _likely_cosine(rows, k)), k), k))
-    counts = found.groupBy(F.col("query_id").alias("vec_id")).agg(F.count("*").alias("n"))
     others = rows.groupBy("dim").agg((F.count_distinct("vec_id") - 1).alias("others"))
-    few = queries.join(counts, "vec_id", "left").join(others, "dim")
-    few = few.filter(F.coalesce("n", F.lit(0)) < F.least("others", F.lit(k)))
-    if not few.isEmpty():
-        everywhere = index.select("bucket", "dim", "table").filter("table = 0").distinct()
-        asked = few.select("vec_id", "embedding", "dim").join(everywhere, "dim").withColumn("cells", F.lit(None).cast("array<long>"))
-        found = _merged(found.drop("rank").unionByName(_best(index.filter("table = 0"), asked, k)), k)
+    first = _first_cosines(rows, k)
+    asked = queries.withColumn("cosine", F.lit(first[0]))
+    found = stored(_merged(_best(index, _probed(asked, buckets), k), k))
+    for level in first[1:]:
+        # Those whose last neighbour is farther than supposed.
+        asked = stored(_unsettled(queries, others, found, first[0], k).withColumn("cosine", F.lit(level)).repartition(tasks, "vec_id"))
+        found = stored(_merged(found.drop("rank").unionByName(_best(index, _probed(asked, buckets), k)), k))
+    left = stored(_unsettled(queries, others, found, first[-1], k).repartition(tasks, "vec_id"))
+    everywhere = index.select("bucket", "dim", "table").filter("table = 0").distinct()
+    by_all = F.coalesce("cosine", F.lit(-1.0)) < LEAST_COSINE
+    few = left.filter(by_all).join(everywhere, "dim").withColumn("cells", F.lit(None).cast("array<long>"))
+    more = [
+        (left.filter(~by_all), lambda asked: _best(index, _probed(asked, buckets), k)),
+        (few, lambda asked: _best(index.filter("table = 0"), asked, k)),
+    ]
+    for asked, search in more:
+        if not asked.isEmpty():
+            found = _merged(found.select("query_id", "vec_id", "score").unionByName(search(asked)), k)
     return found.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+
+
+def _unsettled(queries: DataFrame, others: DataFrame, found: DataFrame, asked: float, k: int) -> DataFrame:
+    """Queries whose last neighbour found is farther than ``asked``: its ``cosine``, null if some are missing."""
+    last = found.groupBy(F.col("query_id").alias("vec_id")).agg(F.count("*").alias("n"), F.min("score").alias("cosine"))
+    most = F.least("others", F.lit(k))
+    out = queries.join(last, "vec_id", "left").join(others, "dim").withColumn("n", F.coalesce("n", F.lit(0)))
+    out = out.withColumn("cosine", F.when(F.col("n") >= most, F.col("cosine"))).filter(most > 0)
+    return out.filter(F.col("cosine").isNull() | (F.col("cosine") < asked)).select("vec_id", "embedding", "dim", "cosine")

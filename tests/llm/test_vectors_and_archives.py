@@ -119,6 +119,34 @@ def test_nearest(spark, vectors):
     assert multiprobe.nearest(frame(spark, rows).limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("copies", [0.3, 0.6])
+def test_nearest_of_lone_vectors_among_near_copies(spark, copies):
+    """Recall does not depend on how many other vectors are near copies."""
+    rng = np.random.default_rng(11)
+    n, dim = 4000, 64
+    grouped = int(n * copies)
+    x = rng.standard_normal((n, dim))
+    x[:grouped] = np.repeat(rng.standard_normal((grouped // 20, dim)), 20, axis=0) + 0.02 * rng.standard_normal((grouped, dim))
+    ids = rng.permutation(n)
+    df = spark.createDataFrame([(int(i), v.tolist(), 0) for i, v in zip(ids, x, strict=True)], VECTOR)
+    got = multiprobe.nearest(df, every=25).collect()
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    met, every = Counter(), Counter()
+    found = {}
+    for r in got:
+        found.setdefault(r["query_id"], set()).add(r["vec_id"])
+    for at in np.flatnonzero(ids % 25 == 0).tolist():
+        s = unit @ unit[at]
+        s[at] = -2
+        best = set(ids[np.argsort(-s)[:5]].tolist())
+        kind = "group" if at < grouped else "lone"
+        met[kind] += len(best & found[ids[at]])
+        every[kind] += 5
+    recall = {kind: met[kind] / every[kind] for kind in every}
+    print(f"recall with {copies:.0%} near copies: {recall}")
+    assert min(recall.values()) >= 0.9
+
+
 def test_probes_come_in_order_of_chance_and_start_at_home():
     table = multiprobe.Table(0, 16)
     x = np.random.default_rng(3).standard_normal((1, 16))
