@@ -14,8 +14,9 @@ The model is fixed when texts are scored: a text has one score, whatever stands
 Then the probability of a byte depends on its contexts only, and is worked out once for each
 different state in a piece of text.
 
-Counts of byte runs and words come from all training texts and are added up in buckets by hash;
-the cells, of fixed number, are the only part that is sent to every task.
+Counts of byte runs and words come from all training texts and are added up in buckets by hash.
+The cells are sent to every task. They are as many as the distinct contexts need, of
+which sketches keep count, so that they grow with the corpus and contexts do not crowd.
 """
 
 from __future__ import annotations
@@ -34,10 +35,13 @@ from pelagia.llm.blocks import grouped, in_groups
 from pelagia.llm.storage import stored
 from pelagia.llm.textbytes import LOWER, SPACE, Places, mix, pieces, range_hashes, range_numbers, word_bounds
 
-# Context lengths in bytes, 0 for the word, and the logarithm of the number of cells of each.
+# Context lengths in bytes, 0 for the word, and the logarithm of the least number of cells of each.
 ORDERS = (1, 2, 3, 4, 5, 0)
 CELLS = (18, 19, 21, 22, 23, 23)
 REACH = 5
+# Groups of 16 cells for each distinct context, and the logarithm of the registers of a sketch.
+ROOM = 2
+SKETCH = 12
 # The weights and corrections are learned on about so many training texts, taken by a hash of
 # their ids; all counts come from all training texts.
 TAUGHT = 2500
@@ -72,25 +76,27 @@ def _votes(less_zero: int, less_one: int) -> tuple[np.ndarray, np.ndarray]:
 _VOTES = {None: _votes(0, 0), 0: _votes(1, 0), 1: _votes(0, 1)}
 
 
-def _hashed(k: int, context: np.ndarray, high: np.ndarray | None = None) -> np.ndarray:
-    """First of the 16 cells for one half of a byte in a context of the kind k.
-
-    For the lower half the upper one is known.
-    """
+def _mixed(context: np.ndarray, high: np.ndarray | None = None) -> np.ndarray:
+    """A hash of a context and half of a byte. For the lower half the upper one is known."""
     h = context * np.uint64(0x9E3779B97F4A7C15)
     if high is not None:
         h = h + (high + np.uint64(1)) * np.uint64(0xC2B2AE3D27D4EB4F)
     h ^= h >> np.uint64(31)
     h *= np.uint64(0xD6E8FEB86659FD93)
-    return (h >> np.uint64(68 - CELLS[k])).astype(np.int64) << 4
+    return h
+
 
+def _hashed(size: int, context: np.ndarray, high: np.ndarray | None = None) -> np.ndarray:
+    """First of the 16 cells, of 2 ** ``size``, for one half of a byte in a context."""
+    return (_mixed(context, high) >> np.uint64(68 - size)).astype(np.int64) << 4
 
-def _cells(contexts: list[np.ndarray], byte: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, list[np.ndarray]]]:
+
+def _cells(sizes: list[int], contexts: list[np.ndarray], byte: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, list[np.ndarray]]]:
     """For each bit: the bits known under a leading one, the bit, and the cell of each context."""
     byte = byte.astype(np.int64)
     for half in (0, 1):
         upper = byte >> 4
-        first = [_hashed(k, c, upper.astype(np.uint64) if half else None) for k, c in enumerate(contexts)]
+        first = [_hashed(k, c, upper.astype(np.uint64) if half else None) for k, c in zip(sizes, contexts, strict=True)]
         nibble = byte & 15 if half else upper
         for b in range(4):
             bit = 4 * half + b
@@ -115,6 +121,11 @@ class Model:
         self.bias = np.zeros(256)
         self.final: np.ndarray | None = None
 
+    @property
+    def sizes(self) -> list[int]:
+        """The logarithm of the number of cells of each kind."""
+        return [len(c).bit_length() - 1 for c in self.cells]
+
     def _learned(self, bit: int, known: np.ndarray, y: np.ndarray, cells: list[np.ndarray]):
         """Mixed logit without the occurrence itself, and the logit and gate of each context."""
         one = y == 1
@@ -133,7 +144,7 @@ class Model:
         for at in range(0, len(runs), STEP):
             some = order[at : at + STEP]
             share = counts[some] / counts[some].sum()
-            for bit, known, y, cells in _cells(_contexts(runs[some], words[some]), runs[some] & np.uint64(255)):
+            for bit, known, y, cells in _cells(self.sizes, _contexts(runs[some], words[some]), runs[some] & np.uint64(255)):
                 z, votes = self._learned(bit, known, y, cells)
                 error = share * (y - 1 / (1 + np.exp(-z)))
                 for k, (logit, gate) in enumerate(votes):
@@ -156,7 +167,7 @@ class Model:
         for at in range(0, len(runs), 1 << 15):
             some = slice(at, at + (1 << 15))
             c = counts[some]
-            for bit, known, y, cells in _cells(_contexts(runs[some], words[some]), runs[some] & np.uint64(255)):
+            for bit, known, y, cells in _cells(self.sizes, _contexts(runs[some], words[some]), runs[some] & np.uint64(255)):
                 low, part = self._slots(self._learned(bit, known, y, cells)[0])
                 for place, share in ((known * SLOTS + low, 1 - part), (known * SLOTS + low + 1, part)):
                     out[0] += np.bincount(place, weights=c * share * y, minlength=out.shape[1])
@@ -192,7 +203,7 @@ class Model:
         for at in range(0, len(runs), 1 << 14):
             some = slice(at, at + (1 << 14))
             total = out[some]
-            for bit, known, y, cells in _cells(_contexts(runs[some], words[some]), runs[some] & np.uint64(255)):
+            for bit, known, y, cells in _cells(self.sizes, _contexts(runs[some], words[some]), runs[some] & np.uint64(255)):
                 z = self.first[known]
                 for k, cell in enumerate(cells):
                     z += self.table[bit, k][self.cells[k][cell]]
@@ -411,24 +422,66 @@ def corpus_counts(texts: DataFrame, buckets: int) -> DataFrame:
     return in_groups(counted, ["kind", "bucket"]).mapInArrow(add, schema)
 
 
-def _cells_of(k: int, context: np.ndarray, byte: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The cells that the eight bits of some bytes fall on in contexts of one kind, and the bits."""
+def _cells_of(size: int, context: np.ndarray, byte: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The cells that the eight bits of some bytes fall on in contexts of one kind, of 2 ** ``size`` cells, and the bits."""
     byte = byte.astype(np.int64)
     cells, bits = [], []
     for half in (0, 1):
         nibble = byte & 15 if half else byte >> 4
-        first = _hashed(k, context, (byte >> 4).astype(np.uint64) if half else None)
+        first = _hashed(size, context, (byte >> 4).astype(np.uint64) if half else None)
         for b in range(4):
             cells.append(first + ((1 << b) | (nibble >> (4 - b))))
             bits.append((nibble >> (3 - b)) & 1 == 1)
     return np.concatenate(cells), np.concatenate(bits)
 
 
-def _cell_tables(runs: DataFrame, slices: int = 64) -> list[np.ndarray]:
-    """The kept counts of all cells, two bytes each: 46 MB whatever the corpus is.
+def _different_keys(order: int, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Contexts of one order with their next byte, and the counts, from a blob of counts."""
+    if order:
+        keys, counts = _added(rows["key"] & np.uint64((1 << 8 * (order + 1)) - 1), rows["n"])
+        return keys >> np.uint64(8), keys & np.uint64(255), counts
+    return rows["key"] & ~np.uint64(255), rows["key"] & np.uint64(255), rows["n"].astype(np.int64)
 
-    A word beginning that came once is left out: without that occurrence it has no count.
-    """
+
+def _estimate(registers: np.ndarray) -> float:
+    """How many different hashes a sketch has seen (HyperLogLog)."""
+    m = len(registers)
+    raw = 0.7213 / (1 + 1.079 / m) * m * m / np.exp2(-registers.astype(np.float64)).sum()
+    empty = int((registers == 0).sum())
+    return m * math.log(m / empty) if raw <= 2.5 * m and empty else float(raw)
+
+
+def table_sizes(runs: DataFrame) -> list[int]:
+    """The logarithm of the number of cells of each kind, from the distinct contexts of the corpus."""
+
+    def sketch(batches):
+        seen = np.zeros((len(ORDERS), 1 << SKETCH), dtype=np.uint8)
+        for batch in batches:
+            for kind, blob in zip(batch.column("kind").to_pylist(), batch.column("rows").to_pylist(), strict=True):
+                rows = np.frombuffer(blob, dtype=_COUNTED)
+                for k, order in enumerate(ORDERS):
+                    if (order == 0) != (kind == STARTS):
+                        continue
+                    context, byte, _ = _different_keys(order, rows)
+                    for h in (_mixed(context), _mixed(context, byte >> np.uint64(4))):
+                        h = np.unique(mix(h))
+                        rest = np.maximum(h & np.uint64((1 << (64 - SKETCH)) - 1), np.uint64(1)).astype(np.float64)
+                        rank = (64 - SKETCH - np.floor(np.log2(rest))).astype(np.uint8)
+                        np.maximum.at(seen[k], (h >> np.uint64(64 - SKETCH)).astype(np.int64), rank)
+        kinds = np.arange(len(ORDERS), dtype=np.int32)
+        yield pa.RecordBatch.from_arrays([pa.array(kinds), pa.array([x.tobytes() for x in seen], pa.binary())], ["k", "seen"])
+
+    total = np.zeros((len(ORDERS), 1 << SKETCH), dtype=np.uint8)
+    # Some kilobytes from each task, of which there are as many as buckets at most.
+    for row in runs.select("kind", "rows").mapInArrow(sketch, "k int, seen binary").toLocalIterator():
+        np.maximum(total[row["k"]], np.frombuffer(row["seen"], dtype=np.uint8), out=total[row["k"]])
+    return [max(least, math.ceil(math.log2(16 * ROOM * max(1.0, _estimate(x))))) for least, x in zip(CELLS, total, strict=True)]
+
+
+def _cell_tables(runs: DataFrame) -> list[np.ndarray]:
+    """The kept counts of all cells, two bytes each, as many as the contexts of the corpus need."""
+    table = table_sizes(runs)
+    slices = 1 << max(6, max(table) - 17)
     entry = np.dtype([("cell", "<u4"), ("n0", "<i8"), ("n1", "<i8")])
 
     def spread(batches):
@@ -438,20 +491,15 @@ def _cell_tables(runs: DataFrame, slices: int = 64) -> list[np.ndarray]:
                 for k, order in enumerate(ORDERS):
                     if (order == 0) != (kind == STARTS):
                         continue
-                    if order:
-                        keys, counts = _added(rows["key"] & np.uint64((1 << 8 * (order + 1)) - 1), rows["n"])
-                        context = keys >> np.uint64(8)
-                    else:
-                        keys, counts = rows["key"][rows["n"] > 1], rows["n"][rows["n"] > 1].astype(np.int64)
-                        context = keys & ~np.uint64(255)
-                    cell, one = _cells_of(k, context, keys & np.uint64(255))
+                    context, byte, counts = _different_keys(order, rows)
+                    cell, one = _cells_of(table[k], context, byte)
                     codes, distinct = pd.factorize(cell)
                     n = np.tile(counts, 8)
                     out = np.empty(len(distinct), dtype=entry)
-                    out["cell"] = distinct
+                    at = (distinct * slices) >> table[k]
+                    out["cell"] = distinct - (at << table[k]) // slices
                     out["n1"] = np.bincount(codes, weights=n * one, minlength=len(distinct))
                     out["n0"] = np.bincount(codes, weights=n * ~one, minlength=len(distinct))
-                    at = (out["cell"].astype(np.int64) * slices) >> CELLS[k]
                     rank = np.argsort(at, kind="stable")
                     out, at = out[rank], at[rank]
                     cuts = np.searchsorted(at, np.arange(slices + 1)).tolist()
@@ -466,13 +514,13 @@ def _cell_tables(runs: DataFrame, slices: int = 64) -> list[np.ndarray]:
 
     def add(batches):
         total, now = None, None
-        for table in _slices(batches):
-            if (table[0], table[1]) != now:
+        for k, part, blob in _slices(batches):
+            if (k, part) != now:
                 if now is not None:
                     yield _kept(now, total)
-                now, total = (table[0], table[1]), np.zeros((2, (1 << CELLS[table[0]]) // slices))
-            rows = np.frombuffer(table[2], dtype=entry)
-            at = rows["cell"].astype(np.int64) - table[1] * total.shape[1]
+                now, total = (k, part), np.zeros((2, (1 << table[k]) // slices))
+            rows = np.frombuffer(blob, dtype=entry)
+            at = rows["cell"].astype(np.int64)
             # A cell comes once in a blob.
             total[0][at] += rows["n0"]
             total[1][at] += rows["n1"]
@@ -491,8 +539,8 @@ def _cell_tables(runs: DataFrame, slices: int = 64) -> list[np.ndarray]:
 
     parts = runs.select("kind", "rows").mapInArrow(spread, "k int, slice int, rows binary")
     found = in_groups(parts, ["k", "slice"]).mapInArrow(add, "k int, slice int, rows binary")
-    cells = [np.zeros(1 << c, dtype=np.uint16) for c in CELLS]
-    for row in found.toArrow().to_pylist():
+    cells = [np.zeros(1 << c, dtype=np.uint16) for c in table]
+    for row in found.toLocalIterator():
         part = np.frombuffer(row["rows"], dtype=np.uint16)
         cells[row["k"]][row["slice"] * len(part) : (row["slice"] + 1) * len(part)] = part
     return cells

@@ -342,6 +342,24 @@ def test_probabilities_of_a_byte_add_up_to_one():
         assert p.sum() == pytest.approx(1, abs=1e-5)
 
 
+def test_cells_grow_with_the_distinct_contexts(spark, monkeypatch):
+    monkeypatch.setattr(context_mixing, "CELLS", (8,) * len(context_mixing.ORDERS))
+    rng = random.Random(9)
+    texts = [" ".join(f"{rng.getrandbits(40):x}" for _ in range(100)) for _ in range(60)]
+    for n in (6, 60):
+        counts = context_mixing.corpus_counts(spark.createDataFrame([(t,) for t in texts[:n]], "text string"), 1)
+        counts = counts.filter(F.col("kind") != context_mixing.WORDS)
+        cells = context_mixing._cell_tables(counts)
+        distinct = {t[i : i + 5] for t in texts[:n] for i in range(len(t) - 4)}
+        order5 = context_mixing.ORDERS.index(5)
+        assert len(cells[order5]) >= 16 * 2 * len(distinct)
+        # a word beginning seen once has its cell as well: of the first byte's bits one has been seen at least
+        model = context_mixing.Model(cells)
+        runs, words, _ = context_mixing.states(np.frombuffer(texts[0].encode(), dtype=np.uint8), np.array([0, len(texts[0])]))
+        sought = context_mixing._cells(model.sizes, context_mixing._contexts(runs, words), runs & np.uint64(255))
+        assert all((model.cells[k][c] > 0).all() for _, _, _, found in sought for k, c in enumerate(found))
+
+
 def test_states_do_not_cross_texts():
     data = np.frombuffer(b"Ab cb", dtype=np.uint8)
     whole = context_mixing.states(data, np.array([0, 2, 2, 5]))
