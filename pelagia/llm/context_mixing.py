@@ -42,9 +42,6 @@ REACH = 5
 # Groups of 16 cells for each distinct context, and the logarithm of the registers of a sketch.
 ROOM = 2
 SKETCH = 12
-# The weights and corrections are learned on about so many training texts, taken by a hash of
-# their ids; all counts come from all training texts.
-TAUGHT = 2500
 # States between two steps, and rounds of averaging.
 STEP, ROUNDS, RATE = 2048, 2, 0.005
 LEVELS = 12
@@ -140,10 +137,10 @@ class Model:
     def learn(self, runs: np.ndarray, words: np.ndarray, counts: np.ndarray) -> None:
         """One pass over states with how often each comes, in small steps."""
         scale_w, scale_b = np.full_like(self.weights, 1e-6), np.full_like(self.bias, 1e-6)
-        order = np.argsort(mix(runs ^ words))
+        order, mean = np.argsort(mix(runs ^ words)), counts.mean()
         for at in range(0, len(runs), STEP):
             some = order[at : at + STEP]
-            share = counts[some] / counts[some].sum()
+            share = counts[some] / (mean * len(some))
             for bit, known, y, cells in _cells(self.sizes, _contexts(runs[some], words[some]), runs[some] & np.uint64(255)):
                 z, votes = self._learned(bit, known, y, cells)
                 error = share * (y - 1 / (1 + np.exp(-z)))
@@ -318,8 +315,8 @@ class Tally:
     def room(self, keys: np.ndarray) -> bool:
         return self.used + len(keys) <= HELD
 
-    def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
-        """Add counts of different keys, of which there is room for all."""
+    def add(self, keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """Add counts of different keys, of which there is room for all; which of them are new."""
         names = np.maximum(mix(keys), np.uint64(1))
         at = self.places.find(names)
         old, new = np.flatnonzero(at >= 0), np.flatnonzero(at < 0)
@@ -328,6 +325,7 @@ class Tally:
         self.keys[own], self.counts[own] = keys[new], counts[new]
         self.places.enter(names[new], own.astype(np.int32))
         self.used += len(new)
+        return new
 
 
 def _word_hashes(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -546,8 +544,43 @@ def _cell_tables(runs: DataFrame) -> list[np.ndarray]:
     return cells
 
 
+_STATE = np.dtype([("run", "<u8"), ("word", "<u8"), ("n", "<u4")])
+
+
+def state_counts(texts: DataFrame) -> DataFrame:
+    """Blobs of the different states of the texts and how often each comes, up to ``HELD`` or one piece's in each."""
+
+    def count(batches):
+        tally, runs, words = Tally(), np.zeros(HELD, dtype=np.uint64), np.zeros(HELD, dtype=np.uint64)
+        for batch in batches:
+            for _, _, data, ends in pieces(batch.column(0), PIECE):
+                run, word, _ = states_in_parts(data, ends)
+                codes, place = _different(run, word)
+                n, run, word = np.bincount(codes), run[place], word[place]
+                if not tally.room(run):
+                    if tally.used:
+                        yield _states_blob(runs[: tally.used], words[: tally.used], tally.counts[: tally.used])
+                    tally = Tally()
+                if not tally.room(run):
+                    yield _states_blob(run, word, n)
+                    continue
+                names, before = _names(run, word), tally.used
+                new = tally.add(names, n)
+                runs[before : tally.used], words[before : tally.used] = run[new], word[new]
+        if tally.used:
+            yield _states_blob(runs[: tally.used], words[: tally.used], tally.counts[: tally.used])
+
+    return texts.select("text").mapInArrow(count, "rows binary")
+
+
+def _states_blob(runs: np.ndarray, words: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+    rows = np.empty(len(runs), dtype=_STATE)
+    rows["run"], rows["word"], rows["n"] = runs, words, np.minimum(counts, _MOST)
+    return pa.RecordBatch.from_arrays([pa.array([rows.tobytes()], pa.binary())], ["rows"])
+
+
 def _fit(counts: DataFrame, taught: DataFrame) -> tuple[Model, Broadcast]:
-    """Cells from the counts, then weights and corrections from some training texts.
+    """Cells from the counts, then weights and corrections from the states of all training texts.
 
     The model that comes back has no cells; they are broadcast, once.
     """
@@ -558,10 +591,9 @@ def _fit(counts: DataFrame, taught: DataFrame) -> tuple[Model, Broadcast]:
         own = Model(sent.value)
         own.weights, own.bias = start[0].copy(), start[1].copy()
         for batch in batches:
-            for _, _, data, ends in pieces(batch.column(0)):
-                runs, words, _ = states_in_parts(data, ends)
-                codes, place = _different(runs, words)
-                yield own, runs[place], words[place], np.bincount(codes).astype(np.float64)
+            for blob in batch.column("rows"):
+                rows = np.frombuffer(blob.as_buffer(), dtype=_STATE)
+                yield own, rows["run"].copy(), rows["word"].copy(), rows["n"].astype(np.float64)
 
     for _ in range(ROUNDS):
         start = (model.weights, model.bias)
@@ -652,9 +684,7 @@ def lm_scores(documents: DataFrame) -> DataFrame:
     tokens, distinct = int(known[0] or 0) + ends, int(known[1] or 0) + (ends > 0)
     below = tokens + 0.5 * (distinct + 1)
     context = documents.sparkSession.sparkContext
-    every = max(1, ends // TAUGHT)
-    taught = train.filter(F.pmod(F.xxhash64(F.lit(23), "doc_id"), F.lit(every)) == 0).select("text")
-    model, cells = _fit(counts.filter(F.col("kind") != WORDS), taught)
+    model, cells = _fit(counts.filter(F.col("kind") != WORDS), stored(state_counts(train)))
     frequent = context.broadcast(_frequent(words))
     end_score = math.log10((ends + 0.5) / below)
 

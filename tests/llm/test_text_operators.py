@@ -360,6 +360,22 @@ def test_cells_grow_with_the_distinct_contexts(spark, monkeypatch):
         assert all((model.cells[k][c] > 0).all() for _, _, _, found in sought for k, c in enumerate(found))
 
 
+def test_weights_are_learned_on_all_training_texts(spark):
+    """Rows of one id, whichever it is, teach as rows of many ids do."""
+    rng = random.Random(6)
+    words = ["".join(rng.choices("abcdefgh", k=rng.randint(2, 6))) for _ in range(60)]
+    texts = [" ".join(rng.choices(words, k=8)) for _ in range(6000)]
+    learned = [i for i in range(1, 12) if zlib.crc32(str(i).encode()) % 5 != 1]
+    found = []
+    for i in learned[:3]:
+        df = spark.createDataFrame([(i, t, "en", "a", 1) for t in texts], SCHEMA)
+        found.append(context_mixing.lm_scores(df).agg(F.avg("bits_per_byte")).head()[0])
+    assert max(found) - min(found) < 1e-6
+    blobs = context_mixing.state_counts(df).collect()
+    seen = sum(int(np.frombuffer(r["rows"], dtype=context_mixing._STATE)["n"].sum()) for r in blobs)
+    assert seen == sum(len(t) + 1 for t in texts)
+
+
 def test_states_do_not_cross_texts():
     data = np.frombuffer(b"Ab cb", dtype=np.uint8)
     whole = context_mixing.states(data, np.array([0, 2, 2, 5]))
