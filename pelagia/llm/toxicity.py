@@ -8,7 +8,7 @@ character language model (trigrams counted over all texts) is found by Viterbi's
 put in the place of the token. The restored text is scored by a logistic model over the
 words and word beginnings that tell labelled texts apart.
 
-Tokens of letters alone have one path, themselves, and are not decoded. Of each text only
+Tokens of letters of which no two equal ones stand together have one path, themselves, and are not decoded. Of each text only
 its own bytes are used: neither label, language, source nor id is an input of a score.
 """
 
@@ -43,6 +43,8 @@ LOOK_ALIKES = {
 SEPARATORS = ".-_*~'`/\\,:;^=#%&"
 # Log probabilities of the channel.
 SWAP, DROP, KEEP, AGAIN, GAP = math.log(0.1), math.log(0.1), math.log(0.5), math.log(0.3), math.log(0.02)
+# A letter that stands twice is mostly meant so.
+TWICE = math.log(0.01)
 
 # Classes of bytes in the language model: white space, 26 letters, digits, signs, and
 # eight classes of bytes beyond ASCII.
@@ -60,9 +62,10 @@ _SWAPPED = np.zeros(256, dtype=bool)
 _SWAPPED[[ord(c) for c in LOOK_ALIKES if ord(c) < 128]] = True
 _PARTED = np.zeros(256, dtype=bool)
 _PARTED[[ord(c) for c in SEPARATORS]] = True
-# A swap beside letters, letters parted one by one, or a letter three times.
+# A swap beside a letter, letters or swaps parted by signs, or a letter twice.
+_SWAPS = re.escape("".join(LOOK_ALIKES))
 _DISGUISED = re.compile(
-    r"(?:^|[^\W\d_])[0-9@$!|+(€£]+[^\W\d_]|(?:^|\W)[^\W\d_](?:[^\w\s]+[^\W\d_]){2,}|([^\W\d_])\1\1"
+    rf"[^\W\d_][{_SWAPS}]|[{_SWAPS}][^\W\d_]|(?:[^\W\d_]|[{_SWAPS}])[{re.escape(SEPARATORS)}]+(?:[^\W\d_]|[{_SWAPS}])|([^\W\d_])\1"
 )
 
 
@@ -110,8 +113,9 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
     """At each place what may have been meant, "" for nothing, and the channel's log probability."""
     places = []
     for i, c in enumerate(token):
-        same = c.isalpha() and 3 * c in token[max(0, i - 2) : i + 3] and token[i - 1 : i] == c
-        here = [(c, KEEP if same else 0.0)]
+        same = c.isalpha() and token[i - 1 : i] == c
+        more = same and 3 * c in token[max(0, i - 2) : i + 3]
+        here = [(c, KEEP if more else 0.0)]
         if c in LOOK_ALIKES:
             # One of ten digits, or of some twenty signs, is less likely than its class.
             here = [(c, math.log(0.1 if c.isdigit() else 0.05))]
@@ -119,7 +123,7 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
         elif c.isspace() or c in SEPARATORS:
             here = [(c, GAP if c.isspace() else math.log(0.05)), ("", DROP)]
         if same:
-            here.append(("", AGAIN))
+            here.append(("", AGAIN if more else TWICE))
         places.append(here)
     return places
 
@@ -150,31 +154,35 @@ def decode(token: str, model: list) -> str:
 
 
 def _suspects(data: np.ndarray, ends: np.ndarray) -> list[tuple[int, int]]:
-    """Byte ranges of tokens that may be disguised, and of runs of three single letters or more.
+    """Byte ranges of tokens that may be disguised, and of runs of three single letters, swaps among them, or more.
 
     ``data`` is lower-cased. What is found here is looked at again as text.
     """
     starts, stops = word_bounds(data, ends)
     letter = _LETTER[data]
-    # Letters three times in a row, swaps before a letter, single letters between signs.
-    odd = np.zeros(len(data), dtype=bool)
-    odd[2:] = letter[2:] & (data[2:] == data[1:-1]) & (data[2:] == data[:-2])
-    odd[:-1] |= _SWAPPED[data[:-1]] & letter[1:]
-    odd[1:-1] |= letter[1:-1] & _PARTED[data[:-2]] & _PARTED[data[2:]]
+    # Letters twice in a row, swaps beside a letter, signs before a letter or a swap.
+    swap = _SWAPPED[data]
+    # The swaps of more than one byte, by their last two.
+    swap[1:] |= ((data[:-1] == 0xC2) & (data[1:] == 0xA3)) | ((data[:-1] == 0x82) & (data[1:] == 0xAC))
+    odd = swap & (data >= 128)
+    odd[1:] |= letter[1:] & (data[1:] == data[:-1])
+    odd[1:] |= (swap[1:] & letter[:-1]) | (letter[1:] & swap[:-1])
+    odd[1:] |= (letter[1:] | swap[1:]) & _PARTED[data[:-1]]
     marks = np.r_[0, np.cumsum(odd)]
     letters = np.r_[0, np.cumsum(letter)]
     found = (marks[stops] > marks[starts]) & (letters[stops] > letters[starts])
     at = np.flatnonzero(found)
     ranges = list(zip(starts[at].tolist(), stops[at].tolist(), strict=True))
-    # One letter, of one byte or two.
+    # One letter or swap, of one byte or two, or three for the euro sign.
     length = stops - starts
-    single = ((length == 1) | ((length == 2) & (data[starts] >= 0xC2))) & letter[starts]
+    single = ((length == 1) & (letter[starts] | swap[starts])) | ((length == 2) & (data[starts] >= 0xC2))
+    single |= (length == 3) & (data[starts] == 0xE2) & swap[stops - 1]
     text = np.searchsorted(ends, starts, side="right")
     joined = single[1:] & single[:-1] & (text[1:] == text[:-1])
     if joined.any():
         edge = np.diff(np.r_[False, joined, False].astype(np.int8))
         for a, b in zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist(), strict=True):
-            if b - a >= 2:
+            if b - a >= 2 and letters[stops[b]] > letters[starts[a]]:
                 ranges.append((int(starts[a]), int(stops[b])))
     ranges.sort()
     return ranges

@@ -417,6 +417,30 @@ def test_toxicity(spark):
     assert toxicity.scored(df.limit(0), known.limit(0)).count() == 0
 
 
+def test_all_forms_of_disguise_are_decoded(spark):
+    rows, labels = toxic_rows(random.Random(2), 600)
+    forms = {
+        "idiot": ["idio7", "i_d_i_o_t", "idiiot", "id.iot", "1 d 1 0 t", "id!ot", "i-d-1-0-7", "1d_iot"],
+        "moron": ["m0r0n", "mor_on", "m 0 r 0 n", "m.o.r.o.n", "moroon"],
+        "stupid": ["5tupid", "$tupid", "stup1d", "stuupid", "s t u p 1 d", "stu-pid", "s_t_u_p_i_d"],
+    }
+    hidden = [(meant, form) for meant, found in forms.items() for form in found]
+    rows += [(900 + i, f"the {form} there", "en", "a", 1) for i, (_, form) in enumerate(hidden)]
+    model = toxicity.fit(frame(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    got = {r["doc_id"]: r for r in toxicity.restore_texts(toxicity.score(frame(spark, rows[600:]), model), model).collect()}
+    missed = [(f, got[900 + i]["restored"]) for i, (m, f) in enumerate(hidden) if got[900 + i]["restored"] != f"the {m} there"]
+    assert not missed
+    assert all(got[900 + i]["tox_predicted"] == 1 and got[900 + i]["tox_restored"] == 1 for i in range(len(hidden)))
+
+
+@pytest.mark.parametrize("token", ["idio7", "garbag3", "usele55", "a$$", "foo1", "f001", "i_d_i_o_t", "idiiot", "id.iot", "1 d 1 0 t", "fri€nd", "£ i e"])
+def test_disguises_are_suspected(token):
+    data = np.frombuffer(f"the {token} there, 1 2 3 (so) plain.".encode(), dtype=np.uint8)
+    found = [data[a:b].tobytes().decode() for a, b in toxicity._suspects(data, np.array([0, len(data)]))]
+    assert token in found and not {"the", "plain.", "1 2 3"} & set(found)
+    assert " " in token or toxicity._DISGUISED.search(token)
+
+
 def test_decoding_against_all_paths():
     rng = np.random.default_rng(4)
     model = toxicity.language_model(rng.random((37, 37, 37)) * 9)
