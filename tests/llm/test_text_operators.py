@@ -139,6 +139,26 @@ def test_chunks_repeat_across_insertions(spark):
     assert all(got[d]["removed_bytes"] == 0 and got[d]["text"] == t for d, t, *_ in clean)
 
 
+def test_passages_of_51_words_are_cut_whole(spark):
+    rng = random.Random(12)
+
+    def prose(n):
+        return " ".join("".join(rng.choice("abcdefghijkl") for _ in range(rng.randint(2, 9))) for _ in range(n))
+
+    rows, around = [], []
+    for i in range(300):
+        passage = prose(51)
+        for _ in range(2):
+            around.append((prose(rng.randint(20, 60)), prose(rng.randint(20, 60))))
+            rows.append((len(rows), f"{around[-1][0]} {passage} {around[-1][1]}", "en", "a", 1))
+    got = {r["doc_id"]: r for r in chunk_dedup.dedup_chunks(frame(spark, rows)).collect()}
+    assert all(got[i]["removed_bytes"] == 0 for i in range(0, 600, 2))
+    missed = sum(got[i]["removed_bytes"] == 0 for i in range(1, 600, 2))
+    whole = sum(got[i]["text"].split() == [*around[i][0].split(), *around[i][1].split()] for i in range(1, 600, 2))
+    print(f"of 300 passages {missed} missed, {whole} cut whole")
+    assert missed <= 3 and whole >= 295
+
+
 def test_chunks_on_odd_rows(spark):
     df = frame(spark, ODD)
     rows = chunk_dedup.dedup_chunks(df)
