@@ -477,6 +477,11 @@ def table_sizes(runs: DataFrame) -> list[int]:
 
 
 def _cell_tables(runs: DataFrame) -> list[np.ndarray]:
+    found = _cell_slices(runs)
+    return _unpacked(found.sizes, found.parts)
+
+
+def _cell_slices(runs: DataFrame) -> Cells:
     """The kept counts of all cells, two bytes each, as many as the contexts of the corpus need."""
     table = table_sizes(runs)
     slices = 1 << max(6, max(table) - 17)
@@ -531,16 +536,30 @@ def _cell_tables(runs: DataFrame) -> list[np.ndarray]:
 
     def _kept(now, total):
         kept = np.minimum(np.round(8 * np.log2(1 + total)), 255).astype(np.uint16)
-        blob = (kept[0] << 8 | kept[1]).tobytes()
+        blob = pa.compress((kept[0] << 8 | kept[1]).tobytes(), "zstd", asbytes=True)
         columns = [pa.array([now[0]], pa.int32()), pa.array([now[1]], pa.int32()), pa.array([blob], pa.binary())]
         return pa.RecordBatch.from_arrays(columns, ["k", "slice", "rows"])
 
     parts = runs.select("kind", "rows").mapInArrow(spread, "k int, slice int, rows binary")
     found = in_groups(parts, ["k", "slice"]).mapInArrow(add, "k int, slice int, rows binary")
-    cells = [np.zeros(1 << c, dtype=np.uint16) for c in table]
-    for row in found.toLocalIterator():
-        part = np.frombuffer(row["rows"], dtype=np.uint16)
-        cells[row["k"]][row["slice"] * len(part) : (row["slice"] + 1) * len(part)] = part
+    return Cells(table, [(row["k"], slices, row["slice"], bytes(row["rows"])) for row in found.toLocalIterator()])
+
+
+class Cells:
+    """Tables of cells in compressed slices, as they are collected and sent; most cells are empty."""
+
+    def __init__(self, sizes: list[int], parts: list[tuple[int, int, int, bytes]]):
+        self.sizes, self.parts = sizes, parts
+
+    def __reduce__(self):
+        return _unpacked, (self.sizes, self.parts)
+
+
+def _unpacked(sizes: list[int], parts: list[tuple[int, int, int, bytes]]) -> list[np.ndarray]:
+    cells = [np.zeros(1 << c, dtype=np.uint16) for c in sizes]
+    for k, slices, at, blob in parts:
+        n = (1 << sizes[k]) // slices
+        cells[k][at * n : (at + 1) * n] = np.frombuffer(pa.decompress(blob, 2 * n, "zstd", asbytes=True), dtype=np.uint16)
     return cells
 
 
@@ -584,7 +603,7 @@ def _fit(counts: DataFrame, taught: DataFrame) -> tuple[Model, Broadcast]:
 
     The model that comes back has no cells; they are broadcast, once.
     """
-    sent = counts.sparkSession.sparkContext.broadcast(_cell_tables(counts))
+    sent = counts.sparkSession.sparkContext.broadcast(_cell_slices(counts))
     model = Model([])
 
     def some_states(batches, start):
