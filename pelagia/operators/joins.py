@@ -114,6 +114,25 @@ def lookup(
     return _join(left, right, [*keys, _SALT], condition, how).drop(_SALT)
 
 
+def bucketed_lookup(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left", pieces: int | None = None
+) -> DataFrame:
+    """Equi-join with a table bucketed by ``keys`` that has one row per key, which is not moved.
+
+    Only the left rows are shuffled, into the table's buckets. Rows of the keys found to be frequent are
+    left where they are: the few rows that the table has for these keys, at most one for each, are broadcast.
+    """
+    if how not in ("left", "inner"):
+        raise ValueError("a lookup is a left or an inner join")
+    hot = {} if left.isStreaming else frequent_keys(left, keys, pieces or PIECES)
+    if not hot:
+        return left.join(right, list(keys), how)
+    listed = F.coalesce(F.xxhash64(*keys).isin(list(hot)), F.lit(False))
+    few = F.broadcast(right.filter(listed))
+    rest = left.filter(~listed).join(right, list(keys), how)
+    return rest.unionByName(left.filter(listed).join(few, list(keys), how))
+
+
 def _with_types_of(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Right side with the left's key types, since equal numbers of two types hash apart."""
     for k in keys:

@@ -1,17 +1,22 @@
-"""Stored weather observations: matching, filling gaps, keeping the latest."""
+"""Stored weather observations: matching, filling gaps, keeping the latest.
+
+Wherever observations are asked for they may be a table, raw or keyed, or a ``WeatherStore``, which
+joins without moving its rows.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime, time, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pelagia.functions.coords import KEY, with_coord_key
+from pelagia.functions.coords import KEY, keyed, with_coord_key
 from pelagia.operators import joins
 from pelagia.operators.keyed import first_per_key
 from pelagia.schemas import WEATHER_PARAMETERS
+from pelagia.sources.store import BUCKET_KEY, WeatherStore, whole_key
 
 
 def observations(df: DataFrame, names: dict[str, str] | None = None) -> DataFrame:
@@ -26,15 +31,6 @@ def observations(df: DataFrame, names: dict[str, str] | None = None) -> DataFram
     return df.select(cast["lat"], cast["lon"], date, *[cast[n] for n in WEATHER_PARAMETERS])
 
 
-def keyed(weather: DataFrame) -> DataFrame:
-    """Observations with their match key, which a stored table may have already."""
-    if set(KEY) <= set(weather.columns):
-        return weather
-    if {"lat", "lon", "date"} <= set(weather.columns):
-        return with_coord_key(weather)
-    raise ValueError(f"observations need the columns {KEY} or lat, lon and date")
-
-
 def weather_by_key(weather: DataFrame, order: Sequence, one_per_key: bool = False) -> DataFrame:
     """First observation of every coordinate and day, by ``order``.
 
@@ -79,9 +75,22 @@ def asked_only(weather: DataFrame, asked: DataFrame) -> DataFrame:
     return near.join(asked.select(*KEY).distinct(), KEY, "left_semi")
 
 
+def _from_store(
+    asked: DataFrame, store: WeatherStore, spread: Sequence[str], how: str, *flags: Column
+) -> DataFrame:
+    """Points with a key, and what the store holds for it: only the points are shuffled."""
+    if asked.isStreaming:
+        rows = store.read()
+    else:
+        span = asked.agg(F.min(KEY[2]), F.max(KEY[2])).first()
+        rows = store.read(*span) if span[0] is not None else store.read().limit(0)
+    found = rows.select(*BUCKET_KEY, *WEATHER_PARAMETERS, *flags)
+    return joins.bucketed_lookup(whole_key(asked), found, BUCKET_KEY, how).drop(*BUCKET_KEY[:2])
+
+
 def weather_match(
     requests: DataFrame,
-    weather: DataFrame,
+    weather: DataFrame | WeatherStore,
     order: Sequence,
     spread: Sequence[str],
     lat: str = "latitude",
@@ -95,27 +104,49 @@ def weather_match(
     null here and become 0 in the scenario and model rows.
     """
     asked = with_coord_key(requests, lat, lon, date)
-    near = asked_only(weather, asked)
-    found = weather_by_key(near, order, one_per_key).withColumn("found", F.lit(True))
-    return (
-        joins.lookup(asked, found, KEY, spread, small=_is_small(weather))
-        .withColumn("found", F.coalesce("found", F.lit(False)))
-        .drop(*KEY)
-    )
+    flag = F.lit(True).alias("found")
+    if isinstance(weather, WeatherStore):
+        matched = _from_store(asked, weather, spread, "left", flag)
+    else:
+        near = asked_only(weather, asked)
+        found = weather_by_key(near, order, one_per_key).select("*", flag)
+        matched = joins.lookup(asked, found, KEY, spread, small=_is_small(weather))
+    return matched.withColumn("found", F.coalesce("found", F.lit(False))).drop(*KEY)
+
+
+def answer(
+    requests: DataFrame,
+    weather: DataFrame | WeatherStore,
+    order: Sequence,
+    spread: Sequence[str],
+    **options,
+) -> DataFrame:
+    """Weather of every asked coordinate, in the order of ``spread`` (request and position in it).
+
+    A coordinate that is asked twice is answered twice; where nothing is stored the parameters are
+    null. Takes the options of ``weather_match``.
+    """
+    return weather_match(requests, weather, order, spread, **options).orderBy(*spread)
 
 
 def attach_weather(
     points: DataFrame,
-    weather: DataFrame,
+    weather: DataFrame | WeatherStore,
     order: Sequence,
     spread: Sequence[str],
     one_per_key: bool = False,
 ) -> DataFrame:
-    """Weather of points on their day; points without any are left out."""
-    found = weather_by_key(weather, order, one_per_key)
-    return joins.lookup(
-        with_coord_key(points), found, KEY, spread, how="inner", small=_is_small(weather)
-    ).drop(*KEY)
+    """Weather of points on their day; points without any are left out.
+
+    Only observations that are asked for are ranked. A table of one observation for each key
+    needs no ranking and is joined as it is.
+    """
+    asked = with_coord_key(points)
+    if isinstance(weather, WeatherStore):
+        return _from_store(asked, weather, spread, "inner").drop(*KEY)
+    near = weather if one_per_key else asked_only(weather, asked)
+    found = weather_by_key(near, order, one_per_key)
+    return joins.lookup(asked, found, KEY, spread, how="inner", small=_is_small(weather)).drop(*KEY)
 
 
 def _is_small(weather: DataFrame) -> bool:
@@ -125,14 +156,21 @@ def _is_small(weather: DataFrame) -> bool:
 
 def missing_keys(
     requests: DataFrame,
-    store: DataFrame,
+    store: DataFrame | WeatherStore,
     lat: str = "latitude",
     lon: str = "longitude",
     date: str = "date",
 ) -> DataFrame:
-    """Places and days that are asked for and not stored yet, once each."""
+    """Places and days that are asked for and not stored yet, once each.
+
+    Of the store the days between the first and the last one asked for are read.
+    """
     asked = with_coord_key(requests, lat, lon, date).select(*KEY).distinct()
-    stored = keyed(store).select(*KEY).distinct()
+    span = asked.agg(F.min(KEY[2]), F.max(KEY[2])).first()
+    if isinstance(store, WeatherStore):
+        stored = store.read(*span) if span[0] is not None else store.read().limit(0)
+        return whole_key(asked).join(stored.select(*BUCKET_KEY), BUCKET_KEY, "left_anti").select(*KEY)
+    stored = keyed(days_between(store, span[0], span[1])).select(*KEY)
     return asked.join(stored, KEY, "left_anti")
 
 

@@ -14,11 +14,12 @@ from pelagia.operators.nearest import nearest_grid_value, with_month
 from pelagia.operators.weather import weather_match
 from pelagia.plans import model as models
 from pelagia.schemas import WEATHER_PARAMETERS
+from pelagia.sources.store import WeatherStore
 
 
 def request_features(
     requests: DataFrame,
-    weather: DataFrame,
+    weather: DataFrame | WeatherStore,
     names: Sequence[str],
     order: Sequence = ("date", *WEATHER_PARAMETERS),
     spread: Sequence[str] = ("req_id",),
@@ -51,7 +52,7 @@ def request_features(
 
 def classify(
     requests: DataFrame,
-    weather: DataFrame,
+    weather: DataFrame | WeatherStore,
     model: PipelineModel,
     spread: Sequence[str] = ("req_id",),
     **options,

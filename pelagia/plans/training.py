@@ -19,6 +19,7 @@ from pelagia.operators.nearest import nearest_grid_value, with_month
 from pelagia.operators.weather import attach_weather, stack
 from pelagia.plans import model as models
 from pelagia.schemas import LABEL, TEST_FROM, TRAINING_FEATURES, WEATHER_PARAMETERS, WINDOW, Box
+from pelagia.sources.store import WeatherStore
 from pelagia.sources.writers import checkpointed
 
 
@@ -50,10 +51,15 @@ def filter_sightings(
 
 
 def days_of_window(
-    weather: DataFrame, window: tuple[datetime | None, datetime | None]
-) -> DataFrame:
-    """Observations on the days that the window touches; constants reach the scan."""
+    weather: DataFrame | WeatherStore, window: tuple[datetime | None, datetime | None]
+) -> DataFrame | WeatherStore:
+    """Observations on the days that the window touches; constants reach the scan.
+
+    A store is returned as it is: lookups read the days they need.
+    """
     lo, hi = window
+    if isinstance(weather, WeatherStore):
+        return weather
     if "date" not in weather.columns:  # a keyed table
         if lo is not None:
             weather = weather.filter(F.col("key_day") >= F.lit(lo.date()))
@@ -71,9 +77,9 @@ def days_of_window(
 
 def build_training_set(
     sightings: DataFrame,
-    weather: DataFrame,
+    weather: DataFrame | WeatherStore,
     grid: DataFrame,
-    background_weather: DataFrame | Callable[[DataFrame], DataFrame],
+    background_weather: DataFrame | WeatherStore | Callable[[DataFrame], DataFrame],
     cfg: TrainingConfig = TrainingConfig(),
 ) -> DataFrame:
     """Labelled, cleaned and shuffled rows.
