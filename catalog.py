@@ -1076,7 +1076,7 @@ def stump_rows(t: Tables) -> DataFrame:
 
 
 def stump(t: Tables) -> PipelineModel:
-    return model.train(stump_rows(t), ["temperature", "clouds"], maxIter=1, maxDepth=1)
+    return model.train(stump_rows(t), ["temperature", "clouds"], method="library", maxIter=1, maxDepth=1)
 
 
 O_STUMP = """leaves as (select cold, 1 / (1 + exp(-2 * (2 * avg(cast(case when cold then id % 3 = 0 else

@@ -15,12 +15,18 @@ from pyspark.sql import functions as F
 from pelagia.functions.features import feature_columns
 from pelagia.functions.scoring import minmax_scores
 from pelagia.operators.report import accuracy, classification_report
+from pelagia.plans.boosting import Settings, boost
+from pelagia.plans.trees import model_of, node_importance, nodes_of
 from pelagia.schemas import LABEL, TEST_FROM
 
 # Settings of the classifier (trees, depth, learning rate, seed, loss).
 DEFAULTS = {"maxIter": 200, "maxDepth": 6, "stepSize": 0.3, "seed": 42, "lossType": "logistic"}
 
 
+# What the settings are called by ``pelagia.plans.boosting``.
+SETTINGS = {"maxIter": "trees", "maxDepth": "depth", "stepSize": "rate"}
+
+
 def temporal_split(
     df: DataFrame, cutoff: datetime = TEST_FROM, date: str = "date"
 ) -> tuple[DataFrame, DataFrame]:
@@ -35,10 +41,23 @@ def train(
     df: DataFrame,
     features: Sequence[str] | None = None,
     label: str = LABEL,
+    method: str = "histogram",
     **params,
 ) -> PipelineModel:
-    """Fit boosted trees on named features; keywords override the settings."""
+    """Fit boosted trees on named features; keywords override the settings.
+
+    By default trees grow from histograms of both derivatives, with ``penalty``, ``least_gain`` and
+    ``least_weight`` as further keywords; this draws nothing, so that the seed does not matter. The method
+    ``library`` is Spark's own classifier, which takes its own keywords.
+    """
     names = list(features) if features is not None else feature_columns(df, label)
+    if method == "histogram":
+        chosen = {**DEFAULTS, **params}
+        given = {to: chosen.pop(name) for name, to in SETTINGS.items()}
+        rest = {k: v for k, v in chosen.items() if k not in ("seed", "lossType")}
+        return model_of(boost(df, names, label, Settings(**given, **rest)), names)
+    if method != "library":
+        raise ValueError("method is 'histogram' or 'library'")
     assembler = VectorAssembler(inputCols=names, outputCol="features", handleInvalid="keep")
     trees = GBTClassifier(labelCol=label, featuresCol="features", **{**DEFAULTS, **params})
     # every tree reads the rows again
@@ -86,13 +105,11 @@ def evaluate(
 
 
 def importance(model: PipelineModel, spark: SparkSession) -> DataFrame:
-    """Features by their importance in the trees, the highest first."""
-    names = feature_names(model)
-    weights = model.stages[-1].featureImportances.toArray()
-    rows = [(n, float(w)) for n, w in zip(names, weights)]
-    return spark.createDataFrame(rows, "feature string, importance double").orderBy(
-        F.desc("importance"), "feature"
-    )
+    """Features by their importance in the trees, the highest first; the shares add up to 1.
+
+    It is the gain of a feature's average split; ``node_importance`` has counts and covers as well.
+    """
+    return node_importance(nodes_of(model, spark), feature_names(model)).select("feature", "importance")
 
 
 def save(model: PipelineModel | None, path: str) -> None:
