@@ -94,11 +94,9 @@ def with_fingerprint(df: DataFrame, text: str, name: str, width: int = WIDTH) ->
 
 def likeness(a: str, b: str) -> Column:
     """Estimated share of common shingles of two fingerprints, 0 to 1; two empty ones are alike."""
-    digits = BITS // 4
-    same = F.filter(
-        F.sequence(F.lit(0), F.lit(BINS - 1)),
-        lambda i: F.substr(F.col(a), i * digits + 1, F.lit(digits)) == F.substr(F.col(b), i * digits + 1, F.lit(digits)),
-    )
+    # Bytes are found at once, characters only by going through those before.
+    x, y = F.unhex(a), F.unhex(b)
+    same = F.filter(F.sequence(F.lit(1), F.lit(BINS)), lambda i: F.substr(x, i, F.lit(1)) == F.substr(y, i, F.lit(1)))
     chance = 2.0**-BITS
     corrected = F.greatest((F.size(same) / BINS - chance) / (1 - chance), F.lit(0.0))
     # Also where both are empty.
