@@ -20,14 +20,15 @@ from pelagia.functions.features import (
 )
 from pelagia.functions.scoring import minmax_scores, score_count, to_class
 from pelagia.operators import background, keyed, profile, report, surface, weather
-from pelagia.operators.nearest import month_match, nearest_grid_value
-from pelagia.plans import map_summary, model
+from pelagia.operators.nearest import build_grid_index, month_match, nearest_grid_value
+from pelagia.plans import boosting, map_summary, model, trees
 from pelagia.plans.classify import classify, request_features
 from pelagia.plans.training import TrainingConfig, build_training_set, filter_sightings
 from pelagia.schemas import DEFAULT_FEATURES, LABEL, TRAINING_FEATURES, WEATHER_PARAMETERS
 from pelagia.sources.readers import clean_grid, head_rows, rejected_sightings
 from pelagia.sources.requests import accepted, parse_requests
-from pelagia.sources.writers import checkpointed
+from pelagia.sources.store import WeatherStore, create_store
+from pelagia.sources.writers import checkpointed, shared_folder
 
 QUERIES: dict = {}
 PARAMS = ", ".join(WEATHER_PARAMETERS)
@@ -275,6 +276,18 @@ def nearest(t):
     return near(t).select("id", "c_lon", "c_lat", "phyto")
 
 
+@query(
+    "nearest_grid_index",
+    with_tables(
+        "select k id, c_lon, c_lat, chlor_a phyto from near", "sightings", "phyto_grid", extra=O_NEAR
+    ),
+)
+def nearest_indexed(t):
+    index = build_grid_index(t.phyto_grid, f"{shared_folder(t.spark)}/index", MONTH, unique=True)
+    points = t.sightings.select("id", "y", "m", "lat", "lon")
+    return nearest_grid_value(points, index, ["id"]).select("id", "c_lon", "c_lat", "phyto")
+
+
 @query(
     "duplicate_cells",
     with_tables(
@@ -459,25 +472,93 @@ def missing_keyed(t):
     return weather.missing_keys(t.requests, checkpointed(weather.weather_by_key(t.weather, WEATHER_ORDER)))
 
 
+# New observations: all of them a degree warmer, those of every third sighting at another place.
+O_FRESH = "fresh as (select * replace (temperature + 1 as temperature, " + (
+    "case when id % 3 = 0 then lat + 5e-1 else lat end as lat) from weather)"
+)
+O_UPSERTED = f"""select key_lat, key_lon, key_day, {PARAMS} from (select *, row_number() over (partition by
+    key_lat, key_lon, key_day order by fresh desc, {', '.join(c + ' desc' for c in WEATHER_PARAMETERS)}) rn
+    from (select 0 fresh, key_lat, key_lon, key_day, {PARAMS} from first_weather union all
+          select 1 fresh, {O_KEY.format('')}, {PARAMS} from fresh)) where rn = 1"""
+
+
+def fresh(t: Tables) -> DataFrame:
+    moved = F.when(F.col("id") % 3 == 0, F.col("lat") + 0.5).otherwise(F.col("lat"))
+    return t.weather.withColumns({"temperature": F.col("temperature") + 1, "lat": moved})
+
+
+def stored_weather(t: Tables) -> WeatherStore:
+    """A new store with the first observation of every place and day."""
+    store = create_store(t.spark, f"{shared_folder(t.spark)}/store", 2)
+    store.upsert(weather.weather_by_key(t.weather, WEATHER_ORDER), [])
+    return store
+
+
+@query("upsert_keyed", with_tables(O_UPSERTED, "weather", extra=f"{O_WEATHER_KEY}, {O_FRESH}"))
+def upserted_keyed(t):
+    store = checkpointed(weather.weather_by_key(t.weather, WEATHER_ORDER))
+    return weather.upsert(store, fresh(t), []).select(*KEY, *WEATHER_PARAMETERS)
+
+
+@query("upsert_store", with_tables(O_UPSERTED, "weather", extra=f"{O_WEATHER_KEY}, {O_FRESH}"))
+def upserted_store(t):
+    store = stored_weather(t)
+    store.upsert(fresh(t), [], ("feed", 1))
+    # the same batch again changes nothing
+    store.upsert(fresh(t).withColumn("clouds", F.lit(-1.0)), [], ("feed", 1))
+    return store.read().select(*KEY, *WEATHER_PARAMETERS)
+
+
 @query(
-    "upsert_keyed",
+    "missing_keys_store",
     with_tables(
-        f"""select key_lat, key_lon, key_day, {PARAMS} from (select *, row_number() over (partition by
-        key_lat, key_lon, key_day order by fresh desc, {', '.join(c + ' desc' for c in WEATHER_PARAMETERS)}) rn
-        from (select 0 fresh, key_lat, key_lon, key_day, {PARAMS} from first_weather union all
-              select 1 fresh, {O_KEY.format('')}, temperature + 1,
-              {', '.join(WEATHER_PARAMETERS[1:])} from weather where l_linenumber <= 2 and id % 3 = 0))
-        where rn = 1""",
+        f"""select distinct {O_KEY.format('')} from (select latitude lat, longitude lon, date
+        from requests) except select {O_KEY.format('')} from weather""",
         "weather",
-        extra=O_WEATHER_KEY,
+        "requests",
     ),
 )
-def upserted_keyed(t):
-    store = checkpointed(weather.weather_by_key(t.weather, WEATHER_ORDER))
-    new = t.weather.filter("l_linenumber <= 2 and id % 3 = 0")
-    new = new.withColumn("temperature", F.col("temperature") + 1)
-    return weather.upsert(store, new, []).select(*KEY, *WEATHER_PARAMETERS)
+def missing_stored(t):
+    return weather.missing_keys(t.requests, stored_weather(t))
+
+
+@query(
+    "attach_store",
+    with_tables(
+        f"""select s.id, s.lat, s.lon, s.date, {', '.join('w.' + p for p in WEATHER_PARAMETERS)}
+        from seen s join first_weather w on round(s.lat, 5) = key_lat and round(s.lon, 5) = key_lon
+        and cast(s.date as date) = key_day""",
+        "weather",
+        extra=f"{O_WEATHER_KEY}, seen as ({O_SEEN})",
+    ),
+)
+def attach_stored(t):
+    return weather.attach_weather(seen(t), stored_weather(t), WEATHER_ORDER, ["id"])
+
 
+# Eight coordinates for each request, every fourth one asked for twice.
+O_ANSWER = f"""select req_id // 8 as request, (req_id % 8) * 2 + k as pos, found, {PARAMS}
+    from (select *, unnest(case when req_id % 4 = 0 then [0, 1] else [0] end) k from matched)"""
+
+
+def coordinate_lists(t: Tables) -> DataFrame:
+    twice = F.explode(F.when(F.col("req_id") % 4 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    request, pos = F.floor(F.col("req_id") / 8), (F.col("req_id") % 8) * 2 + F.col("k")
+    return t.requests.withColumn("k", twice).select(
+        request.alias("request"), pos.alias("pos"), "latitude", "longitude", "date"
+    )
+
+
+@query("answer", with_tables(O_ANSWER, "weather", "requests", extra=O_MATCH))
+def answered(t):
+    got = weather.answer(coordinate_lists(t), t.weather, WEATHER_ORDER, ["request", "pos"])
+    return got.select("request", "pos", "found", *WEATHER_PARAMETERS)
+
+
+@query("answer_store", with_tables(O_ANSWER, "weather", "requests", extra=O_MATCH))
+def answered_stored(t):
+    got = weather.answer(coordinate_lists(t), stored_weather(t), [], ["request", "pos"])
+    return got.select("request", "pos", "found", *WEATHER_PARAMETERS)
 
 
 @query(
@@ -1133,3 +1214,247 @@ def stump_evaluate(t):
     rows = stump_rows(t)
     _, both = model.evaluate(stump(t), rows, rows)
     return rounded(both.filter("part = 'train'").select("part", "accuracy"), "accuracy", places=9)
+
+
+# ---------------------------------------------------------------- small models worked out in full
+
+# Features with few values, all of which are places to split.
+COARSE = ["temperature", "max_individual_wave_height", "mean_period_total_swell", "clouds", "phyto"]
+SMALL = boosting.Settings(trees=2, depth=2)
+
+
+def o_descend(tree: int, rows: str, key: str, depth: int, name: str) -> str:
+    """Clauses that lead rows down a tree whose splits are known: ``<name>_<depth>`` has key and node."""
+    out = [f"{name}_0 as (select {key}, 1 as node from {rows})"]
+    for d in range(depth):
+        value = "case s.feature " + " ".join(f"when '{f}' then r.{f}" for f in COARSE) + " end"
+        out.append(
+            f"""{name}_{d + 1} as (select n.{key}, case when s.node is null then n.node
+            when {value} <= s.threshold then 2 * n.node else 2 * n.node + 1 end as node
+            from {name}_{d} n join {rows} r using ({key}) left join split_{tree}_{d} s on s.node = n.node)"""
+        )
+    return ", ".join(out)
+
+
+def o_boost(settings: boosting.Settings) -> str:
+    """Clauses of the trees that boosting grows on the training rows before the test date.
+
+    ``nodes`` has them all, ``value_<tree>`` a node and its leaf value, ``split_<tree>_<depth>`` its splits.
+    """
+    long = " union all ".join(
+        f"select position, {k} as k, '{f}' as feature, {f} as v from learned" for k, f in enumerate(COARSE)
+    )
+    out = [
+        "learned as (select * from training where date < timestamp '2000-01-01')",
+        f"long as ({long})",
+        "logit_0 as (select position, 0e0 as m from learned)",
+    ]
+    found = []
+    for t in range(settings.trees):
+        out.append(
+            f"""grad_{t} as (select position, p - label as g, p * (1 - p) as h
+            from (select position, label, 1 / (1 + exp(-m)) as p from logit_{t} join learned using (position)))"""
+        )
+        out.append(f"at_{t}_0 as (select position, 1 as node from learned)")
+        for d in range(settings.depth):
+            out.append(
+                f"""cell_{t}_{d} as (select node, k, feature, v, sum(g) as g, sum(h) as h
+                from at_{t}_{d} join long using (position) join grad_{t} using (position) group by all),
+                side_{t}_{d} as (select *, sum(g) over up as gl, sum(h) over up as hl,
+                sum(g) over (partition by node, k) as gt, sum(h) over (partition by node, k) as ht
+                from cell_{t}_{d} window up as (partition by node, k order by v)),
+                split_{t}_{d} as (select node, feature, v as threshold, gain, ht as cover from (select *,
+                row_number() over (partition by node order by gain desc, k, v) as rn from (select *,
+                gl * gl / (hl + 1) + (gt - gl) * (gt - gl) / (ht - hl + 1) - gt * gt / (ht + 1) as gain
+                from side_{t}_{d} where hl >= 1 and ht - hl >= 1) where gain > 0) where rn = 1),
+                at_{t}_{d + 1} as (select n.position, case when x.v <= s.threshold then 2 * n.node
+                else 2 * n.node + 1 end as node from at_{t}_{d} n join split_{t}_{d} s using (node)
+                join long x on x.position = n.position and x.feature = s.feature)"""
+            )
+        out.append(o_descend(t, "learned", "position", settings.depth, f"leaf_{t}"))
+        out.append(
+            f"""value_{t} as (select node, -{settings.rate} * sum(g) / (sum(h) + 1) as value, sum(h) as cover
+            from leaf_{t}_{settings.depth} join grad_{t} using (position) group by node),
+            logit_{t + 1} as (select position, m + value as m
+            from logit_{t} join leaf_{t}_{settings.depth} using (position) join value_{t} using (node))"""
+        )
+        found += [f"select {t} as tree, node, feature, threshold, null as value, gain, cover from split_{t}_{d}" for d in range(settings.depth)]
+        found.append(f"select {t}, node, null, null, value, null, cover from value_{t}")
+    return ", ".join([*out, f"nodes as ({' union all '.join(found)})"])
+
+
+def o_logit(rows: str, key: str, settings: boosting.Settings) -> str:
+    """Clauses that end in ``scored(key, p)`` for rows that have the features."""
+    last = settings.depth
+    down = [o_descend(t, rows, key, last, f"{rows}_{t}") for t in range(settings.trees)]
+    joins = " ".join(
+        f"join {rows}_{t}_{last} n{t} on n{t}.{key} = r.{key} join value_{t} v{t} on v{t}.node = n{t}.node"
+        for t in range(settings.trees)
+    )
+    total = " + ".join(f"v{t}.value" for t in range(settings.trees))
+    return ", ".join([*down, f"scored as (select r.{key}, 1 / (1 + exp(-({total}))) as p from {rows} r {joins})"])
+
+
+O_BOOST = f"{O_TRAINING_TABLE}, {o_boost(SMALL)}"
+
+
+def small_nodes(t: Tables) -> DataFrame:
+    learned, _ = model.temporal_split(training_table(t), TEST_FROM)
+    return boosting.boost(learned, COARSE, LABEL, SMALL)
+
+
+def small_model(t: Tables) -> PipelineModel:
+    return trees.model_of(small_nodes(t), COARSE)
+
+
+@query(
+    "boosted_nodes",
+    with_tables(
+        """select tree, cast(node as int) as node, feature, round(threshold, 6) as threshold,
+        cast(case when feature is not null then 2 * node end as int) as "left",
+        cast(case when feature is not null then 2 * node + 1 end as int) as "right",
+        round(value, 6) as value, round(gain, 6) as gain, round(cover, 6) as cover from nodes""",
+        "weather",
+        "phyto_grid",
+        extra=O_BOOST,
+    ),
+)
+def boosted_nodes(t):
+    return rounded(small_nodes(t), "threshold", "value", "gain", "cover")
+
+
+@query(
+    "boosted_score",
+    with_tables(
+        """select position, label, round(p, 9) as probability, cast(p > 5e-1 as int) as prediction
+        from tested join scored using (position)""",
+        "weather",
+        "phyto_grid",
+        extra=f"""{O_BOOST}, tested as (select * from training where date >= timestamp '2000-01-01'),
+        {o_logit('tested', 'position', SMALL)}""",
+    ),
+)
+def boosted_score(t):
+    _, test = model.temporal_split(training_table(t), TEST_FROM)
+    scored = model.score(test, small_model(t)).select("position", LABEL, "probability", "prediction")
+    return rounded(scored, "probability", places=9)
+
+
+O_BY_FEATURE = " union all ".join(f"select '{f}' as feature" for f in COARSE)
+
+
+@query(
+    "boosted_importance",
+    with_tables(
+        f"""select feature, coalesce(n, 0) as splits, round(coalesce(total_gain, 0), 6) as total_gain,
+        round(coalesce(total_cover, 0), 6) as total_cover, round(coalesce(mean_gain, 0), 6) as mean_gain,
+        round(coalesce(mean_cover, 0), 6) as mean_cover,
+        round(coalesce(mean_gain, 0) / sum(mean_gain) over (), 6) as importance
+        from ({O_BY_FEATURE}) left join (select feature, count(*) as n, sum(gain) as total_gain,
+          sum(cover) as total_cover, avg(gain) as mean_gain, avg(cover) as mean_cover
+          from nodes where feature is not null group by feature) using (feature)""",
+        "weather",
+        "phyto_grid",
+        extra=O_BOOST,
+    ),
+)
+def boosted_importance(t):
+    found = trees.node_importance(small_nodes(t), COARSE)
+    return rounded(found, "total_gain", "total_cover", "mean_gain", "mean_cover", "importance")
+
+
+@query(
+    "boosted_surface",
+    with_tables(
+        """select feature1, feature2, i, j, round(x, 6) as x, round(y, 6) as y, round(p, 6) as probability
+        from planes join scored using (k)""",
+        "weather",
+        "phyto_grid",
+        extra=f"""{O_BOOST}, axes as (select """
+        + ", ".join(
+            f"""median({f}) m_{f}, min({f}) - 1e-1 * (max({f}) - min({f})) lo_{f},
+            max({f}) + 1e-1 * (max({f}) - min({f})) hi_{f}"""
+            for f in COARSE
+        )
+        + " from training), planes as (select *, feature1 || feature2 || i || ':' || j as k from ("
+        + " union all ".join(
+            f"""select '{a}' as feature1, '{b}' as feature2, cast(i as int) as i, cast(j as int) as j, x, y,
+            {', '.join(({a: 'x', b: 'y'}.get(f, f'm_{f}')) + ' as ' + f for f in COARSE)}
+            from (select *, lo_{a} + j * (hi_{a} - lo_{a}) / 49 x, lo_{b} + i * (hi_{b} - lo_{b}) / 49 y
+            from axes, range(50) u(i), range(50) v(j))"""
+            for a, b in (("temperature", "clouds"), ("phyto", "max_individual_wave_height"))
+        )
+        + f")), {o_logit('planes', 'k', SMALL)}",
+    ),
+)
+def boosted_surface(t):
+    pairs = [("temperature", "clouds"), ("phyto", "max_individual_wave_height")]
+    return rounded(surface.surfaces(small_model(t), training_table(t), pairs), "x", "y", "probability")
+
+
+@query(
+    "boosted_classify",
+    with_tables(
+        """select req_id, longitude, latitude, cast(round_even(p * 100, 0) as int) as "count"
+        from requests join scored using (req_id)""",
+        "weather",
+        "phyto_grid",
+        "requests",
+        extra=f"""{O_BOOST}, {O_SCENARIO.replace(O_WEATHER_KEY + ', ', '')}, asked as (select req_id, temperature, clouds,
+        coalesce(max_individual_wave_height, 0) max_individual_wave_height,
+        coalesce(mean_period_total_swell, 0) mean_period_total_swell, 0e0 phyto from scenario),
+        {o_logit('asked', 'req_id', SMALL)}""",
+    ),
+)
+def boosted_classify(t):
+    return classify(t.requests, t.weather, small_model(t), order=WEATHER_ORDER)
+
+
+# A model that is given as a table, with features of many values.
+GIVEN_FEATURES = ["lat", "lon", "ocean_depth", "temperature"]
+GIVEN_NODES = [
+    (0, 1, "lat", 3.25, 2, 3, None, 5.0, 100.0),
+    (0, 2, "ocean_depth", 2500.5, 4, 5, None, 3.0, 60.0),
+    (0, 3, None, None, None, None, -0.375, None, 40.0),
+    (0, 4, None, None, None, None, 0.625, None, 20.0),
+    (0, 5, None, None, None, None, 0.125, None, 40.0),
+    (1, 1, "temperature", 15.5, 2, 3, None, 2.0, 100.0),
+    (1, 2, None, None, None, None, -0.25, None, 50.0),
+    (1, 3, "lon", -41.123, 6, 7, None, 1.0, 50.0),
+    (1, 6, None, None, None, None, 0.75, None, 25.0),
+    (1, 7, None, None, None, None, -0.5, None, 25.0),
+]
+O_GIVEN = """1 / (1 + exp(-(case when lat <= 325e-2 then case when ocean_depth <= 25005e-1 then 625e-3 else
+    125e-3 end else -375e-3 end + case when temperature <= 155e-1 then -25e-2 else case when lon <= -41123e-3
+    then 75e-2 else -5e-1 end end)))"""
+
+
+@query(
+    "tree_score",
+    with_tables(
+        f"""select {', '.join(ROW_KEY)}, round({O_GIVEN}, 9) as probability, round({O_GIVEN}, 9) as by_column,
+        cast({O_GIVEN} > 5e-1 as int) as prediction from weather""",
+        "weather",
+    ),
+)
+def tree_score(t):
+    nodes = t.spark.createDataFrame(GIVEN_NODES, trees.NODES)
+    scored = model.score(t.weather, trees.model_of(nodes, GIVEN_FEATURES))
+    both = scored.select(*ROW_KEY, "probability", trees.probability(nodes).alias("by_column"), "prediction")
+    return rounded(both, "probability", "by_column", places=9)
+
+
+@query(
+    "tree_classify",
+    with_tables(
+        f"""select req_id, longitude, latitude, cast(round_even({O_GIVEN} * 100, 0) as int) as "count" from
+        (select req_id, longitude, latitude, latitude lat, longitude lon, temperature,
+        cast(coalesce(depth, ocean_depth) as double) ocean_depth from scenario)""",
+        "weather",
+        "requests",
+        extra=O_SCENARIO,
+    ),
+)
+def tree_classify(t):
+    nodes = t.spark.createDataFrame(GIVEN_NODES, trees.NODES)
+    return classify(t.requests, stored_weather(t), trees.model_of(nodes, GIVEN_FEATURES))

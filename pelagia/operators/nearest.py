@@ -10,18 +10,26 @@ which is listed under all bins it touches; a target looks in its own bin and
 keeps the one interval that holds it. The longitude axis of all months is small
 and is broadcast if a count proves that; the cells are shuffled with the points,
 and points crowding at one place are spread out by ``joins.lookup``.
+
+Intervals and bins depend on the grid alone. A grid that is used again and again is worked out once, as a
+``GridIndex``, and then read by month.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
+from dataclasses import asdict, dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pelagia.operators import joins
 from pelagia.operators.keyed import first_per_key
 from pelagia.schemas import FILE_ORDER
+from pelagia.sources import commits
 from pelagia.sources.writers import checkpointed
 
 MONTH = ("year", "month")
@@ -57,9 +65,22 @@ def one_row_per_cell(
     return grid.groupBy(*cell).agg(F.min(value).alias(value))
 
 
+@dataclass(frozen=True)
+class _Axis:
+    """Intervals of longitudes and of latitudes by bin, the longitude bins, and which side is small."""
+
+    lon: DataFrame
+    lat: DataFrame
+    start: float
+    width: float
+    last: int
+    lon_small: bool | None = None
+    lat_small: bool | None = None
+
+
 def nearest_grid_value(
     points: DataFrame,
-    grid: DataFrame,
+    grid: DataFrame | GridIndex,
     spread: Sequence[str],
     keys: Sequence[str] = MONTH,
     lon: str = "lon",
@@ -80,34 +101,25 @@ def nearest_grid_value(
     ``order`` counts; by default that is the order in the file where the grid has it, and
     else the least value. ``lon_bin`` is the bin width in degrees of the first step; by default
     it is the mean spacing of the grid's longitudes, as it is of the latitudes in the second.
+    A ``GridIndex`` has its keys, value, order and bins; the arguments for these are not read then.
     """
-    if order is None:
-        order = FILE_ORDER if set(FILE_ORDER) <= set(grid.columns) else ()
-    # n cells of a longitude are listed at most 2n times in the second step
-    small = joins.has_at_most(grid, broadcast_rows // 4)
-    if not small:
-        grid = wanted_months(points, grid, keys)
-    cells = grid if unique else one_row_per_cell(grid, keys, value, order)
-    cells = cells.select(
-        *keys,
-        F.col("lon").alias("g_lon"),
-        F.col("lat").alias("g_lat"),
-        F.col(value).alias("g_value"),
-    )
+    if isinstance(grid, GridIndex):
+        axis, keys = grid.axis(points, broadcast_rows), grid.keys
+    else:
+        axis = _worked_out(points, grid, keys, value, order, unique, lon_bin, broadcast_rows)
 
     # names of the point's own columns never clash with the working columns
     work = points.withColumns({"__lon": _number(F.col(lon)), "__lat": _number(F.col(lat))})
 
-    # step 1: longitude; the axis is small, and is counted, measured and joined
-    axis = checkpointed(lon_axis(cells, keys))
-    start, width, last = _axis_bins(axis, lon_bin)
-    work = work.withColumn("__bin", _lon_bin(F.col("__lon"), start, width, last))
+    # step 1: longitude
+    work = work.withColumn("__bin", _lon_bin(F.col("__lon"), axis.start, axis.width, axis.last))
     work = joins.lookup(
         work,
-        checkpointed(lon_intervals(axis, keys, start, width, last)),
+        axis.lon,
         [*keys, "__bin"],
         spread,
         condition=_holds("__lon"),
+        small=axis.lon_small,
         broadcast_rows=broadcast_rows,
     )
     near = _nearer("__lon")
@@ -121,11 +133,11 @@ def nearest_grid_value(
     # step 2: latitude on that longitude, and the value
     work = joins.lookup(
         work,
-        lat_intervals(cells, keys),
+        axis.lat,
         [*keys, "c_lon", "__lat_bin"],
         spread,
         condition=_holds("__lat"),
-        small=small,
+        small=axis.lat_small,
     )
     near = _nearer("__lat")
     return work.withColumns({"c_lat": near["at"], out: near["value"]}).drop(
@@ -133,6 +145,124 @@ def nearest_grid_value(
     )
 
 
+def _cells(grid: DataFrame, keys: Sequence[str], value: str, order: Sequence[str] | None, unique: bool) -> DataFrame:
+    if order is None:
+        order = FILE_ORDER if set(FILE_ORDER) <= set(grid.columns) else ()
+    cells = grid if unique else one_row_per_cell(grid, keys, value, order)
+    return cells.select(
+        *keys,
+        F.col("lon").alias("g_lon"),
+        F.col("lat").alias("g_lat"),
+        F.col(value).alias("g_value"),
+    )
+
+
+def _worked_out(
+    points: DataFrame,
+    grid: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    order: Sequence[str] | None,
+    unique: bool,
+    lon_bin: float | None,
+    broadcast_rows: int,
+) -> _Axis:
+    # n cells of a longitude are listed at most 2n times in the second step
+    small = joins.has_at_most(grid, broadcast_rows // 4)
+    if not small:
+        grid = wanted_months(points, grid, keys)
+    cells = _cells(grid, keys, value, order, unique)
+    # the axis is small, and is counted, measured and joined
+    axis = checkpointed(lon_axis(cells, keys))
+    bins = _axis_bins(axis, lon_bin)
+    listed = checkpointed(lon_intervals(axis, keys, *bins))
+    return _Axis(listed, lat_intervals(cells, keys), *bins, lat_small=small)
+
+
+@dataclass(frozen=True)
+class _Build:
+    """A version of an index: where it lies, what it was made with, and how many rows it has."""
+
+    number: int
+    folder: str
+    keys: list[str]
+    start: float
+    width: float
+    last: int
+    lon_rows: int
+    lat_rows: int
+    lon_schema: str
+    lat_schema: str
+
+
+class GridIndex:
+    """The intervals of a grid, stored by its keys (year and month), so that no call works them out again.
+
+    Building again publishes a new version in one step; readers of the old one are not disturbed.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, commits.qualified(spark, path).rstrip("/")
+        found = _versions(spark, self.path)
+        if not found:
+            raise FileNotFoundError(f"no grid index at {self.path}")
+        self.build = _Build(**json.loads(commits.read_text(spark, f"{self.path}/versions/{found[-1]}")))
+
+    @property
+    def keys(self) -> list[str]:
+        return self.build.keys
+
+    def axis(self, points: DataFrame, broadcast_rows: int) -> _Axis:
+        """The months that points ask for, or the whole index if it is small."""
+        b = self.build
+        lon, lat = (
+            self.spark.read.schema(T.StructType.fromJson(json.loads(schema))).parquet(f"{self.path}/data/{b.folder}/{side}")
+            for side, schema in (("lon", b.lon_schema), ("lat", b.lat_schema))
+        )
+        lon_small, lat_small = b.lon_rows <= broadcast_rows, b.lat_rows <= broadcast_rows // 2
+        if not (lon_small and lat_small):
+            lon, lat = wanted_months(points, lon, b.keys), wanted_months(points, lat, b.keys)
+        return _Axis(lon, lat, b.start, b.width, b.last, lon_small, lat_small)
+
+
+def _versions(spark: SparkSession, path: str) -> list[str]:
+    return [n for n in commits.names(spark, f"{path}/versions") if n.endswith(".json") and n[0] != "."]
+
+
+def build_grid_index(
+    grid: DataFrame,
+    path: str,
+    keys: Sequence[str] = MONTH,
+    value: str = "chlor_a",
+    order: Sequence[str] | None = None,
+    unique: bool = False,
+    lon_bin: float | None = None,
+) -> GridIndex:
+    """Work out the intervals of a grid and store them as a new version of the index at a path.
+
+    The arguments mean what they do in ``nearest_grid_value``. Of two builds at the same time one wins
+    and the other raises.
+    """
+    spark = grid.sparkSession
+    top, folder = commits.qualified(spark, path).rstrip("/"), uuid.uuid4().hex
+    cells = checkpointed(_cells(grid, keys, value, order, unique))
+    axis = checkpointed(lon_axis(cells, keys))
+    bins = _axis_bins(axis, lon_bin)
+    facts = {}
+    for side, df in (("lon", lon_intervals(axis, keys, *bins)), ("lat", lat_intervals(cells, keys))):
+        place = f"{top}/data/{folder}/{side}"
+        # a month's rows lie together, in several files where they are many
+        df.repartition(*keys, F.pmod(F.xxhash64("__from"), F.lit(4))).write.partitionBy(*keys).parquet(place)
+        facts[f"{side}_rows"] = spark.read.schema(df.schema).parquet(place).count()
+        facts[f"{side}_schema"] = df.schema.json()
+    number = len(_versions(spark, top)) + 1
+    made = _Build(number, folder, list(keys), *bins, **facts)
+    if not commits.publish(spark, f"{top}/versions/{number:012d}.json", json.dumps(asdict(made))):
+        commits.remove(spark, f"{top}/data/{folder}")
+        raise FileExistsError(f"another build of {top} was faster")
+    return GridIndex(spark, path)
+
+
 def wanted_months(points: DataFrame, grid: DataFrame, keys: Sequence[str] = MONTH) -> DataFrame:
     """Grid without the years and months that no point has.
 

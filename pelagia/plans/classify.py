@@ -45,6 +45,13 @@ def request_features(
         )
         rows = near.drop("c_lon", "c_lat")
     matched = weather_match(rows, weather, order, spread, one_per_key=one_per_key)
+    return matched_features(matched, names, clean, depth_delta)
+
+
+def matched_features(
+    matched: DataFrame, names: Sequence[str], clean: bool = False, depth_delta: str = "found"
+) -> DataFrame:
+    """Model rows of requests that have their weather beside them."""
     if clean:
         matched = clean_features(matched, WEATHER_PARAMETERS)
     return model_rows(apply_scenario(matched), list(names), depth_delta=depth_delta)
@@ -59,7 +66,11 @@ def classify(
 ) -> DataFrame:
     """Longitude, latitude and count (0 to 100) of every request."""
     names = models.feature_names(model)
-    rows = request_features(requests, weather, names, spread=spread, **options)
+    return counted(request_features(requests, weather, names, spread=spread, **options), model, spread)
+
+
+def counted(rows: DataFrame, model: PipelineModel, spread: Sequence[str]) -> DataFrame:
+    """Longitude, latitude and count of model rows."""
     scored = models.score(rows, model)
     return scored.select(
         *spread,

@@ -5,9 +5,11 @@ from __future__ import annotations
 import csv
 import os
 import re
-from collections.abc import Iterable, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterable, Iterator, Sequence
+from urllib.parse import unquote, urlsplit
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,12 +18,14 @@ from pelagia.functions.coords import given_variant, to_number
 from pelagia.functions.dates import has_date
 from pelagia.operators.weather import stack
 from pelagia.schemas import FILE_ORDER, SIGHTING
+from pelagia.sources import commits
 
 
 def read_sightings(spark: SparkSession, path: str | list[str], lines: bool = False) -> DataFrame:
     """Sightings from JSON arrays, or from JSON lines, as ``build_training_set`` takes them.
 
-    ``id`` numbers the rows; it is the same as long as the files and their splits are.
+    ``id`` is a hash of the file's name, what is written, and the number among rows that are equal in
+    this: it does not depend on how files are split, or on their order.
     ``raw_date`` stays a text. Coordinates may be numbers or texts: ``lat`` and ``lon`` are their
     values, ``lat_text`` and ``lon_text`` what is written, and the ``_given`` flags tell
     which count for the map centre. ``rejected_sightings`` lists those that cannot be used.
@@ -36,8 +40,7 @@ def read_sightings(spark: SparkSession, path: str | list[str], lines: bool = Fal
     def number(name: str) -> Column:
         return F.try_variant_get(name, "$", "double").alias(name[:3])
 
-    return raw.select(
-        F.monotonically_increasing_id().alias("id"),
+    rows = raw.select(
         F.col("date").alias("raw_date"),
         number("latitude"),
         number("longitude"),
@@ -45,6 +48,26 @@ def read_sightings(spark: SparkSession, path: str | list[str], lines: bool = Fal
         text("longitude"),
         given_variant(F.col("latitude")).alias("lat_given"),
         given_variant(F.col("longitude")).alias("lon_given"),
+        F.col("_metadata.file_name").alias("__file"),
+    )
+    return _identified(rows)
+
+
+# Equal rows that are numbered in one go.
+EQUAL_ROWS = 10_000
+
+
+def _identified(rows: DataFrame) -> DataFrame:
+    """Rows with an ``id`` from their values; equal ones, which are interchangeable, are counted and numbered."""
+    counted = rows.groupBy(*rows.columns).agg(F.count("*").alias("__n"))
+    # very many equal rows are numbered by several tasks
+    last = F.floor((F.col("__n") - 1) / EQUAL_ROWS)
+    parts = counted.withColumn("__part", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    first = F.col("__part") * EQUAL_ROWS
+    nth = F.sequence(first, F.least(F.col("__n"), first + EQUAL_ROWS) - 1)
+    dealt = parts.repartition(F.xxhash64("__part", *rows.columns))
+    return dealt.withColumn("__nth", F.explode(nth)).select(
+        F.xxhash64(F.lit(1), *rows.columns, "__nth").alias("id"), *[c for c in rows.columns if c != "__file"]
     )
 
 
@@ -166,29 +189,61 @@ def head_rows(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
 
 
 def _files(spark: SparkSession, path: str) -> list[str]:
-    """File names only, without reading; none match gives an empty list."""
+    """File names only, without reading; none match gives an empty list.
+
+    One folder is listed in one go, and its names are picked by the pattern; folders that are patterns
+    themselves are listed by Spark.
+    """
+    folder, name = os.path.split(path)
     try:
-        return sorted(spark.read.text(path).inputFiles())
+        if not folder or any(c in folder for c in "*?[{"):
+            return sorted(spark.read.text(path).inputFiles())
+        found = spark.read.option("pathGlobFilter", name).text(folder).inputFiles()
+        # not those of folders below, which Spark lists too
+        depth = commits.qualified(spark, folder).rstrip("/").replace("///", "/").count("/") + 1
+        return sorted(f for f in found if f.replace("///", "/").count("/") == depth)
     except Exception as error:  # the reader's own error class differs by deployment
         if "PATH_NOT_FOUND" in str(error):
             return []
         raise
 
 
-def _first_lines(spark: SparkSession, files: list[str]) -> list[str]:
-    """The first line of every file, and nothing else of it."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+# Bytes of a file that are read at a time until its first line is whole, and files that one task opens.
+HEAD_BYTES = 1 << 14
+HEADS = 64
+
 
-    def first(file: str) -> str:
-        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
-        stream = path.getFileSystem(conf).open(path)
-        try:
-            return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine() or ""
-        finally:
-            stream.close()
+def _headers(spark: SparkSession, files: list[str]) -> list[tuple[str, list[str]]]:
+    """First lines of the files, each with the files that begin with it. Tasks open the files.
+
+    Only the different lines and the names of files come to the driver, which has the names anyway.
+    """
 
-    with ThreadPoolExecutor(16) as pool:
-        return list(pool.map(first, files))
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lines = [_head(name) for name in batch.column("file").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("file"), pa.array(lines, pa.string())], ["file", "line"])
+
+    tasks = max(1, -(-len(files) // HEADS))
+    listed = spark.createDataFrame([(f,) for f in files], "file string").repartition(tasks)
+    found = listed.mapInArrow(read, "file string, line string").groupBy("line")
+    return [(r["line"], r["files"]) for r in found.agg(F.sort_array(F.collect_list("file")).alias("files")).collect()]
+
+
+def _head(file: str) -> str:
+    """The first line of a file; little beyond the bytes that hold it is read."""
+    if file.startswith("file:"):
+        system, path = fs.LocalFileSystem(), unquote(urlsplit(file).path)
+    else:
+        system, path = fs.FileSystem.from_uri(file)
+    with system.open_input_stream(path) as stream:
+        raw = b""
+        while b"\n" not in raw:
+            more = stream.read(HEAD_BYTES)
+            if not more:
+                break
+            raw += more
+    return raw.split(b"\n", 1)[0].decode("utf-8-sig", "replace").rstrip("\r")
 
 
 def _csv_by_header(spark: SparkSession, files: list[str], marker: str) -> list[DataFrame]:
@@ -198,9 +253,9 @@ def _csv_by_header(spark: SparkSession, files: list[str], marker: str) -> list[D
     header is a file's first line; headers that differ in quotes only are the same.
     """
     groups: dict[tuple[str, ...], list[str]] = {}
-    for file, line in zip(files, _first_lines(spark, files), strict=True):
-        groups.setdefault(tuple(next(csv.reader([line]), ())), []).append(file)
+    for line, group in _headers(spark, files) if files else ():
+        groups.setdefault(tuple(next(csv.reader([line]), ())), []).extend(group)
     bad = sum(len(group) for names, group in groups.items() if marker not in names)
     if bad:
         raise ValueError(f"{bad} of {len(files)} files have no column {marker}")
-    return [spark.read.option("header", True).csv(sorted(group)) for group in groups.values()]
+    return [spark.read.option("header", True).csv(sorted(groups[names])) for names in sorted(groups)]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,16 +26,18 @@ BAD_DEPTH = "the depth is no whole number"
 BAD_DELTAS = "one of the three deltas is missing or no number"
 
 
-def parse_requests(df: DataFrame, body: str = "value", request_id: str = "req_id") -> DataFrame:
+def parse_requests(
+    df: DataFrame, body: str = "value", request_id: str = "req_id", keep: Sequence[str] = ()
+) -> DataFrame:
     """One row per requested coordinate, or per request that has none.
 
     Coordinates come under ``coords``, else ``coordinates``, as a list or as an
     object whose values are taken in their order. Each is ``[lon, lat]`` or an object.
     ``reason`` says why a row cannot be used, and is null for good rows. ``whole``
-    is true if no row of the same request has a reason.
+    is true if no row of the same request has a reason. ``keep`` names columns that come along.
     """
     fields = F.from_json(body, "map<string,string>")
-    raw = df.select(F.col(request_id).alias("req_id"), fields.alias("f"))
+    raw = df.select(F.col(request_id).alias("req_id"), *keep, fields.alias("f"))
     f = F.col("f")
     coords = F.when(F.map_contains_key(f, "coords"), _get(f, "coords")).otherwise(
         _get(f, "coordinates")
@@ -45,6 +49,7 @@ def parse_requests(df: DataFrame, body: str = "value", request_id: str = "req_id
     deltas = F.from_json("d", "map<string,string>")
     request = raw.select(
         "req_id",
+        *keep,
         F.trim(coords).alias("c"),
         parse_iso(_get(f, "date")).alias("date"),
         _get(f, "view").alias("view"),
@@ -52,6 +57,7 @@ def parse_requests(df: DataFrame, body: str = "value", request_id: str = "req_id
         _get(f, "deltas").alias("d"),
     ).select(
         "req_id",
+        *keep,
         "date",
         "view",
         "depth_text",
@@ -72,6 +78,7 @@ def parse_requests(df: DataFrame, body: str = "value", request_id: str = "req_id
     )
     checked = request.select(
         "req_id",
+        *keep,
         "date",
         "view",
         F.when(~bad_depth, whole_depth).alias("depth"),
@@ -96,6 +103,7 @@ def parse_requests(df: DataFrame, body: str = "value", request_id: str = "req_id
         "d_temp",
         "d_clouds",
         "d_ocean",
+        *keep,
         "whole",
         F.coalesce("request_reason", "p.reason").alias("reason"),
     )

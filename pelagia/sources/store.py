@@ -71,8 +71,8 @@ def create_store(spark: SparkSession, path: str, buckets: int, by: str = "month"
 class WeatherStore:
     """One observation for each place and day, in a folder that all executors share."""
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, commits.qualified(spark, path).rstrip("/")
+    def __init__(self, spark: SparkSession, path: str, pinned: Version | None = None):
+        self.spark, self.path, self.pinned = spark, commits.qualified(spark, path).rstrip("/"), pinned
 
     # ------------------------------------------------------------ versions
 
@@ -87,13 +87,19 @@ class WeatherStore:
         return [int(name[:-5]) for name in found if name.endswith(".json") and name[0] != "."]
 
     def version(self, number: int | None = None) -> Version:
-        """The last version, or an older one."""
+        """The last version, or an older one; of a store ``at`` a version, that one."""
+        if number is None and self.pinned is not None:
+            return self.pinned
         if number is None:
             number = max(self.versions(), default=0)
         if not number:
             raise FileNotFoundError(f"no store at {self.path}")
         return Version(**json.loads(commits.read_text(self.spark, self._file(number))))
 
+    def at(self, version: Version | None = None) -> WeatherStore:
+        """The store as it is in one version, the last one by default, whatever is added later."""
+        return WeatherStore(self.spark, self.path, version or self.version())
+
     # ------------------------------------------------------------ reading
 
     def read(
@@ -151,6 +157,8 @@ class WeatherStore:
         known = [F.col(c).desc() for c in latest if c in rows.columns]
         ties = [F.col(c).desc() for c in WEATHER_PARAMETERS if c not in latest]
         columns = [*BUCKET_KEY, *WEATHER_PARAMETERS]
+        if self.pinned is not None:
+            raise ValueError("a store at one version is not written to")
         fresh = None
         for _ in range(ATTEMPTS):
             now = self.version()

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from pelagia.operators import joins
 from pelagia.operators.nearest import (
+    GridIndex,
+    build_grid_index,
     month_match,
     nearest_grid_value,
     one_row_per_cell,
@@ -199,3 +201,44 @@ def test_month_match_keeps_every_point(spark):
     ).collect()
     assert len(rows) == len(points)
     assert all(r["has_grid"] == (r["month"] != 4) for r in rows)
+
+
+def test_an_index_gives_the_same_without_windows(spark, tmp_path):
+    rng = random.Random(8)
+    cells = [
+        (y, m, float(rng.randrange(-18, 18)) * 10, float(rng.randrange(-9, 9)) * 10, rng.random())
+        for y in (2020, 2021) for m in (1, 2, 3) for _ in range(60)
+    ]
+    points = [(k, rng.choice([2020, 2021, 2022]), rng.choice([1, 2, 3]), rng.uniform(-200, 200), rng.uniform(-95, 95)) for k in range(500)]
+    points.append((500, 2020, 1, None, 1.0))
+    grid, df = spark.createDataFrame(cells, CELL), spark.createDataFrame(points, POINT)
+    index = build_grid_index(grid, str(tmp_path / "index"))
+    want = expected(points, cells)
+    for options in ({}, {"broadcast_rows": 0}):
+        got = nearest_grid_value(df, index, ["id"], **options)
+        assert found(got) == want
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "Window" not in plan
+    # few months are read
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    some = nearest_grid_value(df.filter("year = 2021 and month = 2"), index, ["id"], broadcast_rows=0)
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    assert len(scans) == 2 and all("PartitionFilters: [" in line and "2021" in line.split("PartitionFilters")[1] for line in scans)
+
+
+def test_versions_of_an_index(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "index")
+    with pytest.raises(FileNotFoundError):
+        GridIndex(spark, path)
+    one = build_grid_index(spark.createDataFrame([(2020, 1, 0.0, 0.0, 1.0), (2020, 1, 0.0, 0.0, 0.5)], CELL), path)
+    two = build_grid_index(spark.createDataFrame([(2020, 1, 0.0, 0.0, 2.0)], CELL), path)
+    point = spark.createDataFrame([(1, 2020, 1, 5.0, 5.0)], POINT)
+    values = [nearest_grid_value(point, i, ["id"]).head()["phyto"] for i in (one, two, GridIndex(spark, path))]
+    assert values == [0.5, 2.0, 2.0]
+    empty = build_grid_index(spark.createDataFrame([], CELL), str(tmp_path / "empty"))
+    assert found(nearest_grid_value(point, empty, ["id"])) == {1: (None, None, None)}
+    monkeypatch.setattr("pelagia.operators.nearest.commits.publish", lambda *_: False)
+    with pytest.raises(FileExistsError):
+        build_grid_index(spark.createDataFrame([], CELL), path)

@@ -22,14 +22,38 @@ def test_sightings(spark, tmp_path):
     (tmp_path / "b.jsonl").write_text("\n".join(map(json.dumps, rows)))
     for path, lines in ((tmp_path / "a.json", False), (tmp_path / "b.jsonl", True)):
         df = readers.read_sightings(spark, str(path), lines)
-        assert [tuple(r)[1:] for r in df.collect()] == [
+        assert {tuple(r)[1:] for r in df.collect()} == {
             ("Mon, 05 Jan 2021 10:00:00 GMT", 1.5, -20.25, "1.5", "-20.25", True, True),
             ("", 0.0, 0.0, "0", "0", False, True),
             (None, None, None, "x", None, True, False),
-        ]
+        }
         assert df.select("id").distinct().count() == 3
 
 
+def test_ids_do_not_depend_on_splits(spark, tmp_path, monkeypatch):
+    row = {"date": "Mon, 05 Jan 2021 10:00:00 GMT", "latitude": 1.5, "longitude": 2}
+    rows = [row | {"longitude": k % 7} for k in range(400)] + [row] * 50 + [{}] * 3
+    for name in ("a", "b"):
+        (tmp_path / f"{name}.jsonl").write_text("\n".join(map(json.dumps, rows)))
+    monkeypatch.setattr(readers, "EQUAL_ROWS", 9)
+
+    def read(size):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        try:
+            return sorted(map(str, readers.read_sightings(spark, str(tmp_path), True).collect()))
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+
+    small = read("1k")
+    assert len(small) == 906 and len({r.split(",")[0] for r in small}) == 906
+    assert read("1g") == small
+    # a reading of one of the files gives its rows the ids they have among others
+    alone = readers.read_sightings(spark, str(tmp_path / "a.jsonl"), True).collect()
+    assert set(map(str, alone)) <= set(small)
+
+
 def test_rejected_sightings(spark, tmp_path):
     day = "Mon, 05 Jan 2021 10:00:00 GMT"
     rows = [(day, 1, 2), (day, "north", 2), (day, 1, None), ("", None, None), (day, "x", "y")]
@@ -50,6 +74,34 @@ def test_label_shows_what_was_written(spark, tmp_path):
     assert shown.endswith("(12, -20.50)")
 
 
+def test_headers_of_many_files_are_read_by_tasks(spark, tmp_path, monkeypatch):
+    """5,000 files of three kinds; the driver opens none of them."""
+    heads = [",lat,lon,date,clouds", ",lat,lon,date,clouds,depth", ',lat,"lon",date,temperature']
+    for k in range(5000):
+        (tmp_path / f"weather data {k}.csv").write_text(f"{heads[k % 3]}\n0,1.0,{k}.5,2020-01-01,5,7\n")
+
+    def refuse(*_):
+        raise AssertionError("the driver opened a file")
+
+    # tasks run in processes of their own
+    monkeypatch.setattr(readers.fs, "LocalFileSystem", refuse)
+    (tmp_path / "below").mkdir()
+    (tmp_path / "below" / "weather data x.csv").write_text("other\n")
+    files = readers._files(spark, f"{tmp_path}/weather*.csv")
+    assert len(files) == 5000
+    groups = readers._headers(spark, files)
+    assert sorted((line, len(found)) for line, found in groups) == sorted(
+        (h, sum(k % 3 == n for k in range(5000))) for n, h in enumerate(heads)
+    )
+    assert sorted(f for _, found in groups for f in found) == files
+
+
+def test_first_lines(tmp_path):
+    for k, (raw, want) in enumerate([(b"", ""), (b"a,b", "a,b"), (b"\xef\xbb\xbfa\r\nx", "a"), (b"y" * 40_000 + b"\nz", "y" * 40_000)]):
+        (tmp_path / f"{k}.csv").write_bytes(raw)
+        assert readers._head((tmp_path / f"{k}.csv").as_uri()) == want
+
+
 def test_repeated_and_quoted_headers(spark, tmp_path):
     (tmp_path / "S.20200101_20200131.a.csv").write_text('lon,lat,chlor_a\n1,2,0.5\n"lon","lat","chlor_a"\n3,4,0.25\n')
     (tmp_path / "S.20200201_20200229.a.csv").write_text('"lon","lat","chlor_a"\n1,2,0.5\n')
