@@ -11,20 +11,21 @@ place, stays.
 Borders agree only some bytes inside a repeated passage. Each run of repeated chunks, of one chunk even, therefore
 grows at both ends, as far as the text before and after it equals that beside the first place, to whole
 words: the first place is asked for the ``WINDOW`` bytes there. What then holds at least
-``MIN_RUN`` bytes is removed; less is as short as a phrase. A passage of 51 words is found if one
+``MIN_WORDS`` words, or ``MIN_RUN`` bytes, is removed; less is a phrase or a line. A passage of 51 words is found if one
 chunk of it is the same in both texts, whatever stands before and after it.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pelagia.llm.names import ddl, free, others
 from pelagia.llm.storage import stored
 from pelagia.llm.textbytes import LOWER, SPACE, mix, pieces
 
@@ -32,7 +33,9 @@ MIN_BYTES = 24
 MAX_BYTES = 256
 # Zeros asked of the hash: beyond the shortest, a chunk ends at one byte of 32.
 ZEROS = 5
-MIN_RUN = 96
+# What a run holds when it has grown: so many words, or bytes where words are long or not parted by space.
+MIN_WORDS = 45
+MIN_RUN = 512
 # Bytes beside a first place that a run may grow by: twice the longest chunk.
 WINDOW = 512
 
@@ -235,31 +238,40 @@ def _grown(raw: bytes, runs: list[dict]) -> tuple[np.ndarray, np.ndarray]:
     return found[:, 0], found[:, 1]
 
 
-def dedup_chunks(documents: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
+MADE = ("removed_spans", "removed_bytes")
+
+
+def dedup_chunks(
+    documents: DataFrame, min_words: int = MIN_WORDS, min_run: int = MIN_RUN, made: Sequence[str] = MADE
+) -> DataFrame:
     """All columns of the documents, with repeated passages cut out of ``text``.
 
     A passage stays where it comes first, by ``doc_id`` and place in the text; a null
     ``doc_id`` is replaced by a hash of the text. Rows that share an id count as one place:
     what repeats between them stays. Null and empty texts come back as they are; a text
     of which only white space is left becomes empty. Spans grow to whole characters. Adds
-    ``removed_spans`` (start and stop in bytes of the old text) and ``removed_bytes``.
+    ``removed_spans`` (start and stop in bytes of the old text) and ``removed_bytes``, or the names given
+    as ``made``; columns that have these give way.
     """
-    keyed = documents.withColumn("__row", F.xxhash64(F.lit(11), F.col("doc_id").cast("long"), F.col("text")))
+    names = others(documents, made)
+    row, found = free([*documents.columns, *made], "row", "spans")
+    keyed = documents.withColumn(row, F.xxhash64(F.lit(11), F.col("doc_id").cast("long"), F.col("text").cast("string")))
     texts = keyed.select(
-        F.col("__row").alias("row"), F.coalesce(F.col("doc_id").cast("long"), "__row").alias("ord"), "text"
+        F.col(row).alias("row"),
+        F.coalesce(F.col("doc_id").cast("long"), row).alias("ord"),
+        F.col("text").cast("string").alias("text"),
     )
-    joined = keyed.join(grown_runs(texts).selectExpr("row __row", "runs __spans"), "__row", "left")
-    names = [c for c in documents.columns]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.schema.fields)
+    runs = grown_runs(texts).select(F.col("row").alias(row), F.col("runs").alias(found))
+    joined = keyed.join(runs, row, "left").select(*names, found)
 
     def remove(batches):
         for batch in batches:
             out = batch.column("text").to_pylist()
             kept, size = [[] for _ in out], [0] * len(out)
-            spans = batch.column("__spans")
+            spans = batch.column(found)
             for k in np.flatnonzero(spans.is_valid().to_numpy(zero_copy_only=False)).tolist():
                 raw = out[k].encode()
-                runs = _runs(*_grown(raw, spans[k].as_py()), min_run)
+                runs = _runs(raw, *_grown(raw, spans[k].as_py()), min_words, min_run)
                 if runs:
                     out[k], kept[k] = _without(raw, runs)
                     size[k] = sum(s["stop"] - s["start"] for s in kept[k])
@@ -271,19 +283,19 @@ def dedup_chunks(documents: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
                     pa.array(kept, pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))),
                     pa.array(size, pa.int64()),
                 ],
-                [*names, "removed_spans", "removed_bytes"],
+                [*names, *made],
             )
 
-    extra = "removed_spans array<struct<start:int,stop:int>>, removed_bytes long"
-    return joined.mapInArrow(remove, f"{schema}, {extra}")
+    extra = f"`{made[0]}` array<struct<start:int,stop:int>>, `{made[1]}` long"
+    return joined.mapInArrow(remove, ddl(documents, names) + extra)
 
 
-def _runs(starts: np.ndarray, stops: np.ndarray, min_run: int) -> list[tuple[int, int]]:
+def _runs(raw: bytes, starts: np.ndarray, stops: np.ndarray, min_words: int, min_run: int) -> list[tuple[int, int]]:
     """Adjacent spans joined; those that stay short are left out."""
     new = np.flatnonzero(np.r_[True, starts[1:] != stops[:-1]])
     a, b = starts[new], stops[np.r_[new[1:] - 1, len(stops) - 1]]
-    keep = b - a >= min_run
-    return list(zip(a[keep].tolist(), b[keep].tolist(), strict=True))
+    runs = zip(a.tolist(), b.tolist(), strict=True)
+    return [(x, y) for x, y in runs if y - x >= min_run or len(raw[x:y].split()) >= min_words]
 
 
 def _without(raw: bytes, runs: list[tuple[int, int]]) -> tuple[str, list[dict]]:

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from pelagia.llm.blocks import block_pairs, forest, grouped, in_groups
 from pelagia.llm.components import components
+from pelagia.llm.names import free
 from pelagia.llm.storage import stored
 from pelagia.llm.textbytes import mix, pieces, shingle_sets
 
@@ -462,12 +463,13 @@ def jaccard_components(documents: DataFrame, width: int = 5, percent: int = 80)
 def one_of_each(documents: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """The documents with one left of each component, the one of least id.
 
-    Documents without words all stay. Rows repeated in id and text count as copies.
+    Documents without words all stay. Rows repeated in id and text count as copies. All columns come back,
+    whatever they are called.
     """
     found = jaccard_components(documents, width, percent)
-    kept = found.filter("kept").groupBy(F.col("row_key").alias("__row")).agg(F.max("n_shingles").alias("__n"))
-    keyed = documents.withColumn(
-        "__row", F.xxhash64(F.lit(5), F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    ).join(kept, "__row")
-    some = keyed.filter("__n > 0").dropDuplicates(["__row"])
-    return some.unionByName(keyed.filter("__n = 0")).drop("__row", "__n")
+    row, n = free(documents.columns, "row", "n")
+    kept = found.filter("kept").groupBy(F.col("row_key").alias(row)).agg(F.max("n_shingles").alias(n))
+    name = F.xxhash64(F.lit(5), F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    keyed = documents.withColumn(row, name).join(kept, row)
+    some = keyed.filter(F.col(n) > 0).dropDuplicates([row])
+    return some.unionByName(keyed.filter(F.col(n) == 0)).select(*documents.columns)

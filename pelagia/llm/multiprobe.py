@@ -231,7 +231,7 @@ def nearest(vectors: DataFrame, every: int = 50, k: int = 5) -> DataFrame:
     Vectors that are null, zero, or have null or non-finite components take no part, nor do rows
     without an id. Vectors of different lengths are not compared. Rows that share an id are
     one candidate with the best of their scores, and none of each other; if several of them are queries,
-    one is taken. Equal scores are ranked by id. With k others or fewer all are returned.
+    the least vector is taken. Equal scores are ranked by id. With k others or fewer all are returned.
     """
     rows = stored(
         vectors.filter(F.col("vec_id").isNotNull() & valid("embedding")).select(
@@ -244,7 +244,9 @@ def nearest(vectors: DataFrame, every: int = 50, k: int = 5) -> DataFrame:
     buckets = max(1, round(total * TABLES / BUCKET))
     # Few bytes, but much to do for each: so many tasks on purpose.
     tasks = max(1, total // every // QUERIES)
-    queries = rows.filter(F.col("vec_id") % every == 0).dropDuplicates(["vec_id"]).repartition(tasks, "vec_id")
+    # Of rows that share an id the least vector asks, whatever the order of the rows.
+    asking = rows.filter(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min(F.struct("embedding", "dim")).alias("q"))
+    queries = stored(asking.select("vec_id", "q.embedding", "q.dim")).repartition(tasks, "vec_id")
     index = stored(_indexed(rows, buckets))
     others = rows.groupBy("dim").agg((F.count_distinct("vec_id") - 1).alias("others"))
     first = _first_cosines(rows, k)

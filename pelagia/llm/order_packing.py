@@ -35,10 +35,10 @@ SENTENCE, INSIDE = 4, 64
 LONG = 256
 END = 1
 # Words whose ids a task remembers, and places for them.
-REMEMBERED = 1 << 21
-PLACES = 1 << 22
+REMEMBERED = 1 << 19
+PLACES = 1 << 20
 # Texts are taken in pieces of so many bytes.
-STRETCH_BYTES = 4 << 20
+STRETCH_BYTES = 1 << 20
 
 
 _LETTER = np.zeros(256, dtype=bool)
@@ -74,6 +74,7 @@ class WordTokens:
         self.known = Places(PLACES)
         self.store = np.zeros(1 << 20, dtype=np.uint32)
         self.start = np.zeros(REMEMBERED + 1, dtype=np.int64)
+        self.second = np.zeros(REMEMBERED, dtype=np.uint64)
         self.count = self.used = 0
 
     def _encode(self, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -89,7 +90,7 @@ class WordTokens:
         lengths = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
         return np.fromiter((i for ids in found for i in ids), dtype=np.uint32, count=int(lengths.sum())), lengths
 
-    def _learn(self, keys: np.ndarray, parts: list[bytes]) -> np.ndarray:
+    def _learn(self, keys: np.ndarray, second: np.ndarray, parts: list[bytes]) -> np.ndarray:
         flat, lengths = self._encode(parts)
         while self.used + len(flat) > len(self.store):
             self.store = np.concatenate([self.store, np.zeros_like(self.store)])
@@ -97,9 +98,18 @@ class WordTokens:
         numbers = np.arange(self.count, self.count + len(parts))
         self.start[numbers + 1] = self.used + np.cumsum(lengths)
         self.used, self.count = self.used + len(flat), self.count + len(parts)
+        self.second[numbers] = second
         self.known.enter(keys, numbers.astype(np.int32))
         return numbers
 
+    @staticmethod
+    def _second(low: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+        """What besides its hash names a part: its length, which is enough up to eight bytes, or another hash."""
+        out = (stops - starts).astype(np.uint64)
+        longer = np.flatnonzero(stops - starts > 8)
+        out[longer] = range_hashes(low, starts[longer], stops[longer], 1)
+        return out
+
     def ids(self, data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each with the end id after it, and the number of each text."""
         raw = data.tobytes()
@@ -112,29 +122,57 @@ class WordTokens:
             change = np.flatnonzero((letter[1:] & sign[:-1]) | (letter[:-1] & sign[1:])) + 1
             change = change[~np.isin(change, ends)] if len(ends) < len(change) else np.setdiff1d(change, ends)
             starts, stops = np.sort(np.r_[starts, change]), np.sort(np.r_[stops, change])
-        hashes = range_hashes(low, starts, stops)
+        hashes, second = range_hashes(low, starts, stops), self._second(low, starts, stops)
         hashes[hashes == 0] = 1
         codes, different = pd.factorize(hashes)
         if self.count + len(different) > REMEMBERED:
             self._forget()
+        if len(different) > REMEMBERED:
+            # One long text with very many different parts: each is encoded as it comes.
+            return self._as_they_come(low, starts, stops, ends)
         at = self.known.find(np.asarray(different, dtype=np.uint64))
         new = np.flatnonzero(at < 0)
+        text = low.tobytes()
         if len(new):
             place = np.empty(len(different), dtype=np.int64)
             place[codes] = np.arange(len(codes))
-            text = low.tobytes()
-            bounds = zip(starts[place[new]].tolist(), stops[place[new]].tolist(), strict=True)
-            at[new] = self._learn(different[new], [text[a:b] for a, b in bounds])
+            place = place[new]
+            bounds = zip(starts[place].tolist(), stops[place].tolist(), strict=True)
+            at[new] = self._learn(different[new], second[place], [text[a:b] for a, b in bounds])
         word = at[codes]
-        length = self.start[word + 1] - self.start[word]
+        begin, length, store = self.start[word], self.start[word + 1] - self.start[word], self.store
+        other = np.flatnonzero(self.second[word] != second)
+        if len(other):
+            # Parts that share the hash of another one are encoded for themselves.
+            flat, own = self._encode([text[a:b] for a, b in zip(starts[other].tolist(), stops[other].tolist(), strict=True)])
+            store = np.concatenate([store[: self.used], flat])
+            begin[other], length[other] = self.used + np.cumsum(own) - own, own
+        return self._together(store, begin, length, np.searchsorted(starts, ends))
+
+    def _as_they_come(
+        self, low: np.ndarray, starts: np.ndarray, stops: np.ndarray, ends: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
+        text, found, lengths = low.tobytes(), [], []
+        for at in range(0, len(starts), 1 << 16):
+            bounds = zip(starts[at : at + (1 << 16)].tolist(), stops[at : at + (1 << 16)].tolist(), strict=True)
+            flat, own = self._encode([text[a:b] for a, b in bounds])
+            found.append(flat)
+            lengths.append(own)
+        length = np.concatenate(lengths)
+        return self._together(np.concatenate(found), np.cumsum(length) - length, length, np.searchsorted(starts, ends))
+
+    @staticmethod
+    def _together(
+        store: np.ndarray, begin: np.ndarray, length: np.ndarray, bounds: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all parts in their order, with the end id after those of each text."""
         total = np.r_[0, np.cumsum(length)]
-        bounds = np.searchsorted(starts, ends)
         counts = total[bounds[1:]] - total[bounds[:-1]] + 1
         # Room for one end id after the words of each text.
         out = np.full(int(total[-1]) + len(counts), END, dtype=np.uint32)
         own = np.ones(len(out), dtype=bool)
         own[np.cumsum(counts) - 1] = False
-        out[own] = self.store[np.repeat(self.start[word] - total[:-1], length) + np.arange(int(total[-1]))]
+        out[own] = store[np.repeat(begin - total[:-1], length) + np.arange(int(total[-1]))]
         return out, counts
 
 

@@ -15,7 +15,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from pelagia.llm.names import free
 from pelagia.llm.ranks import rank_within
 from pelagia.llm.storage import stored
 from pelagia.llm.textbytes import pieces, word_bounds
@@ -132,14 +134,20 @@ def sampled(
 
 
 def mixed(documents: DataFrame, **options) -> DataFrame:
-    """The documents, each as many times as the mix takes it, with their columns."""
+    """The documents, each as many times as the mix takes it, with their columns, whatever these are called.
+
+    Null texts, and texts without words, are taken as often as others of their source. Rows that are equal in id, source and text are dealt
+    their copies in the order of a hash of all their columns.
+    """
     names = documents.columns
-    taken = sampled(documents, **options)
-    # Equal rows are interchangeable: they are numbered on both sides.
-    nth = Window.partitionBy("__row").orderBy(F.lit(1))
-    copies = taken.select(F.col("row").alias("__row"), "copies")
-    copies = copies.withColumn("__n", F.row_number().over(Window.partitionBy("__row").orderBy("copies")))
-    row = F.xxhash64(F.lit(13), F.col("doc_id").cast("long"), F.col("source").cast("string"), F.col("text").cast("string"))
-    keyed = documents.withColumn("__row", row).withColumn("__n", F.row_number().over(nth))
-    out = keyed.join(copies.filter("copies > 0"), ["__row", "__n"])
-    return out.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*names)
+    row, n, copies, copy = free(names, "row", "n", "copies", "copy")
+    taken = sampled(documents, **options).select(F.col("row").alias(row), F.col("copies").alias(copies))
+    # They are numbered on both sides.
+    taken = taken.withColumn(n, F.row_number().over(Window.partitionBy(row).orderBy(copies)))
+    key = F.xxhash64(F.lit(13), F.col("doc_id").cast("long"), F.col("source").cast("string"), F.col("text").cast("string"))
+    unlike = (T.MapType, T.VariantType)
+    every = [F.col(f"`{f.name}`") for f in documents.schema.fields if not isinstance(f.dataType, unlike)]
+    nth = Window.partitionBy(row).orderBy(F.xxhash64(F.lit(14), *every))
+    keyed = documents.withColumn(row, key).withColumn(n, F.row_number().over(nth))
+    out = keyed.join(taken.filter(F.col(copies) > 0), [row, n])
+    return out.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies)))).select(*names)

@@ -2,11 +2,14 @@
 
 A word is a longest run of bytes other than space, tab, line feed, vertical tab, form
 feed and carriage return. Only the letters A to Z are lower-cased, so that all work is
-done on UTF-8 bytes. Words and word sequences are named by 64-bit hashes.
+done on UTF-8 bytes. Words and word sequences are named by 64-bit hashes: blocks of eight bytes go one after
+another through a one-to-one scramble that is not linear, so that no arrangement of the same letters
+cancels out; long words go through BLAKE2.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -87,7 +90,10 @@ def word_bounds(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def range_numbers(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
-    """A number for each byte range, by a polynomial; its lower bits depend on few of the bytes' bits."""
+    """A number for each byte range, by a polynomial; its lower bits depend on few of the bytes' bits.
+
+    Different ranges may well have one number: it picks places in tables and tells nothing apart.
+    """
     power, inverse = powers(len(data) + 1)
     total = np.zeros(len(data) + 1, dtype=np.uint64)
     terms = data.astype(np.uint64)
@@ -100,10 +106,33 @@ def range_numbers(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np
     return h
 
 
-def range_hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each byte range."""
-    h = range_numbers(data, starts, stops)
-    return mix(h + (stops - starts).astype(np.uint64) * np.uint64(0xA0761D6478BD642F))
+# Words of more bytes are hashed one by one.
+LONG_WORD = 512
+_KEEP = np.array([(1 << 8 * k) - 1 for k in range(8)] + [(1 << 64) - 1], dtype=np.uint64)
+
+
+def range_hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray, seed: int = 0) -> np.ndarray:
+    """A 64-bit hash of each byte range; another seed gives hashes that have nothing to do with the first."""
+    padded = np.zeros(len(data) + 8, dtype=np.uint8)
+    padded[: len(data)] = data
+    # The eight bytes from every place on.
+    blocks = np.ndarray((len(data) + 1,), dtype="<u8", buffer=padded, strides=(1,))
+    length = stops - starts
+    h = mix(length.astype(np.uint64) * np.uint64(0xA0761D6478BD642F) + np.uint64(seed * 0x9E3779B97F4A7C15 + 1 & (1 << 64) - 1))
+    left = np.flatnonzero(length <= LONG_WORD)
+    at, rest = starts[left], length[left]
+    on = rest > 0
+    while on.any():
+        left, at, rest = left[on], at[on], rest[on]
+        block = blocks[at] & _KEEP[np.minimum(rest, 8)]
+        h[left] = mix(h[left] ^ block)
+        at, rest = at + 8, rest - 8
+        on = rest > 0
+    for k in np.flatnonzero(length > LONG_WORD).tolist():
+        own = data[starts[k] : stops[k]].tobytes()
+        digest = hashlib.blake2b(own, digest_size=8, salt=seed.to_bytes(8, "little")).digest()
+        h[k] = int.from_bytes(digest, "little")
+    return h
 
 
 def words(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:

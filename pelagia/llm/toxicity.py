@@ -16,13 +16,15 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pelagia.llm.names import ddl, free, others
+from pelagia.llm.storage import stored
 from pelagia.llm.textbytes import LOWER, SPACE, pieces, range_hashes, word_bounds
 
 # The model is fitted on at most so many labelled rows, taken by a hash of their ids.
@@ -55,6 +57,10 @@ _CLASS[97:123] = np.arange(1, 27)
 _CLASS[48:58] = 27
 _CLASS[128:] = 29 + (np.arange(128, 256) & 7)
 
+# Characters that are decoded as one lattice, and decoded tokens that a task remembers.
+LONGEST = 512
+REMEMBERED = 100_000
+
 _LETTER = np.zeros(256, dtype=bool)
 _LETTER[97:123] = True
 _LETTER[128:] = True
@@ -203,10 +209,14 @@ def restored(data: np.ndarray, ends: np.ndarray, model: list, known: dict) -> tu
         if meant is None:
             text = token.decode("utf-8", "replace")
             spaced = any(c.isspace() for c in text)
-            meant = decode(text, model).encode() if spaced or _DISGUISED.search(text) else token
-            if len(known) > 200_000:
-                known.clear()
-            known[token] = meant
+            disguised = spaced or _DISGUISED.search(text)
+            # The lattice of a very long run is cut at fixed places.
+            cuts = range(0, len(text), LONGEST)
+            meant = "".join(decode(text[k : k + LONGEST], model) for k in cuts).encode() if disguised else token
+            if len(text) <= LONGEST:
+                if len(known) > REMEMBERED:
+                    known.clear()
+                known[token] = meant
         if meant != token:
             parts += [raw[at:a], meant]
             at = b
@@ -291,7 +301,7 @@ def fit(documents: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> To
 
     Only labels of rows whose crc32 of the id modulo 5 is not 0 are read, at most
     ``labelled`` of them. Rows with a null label or id teach nothing; of several labels of
-    one id the largest counts.
+    one id the largest counts, and of several texts the least.
     """
     chars = language_model(trigram_counts(documents))
     known_labels = (
@@ -303,7 +313,9 @@ def fit(documents: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> To
         .limit(labelled)
     )
     sent = documents.sparkSession.sparkContext.broadcast(chars)
-    rows = documents.select("doc_id", "text").join(F.broadcast(known_labels), "doc_id").select("text", "toxic")
+    # One row for each id, so that there are no more than labels.
+    own = documents.select("doc_id", "text").join(F.broadcast(known_labels), "doc_id").groupBy("doc_id", "toxic")
+    rows = stored(own.agg(F.min("text").alias("text")).select("text", "toxic"))
 
     def count(batches):
         known: dict = {}
@@ -352,15 +364,19 @@ def fit(documents: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> To
     return model
 
 
-def score(documents: DataFrame, model: ToxicityModel) -> DataFrame:
+MADE = ("tox_score", "tox_predicted", "tox_restored")
+
+
+def score(documents: DataFrame, model: ToxicityModel, made: Sequence[str] = MADE) -> DataFrame:
     """All columns of the documents and ``tox_score``, ``tox_predicted``, ``tox_restored``.
 
     The score lies between 0 and 1 and is predicted 1 from 0.5 on; ``tox_restored`` counts the
-    tokens that were read otherwise than written. A null text is scored as an empty one.
+    tokens that were read otherwise than written. A null text is scored as an empty one, repeated rows
+    alike. ``made`` gives the new columns other names; a column that has one of them gives way.
     """
     sent = documents.sparkSession.sparkContext.broadcast(model)
-    names = documents.columns
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.schema.fields)
+    names = others(documents, made)
+    new = ", ".join(f"`{n}` {t}" for n, t in zip(made, ("double", "int", "long"), strict=True))
 
     def rate(batches):
         known: dict = {}
@@ -371,17 +387,19 @@ def score(documents: DataFrame, model: ToxicityModel) -> DataFrame:
             p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in names), pa.array(p), pa.array((p >= 0.5).astype(np.int32)), pa.array(changed)],
-                [*names, "tox_score", "tox_predicted", "tox_restored"],
+                [*names, *made],
             )
 
-    return documents.mapInArrow(rate, f"{schema}, tox_score double, tox_predicted int, tox_restored long")
+    return documents.mapInArrow(rate, ddl(documents, names) + new)
 
 
 def restore_texts(documents: DataFrame, model: ToxicityModel) -> DataFrame:
-    """All columns and ``restored``, the lower-cased text as it was decoded; null stays null."""
+    """All columns and ``restored``, the lower-cased text as it was decoded; null stays null.
+
+    A column of that name gives way.
+    """
     sent = documents.sparkSession.sparkContext.broadcast(model.chars)
-    names = documents.columns
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.schema.fields)
+    names = others(documents, ["restored"])
 
     def restore(batches):
         known: dict = {}
@@ -395,7 +413,7 @@ def restore_texts(documents: DataFrame, model: ToxicityModel) -> DataFrame:
                 [*(batch.column(c) for c in names), pa.array(out, pa.string())], [*names, "restored"]
             )
 
-    return documents.mapInArrow(restore, f"{schema}, restored string")
+    return documents.mapInArrow(restore, ddl(documents, names) + "restored string")
 
 
 def scored(documents: DataFrame, labels: DataFrame) -> DataFrame:
@@ -415,7 +433,12 @@ def scored(documents: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def without_toxic(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents whose prediction is 0, with their columns."""
+    """The documents whose prediction is 0, with their columns, whatever these are called.
+
+    Null and empty texts are scored like others, and repeated rows alike. Where no label teaches anything all
+    documents have one score.
+    """
     names = documents.columns
-    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return score(documents, fit(texts, labels)).filter("tox_predicted = 0").select(*names)
+    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    made = free(names, *MADE)
+    return score(documents, fit(texts, labels), made).filter(F.col(made[1]) == 0).select(*names)
