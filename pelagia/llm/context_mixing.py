@@ -2,21 +2,25 @@
 
 A text is coded byte by byte and each byte bit by bit, highest first, A to Z lower-cased, with
 an end mark. The contexts are the one to five bytes before, and the bytes of the word so far. Each
-context and the bits known so far are hashed to a cell with the counts of zeros and ones that
-followed in the training texts. Every cell votes with the logit of its ratio; a vote's
-weight is gated by kind of context, bit, and how much the cell has seen. The weights are learned online, by logistic
-regression on one group of occurrences after the other, in each of many tasks, and averaged. A
-last table, addressed by the known bits and the mixed logit, corrects the result to what
-was seen in training. While learning, an occurrence is taken out of the counts it is
-predicted from, so that rare contexts are not trusted too much.
-
-The model is fixed when texts are scored: a text has one score, whatever stands beside it.
-Then the probability of a byte depends on its contexts only, and is worked out once for each
-different state in a piece of text.
-
-Counts of byte runs and words come from all training texts and are added up in buckets by hash.
-The cells are sent to every task. They are as many as the distinct contexts need, of
-which sketches keep count, so that they grow with the corpus and contexts do not crowd.
+context and the bits known so far have counts of the zeros and ones that followed in the training texts
+and vote with the logit of their ratio; a vote's weight is gated by kind of context, bit, and how much the
+context has seen. The weights are learned online, by logistic regression on one group of occurrences after the
+other, in each of many buckets, and averaged. A last table, addressed by the known bits and the mixed
+logit, corrects the result to what was seen in training. While learning, an occurrence is taken out of
+the counts it is predicted from, so that rare contexts are not trusted too much.
+
+The model is fixed when texts are scored: a text has one score, whatever stands beside it. Then the probability
+of a byte depends on its state only, the six bytes up to it and its word so far. Tasks name the different
+states of each ``PART`` of their texts and how often training texts have them. States meet in buckets by the
+hash of their four bytes before, so that a bucket has all occurrences of its contexts of four and five bytes and
+of words: these are counted exactly, and grow with the corpus. Contexts of one to three bytes are hashed to
+cells of tables of fixed size, which every task gets. A bucket answers with the logarithm of each
+state's probability, in the order in which it was asked, and the tasks read their texts again and
+add the answers up.
+
+Tasks know their answers by the number of their partition, so the texts must come in the same partitions and
+order when they are read again, as those of stored tables do. A sum over the names of the states is
+checked, and other texts raise.
 """
 
 from __future__ import annotations
@@ -27,21 +31,22 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pelagia.llm.blocks import grouped, in_groups
-from pelagia.llm.storage import stored
+from pelagia.llm.storage import shared_folder, stored
 from pelagia.llm.textbytes import LOWER, SPACE, Places, mix, pieces, range_hashes, range_numbers, word_bounds
+from pelagia.sources.commits import qualified
 
-# Context lengths in bytes, 0 for the word, and the logarithm of the least number of cells of each.
-ORDERS = (1, 2, 3, 4, 5, 0)
-CELLS = (18, 19, 21, 22, 23, 23)
+# Context lengths in bytes: those with cells, with the logarithm of their number, and those with counts, 0 for the word.
+LOW, HIGH = (1, 2, 3), (4, 5, 0)
+CELLS = (18, 19, 21)
+KINDS = len(LOW) + len(HIGH)
 REACH = 5
-# Groups of 16 cells for each distinct context, and the logarithm of the registers of a sketch.
-ROOM = 2
-SKETCH = 12
 # States between two steps, and rounds of averaging.
 STEP, ROUNDS, RATE = 2048, 2, 0.005
 LEVELS = 12
@@ -51,11 +56,15 @@ GRID = 2048
 FLAG = 2.0**-12
 # Words whose counts are sent to all tasks: the most frequent ones, at most so many.
 FREQUENT = 1 << 18
-# Entries in a bucket, on the average.
+# Entries in a bucket of words, and states that a bucket is asked for, on the average.
 BUCKET = 1 << 19
-# Bytes of text that are worked on at a time, and different states or words that a task holds.
+ASKS = 1 << 20
+# Bytes of text that are worked on at a time, whose states are named together, and different keys that a task holds.
 PIECE = 1 << 19
+PART = 16 << 20
 HELD = 1 << 20
+# Tasks that bring the contexts of one to three bytes together.
+LOW_TASKS = 8
 
 # A count n is kept as 8 log2(1 + n), in a byte.
 _SEEN = 2.0 ** (np.arange(256) / 8) - 1
@@ -66,34 +75,38 @@ def _votes(less_zero: int, less_one: int) -> tuple[np.ndarray, np.ndarray]:
     n0 = np.maximum(_SEEN - less_zero, 0)[:, None]
     n1 = np.maximum(_SEEN - less_one, 0)[None, :]
     logit = np.log((n1 + 0.4) / (n0 + 0.4)).astype(np.float32).ravel()
-    gate = np.minimum(np.ceil(np.log2(n0 + n1 + 1)), LEVELS - 1).astype(np.uint8).ravel()
-    return logit, gate
+    return logit, _gate(n0 + n1).ravel()
+
+
+def _gate(seen: np.ndarray) -> np.ndarray:
+    return np.minimum(np.ceil(np.log2(seen + 1)), LEVELS - 1).astype(np.uint8)
 
 
 _VOTES = {None: _votes(0, 0), 0: _votes(1, 0), 1: _votes(0, 1)}
 
 
-def _mixed(context: np.ndarray, high: np.ndarray | None = None) -> np.ndarray:
-    """A hash of a context and half of a byte. For the lower half the upper one is known."""
+def _hashed(size: int, context: np.ndarray, high: np.ndarray | None = None) -> np.ndarray:
+    """First of the 16 cells, of 2 ** ``size``, for one half of a byte in a context; the lower half knows the upper."""
     h = context * np.uint64(0x9E3779B97F4A7C15)
     if high is not None:
         h = h + (high + np.uint64(1)) * np.uint64(0xC2B2AE3D27D4EB4F)
     h ^= h >> np.uint64(31)
     h *= np.uint64(0xD6E8FEB86659FD93)
-    return h
+    return (h >> np.uint64(68 - size)).astype(np.int64) << 4
 
 
-def _hashed(size: int, context: np.ndarray, high: np.ndarray | None = None) -> np.ndarray:
-    """First of the 16 cells, of 2 ** ``size``, for one half of a byte in a context."""
-    return (_mixed(context, high) >> np.uint64(68 - size)).astype(np.int64) << 4
+def _low_contexts(runs: np.ndarray) -> list[np.ndarray]:
+    before = runs >> np.uint64(8)
+    return [before & np.uint64((1 << 8 * order) - 1) for order in LOW]
 
 
-def _cells(sizes: list[int], contexts: list[np.ndarray], byte: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, list[np.ndarray]]]:
-    """For each bit: the bits known under a leading one, the bit, and the cell of each context."""
-    byte = byte.astype(np.int64)
+def _cells(runs: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, list[np.ndarray]]]:
+    """For each bit of the last bytes: the bits known under a leading one, the bit, the cells of the short contexts."""
+    contexts, byte = _low_contexts(runs), (runs & np.uint64(255)).astype(np.int64)
     for half in (0, 1):
         upper = byte >> 4
-        first = [_hashed(k, c, upper.astype(np.uint64) if half else None) for k, c in zip(sizes, contexts, strict=True)]
+        high = upper.astype(np.uint64) if half else None
+        first = [_hashed(k, c, high) for k, c in zip(CELLS, contexts, strict=True)]
         nibble = byte & 15 if half else upper
         for b in range(4):
             bit = 4 * half + b
@@ -102,47 +115,71 @@ def _cells(sizes: list[int], contexts: list[np.ndarray], byte: np.ndarray) -> It
             yield bit, known, (byte >> (7 - bit)) & 1, [f + inside for f in first]
 
 
-def _contexts(runs: np.ndarray, words: np.ndarray) -> list[np.ndarray]:
-    """The contexts of some states, by kind."""
-    before = runs >> np.uint64(8)
-    return [before & np.uint64((1 << 8 * order) - 1) if order else words for order in ORDERS]
+class Contexts:
+    """Votes of the long contexts of a bucket's states, from all occurrences that these have."""
+
+    def __init__(self, runs: np.ndarray, words: np.ndarray, counts: np.ndarray, less: int):
+        """``less`` is 1 to take an occurrence out of the counts that predict it."""
+        four = runs & np.uint64((1 << 40) - 1)
+        word = mix((four >> np.uint64(8)) | words.astype(np.uint64) << np.uint64(32)) & ~np.uint64(255)
+        self.place, self.logit, self.gate = [], [], []
+        for key in (four, runs, word | (runs & np.uint64(255))):
+            entries, place = np.unique(key, return_inverse=True)
+            n = np.bincount(place, weights=counts, minlength=len(entries))
+            # Occurrences that share the context and the first so many bits of the byte.
+            sums = []
+            for b in range(9):
+                prefix = entries >> np.uint64(8 - b)
+                group = np.cumsum(np.r_[False, prefix[1:] != prefix[:-1]][: len(entries)])
+                sums.append(np.bincount(group, weights=n)[group] if len(n) else n)
+            byte = (entries & np.uint64(255)).astype(np.int64)
+            logit, gate = np.empty((8, len(entries)), dtype=np.float32), np.empty((8, len(entries)), dtype=np.uint8)
+            for b in range(8):
+                own, other = np.maximum(sums[b + 1] - less, 0), sums[b] - sums[b + 1]
+                ratio = np.log((own + 0.4) / (other + 0.4))
+                logit[b] = np.where((byte >> (7 - b)) & 1, ratio, -ratio)
+                gate[b] = _gate(own + other)
+            self.place.append(place)
+            self.logit.append(logit)
+            self.gate.append(gate)
+
+    def votes(self, some: np.ndarray, bit: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Logit and gate of each kind for one bit of some states."""
+        return [(v[bit][p[some]], g[bit][p[some]]) for p, v, g in zip(self.place, self.logit, self.gate, strict=True)]
 
 
 class Model:
     """Cells, weights and corrections."""
 
-    def __init__(self, cells: list[np.ndarray]):
+    def __init__(self, cells: list[np.ndarray] | None = None):
         self.cells = cells
-        self.weights = np.full((8, len(ORDERS), LEVELS), 0.3)
+        self.weights = np.full((8, KINDS, LEVELS), 0.3)
         self.weights[:, :, 0] = 0
         self.bias = np.zeros(256)
         self.final: np.ndarray | None = None
 
-    @property
-    def sizes(self) -> list[int]:
-        """The logarithm of the number of cells of each kind."""
-        return [len(c).bit_length() - 1 for c in self.cells]
-
-    def _learned(self, bit: int, known: np.ndarray, y: np.ndarray, cells: list[np.ndarray]):
+    def _learned(self, contexts: Contexts, some: np.ndarray, bit: int, known: np.ndarray, y: np.ndarray, cells: list[np.ndarray]):
         """Mixed logit without the occurrence itself, and the logit and gate of each context."""
         one = y == 1
-        z, votes = self.bias[known], []
+        votes = []
         for k, cell in enumerate(cells):
             kept = self.cells[k][cell]
-            logit, gate = (np.where(one, b[kept], a[kept]) for a, b in zip(_VOTES[0], _VOTES[1], strict=True))
-            votes.append((logit, gate))
+            votes.append(tuple(np.where(one, b[kept], a[kept]) for a, b in zip(_VOTES[0], _VOTES[1], strict=True)))
+        votes += contexts.votes(some, bit)
+        z = self.bias[known]
+        for k, (logit, gate) in enumerate(votes):
             z = z + self.weights[bit, k][gate] * logit
         return np.clip(z, -15, 15), votes
 
-    def learn(self, runs: np.ndarray, words: np.ndarray, counts: np.ndarray) -> None:
+    def learn(self, contexts: Contexts, runs: np.ndarray, words: np.ndarray, counts: np.ndarray) -> None:
         """One pass over states with how often each comes, in small steps."""
         scale_w, scale_b = np.full_like(self.weights, 1e-6), np.full_like(self.bias, 1e-6)
-        order, mean = np.argsort(mix(runs ^ words)), counts.mean()
+        order, mean = np.argsort(_names(runs, words)), counts.mean()
         for at in range(0, len(runs), STEP):
             some = order[at : at + STEP]
             share = counts[some] / (mean * len(some))
-            for bit, known, y, cells in _cells(self.sizes, _contexts(runs[some], words[some]), runs[some] & np.uint64(255)):
-                z, votes = self._learned(bit, known, y, cells)
+            for bit, known, y, cells in _cells(runs[some]):
+                z, votes = self._learned(contexts, some, bit, known, y, cells)
                 error = share * (y - 1 / (1 + np.exp(-z)))
                 for k, (logit, gate) in enumerate(votes):
                     g = np.bincount(gate, weights=error * logit, minlength=LEVELS)
@@ -158,14 +195,14 @@ class Model:
         low = place.astype(np.int64)
         return low, place - low
 
-    def seen(self, runs: np.ndarray, words: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    def seen(self, contexts: Contexts, runs: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """For each known bits and slot, what came: weight of ones, weight of all."""
         out = np.zeros((2, 256 * SLOTS))
         for at in range(0, len(runs), 1 << 15):
-            some = slice(at, at + (1 << 15))
+            some = np.arange(at, min(len(runs), at + (1 << 15)))
             c = counts[some]
-            for bit, known, y, cells in _cells(self.sizes, _contexts(runs[some], words[some]), runs[some] & np.uint64(255)):
-                low, part = self._slots(self._learned(bit, known, y, cells)[0])
+            for bit, known, y, cells in _cells(runs[some]):
+                low, part = self._slots(self._learned(contexts, some, bit, known, y, cells)[0])
                 for place, share in ((known * SLOTS + low, 1 - part), (known * SLOTS + low + 1, part)):
                     out[0] += np.bincount(place, weights=c * share * y, minlength=out.shape[1])
                     out[1] += np.bincount(place, weights=c * share, minlength=out.shape[1])
@@ -177,10 +214,9 @@ class Model:
         self.final = (seen[0] + 8 / (1 + np.exp(-z))) / (seen[1] + 8)
 
     def fixed(self) -> None:
-        """Work out the weighted vote of every pair of counts, and the logarithm of every result."""
+        """Work out the weighted vote of every pair of kept counts, and the logarithm of every result."""
         logit, gate = _VOTES[None]
-        self.table = (self.weights[:, :, gate] * logit).astype(np.float32)
-        self.first = (self.bias + 15).astype(np.float32)
+        self.table = (self.weights[:, : len(LOW), gate] * logit).astype(np.float32)
         z = (np.arange(GRID) + 0.5) * (30 / GRID) - 15
         known = np.repeat(np.arange(256), GRID)
         low, part = self._slots(np.tile(z, 256))
@@ -191,29 +227,31 @@ class Model:
         p = np.clip(p, 1e-6, 1 - 1e-6)
         self.logs = np.log2(np.stack([1 - p, p])).astype(np.float32).ravel()
 
-    def log2(self, runs: np.ndarray, words: np.ndarray) -> np.ndarray:
+    def log2(self, contexts: Contexts, runs: np.ndarray) -> np.ndarray:
         """Logarithm of the probability of the last byte of each state, given its contexts.
 
         The mixed logit is taken in ``GRID`` steps.
         """
         out = np.zeros(len(runs))
         for at in range(0, len(runs), 1 << 14):
-            some = slice(at, at + (1 << 14))
-            total = out[some]
-            for bit, known, y, cells in _cells(self.sizes, _contexts(runs[some], words[some]), runs[some] & np.uint64(255)):
-                z = self.first[known]
+            some = np.arange(at, min(len(runs), at + (1 << 14)))
+            for bit, known, y, cells in _cells(runs[some]):
+                z = self.bias[known] + 15
                 for k, cell in enumerate(cells):
                     z += self.table[bit, k][self.cells[k][cell]]
+                for k, (logit, gate) in enumerate(contexts.votes(some, bit), len(LOW)):
+                    z += self.weights[bit, k][gate] * logit
                 z *= GRID / 30
                 np.clip(z, 0, GRID - 1, out=z)
-                total += self.logs[(y << 8 | known) * GRID + z.astype(np.int64)]
+                out[some] += self.logs[(y << 8 | known) * GRID + z.astype(np.int64)]
         return out
 
 
 def states(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For every byte and end mark the run of six bytes up to it and the hash of its word so far.
+    """For every byte and end mark the run of six bytes up to it and a 32-bit hash of its word so far.
 
-    Also where each text begins. Before a text stand zeros. The last byte of a word's hash is 0.
+    Also where each text begins. Before a text stand zeros. The hash is 0 where the run shows the
+    word from its beginning on.
     """
     texts, n = len(ends) - 1, len(data)
     low = LOWER[data]
@@ -244,8 +282,9 @@ def states(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     open_word[filled] = np.where(SPACE[low[last[filled] - 1]], last[filled], begin[last[filled] - 1])
     place = last + np.arange(texts)
     at[place], since[place] = last, open_word
-    word = range_numbers(low, since, at) * np.uint64(0xD6E8FEB86659FD93) & ~np.uint64(255)
-    return run[own], word, ends[:-1] + np.arange(texts)
+    word = range_numbers(low, since, at) * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(32)
+    word[at - since < REACH] = 0
+    return run[own], word.astype(np.uint32), ends[:-1] + np.arange(texts)
 
 
 def states_in_parts(data: np.ndarray, ends: np.ndarray, size: int = 1 << 16) -> tuple[np.ndarray, ...]:
@@ -258,51 +297,82 @@ def states_in_parts(data: np.ndarray, ends: np.ndarray, size: int = 1 << 16) ->
     return (*(np.concatenate([f[k] for f in found]) for k in (0, 1)), ends[:-1] + np.arange(len(ends) - 1))
 
 
-def _different(runs: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Number of the state at each place, and a place of each state."""
-    codes, found = pd.factorize(_names(runs, words))
-    place = np.empty(len(found), dtype=np.int64)
-    place[codes] = np.arange(len(codes))
-    return codes, place
+def _names(runs: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """A number for each state, never 0."""
+    h = mix(words.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F) ^ runs * np.uint64(0x9E3779B97F4A7C15))
+    return np.maximum(h, np.uint64(1))
 
 
-def _names(runs: np.ndarray, words: np.ndarray) -> np.ndarray:
-    """A number for each state."""
-    return mix(words ^ runs * np.uint64(0x9E3779B97F4A7C15))
+def _state_bucket(runs: np.ndarray, buckets: int) -> np.ndarray:
+    """By the four bytes before the last, so that a longer context is in one bucket."""
+    four = (runs >> np.uint64(8)) & np.uint64((1 << 32) - 1)
+    return ((mix(four + np.uint64(1)) >> np.uint64(16)) % np.uint64(buckets)).astype(np.int32)
+
 
+_ASK = np.dtype([("low", "<u8"), ("high", "<u2"), ("n", "<u4")])
+_STATE = np.dtype([("run", "<u8"), ("word", "<u4"), ("n", "<u8")])
 
-class Known:
-    """Logarithms of states that a task has worked out, forgotten when there are too many."""
 
-    def __init__(self, model: Model):
-        self.model = model
-        self._forget()
+class Part:
+    """The different states of some texts, numbered in the order in which they come."""
 
-    def _forget(self) -> None:
-        self.places, self.values, self.used = Places(4 * HELD), np.zeros(2 * HELD), 0
+    def __init__(self, room: int):
+        self.places, self.room, self.used, self.bytes = Places(1 << (2 * room - 1).bit_length()), room, 0, 0
+        self.runs, self.words = np.zeros(room, dtype=np.uint64), np.zeros(room, dtype=np.uint32)
+        self.counts = np.zeros(room, dtype=np.int64)
 
-    def log2(self, runs: np.ndarray, words: np.ndarray) -> np.ndarray:
-        """The logarithm at every place of a text."""
-        codes, place = _different(runs, words)
-        runs, words = runs[place], words[place]
-        if len(runs) > 2 * HELD:
-            return self._new(runs, words)[codes]
-        names = np.maximum(_names(runs, words), np.uint64(1))
-        if self.used + len(names) > 2 * HELD:
-            self._forget()
+    def add(self, runs: np.ndarray, words: np.ndarray, names: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """Numbers of different states; ``counts`` are added to theirs."""
         at = self.places.find(names)
         new = np.flatnonzero(at < 0)
-        at[new] = np.arange(self.used, self.used + len(new))
-        self.values[at[new]] = self._new(runs[new], words[new])
-        self.places.enter(names[new], at[new].astype(np.int32))
+        own = np.arange(self.used, self.used + len(new))
+        self.runs[own], self.words[own] = runs[new], words[new]
+        self.places.enter(names[new], own.astype(np.int32))
+        at[new] = own
         self.used += len(new)
-        return self.values[at][codes]
+        self.counts[at] += counts
+        return at
+
+    def order(self, buckets: int) -> tuple[np.ndarray, list[tuple[int, np.ndarray]]]:
+        """The states by bucket, and of each bucket that has some their numbers."""
+        place = _state_bucket(self.runs[: self.used], buckets)
+        order = np.argsort(place, kind="stable")
+        found, first = np.unique(place[order], return_index=True)
+        return order, list(zip(found.tolist(), np.split(order, first[1:]), strict=True))
+
+    def check(self, numbers: np.ndarray) -> int:
+        """What tells that states are the same and come in the same order."""
+        names = _names(self.runs[numbers], self.words[numbers])
+        return int((names * (2 * np.arange(len(numbers), dtype=np.uint64) + np.uint64(1))).sum().view(np.int64))
+
 
-    def _new(self, runs: np.ndarray, words: np.ndarray) -> np.ndarray:
-        bits = self.model.log2(runs, words)
-        # A zero byte is an end or, with a flag of its own, part of the text.
-        bits[(runs & np.uint64(255)) == 0] += math.log2(FLAG)
-        return bits
+def in_parts(batches, kept: bool) -> Iterator[tuple[Part, list]]:
+    """The texts of a task in parts: their states, and if asked for each piece with the numbers of its states.
+
+    A piece is a batch, its first and last row, bytes, offsets, numbers, and where each text begins. The same
+    texts give the same parts.
+    """
+    part, held = Part(HELD), []
+    for batch in batches:
+        learned = 1 - batch.column("held_out").cast(pa.int8()).to_numpy(zero_copy_only=False).astype(np.int64)
+        for a, b, data, ends in pieces(batch.column("text"), PIECE):
+            runs, words, first = states_in_parts(data, ends)
+            codes, names = pd.factorize(_names(runs, words))
+            place = np.empty(len(names), dtype=np.int64)
+            place[codes] = np.arange(len(codes))
+            teaches = np.repeat(learned[a:b], np.diff(ends) + 1)
+            counts = np.bincount(codes, weights=teaches, minlength=len(names)).astype(np.int64)
+            if part.used and (part.bytes + len(codes) > PART or part.used + len(names) > part.room):
+                yield part, held
+                part, held = Part(HELD), []
+            if len(names) > part.room:
+                part = Part(len(names))
+            numbers = part.add(runs[place], words[place], np.asarray(names, dtype=np.uint64), counts)
+            part.bytes += len(codes)
+            if kept:
+                held.append((batch, a, b, data, ends, numbers[codes].astype(np.int32), first))
+    if part.used:
+        yield part, held
 
 
 class Tally:
@@ -335,314 +405,245 @@ def _word_hashes(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.nda
     return range_hashes(data, starts, stops), np.searchsorted(starts, ends)
 
 
-_COUNTED = np.dtype([("key", "<u8"), ("n", "<u4")])
-# A larger count is kept as the largest one that fits.
-_MOST = (1 << 32) - 1
+_COUNTED = np.dtype([("key", "<u8"), ("n", "<u8")])
 
 
 def _added(keys: np.ndarray, counts: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
     """Different keys and the sums of their counts, or how often each comes."""
     codes, distinct = pd.factorize(keys)
-    return np.asarray(distinct, dtype=np.uint64), np.bincount(codes, weights=counts, minlength=len(distinct)).astype(np.int64)
+    if counts is None:
+        return np.asarray(distinct, dtype=np.uint64), np.bincount(codes, minlength=len(distinct)).astype(np.int64)
+    sums = np.zeros(len(distinct), dtype=np.int64)
+    np.add.at(sums, codes, counts.astype(np.int64))
+    return np.asarray(distinct, dtype=np.uint64), sums
 
 
-def _blobs(kind: int, keys: np.ndarray, counts: np.ndarray, buckets: int) -> pa.RecordBatch:
-    rows = np.empty(len(keys), dtype=_COUNTED)
-    rows["key"], rows["n"] = keys, np.minimum(counts, _MOST)
-    place = ((mix(keys) >> np.uint64(16)) % np.uint64(buckets)).astype(np.int32)
-    order = np.argsort(place, kind="stable")
-    rows, place = rows[order], place[order]
-    found, first = np.unique(place, return_index=True)
-    cuts = [*first.tolist(), len(rows)]
+STATES, WORDS = 0, 1
+_SENT = "kind int, bucket int, p int, j int, check long, rows binary"
+
+
+def _sent(kind: int, bucket: list[int], rows: list[bytes], p: int = -1, j: int = -1, check: list[int] | None = None) -> pa.RecordBatch:
+    n = len(bucket)
     return pa.RecordBatch.from_arrays(
         [
-            pa.array(np.full(len(found), kind, dtype=np.int32)),
-            pa.array(found),
-            pa.array([rows[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary()),
+            pa.array([kind] * n, pa.int32()),
+            pa.array(bucket, pa.int32()),
+            pa.array([p] * n, pa.int32()),
+            pa.array([j] * n, pa.int32()),
+            pa.array(check or [0] * n, pa.int64()),
+            pa.array(rows, pa.binary()),
         ],
-        ["kind", "bucket", "rows"],
+        ["kind", "bucket", "p", "j", "check", "rows"],
     )
 
 
-RUNS, WORDS, STARTS = 0, 1, 2
+def _blobs(keys: np.ndarray, counts: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """Counts of words by bucket."""
+    rows = np.empty(len(keys), dtype=_COUNTED)
+    rows["key"], rows["n"] = keys, counts
+    place = ((mix(keys) >> np.uint64(16)) % np.uint64(buckets)).astype(np.int32)
+    order = np.argsort(place, kind="stable")
+    rows, place = rows[order], place[order]
+    found, first = np.unique(place, return_index=True)
+    return _sent(WORDS, found.tolist(), [x.tobytes() for x in np.split(rows, first[1:])])
 
 
-def corpus_counts(texts: DataFrame, buckets: int) -> DataFrame:
-    """Counts of byte runs, words, and word beginnings with the next byte, by bucket.
+def corpus_counts(texts: DataFrame, asks: int, buckets: int) -> DataFrame:
+    """Merged counts of the states of all texts and of the words of training texts, by bucket.
 
-    Each bucket of a kind is a blob of sorted (key, n).
+    A bucket of states is sorted by run (``rows``), counts occurrences in training texts, and knows
+    for each part that has some of them which and in what order (``asked``). A bucket of words has
+    sorted (key, n).
     """
 
     def count(batches):
-        held = {kind: Tally() for kind in (RUNS, WORDS, STARTS)}
-        for batch in batches:
-            for _, _, data, ends in pieces(batch.column(0), PIECE):
-                runs, begun, _ = states_in_parts(data, ends)
-                words, _ = _word_hashes(data, ends)
-                codes, place = _different(runs, begun)
-                often, runs, begun = np.bincount(codes), runs[place], begun[place]
-                for kind, found, n in ((RUNS, runs, often), (WORDS, words, None), (STARTS, begun | runs & np.uint64(255), often)):
-                    keys, counts = _added(found, n)
-                    if not held[kind].room(keys) and held[kind].used:
-                        yield _blobs(kind, held[kind].keys[: held[kind].used], held[kind].counts[: held[kind].used], buckets)
-                        held[kind] = Tally()
-                    if held[kind].room(keys):
-                        held[kind].add(keys, counts)
-                    else:
-                        yield _blobs(kind, keys, counts, buckets)
-        for kind, tally in held.items():
-            if tally.used:
-                yield _blobs(kind, tally.keys[: tally.used], tally.counts[: tally.used], buckets)
+        p, held, j = TaskContext.get().partitionId(), Tally(), 0
+        # Words of a piece are counted when its part is done.
+        for j, (part, found) in enumerate(in_parts(batches, True)):
+            for batch, a, b, data, ends, _, _ in found:
+                words, bounds = _word_hashes(data, ends)
+                learned = ~batch.column("held_out").to_numpy(zero_copy_only=False)[a:b]
+                keys, counts = _added(words[np.repeat(learned, np.diff(bounds))], None)
+                if not held.room(keys) and held.used:
+                    yield _blobs(held.keys[: held.used], held.counts[: held.used], buckets)
+                    held = Tally()
+                if held.room(keys):
+                    held.add(keys, counts)
+                else:
+                    yield _blobs(keys, counts, buckets)
+            _, each = part.order(asks)
+            rows, checks = [], []
+            for _, numbers in each:
+                out = np.empty(len(numbers), dtype=_ASK)
+                out["low"] = part.runs[numbers] << np.uint64(16) | (part.words[numbers] & np.uint32(0xFFFF)).astype(np.uint64)
+                out["high"], out["n"] = part.words[numbers] >> np.uint32(16), part.counts[numbers]
+                rows.append(out.tobytes())
+                checks.append(part.check(numbers))
+            yield _sent(STATES, [bucket for bucket, _ in each], rows, p, j, checks)
+        if held.used:
+            yield _blobs(held.keys[: held.used], held.counts[: held.used], buckets)
 
     def add(batches):
         for table in grouped(batches, ["kind", "bucket"]):
-            rows = np.frombuffer(b"".join(table["rows"].to_pylist()), dtype=_COUNTED)
-            keys, counts = _added(rows["key"], rows["n"])
-            order = np.argsort(keys)
-            out = np.empty(len(keys), dtype=_COUNTED)
-            out["key"], out["n"] = keys[order], np.minimum(counts[order], _MOST)
-            # How many keys have counts of so many bits.
-            sizes = np.bincount(np.log2(out["n"]).astype(np.int64), minlength=48)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    table["kind"].combine_chunks()[:1],
-                    table["bucket"].combine_chunks()[:1],
-                    pa.array([out.tobytes()], pa.binary()),
-                    pa.array([int(counts.sum())]),
-                    pa.array([len(keys)]),
-                    pa.array([sizes.tolist()], pa.list_(pa.int64())),
-                ],
-                ["kind", "bucket", "rows", "total", "distinct", "sizes"],
-            )
+            yield _merged_words(table) if table["kind"][0].as_py() == WORDS else _merged_states(table)
 
-    counted = texts.select("text").mapInArrow(count, "kind int, bucket int, rows binary")
-    schema = "kind int, bucket int, rows binary, total long, distinct long, sizes array<long>"
+    counted = texts.mapInArrow(count, _SENT)
+    schema = "kind int, bucket int, rows binary, asked array<struct<p:int,j:int,check:long,index:binary>>, total long, distinct long, sizes array<long>"
     return in_groups(counted, ["kind", "bucket"]).mapInArrow(add, schema)
 
 
-def _cells_of(size: int, context: np.ndarray, byte: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The cells that the eight bits of some bytes fall on in contexts of one kind, of 2 ** ``size`` cells, and the bits."""
-    byte = byte.astype(np.int64)
-    cells, bits = [], []
-    for half in (0, 1):
-        nibble = byte & 15 if half else byte >> 4
-        first = _hashed(size, context, (byte >> 4).astype(np.uint64) if half else None)
-        for b in range(4):
-            cells.append(first + ((1 << b) | (nibble >> (4 - b))))
-            bits.append((nibble >> (3 - b)) & 1 == 1)
-    return np.concatenate(cells), np.concatenate(bits)
-
-
-def _different_keys(order: int, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Contexts of one order with their next byte, and the counts, from a blob of counts."""
-    if order:
-        keys, counts = _added(rows["key"] & np.uint64((1 << 8 * (order + 1)) - 1), rows["n"])
-        return keys >> np.uint64(8), keys & np.uint64(255), counts
-    return rows["key"] & ~np.uint64(255), rows["key"] & np.uint64(255), rows["n"].astype(np.int64)
+_ASKED_BY = pa.list_(pa.struct([("p", pa.int32()), ("j", pa.int32()), ("check", pa.int64()), ("index", pa.binary())]))
 
 
-def _estimate(registers: np.ndarray) -> float:
-    """How many different hashes a sketch has seen (HyperLogLog)."""
-    m = len(registers)
-    raw = 0.7213 / (1 + 1.079 / m) * m * m / np.exp2(-registers.astype(np.float64)).sum()
-    empty = int((registers == 0).sum())
-    return m * math.log(m / empty) if raw <= 2.5 * m and empty else float(raw)
-
+def _merged(table: pa.Table, rows: bytes, asked: list | None, total: int, distinct: int, sizes: list[int] | None) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [
+            table["kind"].combine_chunks()[:1],
+            table["bucket"].combine_chunks()[:1],
+            pa.array([rows], pa.binary()),
+            pa.array([asked], _ASKED_BY),
+            pa.array([total], pa.int64()),
+            pa.array([distinct], pa.int64()),
+            pa.array([sizes], pa.list_(pa.int64())),
+        ],
+        ["kind", "bucket", "rows", "asked", "total", "distinct", "sizes"],
+    )
 
-def table_sizes(runs: DataFrame) -> list[int]:
-    """The logarithm of the number of cells of each kind, from the distinct contexts of the corpus."""
 
-    def sketch(batches):
-        seen = np.zeros((len(ORDERS), 1 << SKETCH), dtype=np.uint8)
-        for batch in batches:
-            for kind, blob in zip(batch.column("kind").to_pylist(), batch.column("rows").to_pylist(), strict=True):
-                rows = np.frombuffer(blob, dtype=_COUNTED)
-                for k, order in enumerate(ORDERS):
-                    if (order == 0) != (kind == STARTS):
-                        continue
-                    context, byte, _ = _different_keys(order, rows)
-                    for h in (_mixed(context), _mixed(context, byte >> np.uint64(4))):
-                        h = np.unique(mix(h))
-                        rest = np.maximum(h & np.uint64((1 << (64 - SKETCH)) - 1), np.uint64(1)).astype(np.float64)
-                        rank = (64 - SKETCH - np.floor(np.log2(rest))).astype(np.uint8)
-                        np.maximum.at(seen[k], (h >> np.uint64(64 - SKETCH)).astype(np.int64), rank)
-        kinds = np.arange(len(ORDERS), dtype=np.int32)
-        yield pa.RecordBatch.from_arrays([pa.array(kinds), pa.array([x.tobytes() for x in seen], pa.binary())], ["k", "seen"])
-
-    total = np.zeros((len(ORDERS), 1 << SKETCH), dtype=np.uint8)
-    # Some kilobytes from each task, of which there are as many as buckets at most.
-    for row in runs.select("kind", "rows").mapInArrow(sketch, "k int, seen binary").toLocalIterator():
-        np.maximum(total[row["k"]], np.frombuffer(row["seen"], dtype=np.uint8), out=total[row["k"]])
-    return [max(least, math.ceil(math.log2(16 * ROOM * max(1.0, _estimate(x))))) for least, x in zip(CELLS, total, strict=True)]
-
-
-def _cell_tables(runs: DataFrame) -> list[np.ndarray]:
-    found = _cell_slices(runs)
-    return _unpacked(found.sizes, found.parts)
-
-
-def _cell_slices(runs: DataFrame) -> Cells:
-    """The kept counts of all cells, two bytes each, as many as the contexts of the corpus need."""
-    table = table_sizes(runs)
-    slices = 1 << max(6, max(table) - 17)
-    entry = np.dtype([("cell", "<u4"), ("n0", "<i8"), ("n1", "<i8")])
+def _merged_words(table: pa.Table) -> pa.RecordBatch:
+    rows = np.frombuffer(b"".join(table["rows"].to_pylist()), dtype=_COUNTED)
+    keys, counts = _added(rows["key"], rows["n"])
+    order = np.argsort(keys)
+    out = np.empty(len(keys), dtype=_COUNTED)
+    out["key"], out["n"] = keys[order], counts[order]
+    # How many keys have counts of so many bits.
+    sizes = np.bincount(np.log2(out["n"]).astype(np.int64), minlength=64)
+    return _merged(table, out.tobytes(), None, int(counts.sum()), len(keys), sizes.tolist())
+
+
+def _merged_states(table: pa.Table) -> pa.RecordBatch:
+    blobs = table["rows"].to_pylist()
+    rows = np.frombuffer(b"".join(blobs), dtype=_ASK)
+    runs = rows["low"] >> np.uint64(16)
+    words = (rows["low"] & np.uint64(0xFFFF)).astype(np.uint32) | rows["high"].astype(np.uint32) << np.uint32(16)
+    codes, names = pd.factorize(_names(runs, words))
+    place = np.empty(len(names), dtype=np.int64)
+    place[codes] = np.arange(len(codes))
+    order = np.lexsort((words[place], runs[place]))
+    rank = np.empty(len(order), dtype=np.int32)
+    rank[order] = np.arange(len(order), dtype=np.int32)
+    out = np.empty(len(names), dtype=_STATE)
+    out["run"], out["word"] = runs[place][order], words[place][order]
+    counts = np.zeros(len(names), dtype=np.int64)
+    np.add.at(counts, rank[codes], rows["n"].astype(np.int64))
+    out["n"] = counts
+    cuts = np.cumsum([0, *(len(b) // _ASK.itemsize for b in blobs)]).tolist()
+    index = rank[codes]
+    parts = zip(*(table[c].to_pylist() for c in ("p", "j", "check")), cuts[:-1], cuts[1:], strict=True)
+    asked = [{"p": p, "j": j, "check": c, "index": index[a:b].tobytes()} for p, j, c, a, b in parts]
+    return _merged(table, out.tobytes(), asked, int(counts.sum()), len(names), None)
+
+
+def _states(blob) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    rows = np.frombuffer(blob, dtype=_STATE)
+    return rows["run"].copy(), rows["word"].copy(), rows["n"].astype(np.float64)
+
+
+def low_cells(states: DataFrame) -> list[np.ndarray]:
+    """The kept counts of the cells of short contexts, two bytes each. The tables have a fixed size."""
+    entry = np.dtype([("key", "<u4"), ("n", "<u8")])
 
     def spread(batches):
         for batch in batches:
-            for kind, blob in zip(batch.column("kind").to_pylist(), batch.column("rows").to_pylist(), strict=True):
-                rows = np.frombuffer(blob, dtype=_COUNTED)
-                for k, order in enumerate(ORDERS):
-                    if (order == 0) != (kind == STARTS):
-                        continue
-                    context, byte, counts = _different_keys(order, rows)
-                    cell, one = _cells_of(table[k], context, byte)
-                    codes, distinct = pd.factorize(cell)
-                    n = np.tile(counts, 8)
-                    out = np.empty(len(distinct), dtype=entry)
-                    at = (distinct * slices) >> table[k]
-                    out["cell"] = distinct - (at << table[k]) // slices
-                    out["n1"] = np.bincount(codes, weights=n * one, minlength=len(distinct))
-                    out["n0"] = np.bincount(codes, weights=n * ~one, minlength=len(distinct))
-                    rank = np.argsort(at, kind="stable")
-                    out, at = out[rank], at[rank]
-                    cuts = np.searchsorted(at, np.arange(slices + 1)).tolist()
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.full(slices, k, dtype=np.int32)),
-                            pa.array(np.arange(slices, dtype=np.int32)),
-                            pa.array([out[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary()),
-                        ],
-                        ["k", "slice", "rows"],
-                    )
+            for blob in batch.column("rows"):
+                runs, _, n = _states(blob.as_buffer())
+                keys, counts = _added(runs & np.uint64((1 << 32) - 1), n.astype(np.int64))
+                out = np.empty(len(keys), dtype=entry)
+                out["key"], out["n"] = keys, counts
+                place = (mix(keys) % np.uint64(LOW_TASKS)).astype(np.int64)
+                parts = [out[place == k].tobytes() for k in range(LOW_TASKS)]
+                yield pa.RecordBatch.from_arrays([pa.array(range(LOW_TASKS), pa.int32()), pa.array(parts, pa.binary())], ["slice", "rows"])
 
     def add(batches):
-        total, now = None, None
-        for k, part, blob in _slices(batches):
-            if (k, part) != now:
-                if now is not None:
-                    yield _kept(now, total)
-                now, total = (k, part), np.zeros((2, (1 << table[k]) // slices))
-            rows = np.frombuffer(blob, dtype=entry)
-            at = rows["cell"].astype(np.int64)
-            # A cell comes once in a blob.
-            total[0][at] += rows["n0"]
-            total[1][at] += rows["n1"]
-        if now is not None:
-            yield _kept(now, total)
-
-    def _slices(batches):
-        for batch in batches:
-            yield from zip(*(batch.column(c).to_pylist() for c in ("k", "slice", "rows")), strict=True)
+        total = [np.zeros((2, 1 << size), dtype=np.int64) for size in CELLS]
+        for table in grouped(batches, ["slice"]):
+            rows = np.frombuffer(b"".join(table["rows"].to_pylist()), dtype=entry)
+            keys, counts = _added(rows["key"].astype(np.uint64), rows["n"])
+            for _, _, y, cells in _cells(keys):
+                for k, cell in enumerate(cells):
+                    for bit in (0, 1):
+                        np.add.at(total[k][bit], cell[y == bit], counts[y == bit])
+        for k, (zero, one) in enumerate(total):
+            at = np.flatnonzero(zero + one)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(at), k, dtype=np.int32)), pa.array(at), pa.array(zero[at]), pa.array(one[at])],
+                ["k", "cell", "zero", "one"],
+            )
 
-    def _kept(now, total):
+    parts = in_groups(states.select("rows").mapInArrow(spread, "slice int, rows binary"), ["slice"])
+    sums = parts.mapInArrow(add, "k int, cell long, zero long, one long").groupBy("k", "cell")
+    # At most as many rows as the tables have cells.
+    found = sums.agg(F.sum("zero").alias("zero"), F.sum("one").alias("one")).toPandas()
+    out = []
+    for k, size in enumerate(CELLS):
+        total, own = np.zeros((2, 1 << size)), found[found["k"] == k]
+        total[:, own["cell"].to_numpy()] = own["zero"].to_numpy(), own["one"].to_numpy()
         kept = np.minimum(np.round(8 * np.log2(1 + total)), 255).astype(np.uint16)
-        blob = pa.compress((kept[0] << 8 | kept[1]).tobytes(), "zstd", asbytes=True)
-        columns = [pa.array([now[0]], pa.int32()), pa.array([now[1]], pa.int32()), pa.array([blob], pa.binary())]
-        return pa.RecordBatch.from_arrays(columns, ["k", "slice", "rows"])
-
-    parts = runs.select("kind", "rows").mapInArrow(spread, "k int, slice int, rows binary")
-    found = in_groups(parts, ["k", "slice"]).mapInArrow(add, "k int, slice int, rows binary")
-    return Cells(table, [(row["k"], slices, row["slice"], bytes(row["rows"])) for row in found.toLocalIterator()])
-
-
-class Cells:
-    """Tables of cells in compressed slices, as they are collected and sent; most cells are empty."""
-
-    def __init__(self, sizes: list[int], parts: list[tuple[int, int, int, bytes]]):
-        self.sizes, self.parts = sizes, parts
-
-    def __reduce__(self):
-        return _unpacked, (self.sizes, self.parts)
-
-
-def _unpacked(sizes: list[int], parts: list[tuple[int, int, int, bytes]]) -> list[np.ndarray]:
-    cells = [np.zeros(1 << c, dtype=np.uint16) for c in sizes]
-    for k, slices, at, blob in parts:
-        n = (1 << sizes[k]) // slices
-        cells[k][at * n : (at + 1) * n] = np.frombuffer(pa.decompress(blob, 2 * n, "zstd", asbytes=True), dtype=np.uint16)
-    return cells
-
-
-_STATE = np.dtype([("run", "<u8"), ("word", "<u8"), ("n", "<u4")])
-
+        out.append(kept[0] << 8 | kept[1])
+    return out
 
-def state_counts(texts: DataFrame) -> DataFrame:
-    """Blobs of the different states of the texts and how often each comes, up to ``HELD`` or one piece's in each."""
 
-    def count(batches):
-        tally, runs, words = Tally(), np.zeros(HELD, dtype=np.uint64), np.zeros(HELD, dtype=np.uint64)
-        for batch in batches:
-            for _, _, data, ends in pieces(batch.column(0), PIECE):
-                run, word, _ = states_in_parts(data, ends)
-                codes, place = _different(run, word)
-                n, run, word = np.bincount(codes), run[place], word[place]
-                if not tally.room(run):
-                    if tally.used:
-                        yield _states_blob(runs[: tally.used], words[: tally.used], tally.counts[: tally.used])
-                    tally = Tally()
-                if not tally.room(run):
-                    yield _states_blob(run, word, n)
-                    continue
-                names, before = _names(run, word), tally.used
-                new = tally.add(names, n)
-                runs[before : tally.used], words[before : tally.used] = run[new], word[new]
-        if tally.used:
-            yield _states_blob(runs[: tally.used], words[: tally.used], tally.counts[: tally.used])
-
-    return texts.select("text").mapInArrow(count, "rows binary")
-
-
-def _states_blob(runs: np.ndarray, words: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-    rows = np.empty(len(runs), dtype=_STATE)
-    rows["run"], rows["word"], rows["n"] = runs, words, np.minimum(counts, _MOST)
-    return pa.RecordBatch.from_arrays([pa.array([rows.tobytes()], pa.binary())], ["rows"])
+def fit(states: DataFrame) -> tuple[Model, Broadcast]:
+    """Cells, then weights and corrections from the states of all training texts.
 
-
-def _fit(counts: DataFrame, taught: DataFrame) -> tuple[Model, Broadcast]:
-    """Cells from the counts, then weights and corrections from the states of all training texts.
-
-    The model that comes back has no cells; they are broadcast, once.
+    Every bucket learns by itself, so that the model does not depend on which task has which.
     """
-    sent = counts.sparkSession.sparkContext.broadcast(_cell_slices(counts))
-    model = Model([])
+    sent = states.sparkSession.sparkContext.broadcast(low_cells(states))
+    model = Model()
 
-    def some_states(batches, start):
-        own = Model(sent.value)
-        own.weights, own.bias = start[0].copy(), start[1].copy()
+    def taught(batches) -> Iterator[tuple[Contexts, np.ndarray, np.ndarray, np.ndarray]]:
         for batch in batches:
             for blob in batch.column("rows"):
-                rows = np.frombuffer(blob.as_buffer(), dtype=_STATE)
-                yield own, rows["run"].copy(), rows["word"].copy(), rows["n"].astype(np.float64)
+                runs, words, n = _states(blob.as_buffer())
+                seen = n > 0
+                runs, words, n = runs[seen], words[seen], n[seen]
+                if len(runs):
+                    yield Contexts(runs, words, n, 1), runs, words, n
 
     for _ in range(ROUNDS):
         start = (model.weights, model.bias)
 
         def learn(batches, start=start):
-            total, own = 0.0, None
-            for own, runs, words, n in some_states(batches, start):
-                own.learn(runs, words, n)
-                total += n.sum()
-            if own is not None:
-                yield _vector(np.r_[np.r_[own.weights.ravel(), own.bias] * total, total])
-
-        sums = _sum(taught.mapInArrow(learn, "at int, v double"))
+            total, mass = np.zeros(start[0].size + start[1].size), 0.0
+            for contexts, runs, words, n in taught(batches):
+                own = Model(sent.value)
+                own.weights, own.bias = start[0].copy(), start[1].copy()
+                own.learn(contexts, runs, words, n)
+                total += np.r_[own.weights.ravel(), own.bias] * n.sum()
+                mass += n.sum()
+            if mass:
+                yield _vector(np.r_[total, mass])
+
+        sums = _sum(states.select("rows").mapInArrow(learn, "at int, v double"))
         if len(sums):
-            values = sums[:-1] / sums[-1]
+            values = np.round(sums[:-1] / sums[-1], 9)
             model.weights = values[: model.weights.size].reshape(model.weights.shape)
             model.bias = values[model.weights.size :]
     last = (model.weights, model.bias)
 
     def look(batches):
         total = None
-        for own, runs, words, n in some_states(batches, last):
-            seen = own.seen(runs, words, n)
+        own = Model(sent.value)
+        own.weights, own.bias = last
+        for contexts, runs, _, n in taught(batches):
+            seen = own.seen(contexts, runs, n)
             total = seen if total is None else total + seen
         if total is not None:
             yield _vector(total.ravel())
 
-    sums = _sum(taught.mapInArrow(look, "at int, v double"))
+    sums = _sum(states.select("rows").mapInArrow(look, "at int, v double"))
     if len(sums):
-        model.correct(sums.reshape(2, -1))
+        model.correct(np.round(sums, 3).reshape(2, -1))
     return model, sent
 
 
@@ -656,10 +657,63 @@ def _sum(vectors: DataFrame) -> np.ndarray:
     return rows["v"].to_numpy()
 
 
+def answers(states: DataFrame, model: Model, cells: Broadcast) -> DataFrame:
+    """For each part and bucket the logarithms of the states' probabilities, as they were asked for."""
+
+    def work_out(batches):
+        own = Model(cells.value)
+        own.weights, own.bias, own.final = model.weights, model.bias, model.final
+        own.fixed()
+        for batch in batches:
+            for bucket, blob, asked in zip(batch.column("bucket").to_pylist(), batch.column("rows"), batch.column("asked"), strict=True):
+                runs, words, n = _states(blob.as_buffer())
+                bits = own.log2(Contexts(runs, words, n, 0), runs)
+                # A zero byte is an end or, with a flag of its own, part of the text.
+                bits[(runs & np.uint64(255)) == 0] += math.log2(FLAG)
+                bits = bits.astype(np.float32)
+                for one in asked:
+                    values = bits[np.frombuffer(one["index"].as_buffer(), dtype=np.int32)]
+                    columns = [[one[c].as_py()] for c in ("p", "j")] + [[bucket], [one["check"].as_py()], [values.tobytes()]]
+                    kinds = (pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary())
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["p", "j", "bucket", "check", "bits"]
+                    )
+
+    return states.select("bucket", "rows", "asked").mapInArrow(work_out, "p int, j int, bucket int, check long, bits binary")
+
+
+class Answers:
+    """What the buckets have answered to the task of one partition, by part."""
+
+    def __init__(self, folder: str, p: int):
+        if folder.startswith("file:/") and not folder.startswith("file://"):
+            folder = folder.replace("file:/", "file:///", 1)
+        system, path = fs.FileSystem.from_uri(f"{folder}/p={p}")
+        info = system.get_file_info(fs.FileSelector(path, allow_not_found=True))
+        files = sorted(f.path for f in info if f.path.endswith(".parquet"))
+        self.parts: dict[int, dict[int, tuple[int, bytes]]] = {}
+        for file in files:
+            with system.open_input_file(file) as stream:
+                for row in pq.read_table(stream, columns=["j", "bucket", "check", "bits"]).to_pylist():
+                    self.parts.setdefault(row["j"], {})[row["bucket"]] = (row["check"], row["bits"])
+
+    def bits(self, j: int, part: Part, buckets: int) -> np.ndarray:
+        """The logarithm of each state of a part."""
+        out = np.empty(part.used)
+        known = self.parts.pop(j, {})
+        _, each = part.order(buckets)
+        for bucket, numbers in each:
+            check, values = known.get(bucket, (None, b""))
+            if check != part.check(numbers):
+                raise RuntimeError("the texts came in other partitions or another order than before: store them first")
+            out[numbers] = np.frombuffer(values, dtype=np.float32)
+        return out
+
+
 def _frequent(words: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """The words with the highest counts, by key, as far as the limit allows whole classes of counts."""
-    sizes = words.agg(*[F.sum(F.col("sizes")[k]).alias(f"s{k}") for k in range(48)]).first()
-    bits, left = 48, FREQUENT
+    sizes = words.agg(*[F.sum(F.col("sizes")[k]).alias(f"s{k}") for k in range(64)]).first()
+    bits, left = 64, FREQUENT
     while bits > 0 and (sizes[bits - 1] or 0) <= left:
         bits -= 1
         left -= sizes[bits] or 0
@@ -687,46 +741,50 @@ def lm_scores(documents: DataFrame) -> DataFrame:
     id is learned from, a null text is empty. ``base_score`` and ``score`` are decimal logarithms
     of probabilities, of the words with an end, and of the text, lower-cased, with its
     end; ``bits`` is the latter in bits and ``bits_per_byte`` divides by bytes and end.
-    Repeated rows are scored alike. Without training texts all bits are even.
+    Repeated rows are scored alike. Without training texts all bits are even. Other columns are not read.
+    ``documents`` is read twice and should be a stored table: rows that come in another order the second time raise.
     """
     held = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 1, F.lit(False))
     texts = documents.select(
         F.col("doc_id").cast("long").alias("doc_id"), held.alias("held_out"), F.col("text").cast("string").alias("text")
     )
-    train = texts.filter("not held_out")
-    size = train.agg(F.sum(F.octet_length("text")), F.count("*")).first()
-    total_bytes, ends = int(size[0] or 0), int(size[1])
-    buckets = max(1, round(total_bytes / 24 / BUCKET))
-    counts = stored(corpus_counts(train, buckets))
-    words = counts.filter(F.col("kind") == WORDS)
+    octets = F.octet_length("text")
+    size = texts.agg(F.sum(F.when(~F.col("held_out"), octets)), F.count_if(~F.col("held_out")), F.sum(octets)).first()
+    ends = int(size[1])
+    buckets = max(1, round(int(size[0] or 0) / 24 / BUCKET))
+    asks = max(1, round(int(size[2] or 0) / 10 / ASKS))
+    counts = stored(corpus_counts(texts, asks, buckets))
+    words, states = counts.filter(F.col("kind") == WORDS), counts.filter(F.col("kind") == STATES)
     known = words.agg(F.sum("total"), F.sum("distinct")).first()
     tokens, distinct = int(known[0] or 0) + ends, int(known[1] or 0) + (ends > 0)
     below = tokens + 0.5 * (distinct + 1)
     context = documents.sparkSession.sparkContext
-    model, cells = _fit(counts.filter(F.col("kind") != WORDS), stored(state_counts(train)))
+    model, cells = fit(states)
+    folder = shared_folder(documents.sparkSession) + "/answers"
+    answers(states, model, cells).repartition("p").write.partitionBy("p").parquet(folder)
+    cells.destroy()
+    folder = qualified(documents.sparkSession, folder)
     frequent = context.broadcast(_frequent(words))
     end_score = math.log10((ends + 0.5) / below)
 
     def rate(batches):
-        part, at = TaskContext.get().partitionId() << 33, 0
-        model.cells = cells.value
-        model.fixed()
-        known = Known(model)
+        p = TaskContext.get().partitionId()
+        told, at = Answers(folder, p), p << 33
         top, top_n = frequent.value
         top_score = np.log10((top_n + 0.5) / below)
-        for batch in batches:
-            for a, b, data, borders in pieces(batch.column("text"), PIECE):
-                rows = part + at + np.arange(b - a)
+        for j, (part, found) in enumerate(in_parts(batches, True)):
+            bits = told.bits(j, part, asks)
+            for batch, a, b, data, borders, numbers, first in found:
+                rows = at + np.arange(b - a)
                 at += b - a
-                runs, begun, first = states_in_parts(data, borders)
-                each = np.add.reduceat(known.log2(runs, begun), first) - math.log2(FLAG) + math.log2(1 - FLAG)
+                each = np.add.reduceat(bits[numbers], first) - math.log2(FLAG) + math.log2(1 - FLAG)
                 h, bounds = _word_hashes(data, borders)
                 word, different = pd.factorize(h)
                 place = np.minimum(np.searchsorted(top, different), max(0, len(top) - 1))
                 hit = top[place] == different if len(top) else np.zeros(len(different), dtype=bool)
                 worth = np.where(hit, top_score[place], 0.0) if len(top) else np.zeros(len(different))
                 hit, value = hit[word], np.r_[0.0, np.cumsum(worth[word])]
-                found = np.r_[0, np.cumsum(hit)]
+                seen = np.r_[0, np.cumsum(hit)]
                 text = np.repeat(np.arange(b - a), np.diff(bounds))[~hit]
                 asked = np.empty(len(text), dtype=_ASKED)
                 asked["key"], asked["row"], asked["n"] = h[~hit], rows[text], 1
@@ -743,7 +801,7 @@ def lm_scores(documents: DataFrame) -> DataFrame:
                     doc_id=batch.column("doc_id").slice(a, n),
                     held_out=batch.column("held_out").slice(a, n),
                     n_tokens=np.diff(bounds) + 1,
-                    n_known=found[bounds[1:]] - found[bounds[:-1]] + (ends > 0),
+                    n_known=seen[bounds[1:]] - seen[bounds[:-1]] + (ends > 0),
                     base=value[bounds[1:]] - value[bounds[:-1]] + end_score,
                     bits=each,
                     size=np.diff(borders) + 1,
@@ -751,9 +809,7 @@ def lm_scores(documents: DataFrame) -> DataFrame:
                     asked=[asked[x:y].tobytes() for x, y in zip(cuts[:-1], cuts[1:], strict=True)],
                 )
 
-    first = stored(texts.mapInArrow(rate, SCORED))
-    cells.destroy()
-    return _finished(first, words, tokens, below)
+    return _finished(stored(texts.mapInArrow(rate, SCORED)), words, tokens, below)
 
 
 SCORED = (
