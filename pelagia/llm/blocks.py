@@ -32,6 +32,26 @@ def grouped(batches: Iterator[pa.RecordBatch], key: Sequence[str]) -> Iterator[p
         yield pa.concat_tables(held)
 
 
+def packed(*columns: np.ndarray) -> bytes:
+    """Columns of one length as compressed bytes: the first bytes of all values, then the second ones, and so on."""
+    n = len(columns[0])
+    planes = [np.ascontiguousarray(c).view(np.uint8).reshape(n, c.itemsize).T.tobytes() for c in columns]
+    raw = b"".join(planes)
+    return n.to_bytes(8, "little") + (pa.compress(raw, "zstd", asbytes=True) if raw else b"")
+
+
+def unpacked(blob: bytes, *kinds: str) -> list[np.ndarray]:
+    """The columns that were packed, by their kinds."""
+    n, out, at = int.from_bytes(blob[:8], "little"), [], 0
+    widths = [np.dtype(k).itemsize for k in kinds]
+    raw = pa.decompress(blob[8:], n * sum(widths), "zstd", asbytes=True) if n else b""
+    for kind, width in zip(kinds, widths, strict=True):
+        planes = np.frombuffer(raw, dtype=np.uint8, count=n * width, offset=at).reshape(width, n)
+        out.append(np.ascontiguousarray(planes.T).view(kind).reshape(n))
+        at += n * width
+    return out
+
+
 def block_pairs(df: DataFrame, key: Sequence[str], member: str, size: int) -> DataFrame:
     """Rows of groups of two and more, repeated for each pair of blocks they belong to.
 

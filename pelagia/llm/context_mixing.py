@@ -37,7 +37,7 @@ from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pelagia.llm.blocks import grouped, in_groups
+from pelagia.llm.blocks import grouped, in_groups, packed, unpacked
 from pelagia.llm.storage import shared_folder, stored
 from pelagia.llm.textbytes import LOWER, SPACE, Places, mix, pieces, range_hashes, range_numbers, word_bounds
 from pelagia.sources.commits import qualified
@@ -61,7 +61,8 @@ BUCKET = 1 << 19
 ASKS = 1 << 20
 # Bytes of text that are worked on at a time, whose states are named together, and different keys that a task holds.
 PIECE = 1 << 19
-PART = 16 << 20
+PART = 24 << 20
+NAMED = 1 << 21
 HELD = 1 << 20
 # Tasks that bring the contexts of one to three bytes together.
 LOW_TASKS = 8
@@ -309,8 +310,9 @@ def _state_bucket(runs: np.ndarray, buckets: int) -> np.ndarray:
     return ((mix(four + np.uint64(1)) >> np.uint64(16)) % np.uint64(buckets)).astype(np.int32)
 
 
-_ASK = np.dtype([("low", "<u8"), ("high", "<u2"), ("n", "<u4")])
-_STATE = np.dtype([("run", "<u8"), ("word", "<u4"), ("n", "<u8")])
+# Columns of what is asked for, run, word and count, and of a bucket's states.
+_ASK = ("<u8", "<u4", "<u4")
+_STATE = ("<u8", "<u4", "<u8")
 
 
 class Part:
@@ -333,12 +335,13 @@ class Part:
         self.counts[at] += counts
         return at
 
-    def order(self, buckets: int) -> tuple[np.ndarray, list[tuple[int, np.ndarray]]]:
-        """The states by bucket, and of each bucket that has some their numbers."""
+    def by_bucket(self, buckets: int) -> list[tuple[int, np.ndarray]]:
+        """Each bucket that has some of the states, with their numbers by run."""
         place = _state_bucket(self.runs[: self.used], buckets)
-        order = np.argsort(place, kind="stable")
+        order = np.argsort(self.runs[: self.used], kind="stable")
+        order = order[np.argsort(place[order], kind="stable")]
         found, first = np.unique(place[order], return_index=True)
-        return order, list(zip(found.tolist(), np.split(order, first[1:]), strict=True))
+        return list(zip(found.tolist(), np.split(order, first[1:]), strict=True))
 
     def check(self, numbers: np.ndarray) -> int:
         """What tells that states are the same and come in the same order."""
@@ -347,12 +350,12 @@ class Part:
 
 
 def in_parts(batches, kept: bool) -> Iterator[tuple[Part, list]]:
-    """The texts of a task in parts: their states, and if asked for each piece with the numbers of its states.
+    """The texts of a task in parts: their states, and the pieces they are made of.
 
-    A piece is a batch, its first and last row, bytes, offsets, numbers, and where each text begins. The same
-    texts give the same parts.
+    A piece is a batch, its first and last row, bytes, offsets, the number of each state if they are ``kept``,
+    and where each text begins. The same texts give the same parts.
     """
-    part, held = Part(HELD), []
+    part, held = Part(NAMED), []
     for batch in batches:
         learned = 1 - batch.column("held_out").cast(pa.int8()).to_numpy(zero_copy_only=False).astype(np.int64)
         for a, b, data, ends in pieces(batch.column("text"), PIECE):
@@ -364,13 +367,12 @@ def in_parts(batches, kept: bool) -> Iterator[tuple[Part, list]]:
             counts = np.bincount(codes, weights=teaches, minlength=len(names)).astype(np.int64)
             if part.used and (part.bytes + len(codes) > PART or part.used + len(names) > part.room):
                 yield part, held
-                part, held = Part(HELD), []
+                part, held = Part(NAMED), []
             if len(names) > part.room:
                 part = Part(len(names))
             numbers = part.add(runs[place], words[place], np.asarray(names, dtype=np.uint64), counts)
             part.bytes += len(codes)
-            if kept:
-                held.append((batch, a, b, data, ends, numbers[codes].astype(np.int32), first))
+            held.append((batch, a, b, data, ends, numbers[codes].astype(np.int32) if kept else None, first))
     if part.used:
         yield part, held
 
@@ -459,7 +461,7 @@ def corpus_counts(texts: DataFrame, asks: int, buckets: int) -> DataFrame:
     def count(batches):
         p, held, j = TaskContext.get().partitionId(), Tally(), 0
         # Words of a piece are counted when its part is done.
-        for j, (part, found) in enumerate(in_parts(batches, True)):
+        for j, (part, found) in enumerate(in_parts(batches, False)):
             for batch, a, b, data, ends, _, _ in found:
                 words, bounds = _word_hashes(data, ends)
                 learned = ~batch.column("held_out").to_numpy(zero_copy_only=False)[a:b]
@@ -471,14 +473,11 @@ def corpus_counts(texts: DataFrame, asks: int, buckets: int) -> DataFrame:
                     held.add(keys, counts)
                 else:
                     yield _blobs(keys, counts, buckets)
-            _, each = part.order(asks)
-            rows, checks = [], []
-            for _, numbers in each:
-                out = np.empty(len(numbers), dtype=_ASK)
-                out["low"] = part.runs[numbers] << np.uint64(16) | (part.words[numbers] & np.uint32(0xFFFF)).astype(np.uint64)
-                out["high"], out["n"] = part.words[numbers] >> np.uint32(16), part.counts[numbers]
-                rows.append(out.tobytes())
-                checks.append(part.check(numbers))
+            each = part.by_bucket(asks)
+            # A part has fewer bytes than its counts can hold, but for one text of four billion.
+            counts = np.minimum(part.counts, 0xFFFFFFFF).astype(np.uint32)
+            rows = [packed(part.runs[numbers], part.words[numbers], counts[numbers]) for _, numbers in each]
+            checks = [part.check(numbers) for _, numbers in each]
             yield _sent(STATES, [bucket for bucket, _ in each], rows, p, j, checks)
         if held.used:
             yield _blobs(held.keys[: held.used], held.counts[: held.used], buckets)
@@ -522,31 +521,28 @@ def _merged_words(table: pa.Table) -> pa.RecordBatch:
 
 
 def _merged_states(table: pa.Table) -> pa.RecordBatch:
-    blobs = table["rows"].to_pylist()
-    rows = np.frombuffer(b"".join(blobs), dtype=_ASK)
-    runs = rows["low"] >> np.uint64(16)
-    words = (rows["low"] & np.uint64(0xFFFF)).astype(np.uint32) | rows["high"].astype(np.uint32) << np.uint32(16)
+    blobs = [unpacked(b, *_ASK) for b in table["rows"].to_pylist()]
+    runs, words, times = (np.concatenate([b[k] for b in blobs]) for k in range(3))
     codes, names = pd.factorize(_names(runs, words))
     place = np.empty(len(names), dtype=np.int64)
     place[codes] = np.arange(len(codes))
     order = np.lexsort((words[place], runs[place]))
     rank = np.empty(len(order), dtype=np.int32)
     rank[order] = np.arange(len(order), dtype=np.int32)
-    out = np.empty(len(names), dtype=_STATE)
-    out["run"], out["word"] = runs[place][order], words[place][order]
-    counts = np.zeros(len(names), dtype=np.int64)
-    np.add.at(counts, rank[codes], rows["n"].astype(np.int64))
-    out["n"] = counts
-    cuts = np.cumsum([0, *(len(b) // _ASK.itemsize for b in blobs)]).tolist()
     index = rank[codes]
+    counts = np.zeros(len(names), dtype=np.int64)
+    np.add.at(counts, index, times.astype(np.int64))
+    out = packed(runs[place][order], words[place][order], counts.astype(np.uint64))
+    cuts = np.cumsum([0, *(len(b[0]) for b in blobs)]).tolist()
     parts = zip(*(table[c].to_pylist() for c in ("p", "j", "check")), cuts[:-1], cuts[1:], strict=True)
-    asked = [{"p": p, "j": j, "check": c, "index": index[a:b].tobytes()} for p, j, c, a, b in parts]
-    return _merged(table, out.tobytes(), asked, int(counts.sum()), len(names), None)
+    steps = [packed(np.diff(index[a:b], prepend=np.int32(0))) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+    asked = [{"p": p, "j": j, "check": c, "index": s} for (p, j, c, _, _), s in zip(parts, steps, strict=True)]
+    return _merged(table, out, asked, int(counts.sum()), len(names), None)
 
 
-def _states(blob) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    rows = np.frombuffer(blob, dtype=_STATE)
-    return rows["run"].copy(), rows["word"].copy(), rows["n"].astype(np.float64)
+def _states(blob: pa.Scalar) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    runs, words, n = unpacked(blob.as_py(), *_STATE)
+    return runs, words, n.astype(np.float64)
 
 
 def low_cells(states: DataFrame) -> list[np.ndarray]:
@@ -556,7 +552,7 @@ def low_cells(states: DataFrame) -> list[np.ndarray]:
     def spread(batches):
         for batch in batches:
             for blob in batch.column("rows"):
-                runs, _, n = _states(blob.as_buffer())
+                runs, _, n = _states(blob)
                 keys, counts = _added(runs & np.uint64((1 << 32) - 1), n.astype(np.int64))
                 out = np.empty(len(keys), dtype=entry)
                 out["key"], out["n"] = keys, counts
@@ -604,7 +600,7 @@ def fit(states: DataFrame) -> tuple[Model, Broadcast]:
     def taught(batches) -> Iterator[tuple[Contexts, np.ndarray, np.ndarray, np.ndarray]]:
         for batch in batches:
             for blob in batch.column("rows"):
-                runs, words, n = _states(blob.as_buffer())
+                runs, words, n = _states(blob)
                 seen = n > 0
                 runs, words, n = runs[seen], words[seen], n[seen]
                 if len(runs):
@@ -666,13 +662,14 @@ def answers(states: DataFrame, model: Model, cells: Broadcast) -> DataFrame:
         own.fixed()
         for batch in batches:
             for bucket, blob, asked in zip(batch.column("bucket").to_pylist(), batch.column("rows"), batch.column("asked"), strict=True):
-                runs, words, n = _states(blob.as_buffer())
+                runs, words, n = _states(blob)
                 bits = own.log2(Contexts(runs, words, n, 0), runs)
                 # A zero byte is an end or, with a flag of its own, part of the text.
                 bits[(runs & np.uint64(255)) == 0] += math.log2(FLAG)
-                bits = bits.astype(np.float32)
+                # Half precision: a byte's bits are off by a thousandth at most.
+                bits = bits.astype(np.float16)
                 for one in asked:
-                    values = bits[np.frombuffer(one["index"].as_buffer(), dtype=np.int32)]
+                    values = bits[np.cumsum(unpacked(one["index"].as_py(), "<i4")[0])]
                     columns = [[one[c].as_py()] for c in ("p", "j")] + [[bucket], [one["check"].as_py()], [values.tobytes()]]
                     kinds = (pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary())
                     yield pa.RecordBatch.from_arrays(
@@ -701,12 +698,11 @@ class Answers:
         """The logarithm of each state of a part."""
         out = np.empty(part.used)
         known = self.parts.pop(j, {})
-        _, each = part.order(buckets)
-        for bucket, numbers in each:
+        for bucket, numbers in part.by_bucket(buckets):
             check, values = known.get(bucket, (None, b""))
             if check != part.check(numbers):
                 raise RuntimeError("the texts came in other partitions or another order than before: store them first")
-            out[numbers] = np.frombuffer(values, dtype=np.float32)
+            out[numbers] = np.frombuffer(values, dtype=np.float16)
         return out
 
 

@@ -463,15 +463,20 @@ def test_other_texts_than_before_raise(monkeypatch):
     monkeypatch.setattr(context_mixing, "_state_bucket", lambda runs, buckets: np.zeros(len(runs), dtype=np.int32))
     part, other = context_mixing.Part(100), context_mixing.Part(100)
     runs = np.arange(1, 9, dtype=np.uint64)
-    for p, order in ((part, runs), (other, runs[::-1].copy())):
+    for p, order in ((part, runs), (other, runs + np.uint64(1))):
         p.add(order, np.zeros(8, dtype=np.uint32), context_mixing._names(order, np.zeros(8, dtype=np.uint32)), np.ones(8, dtype=np.int64))
     assert part.check(np.arange(8)) != other.check(np.arange(8))
     told = context_mixing.Answers.__new__(context_mixing.Answers)
-    told.parts = {0: {0: (part.check(np.arange(8)), np.arange(8, dtype=np.float32).tobytes())}}
+    told.parts = {0: {0: (part.check(np.arange(8)), np.arange(8, dtype=np.float16).tobytes())}}
     assert told.bits(0, part, 1).tolist() == list(range(8))
-    told.parts = {0: {0: (part.check(np.arange(8)), np.arange(8, dtype=np.float32).tobytes())}}
+    told.parts = {0: {0: (part.check(np.arange(8)), np.arange(8, dtype=np.float16).tobytes())}}
     with pytest.raises(RuntimeError, match="order"):
         told.bits(0, other, 1)
+    # the same states in another order are no others
+    turned = context_mixing.Part(100)
+    turned.add(runs[::-1].copy(), np.zeros(8, dtype=np.uint32), context_mixing._names(runs[::-1].copy(), np.zeros(8, dtype=np.uint32)), np.ones(8, dtype=np.int64))
+    told.parts = {0: {0: (part.check(np.arange(8)), np.arange(8, dtype=np.float16).tobytes())}}
+    assert told.bits(0, turned, 1).tolist() == list(range(8))[::-1]
 
 
 def test_parts_are_the_same_however_large_they_are(monkeypatch):
@@ -482,7 +487,7 @@ def test_parts_are_the_same_however_large_they_are(monkeypatch):
     totals = []
     for size, room in ((1 << 24, 1 << 20), (2000, 500), (100, 64)):
         monkeypatch.setattr(context_mixing, "PART", size)
-        monkeypatch.setattr(context_mixing, "HELD", room)
+        monkeypatch.setattr(context_mixing, "NAMED", room)
         total, bytes_ = Counter(), 0
         for part, held in context_mixing.in_parts([batch], True):
             for _, a, b, data, ends, numbers, first in held:
@@ -512,6 +517,16 @@ def test_weights_are_learned_on_all_training_texts(spark):
     assert total == sum(len(t) + 1 for t in texts)
 
 
+def test_packed_columns_come_back():
+    from pelagia.llm.blocks import packed, unpacked
+
+    rng = np.random.default_rng(2)
+    for n in (0, 1, 1000):
+        columns = [rng.integers(0, 1 << 40, n).astype("<u8"), rng.integers(-9, 9, n).astype("<i4"), rng.random(n).astype("<f2")]
+        back = unpacked(packed(*columns), "<u8", "<i4", "<f2")
+        assert all(np.array_equal(a, b) for a, b in zip(columns, back))
+
+
 def test_states_do_not_cross_texts():
     data = np.frombuffer(b"Ab cb", dtype=np.uint8)
     whole = context_mixing.states(data, np.array([0, 2, 2, 5]))
