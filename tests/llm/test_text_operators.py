@@ -479,26 +479,54 @@ def test_other_texts_than_before_raise(monkeypatch):
     assert told.bits(0, turned, 1).tolist() == list(range(8))[::-1]
 
 
+def plain_states(text):
+    """Six bytes up to each place of a text and its end, and the word so far if it has five bytes or more."""
+    low = plain(text) + b"\0"
+    out = []
+    for i in range(len(low)):
+        word = re.split(rb"[\x20\x09-\x0D]", low[:i])[-1]
+        out.append((int.from_bytes(bytes(5) + low[max(0, i - 5) : i + 1], "big") & (1 << 48) - 1, word if len(word) >= 5 else b""))
+    return out
+
+
 def test_parts_are_the_same_however_large_they_are(monkeypatch):
+    """Every place of every text has its state, and words and states are counted in texts that teach."""
     import pyarrow as pa
 
-    texts = [t for _, t, *_ in ODD] + ["x" * 3000, "".join(chr(200 + i % 700) for i in range(3000))]
-    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array([False, True] * 6 + [False])], ["text", "held_out"])
-    totals = []
-    for size, room in ((1 << 24, 1 << 20), (2000, 500), (100, 64)):
+    texts = [t for _, t, *_ in ODD if len(t or "") < 10_000] + ["x" * 3000, "".join(chr(200 + i % 700) for i in range(3000)), " two  spaces\n", "a b"]
+    held_out = [k % 3 == 1 for k in range(len(texts))]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array(held_out)], ["text", "held_out"])
+    wanted = Counter(s for t, h in zip(texts, held_out) if not h for s in plain_states(t))
+    wanted_words = Counter(w for t, h in zip(texts, held_out) if not h for w in tokens(t))
+    for size, room, piece in ((1 << 24, 1 << 20, 1 << 20), (2000, 500, 100), (100, 64, 10)):
         monkeypatch.setattr(context_mixing, "PART", size)
         monkeypatch.setattr(context_mixing, "NAMED", room)
-        total, bytes_ = Counter(), 0
-        for part, held in context_mixing.in_parts([batch], True):
-            for _, a, b, data, ends, numbers, first in held:
-                runs, words, begins = context_mixing.states(data, ends)
-                assert np.array_equal(part.runs[numbers], runs) and np.array_equal(part.words[numbers], words)
-                assert np.array_equal(first, begins)
-                bytes_ += len(numbers)
-            for r, w, n in zip(part.runs[: part.used], part.words[: part.used], part.counts[: part.used]):
-                total[r, w] += int(n)
-        totals.append((total, bytes_))
-    assert totals[0] == totals[1] == totals[2]
+        monkeypatch.setattr(context_mixing, "PIECE", piece)
+        found, words, named = Counter(), Counter(), {}
+        at = 0
+        for part, held in context_mixing.in_parts([batch]):
+            named_here = {}
+            for _, a, b, _, segments, often, numbers in held:
+                stops = [*segments.offsets[1:].tolist(), len(numbers)]
+                of = [numbers[x:y].tolist() for x, y in zip(segments.offsets.tolist(), stops)]
+                bounds = [*segments.first[1:].tolist(), len(segments.codes)]
+                for k, (x, y) in enumerate(zip(segments.first.tolist(), bounds)):
+                    own = [n for c in segments.codes[x:y].tolist() for n in of[c]]
+                    want = plain_states(texts[a + k])
+                    assert [int(r) for r in part.runs[own]] == [r for r, _ in want]
+                    for n, state in zip(own, want):
+                        assert named_here.setdefault(n, state) == state
+                    spoken = [int(segments.words[c]) for c in segments.codes[x:y].tolist() if segments.has_word[c]]
+                    for h, w in zip(spoken, tokens(texts[a + k]), strict=True):
+                        assert named.setdefault(h, w) == w
+                for h, n, w in zip(segments.words.tolist(), often.tolist(), segments.has_word.tolist()):
+                    if w:
+                        words[named[h]] += n
+                at = b
+            assert len(set(named_here.values())) == len(named_here) == part.used
+            for n, c in enumerate(part.counts[: part.used].tolist()):
+                found[named_here[n]] += c
+        assert at == len(texts) and +found == wanted and +words == wanted_words
 
 
 def test_weights_are_learned_on_all_training_texts(spark):
@@ -527,15 +555,6 @@ def test_packed_columns_come_back():
         assert all(np.array_equal(a, b) for a, b in zip(columns, back))
 
 
-def test_states_do_not_cross_texts():
-    data = np.frombuffer(b"Ab cb", dtype=np.uint8)
-    whole = context_mixing.states(data, np.array([0, 2, 2, 5]))
-    for text, a, b in ((b"Ab", 0, 3), (b"", 3, 4), (b" cb", 4, 8)):
-        one = context_mixing.states(np.frombuffer(text, dtype=np.uint8), np.array([0, len(text)]))
-        assert np.array_equal(whole[0][a:b], one[0]) and np.array_equal(whole[1][a:b], one[1])
-    assert whole[2].tolist() == [0, 3, 4]
-
-
 def toxic_rows(rng, n):
     """Clean prose, a fifth of it with insults."""
     syllables = ["the", "an", "er", "on", "in", "re", "at", "st", "ou", "ing", "le", "ra"]
