@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from pelagia.llm.blocks import grouped, in_groups, packed, unpacked
 from pelagia.llm.storage import shared_folder, stored
-from pelagia.llm.textbytes import LOWER, SPACE, Places, mix, pieces, range_hashes, range_numbers
+from pelagia.llm.textbytes import LOWER, SPACE, Places, mix, pieces, range_hashes, range_numbers, word_bounds
 from pelagia.sources.commits import qualified
 
 # Context lengths in bytes: those with cells, with the logarithm of their number, and those with counts, 0 for the word.
@@ -48,7 +48,7 @@ CELLS = (18, 19, 21)
 KINDS = len(LOW) + len(HIGH)
 REACH = 5
 # States between two steps, and rounds of averaging.
-STEP, ROUNDS, RATE = 2048, 2, 0.005
+STEP, ROUNDS, RATE = 2048, 1, 0.005
 LEVELS = 12
 SLOTS = 33
 GRID = 2048
@@ -59,8 +59,8 @@ FREQUENT = 1 << 18
 # Entries in a bucket of words, and states that a bucket is asked for, on the average.
 BUCKET = 1 << 19
 ASKS = 1 << 20
-# Bytes of text that are worked on at a time, whose states are named together, different states, and keys that a task holds.
-PIECE = 1 << 20
+# Bytes of text that are worked on at a time, whose states are named together, and different keys that a task holds.
+PIECE = 1 << 19
 PART = 24 << 20
 NAMED = 1 << 21
 HELD = 1 << 20
@@ -248,69 +248,47 @@ class Model:
         return out
 
 
-class Segments:
-    """Texts cut before every word, and the states of the segments that differ.
+def states(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For every byte and end mark the run of six bytes up to it and a 32-bit hash of its word so far.
 
-    The states of a segment, a word with what follows up to the next one, depend on its bytes and on the five
-    before it. Around the texts stand zeros: five before each, and its end mark after it.
+    Also where each text begins. Before a text stand zeros. The hash is 0 where the run shows the
+    word from its beginning on.
     """
-
-    def __init__(self, data: np.ndarray, ends: np.ndarray):
-        texts, size = len(ends) - 1, np.diff(ends)
-        # Eight zeros first, so that eight bytes can be read up to every place.
-        first = 8 + ends[:-1] + (REACH + 1) * np.arange(texts) + REACH
-        out = np.zeros(8 + len(data) + (REACH + 1) * texts, dtype=np.uint8)
-        inside = np.zeros(len(out), dtype=bool)
-        at = np.arange(len(data)) + np.repeat(first - ends[:-1], size)
-        low = LOWER[data]
-        out[at], inside[at] = low, ~SPACE[low]
-        begins = np.zeros(len(out), dtype=bool)
-        begins[1:] = inside[1:] & ~inside[:-1]
-        stops = np.flatnonzero(inside[:-1] & ~inside[1:]) + 1
-        # Every word begins a segment, and so does every text.
-        words = np.flatnonzero(begins)
-        begins[first] = True
-        starts = np.flatnonzero(begins)
-        self.text = (np.searchsorted(first, starts, side="right") - 1).astype(np.int32)
-        self.first = np.searchsorted(starts, first)
-        after = np.minimum(np.r_[starts[1:], len(out)], (first + size + 1)[self.text])
-        codes, keys = pd.factorize(range_hashes(out, starts - REACH, after))
-        self.codes = codes.astype(np.int32)
-        place = np.empty(len(keys), dtype=np.int64)
-        place[self.codes] = np.arange(len(self.codes))
-        starts, after = starts[place], after[place]
-
-        # The different segments: where the states of each begin, and their words.
-        self.has_word = inside[starts]
-        stop = starts.copy()
-        stop[self.has_word] = stops[np.searchsorted(words, starts[self.has_word])]
-        self.words = np.zeros(len(starts), dtype=np.uint64)
-        self.words[self.has_word] = range_hashes(out, starts[self.has_word], stop[self.has_word])
-        self.length = after - starts
-        self.offsets = np.cumsum(self.length) - self.length
-        begin = np.repeat(starts, self.length)
-        at = begin + np.arange(len(begin)) - np.repeat(self.offsets, self.length)
-        # Six bytes up to each place, the last one lowest.
-        blocks = np.ndarray((len(out) - 7,), dtype=">u8", buffer=out, strides=(1,))
-        runs = blocks[at - 7].astype(np.uint64) & np.uint64((1 << 8 * (REACH + 1)) - 1)
-        # A word of five bytes or more is named by a hash; the run shows a shorter one.
-        word = np.zeros(len(at), dtype=np.uint32)
-        deep = np.flatnonzero((at - begin >= REACH) & (at <= np.repeat(stop, self.length)))
-        number = range_numbers(out, begin[deep], at[deep]) * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(32)
-        word[deep] = number.astype(np.uint32)
-
-        # The different states, and the number of that at each place of the different segments.
-        self.states, self.names = pd.factorize(_names(runs, word))
-        self.names = np.asarray(self.names, dtype=np.uint64)
-        place = np.empty(len(self.names), dtype=np.int64)
-        place[self.states] = np.arange(len(self.states))
-        self.runs, self.state_words = runs[place], word[place]
-
-    def counts(self, teaches: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """How often each segment and each state comes in texts that teach."""
-        often = np.bincount(self.codes, weights=teaches[self.text], minlength=len(self.length))
-        states = np.bincount(self.states, weights=np.repeat(often, self.length), minlength=len(self.names))
-        return often.astype(np.int64), states.astype(np.int64)
+    texts, size = len(ends) - 1, np.diff(ends)
+    # Five zeros before each text and its end after it, and two more so that eight bytes can be read up to every place.
+    first = 2 + ends[:-1] + (REACH + 1) * np.arange(texts) + REACH
+    out = np.zeros(2 + len(data) + (REACH + 1) * texts, dtype=np.uint8)
+    own = np.ones(len(out), dtype=bool)
+    own[:2] = False
+    for k in range(REACH):
+        own[first - 1 - k] = False
+    inner = own.copy()
+    inner[first + size] = False
+    low = LOWER[data]
+    out[inner] = low
+    blocks = np.ndarray((len(out) - 7,), dtype=">u8", buffer=out, strides=(1,))
+    runs = blocks.astype(np.uint64)[own[7:]] & np.uint64((1 << 8 * (REACH + 1)) - 1)
+    # Where the word of each byte begins; white space begins the next one.
+    begins = np.zeros(len(out), dtype=bool)
+    begins[1:] = SPACE[out[:-1]]
+    begins[first] = True
+    at = np.arange(len(out), dtype=np.int32)
+    begin = np.maximum.accumulate(np.where(begins, at, np.int32(0)))
+    deep = np.flatnonzero((at - begin >= REACH) & own)
+    word = np.zeros(len(out), dtype=np.uint32)
+    number = range_numbers(out, begin[deep], deep) * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(32)
+    word[deep] = number.astype(np.uint32)
+    return runs, word[own], ends[:-1] + np.arange(texts)
+
+
+def states_in_parts(data: np.ndarray, ends: np.ndarray, size: int = 1 << 16) -> tuple[np.ndarray, ...]:
+    """As ``states``, worked out for some texts at a time, which the caches hold."""
+    found, at = [], 0
+    while at < len(ends) - 1:
+        to = max(at + 1, int(np.searchsorted(ends, ends[at] + size, side="right")) - 1)
+        found.append(states(data[ends[at] : ends[to]], ends[at : to + 1] - ends[at]))
+        at = to
+    return (*(np.concatenate([f[k] for f in found]) for k in (0, 1)), ends[:-1] + np.arange(len(ends) - 1))
 
 
 def _names(runs: np.ndarray, words: np.ndarray) -> np.ndarray:
@@ -364,28 +342,30 @@ class Part:
         return int((names * (2 * np.arange(len(numbers), dtype=np.uint64) + np.uint64(1))).sum().view(np.int64))
 
 
-def in_parts(batches) -> Iterator[tuple[Part, list]]:
+def in_parts(batches, kept: bool) -> Iterator[tuple[Part, list]]:
     """The texts of a task in parts: their states, and the pieces they are made of.
 
-    A piece is a batch, its first and last row, offsets, segments, counts of the segments in texts that teach, and at
-    each place of the different segments the number of the state in the part. The same texts give the same parts.
+    A piece is a batch, its first and last row, bytes, offsets, the number of each state if they are ``kept``,
+    and where each text begins. The same texts give the same parts.
     """
     part, held = Part(NAMED), []
     for batch in batches:
-        learned = 1.0 - batch.column("held_out").cast(pa.int8()).to_numpy(zero_copy_only=False)
+        learned = 1 - batch.column("held_out").cast(pa.int8()).to_numpy(zero_copy_only=False).astype(np.int64)
         for a, b, data, ends in pieces(batch.column("text"), PIECE):
-            found, size = Segments(data, ends), len(data) + b - a
-            often, counts = found.counts(learned[a:b])
-            if part.used and (part.bytes + size > PART or part.used + len(found.names) > part.room):
+            runs, words, first = states_in_parts(data, ends)
+            codes, names = pd.factorize(_names(runs, words))
+            place = np.empty(len(names), dtype=np.int64)
+            place[codes] = np.arange(len(codes))
+            teaches = np.repeat(learned[a:b], np.diff(ends) + 1)
+            counts = np.bincount(codes, weights=teaches, minlength=len(names)).astype(np.int64)
+            if part.used and (part.bytes + len(codes) > PART or part.used + len(names) > part.room):
                 yield part, held
                 part, held = Part(NAMED), []
-            if len(found.names) > part.room:
-                part = Part(len(found.names))
-            numbers = part.add(found.runs, found.state_words, found.names, counts).astype(np.int32)[found.states]
-            part.bytes += size
-            # What the part knows is not needed twice.
-            found.runs = found.state_words = found.names = found.states = found.length = None
-            held.append((batch, a, b, ends, found, often, numbers))
+            if len(names) > part.room:
+                part = Part(len(names))
+            numbers = part.add(runs[place], words[place], np.asarray(names, dtype=np.uint64), counts)
+            part.bytes += len(codes)
+            held.append((batch, a, b, data, ends, numbers[codes].astype(np.int32) if kept else None, first))
     if part.used:
         yield part, held
 
@@ -413,6 +393,13 @@ class Tally:
         return new
 
 
+def _word_hashes(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words and where each text's begin. The end of a text is no word here."""
+    data = LOWER[data]
+    starts, stops = word_bounds(data, ends)
+    return range_hashes(data, starts, stops), np.searchsorted(starts, ends)
+
+
 _COUNTED = np.dtype([("key", "<u8"), ("n", "<u8")])
 
 
@@ -467,10 +454,11 @@ def corpus_counts(texts: DataFrame, asks: int, buckets: int) -> DataFrame:
     def count(batches):
         p, held, j = TaskContext.get().partitionId(), Tally(), 0
         # Words of a piece are counted when its part is done.
-        for j, (part, found) in enumerate(in_parts(batches)):
-            for _, _, _, _, segments, often, _ in found:
-                taught = segments.has_word & (often > 0)
-                keys, counts = _added(segments.words[taught], often[taught])
+        for j, (part, found) in enumerate(in_parts(batches, False)):
+            for batch, a, b, data, ends, _, _ in found:
+                words, bounds = _word_hashes(data, ends)
+                learned = ~batch.column("held_out").to_numpy(zero_copy_only=False)[a:b]
+                keys, counts = _added(words[np.repeat(learned, np.diff(bounds))], None)
                 if not held.room(keys) and held.used:
                     yield _blobs(held.keys[: held.used], held.counts[: held.used], buckets)
                     held = Tally()
@@ -773,23 +761,22 @@ def lm_scores(documents: DataFrame) -> DataFrame:
         told, at = Answers(folder, p), p << 33
         top, top_n = frequent.value
         top_score = np.log10((top_n + 0.5) / below)
-        for j, (part, found) in enumerate(in_parts(batches)):
+        for j, (part, found) in enumerate(in_parts(batches, True)):
             bits = told.bits(j, part, asks)
-            for batch, a, b, borders, segments, _, numbers in found:
+            for batch, a, b, data, borders, numbers, first in found:
                 rows = at + np.arange(b - a)
                 at += b - a
-                own = np.add.reduceat(bits[numbers], segments.offsets)
-                each = np.add.reduceat(own[segments.codes], segments.first) - math.log2(FLAG) + math.log2(1 - FLAG)
-                # The words of the different segments: those that all tasks know, and the others.
-                hit, worth = np.zeros(len(own), dtype=bool), np.zeros(len(own))
-                if len(top):
-                    place = np.minimum(np.searchsorted(top, segments.words), len(top) - 1)
-                    hit = segments.has_word & (top[place] == segments.words)
-                    worth[hit] = top_score[place[hit]]
-                sums = [np.add.reduceat(x[segments.codes], segments.first) for x in (worth, segments.has_word * 1, hit * 1)]
-                rare = np.flatnonzero((segments.has_word & ~hit)[segments.codes])
-                asked = np.empty(len(rare), dtype=_ASKED)
-                asked["key"], asked["row"], asked["n"] = segments.words[segments.codes[rare]], rows[segments.text[rare]], 1
+                each = np.add.reduceat(bits[numbers], first) - math.log2(FLAG) + math.log2(1 - FLAG)
+                h, bounds = _word_hashes(data, borders)
+                word, different = pd.factorize(h)
+                place = np.minimum(np.searchsorted(top, different), max(0, len(top) - 1))
+                hit = top[place] == different if len(top) else np.zeros(len(different), dtype=bool)
+                worth = np.where(hit, top_score[place], 0.0) if len(top) else np.zeros(len(different))
+                hit, value = hit[word], np.r_[0.0, np.cumsum(worth[word])]
+                seen = np.r_[0, np.cumsum(hit)]
+                text = np.repeat(np.arange(b - a), np.diff(bounds))[~hit]
+                asked = np.empty(len(text), dtype=_ASKED)
+                asked["key"], asked["row"], asked["n"] = h[~hit], rows[text], 1
                 place = ((mix(asked["key"]) >> np.uint64(16)) % np.uint64(buckets)).astype(np.int32)
                 order = np.argsort(place, kind="stable")
                 asked, place = asked[order], place[order]
@@ -802,9 +789,9 @@ def lm_scores(documents: DataFrame) -> DataFrame:
                     row=rows,
                     doc_id=batch.column("doc_id").slice(a, n),
                     held_out=batch.column("held_out").slice(a, n),
-                    n_tokens=sums[1] + 1,
-                    n_known=sums[2] + (ends > 0),
-                    base=sums[0] + end_score,
+                    n_tokens=np.diff(bounds) + 1,
+                    n_known=seen[bounds[1:]] - seen[bounds[:-1]] + (ends > 0),
+                    base=value[bounds[1:]] - value[bounds[:-1]] + end_score,
                     bits=each,
                     size=np.diff(borders) + 1,
                     bucket=different,
