@@ -61,8 +61,8 @@ BUCKET = 1 << 19
 ASKS = 1 << 20
 # Bytes of text that are worked on at a time, whose states are named together, and different keys that a task holds.
 PIECE = 1 << 19
-PART = 24 << 20
-NAMED = 1 << 21
+PART = 16 << 20
+NAMED = 1 << 20
 HELD = 1 << 20
 # Tasks that bring the contexts of one to three bytes together.
 LOW_TASKS = 8
