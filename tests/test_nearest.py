@@ -242,3 +242,19 @@ def test_versions_of_an_index(spark, tmp_path, monkeypatch):
     monkeypatch.setattr("pelagia.operators.nearest.commits.publish", lambda *_: False)
     with pytest.raises(FileExistsError):
         build_grid_index(spark.createDataFrame([], CELL), path)
+
+
+def test_a_grid_is_worked_out_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def passed(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = spark.range(40).selectExpr(
+        "2020 year", "1 month", "double(id % 8) lon", "double(id div 8) lat", "double(id) chlor_a"
+    )
+    points = spark.range(5).selectExpr("id", "2020 year", "1 month", "id + 0.2d lon", "id + 0.2d lat")
+    got = nearest_grid_value(points, rows.mapInArrow(passed, rows.schema), ["id"]).select("id", "phyto").collect()
+    assert {r["id"]: r["phyto"] for r in got} == {k: 9.0 * k for k in range(5)} and seen.value == 40
