@@ -210,3 +210,31 @@ def test_answer_from_a_table(spark):
     assert [(r["req_id"], r["pos"], r["temperature"]) for r in got] == [(0, 0, 20.0), (0, 1, None), (1, 0, 10.0), (1, 1, None), (1, 2, 10.0)]
     empty = weather.answer(requests(spark, *ASKED).limit(0), table, ["date"], ["req_id", "pos"])
     assert empty.count() == 0
+
+
+def test_a_store_of_many_rows_gets_more_buckets(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(stores, "BUCKET_ROWS", 5)
+    monkeypatch.setattr(stores, "FULL", 2)
+
+    def days(*numbers):
+        return observed(spark, *[(float(k), 2.0, f"2020-0{1 + k % 3}-05", 10 + k) for k in numbers])
+
+    def made_by_tasks():
+        return {os.path.basename(f).split("-")[1] for f in glob.glob(f"{path}/data/*/part=*/*.parquet")}
+
+    path = tmp_path / "store"
+    store = stores.create_store(spark, str(path), 2)
+    version = store.upsert(days(*range(36)), ["date"])
+    assert version.buckets == 8 and sum(version.rows.values()) == 36 and len(made_by_tasks()) > 2
+    # as many as are asked for are enough for a while, and then all parts are written anew
+    version = store.upsert(days(0, 3), ["date"])
+    assert version.buckets == 8 and len(set(version.parts.values())) == 2 and sum(version.rows.values()) == 36
+    version = store.upsert(days(*range(30, 90, 3)), ["date"])
+    assert version.buckets == 8
+    version = store.upsert(days(*range(90, 180, 3)), ["date"])
+    assert version.buckets == 32 and len(set(version.parts.values())) == 1
+    want = [*range(36), *range(36, 180, 3)]
+    assert {k[0]: v for k, v in content(store).items()} == {float(k): 10.0 + k for k in want}
+    assert sum(version.rows.values()) == len(want)
+    asked = requests(spark, *[(k, 0, float(k), 2.0, f"2020-0{1 + k % 3}-05") for k in range(200)])
+    assert weather.weather_match(asked, store, [], ["req_id"]).filter("found").count() == len(want)
