@@ -176,3 +176,14 @@ def test_broken_nodes(spark):
         trees.model_of(made(*FIXED), ["a"])
     with pytest.raises(ValueError, match="needs a tree"):
         trees.model_of(made(), ["a"])
+
+
+def test_a_level_of_few_tasks_is_one_stage(spark):
+    y = np.zeros(4, dtype=np.uint8)
+    for parts, stages in ((6, 1), (boosting.FEW_TASKS + 1, 2)):
+        state = spark.sparkContext.parallelize([(np.zeros((1, 4), dtype=np.uint8), y, np.zeros(4))] * parts, parts)
+        spark.sparkContext.setJobGroup(f"level {parts}", "")
+        found = boosting._merged(state, boosting._Tree(), [1], 4.0)
+        assert found[0, 0, 0].tolist() == [8 * parts, 4 * parts]
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(f"level {parts}")
+        assert [len(spark.sparkContext.statusTracker().getJobInfo(j).stageIds) for j in jobs] == [stages]
