@@ -270,3 +270,31 @@ def test_feature_grid(spark):
     assert (first["a"], first["b"], first["c"]) == (11.0, 9.0, 2.0)
     second = next(r for r in rows if r["feature1"] == "c" and r["i"] == 4 and r["j"] == 0)
     assert (second["c"], second["a"], second["b"]) == pytest.approx((0.2, 11.0, 12.0))
+
+
+def counting(spark, df):
+    """The frame, and how often each of its rows has been worked out."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def passed(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    return df.mapInArrow(passed, df.schema), seen
+
+
+def test_medians_work_their_table_out_once(spark):
+    df, seen = counting(spark, spark.range(1000).select(F.col("id").cast("double").alias("a"), (-F.col("id")).alias("b")))
+    got = {r["feature"]: r["median"] for r in profile.feature_medians(df, ["a", "b"], most=10).collect()}
+    assert got == {"a": 499.5, "b": -499.5} and seen.value == 1000
+
+
+def test_asking_does_not_work_observations_out_for_their_number(spark, monkeypatch):
+    monkeypatch.setattr(weather.joins, "BROADCAST_ROWS", 1)
+    stored = observed(spark, *[(k, float(k), 2.0, "2020-01-01", k) for k in range(20)])
+    df, seen = counting(spark, stored)
+    asked = spark.range(3).selectExpr("id req_id", "double(id) latitude", "2d longitude", "timestamp_ntz'2020-01-01' date")
+    assert weather.weather_match(asked, df, ["n"], ["req_id"]).filter("found").count() == 3 and seen.value == 20
+    points = asked.withColumnsRenamed({"latitude": "lat", "longitude": "lon"})
+    assert weather.attach_weather(points, df, ["n"], ["req_id"]).count() == 3 and seen.value == 40
