@@ -298,3 +298,25 @@ def test_asking_does_not_work_observations_out_for_their_number(spark, monkeypat
     assert weather.weather_match(asked, df, ["n"], ["req_id"]).filter("found").count() == 3 and seen.value == 20
     points = asked.withColumnsRenamed({"latitude": "lat", "longitude": "lon"})
     assert weather.attach_weather(points, df, ["n"], ["req_id"]).count() == 3 and seen.value == 40
+
+
+def test_many_points_are_matched_without_moving_all_observations(spark, monkeypatch):
+    # several observations of each place and day, some without one, and points that ask twice or nowhere
+    rows = [(n, None if k == 5 else float(k), 2.0, f"2020-01-0{1 + k % 3}", 10 * k + n) for k in range(30) for n in (2, 1, 3)]
+    stored = observed(spark, *rows)
+    asked = spark.range(60).selectExpr(
+        "id req_id", "if(id = 7, null, double(id div 2)) latitude", "2d longitude",
+        "timestamp_ntz'2020-01-01' + make_dt_interval((id div 2) % 3, 5) date",
+    )
+    points = asked.withColumnsRenamed({"latitude": "lat", "longitude": "lon"})
+
+    def got():
+        matched = weather.weather_match(asked, stored, ["n"], ["req_id"])
+        attached = weather.attach_weather(points, stored, ["n"], ["req_id"])
+        plan = matched._jdf.queryExecution().optimizedPlan().toString()
+        return sorted(map(str, matched.collect())), sorted(map(str, attached.collect())), "LeftSemi" in plan
+
+    few = got()
+    monkeypatch.setattr(weather.joins, "BROADCAST_ROWS", 1)
+    many = got()
+    assert few[:2] == many[:2] and few[2] and not many[2] and len(few[0]) == 60 and len(few[1]) == 57
