@@ -35,7 +35,10 @@ def grouped(batches: Iterator[pa.RecordBatch], key: Sequence[str]) -> Iterator[p
 def packed(*columns: np.ndarray) -> bytes:
     """Columns of one length as compressed bytes: the first bytes of all values, then the second ones, and so on."""
     n = len(columns[0])
-    planes = [np.ascontiguousarray(c).view(np.uint8).reshape(n, c.itemsize).T.tobytes() for c in columns]
+    planes = []
+    for c in columns:
+        bits = np.ascontiguousarray(c).view(f"<u{c.itemsize}")
+        planes += [(bits >> bits.dtype.type(8 * k)).astype(np.uint8).tobytes() for k in range(c.itemsize)]
     raw = b"".join(planes)
     return n.to_bytes(8, "little") + (pa.compress(raw, "zstd", asbytes=True) if raw else b"")
 

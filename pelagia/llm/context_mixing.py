@@ -83,7 +83,9 @@ def _gate(seen: np.ndarray) -> np.ndarray:
     return np.minimum(np.ceil(np.log2(seen + 1)), LEVELS - 1).astype(np.uint8)
 
 
-_VOTES = {None: _votes(0, 0), 0: _votes(1, 0), 1: _votes(0, 1)}
+_VOTES = _votes(0, 0)
+# With one zero taken out, and then with one one: addressed by the bit that came and the kept counts.
+_LEFT = tuple(np.concatenate(v) for v in zip(_votes(1, 0), _votes(0, 1), strict=True))
 
 
 def _hashed(size: int, context: np.ndarray, high: np.ndarray | None = None) -> np.ndarray:
@@ -144,9 +146,17 @@ class Contexts:
             self.logit.append(logit)
             self.gate.append(gate)
 
+    def places(self, some: np.ndarray | slice) -> list[np.ndarray]:
+        """Which entry of each kind some states have."""
+        return [p[some] for p in self.place]
+
+    def votes_at(self, places: list[np.ndarray], bit: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Logit and gate of each kind for one bit of the states with these places."""
+        return [(v[bit][p], g[bit][p]) for p, v, g in zip(places, self.logit, self.gate, strict=True)]
+
     def votes(self, some: np.ndarray, bit: int) -> list[tuple[np.ndarray, np.ndarray]]:
         """Logit and gate of each kind for one bit of some states."""
-        return [(v[bit][p[some]], g[bit][p[some]]) for p, v, g in zip(self.place, self.logit, self.gate, strict=True)]
+        return self.votes_at(self.places(some), bit)
 
 
 class Model:
@@ -159,14 +169,13 @@ class Model:
         self.bias = np.zeros(256)
         self.final: np.ndarray | None = None
 
-    def _learned(self, contexts: Contexts, some: np.ndarray, bit: int, known: np.ndarray, y: np.ndarray, cells: list[np.ndarray]):
-        """Mixed logit without the occurrence itself, and the logit and gate of each context."""
-        one = y == 1
-        votes = []
+    def _learned(self, long: list[tuple[np.ndarray, np.ndarray]], bit: int, known: np.ndarray, y: np.ndarray, cells: list[np.ndarray]):
+        """Mixed logit without the occurrence itself, and the logit and gate of each context; ``long`` are the long ones'."""
+        came, votes = y << 16, []
         for k, cell in enumerate(cells):
-            kept = self.cells[k][cell]
-            votes.append(tuple(np.where(one, b[kept], a[kept]) for a, b in zip(_VOTES[0], _VOTES[1], strict=True)))
-        votes += contexts.votes(some, bit)
+            left = came | self.cells[k][cell]
+            votes.append(tuple(v[left] for v in _LEFT))
+        votes += long
         z = self.bias[known]
         for k, (logit, gate) in enumerate(votes):
             z = z + self.weights[bit, k][gate] * logit
@@ -178,9 +187,9 @@ class Model:
         order, mean = np.argsort(_names(runs, words)), counts.mean()
         for at in range(0, len(runs), STEP):
             some = order[at : at + STEP]
-            share = counts[some] / (mean * len(some))
+            share, places = counts[some] / (mean * len(some)), contexts.places(some)
             for bit, known, y, cells in _cells(runs[some]):
-                z, votes = self._learned(contexts, some, bit, known, y, cells)
+                z, votes = self._learned(contexts.votes_at(places, bit), bit, known, y, cells)
                 error = share * (y - 1 / (1 + np.exp(-z)))
                 for k, (logit, gate) in enumerate(votes):
                     g = np.bincount(gate, weights=error * logit, minlength=LEVELS)
@@ -200,10 +209,10 @@ class Model:
         """For each known bits and slot, what came: weight of ones, weight of all."""
         out = np.zeros((2, 256 * SLOTS))
         for at in range(0, len(runs), 1 << 15):
-            some = np.arange(at, min(len(runs), at + (1 << 15)))
-            c = counts[some]
+            some = slice(at, at + (1 << 15))
+            c, places = counts[some], contexts.places(some)
             for bit, known, y, cells in _cells(runs[some]):
-                low, part = self._slots(self._learned(contexts, some, bit, known, y, cells)[0])
+                low, part = self._slots(self._learned(contexts.votes_at(places, bit), bit, known, y, cells)[0])
                 for place, share in ((known * SLOTS + low, 1 - part), (known * SLOTS + low + 1, part)):
                     out[0] += np.bincount(place, weights=c * share * y, minlength=out.shape[1])
                     out[1] += np.bincount(place, weights=c * share, minlength=out.shape[1])
@@ -216,7 +225,7 @@ class Model:
 
     def fixed(self) -> None:
         """Work out the weighted vote of every pair of kept counts, and the logarithm of every result."""
-        logit, gate = _VOTES[None]
+        logit, gate = _VOTES
         self.table = (self.weights[:, : len(LOW), gate] * logit).astype(np.float32)
         z = (np.arange(GRID) + 0.5) * (30 / GRID) - 15
         known = np.repeat(np.arange(256), GRID)
@@ -235,12 +244,13 @@ class Model:
         """
         out = np.zeros(len(runs))
         for at in range(0, len(runs), 1 << 14):
-            some = np.arange(at, min(len(runs), at + (1 << 14)))
+            some = slice(at, at + (1 << 14))
+            places = contexts.places(some)
             for bit, known, y, cells in _cells(runs[some]):
                 z = self.bias[known] + 15
                 for k, cell in enumerate(cells):
                     z += self.table[bit, k][self.cells[k][cell]]
-                for k, (logit, gate) in enumerate(contexts.votes(some, bit), len(LOW)):
+                for k, (logit, gate) in enumerate(contexts.votes_at(places, bit), len(LOW)):
                     z += self.weights[bit, k][gate] * logit
                 z *= GRID / 30
                 np.clip(z, 0, GRID - 1, out=z)
@@ -255,30 +265,31 @@ def states(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     word from its beginning on.
     """
     texts, size = len(ends) - 1, np.diff(ends)
-    # Five zeros before each text and its end after it, and two more so that eight bytes can be read up to every place.
-    first = 2 + ends[:-1] + (REACH + 1) * np.arange(texts) + REACH
-    out = np.zeros(2 + len(data) + (REACH + 1) * texts, dtype=np.uint8)
-    own = np.ones(len(out), dtype=bool)
-    own[:2] = False
-    for k in range(REACH):
-        own[first - 1 - k] = False
-    inner = own.copy()
+    first = ends[:-1] + np.arange(texts)
+    # Each text with its end after it, and seven zeros before all so that eight bytes can be read up to every place.
+    padded = np.zeros(REACH + 2 + len(data) + texts, dtype=np.uint8)
+    out = padded[REACH + 2 :]
+    inner = np.ones(len(out), dtype=bool)
     inner[first + size] = False
-    low = LOWER[data]
-    out[inner] = low
-    blocks = np.ndarray((len(out) - 7,), dtype=">u8", buffer=out, strides=(1,))
-    runs = blocks.astype(np.uint64)[own[7:]] & np.uint64((1 << 8 * (REACH + 1)) - 1)
+    out[inner] = LOWER[data]
+    blocks = np.ndarray((len(out),), dtype=">u8", buffer=padded, strides=(1,))
+    runs = blocks.astype(np.uint64)
+    runs &= np.uint64((1 << 8 * (REACH + 1)) - 1)
+    # Before a text stand zeros, and not the bytes of another.
+    for k in range(REACH):
+        runs[first[size >= k] + k] &= np.uint64((1 << 8 * (k + 1)) - 1)
     # Where the word of each byte begins; white space begins the next one.
     begins = np.zeros(len(out), dtype=bool)
     begins[1:] = SPACE[out[:-1]]
     begins[first] = True
-    at = np.arange(len(out), dtype=np.int32)
-    begin = np.maximum.accumulate(np.where(begins, at, np.int32(0)))
-    deep = np.flatnonzero((at - begin >= REACH) & own)
+    starts = np.flatnonzero(begins)
+    lengths = np.diff(starts, append=len(out))
+    begin = np.repeat(starts, lengths)
+    deep = np.flatnonzero(np.arange(len(out)) - begin >= REACH)
     word = np.zeros(len(out), dtype=np.uint32)
     number = range_numbers(out, begin[deep], deep) * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(32)
     word[deep] = number.astype(np.uint32)
-    return runs, word[own], ends[:-1] + np.arange(texts)
+    return runs, word, first
 
 
 def states_in_parts(data: np.ndarray, ends: np.ndarray, size: int = 1 << 16) -> tuple[np.ndarray, ...]:
@@ -314,32 +325,32 @@ class Part:
     def __init__(self, room: int):
         self.places, self.room, self.used, self.bytes = Places(1 << (2 * room - 1).bit_length()), room, 0, 0
         self.runs, self.words = np.zeros(room, dtype=np.uint64), np.zeros(room, dtype=np.uint32)
-        self.counts = np.zeros(room, dtype=np.int64)
+        self.names, self.counts = np.zeros(room, dtype=np.uint64), np.zeros(room, dtype=np.int64)
 
     def add(self, runs: np.ndarray, words: np.ndarray, names: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """Numbers of different states; ``counts`` are added to theirs."""
-        at = self.places.find(names)
-        new = np.flatnonzero(at < 0)
-        own = np.arange(self.used, self.used + len(new))
-        self.runs[own], self.words[own] = runs[new], words[new]
-        self.places.enter(names[new], own.astype(np.int32))
-        at[new] = own
+        at, new = self.places.number(names, self.used)
+        own = slice(self.used, self.used + len(new))
+        self.runs[own], self.words[own], self.names[own] = runs[new], words[new], names[new]
         self.used += len(new)
         self.counts[at] += counts
         return at
 
     def by_bucket(self, buckets: int) -> list[tuple[int, np.ndarray]]:
         """Each bucket that has some of the states, with their numbers by run."""
-        place = _state_bucket(self.runs[: self.used], buckets)
-        order = np.argsort(self.runs[: self.used], kind="stable")
-        order = order[np.argsort(place[order], kind="stable")]
+        runs = self.runs[: self.used]
+        place = _state_bucket(runs, buckets)
+        # By the lowest 16 bits first and the bucket last, each time in the order there was: numpy counts so short keys.
+        order = np.argsort(runs.astype(np.uint16), kind="stable")
+        for shift in (16, 32):
+            order = order[np.argsort((runs >> np.uint64(shift)).astype(np.uint16)[order], kind="stable")]
+        order = order[np.argsort(place.astype(np.min_scalar_type(buckets - 1))[order], kind="stable")]
         found, first = np.unique(place[order], return_index=True)
         return list(zip(found.tolist(), np.split(order, first[1:]), strict=True))
 
     def check(self, numbers: np.ndarray) -> int:
         """What tells that states are the same and come in the same order."""
-        names = _names(self.runs[numbers], self.words[numbers])
-        return int((names * (2 * np.arange(len(numbers), dtype=np.uint64) + np.uint64(1))).sum().view(np.int64))
+        return int((self.names[numbers] * (2 * np.arange(len(numbers), dtype=np.uint64) + np.uint64(1))).sum().view(np.int64))
 
 
 def in_parts(batches, kept: bool) -> Iterator[tuple[Part, list]]:
@@ -350,14 +361,13 @@ def in_parts(batches, kept: bool) -> Iterator[tuple[Part, list]]:
     """
     part, held = Part(NAMED), []
     for batch in batches:
-        learned = 1 - batch.column("held_out").cast(pa.int8()).to_numpy(zero_copy_only=False).astype(np.int64)
+        learned = ~batch.column("held_out").to_numpy(zero_copy_only=False)
         for a, b, data, ends in pieces(batch.column("text"), PIECE):
             runs, words, first = states_in_parts(data, ends)
             codes, names = pd.factorize(_names(runs, words))
             place = np.empty(len(names), dtype=np.int64)
             place[codes] = np.arange(len(codes))
-            teaches = np.repeat(learned[a:b], np.diff(ends) + 1)
-            counts = np.bincount(codes, weights=teaches, minlength=len(names)).astype(np.int64)
+            counts = np.bincount(codes[np.repeat(learned[a:b], np.diff(ends) + 1)], minlength=len(names))
             if part.used and (part.bytes + len(codes) > PART or part.used + len(names) > part.room):
                 yield part, held
                 part, held = Part(NAMED), []
@@ -365,7 +375,7 @@ def in_parts(batches, kept: bool) -> Iterator[tuple[Part, list]]:
                 part = Part(len(names))
             numbers = part.add(runs[place], words[place], np.asarray(names, dtype=np.uint64), counts)
             part.bytes += len(codes)
-            held.append((batch, a, b, data, ends, numbers[codes].astype(np.int32) if kept else None, first))
+            held.append((batch, a, b, data, ends, numbers[codes] if kept else None, first))
     if part.used:
         yield part, held
 

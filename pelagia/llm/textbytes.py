@@ -184,6 +184,25 @@ class Places:
             left, at = left[on], (at[on] + 1) & int(self.mask)
         return out
 
+    def number(self, keys: np.ndarray, used: int) -> tuple[np.ndarray, np.ndarray]:
+        """The number of each of different keys, and which are new: these get the numbers from ``used`` on, as they come."""
+        slot, new = (keys & self.mask).astype(np.int64), np.zeros(len(keys), dtype=bool)
+        left, at = np.arange(len(keys)), slot
+        while len(left):
+            there = self.keys[at]
+            free = np.flatnonzero(there == 0)
+            own, place = keys[left[free]], at[free]
+            self.keys[place] = own
+            won = self.keys[place] == own
+            new[left[free[won]]] = True
+            there[free[won]] = own[won]
+            on = np.flatnonzero(there != keys[left])
+            left, at = left[on], (at[on] + 1) & int(self.mask)
+            slot[left] = at
+        new = np.flatnonzero(new)
+        self.numbers[slot[new]] = np.arange(used, used + len(new), dtype=np.int32)
+        return self.numbers[slot], new
+
     def enter(self, keys: np.ndarray, numbers: np.ndarray) -> None:
         """Enter different keys that are not there; the places must be at most half full."""
         left, at = np.arange(len(keys)), (keys & self.mask).astype(np.int64)

@@ -501,6 +501,53 @@ def test_parts_are_the_same_however_large_they_are(monkeypatch):
     assert totals[0] == totals[1] == totals[2]
 
 
+def test_keys_are_found_and_entered_in_one_go():
+    from pelagia.llm.textbytes import Places
+
+    rng = np.random.default_rng(2)
+    # Few different beginnings, so that many keys want one place, and some the last one.
+    keys = np.unique(rng.integers(1, 1 << 40, 400).astype(np.uint64) << np.uint64(9) | rng.choice([1, 2, 511], 400).astype(np.uint64))
+    places, known = Places(1 << 11), {}
+    for _ in range(20):
+        asked = rng.permutation(keys)[: rng.integers(0, 80)]
+        numbers, new = places.number(asked, len(known))
+        fresh = [k for k in asked.tolist() if k not in known]
+        assert asked[new].tolist() == fresh
+        known |= {k: len(known) + i for i, k in enumerate(fresh)}
+        assert numbers.tolist() == [known[k] for k in asked.tolist()]
+    assert places.find(keys).tolist() == [known.get(k, -1) for k in keys.tolist()]
+
+
+@pytest.mark.parametrize("buckets", [1, 7, 300, 70_000])
+def test_states_of_a_bucket_come_by_run(buckets):
+    rng = np.random.default_rng(3)
+    part = context_mixing.Part(3000)
+    runs = rng.choice(rng.integers(0, 1 << 48, 900), 3000).astype(np.uint64)
+    words = np.arange(3000, dtype=np.uint32)
+    names = context_mixing._names(runs, words)
+    part.add(runs, words, names, np.ones(3000, dtype=np.int64))
+    place = context_mixing._state_bucket(runs, buckets)
+    found = part.by_bucket(buckets)
+    assert [b for b, _ in found] == sorted(set(place.tolist()))
+    # of one run, in the order in which they came
+    assert np.concatenate([n for _, n in found]).tolist() == np.lexsort((words, runs, place)).tolist()
+    for bucket, numbers in found:
+        assert (place[numbers] == bucket).all()
+        weights = 2 * np.arange(len(numbers), dtype=np.uint64) + np.uint64(1)
+        assert part.check(numbers) == int((names[numbers] * weights).sum().view(np.int64))
+
+
+def test_a_step_of_learning_looks_its_states_up_once(monkeypatch):
+    rng = np.random.default_rng(4)
+    n = 3 * context_mixing.STEP
+    runs = np.unique(rng.integers(97, 110, (n, 6)) @ (1 << 8 * np.arange(6)[::-1])).astype(np.uint64)
+    words, counts = np.zeros(len(runs), dtype=np.uint32), rng.integers(1, 9, len(runs)).astype(float)
+    contexts, asked, real = context_mixing.Contexts(runs, words, counts, 1), [], context_mixing.Contexts.places
+    monkeypatch.setattr(context_mixing.Contexts, "places", lambda self, some: asked.append(len(some)) or real(self, some))
+    random_model(rng).learn(contexts, runs, words, counts)
+    assert sum(asked) == len(runs)
+
+
 def test_weights_are_learned_on_all_training_texts(spark):
     """Rows of one id, whichever it is, teach as rows of many ids do."""
     rng = random.Random(6)
