@@ -698,8 +698,8 @@ class Answers:
                     self.parts.setdefault(row["j"], {})[row["bucket"]] = (row["check"], row["bits"])
 
     def bits(self, j: int, part: Part, buckets: int) -> np.ndarray:
-        """The logarithm of each state of a part."""
-        out = np.empty(part.used)
+        """The logarithm of each state of a part, in half precision."""
+        out = np.empty(part.used, dtype=np.float16)
         known = self.parts.pop(j, {})
         for bucket, numbers in part.by_bucket(buckets):
             check, values = known.get(bucket, (None, b""))
@@ -730,6 +730,13 @@ def _frequent(words: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return rows["key"].copy(), rows["n"].copy()
 
 
+def _placed(words: np.ndarray) -> Places:
+    """Where different words stand, for looking them up. What is found is to be compared: 0 has the place of 1."""
+    out = Places(2 << len(words).bit_length())
+    out.number(np.maximum(words, np.uint64(1)), 0)
+    return out
+
+
 _ASKED = np.dtype([("key", "<u8"), ("row", "<i8"), ("n", "<i4")])
 
 
@@ -770,16 +777,16 @@ def lm_scores(documents: DataFrame) -> DataFrame:
         p = TaskContext.get().partitionId()
         told, at = Answers(folder, p), p << 33
         top, top_n = frequent.value
-        top_score = np.log10((top_n + 0.5) / below)
+        top_score, among = np.log10((top_n + 0.5) / below), _placed(top)
         for j, (part, found) in enumerate(in_parts(batches, True)):
             bits = told.bits(j, part, asks)
             for batch, a, b, data, borders, numbers, first in found:
                 rows = at + np.arange(b - a)
                 at += b - a
-                each = np.add.reduceat(bits[numbers], first) - math.log2(FLAG) + math.log2(1 - FLAG)
+                each = np.add.reduceat(bits[numbers].astype(np.float64), first) - math.log2(FLAG) + math.log2(1 - FLAG)
                 h, bounds = _word_hashes(data, borders)
                 word, different = pd.factorize(h)
-                place = np.minimum(np.searchsorted(top, different), max(0, len(top) - 1))
+                place = np.maximum(among.find(np.maximum(different, np.uint64(1))), 0)
                 hit = top[place] == different if len(top) else np.zeros(len(different), dtype=bool)
                 worth = np.where(hit, top_score[place], 0.0) if len(top) else np.zeros(len(different))
                 hit, value = hit[word], np.r_[0.0, np.cumsum(worth[word])]

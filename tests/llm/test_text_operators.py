@@ -518,6 +518,13 @@ def test_keys_are_found_and_entered_in_one_go():
     assert places.find(keys).tolist() == [known.get(k, -1) for k in keys.tolist()]
 
 
+def test_frequent_words_are_found_by_their_place():
+    for top in ([], [5], [0, 1, 2], [1, 7 << 40, 9 << 50]):
+        words = np.array(top, dtype=np.uint64)
+        found = context_mixing._placed(words).find(np.array([1, 2, 3, 5, 7 << 40, 9 << 50], dtype=np.uint64))
+        assert found.tolist() == [top.index(w) if w in top else -1 for w in (1, 2, 3, 5, 7 << 40, 9 << 50)]
+
+
 @pytest.mark.parametrize("buckets", [1, 7, 300, 70_000])
 def test_states_of_a_bucket_come_by_run(buckets):
     rng = np.random.default_rng(3)
