@@ -219,3 +219,33 @@ def test_files_to_training_set(spark, tmp_path):
     assert positive == [(float(k), 2.0 * k, float(k), 0.0, 1.0 if k < 3 else 2.0) for k in range(5)]
     assert sum(r["label"] == 0 for r in out) == 3 * (5 // 3)
     assert readers.rejected_sightings(seen).count() == 1
+
+
+def test_drawn_points_are_measured(spark):
+    """Points that are made from one row are no small side of a join: all of them would go through the driver."""
+    from datetime import datetime
+
+    from pelagia.plans.training import TrainingConfig, build_training_set
+
+    place = [(F.col("id") % 60 / 10.0).alias("lat"), (F.col("id") / 200.0).alias("lon")]
+    n = 3000
+    seen = spark.range(n).select("id", F.lit("Sat, 02 Jan 2021 10:00:00 GMT").alias("raw_date"), *place)
+    values = [F.lit(1.0).alias(p) for p in WEATHER_PARAMETERS]
+    weather = spark.range(n).select(*place, F.lit("2021-01-02").cast("timestamp_ntz").alias("date"), *values)
+    grid = spark.createDataFrame([(2021, 1, 0.0, 0.0, 1.0)], "year int, month int, lon double, lat double, chlor_a double")
+    plans = []
+
+    def around(drawn):
+        joined = drawn.join(spark.range(10**9), "id")
+        plans.append(joined._jdf.queryExecution().executedPlan().toString())
+        return drawn.select("lat", "lon", "date", *values)
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10k")
+    try:
+        config = TrainingConfig(window=(datetime(2020, 1, 1), datetime(2022, 1, 1)), grid_unique=True)
+        out = build_training_set(seen, weather, grid, around, config)
+        labels = {r["label"]: r["count"] for r in out.groupBy("label").count().collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert labels == {1: n, 0: n}
+    assert "SortMergeJoin" in plans[0] and "BroadcastHashJoin" not in plans[0]
